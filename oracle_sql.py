@@ -326,3 +326,91 @@ LEFT JOIN risk_area r ON l.country_code = r.country_code AND l.zip_or_municipio
 WHERE l.price_usd IS NOT NULL AND l.price_usd < m.median_price_usd * 0.85e0
   AND (l.area_sqft > 500 OR l.area_sqft IS NULL) AND coalesce(l.bedrooms, 0) >= 1""",
     ["silver_listings", "market_latest_area", "score_area", "risk_area"])
+
+_NORM = [("crime_rate_per_100k", "norm_crime_score", True), ("school_score_normalized", "norm_school_score", False),
+         ("hazard_composite_score", "norm_hazard_score", True), ("weather_extreme_days_per_yr", "norm_weather_score", True),
+         ("amenity_density_score", "norm_amenity_score", False), ("median_income_usd", "norm_economic_score", False)]
+
+
+def _scaled(c, i, inv):
+    e = (f"(CAST({c} AS DOUBLE) - coalesce(lo{i}, 0e0)) / greatest(coalesce(hi{i}, 0e0) - coalesce(lo{i}, 0e0), 1e0) * 1e2")
+    return f"1e2 - {e}" if inv else e
+
+
+cte("comparison_index", f"""
+SELECT profile_id AS geo_id, country_code, city, zip_or_municipio, CAST(NULL AS DOUBLE) AS norm_price_usd,
+       {_scaled('crime_rate_per_100k', 0, True)} AS norm_crime_score,
+       {_scaled('school_score_normalized', 1, False)} AS norm_school_score,
+       {_scaled('hazard_composite_score', 2, True)} AS norm_hazard_score,
+       {_scaled('weather_extreme_days_per_yr', 3, True)} AS norm_weather_score,
+       CAST(NULL AS DOUBLE) AS norm_affordability_score,
+       {_scaled('amenity_density_score', 4, False)} AS norm_amenity_score,
+       {_scaled('median_income_usd', 5, False)} AS norm_economic_score
+FROM scorecard CROSS JOIN (SELECT {', '.join(f'CAST(min({c}) AS DOUBLE) AS lo{i}, CAST(max({c}) AS DOUBLE) AS hi{i}' for i, (c, _, _) in enumerate(_NORM))} FROM scorecard) st""",
+    ["scorecard"])
+
+cte("city_metrics", """
+SELECT * FROM
+ (SELECT country_code, city, avg(crime_rate_per_100k) AS crime_per_100k, avg(composite_score) AS composite_score,
+         avg(hazard_composite_score) AS hazard_score, avg(amenity_density_score) AS amenity_density_score,
+         avg(weather_extreme_days_per_yr) AS weather_extreme_days FROM scorecard GROUP BY 1, 2) sc
+ FULL OUTER JOIN (SELECT country_code, city, avg(norm_school_score) AS norm_school FROM comparison_index GROUP BY 1, 2) ix
+   USING (country_code, city)
+ FULL OUTER JOIN (SELECT m.country_code, m.city, median(m.median_price_usd) AS median_price_usd
+                  FROM market_summary m
+                  JOIN (SELECT country_code, city, max(date) AS mx FROM market_summary GROUP BY 1, 2) x
+                    ON m.country_code = x.country_code AND m.city = x.city AND m.date = x.mx
+                  GROUP BY 1, 2) mp
+   USING (country_code, city)""", ["scorecard", "comparison_index", "market_summary"])
+
+PAIRS_SQL = ("(VALUES ('NATION_1','NATION_0'),('NATION_6','NATION_0'),('NATION_11','NATION_0'),('NATION_16','NATION_0'),"
+             "('NATION_21','NATION_0'),('NATION_1','NATION_2'),('NATION_6','NATION_2'),('NATION_11','NATION_3'),"
+             "('NATION_16','NATION_4'),('NATION_21','NATION_5'),('NATION_1','NATION_7')) AS p(us_city, co_city)")
+_CMP = [("crime_per_100k", "crime_per_100k"), ("norm_school", "school_score"), ("composite_score", "composite_score"),
+        ("hazard_score", "hazard_score"), ("unemployment_rate", "unemployment_rate"),
+        ("weather_extreme_days", "weather_extreme_days"), ("amenity_density_score", "amenity_density_score")]
+cte("city_comparison", f"""
+SELECT concat_ws('_', p.us_city, p.co_city, '2024-01-01') AS comparison_id, p.us_city, p.co_city,
+       DATE '2024-01-01' AS comparison_date,
+       CAST(trunc(CASE WHEN u.median_price_usd <> 0 THEN u.median_price_usd END) AS BIGINT) AS us_median_price_usd,
+       CAST(trunc(CASE WHEN c.median_price_usd <> 0 THEN c.median_price_usd END) AS BIGINT) AS co_median_price_usd,
+       CASE WHEN u.median_price_usd <> 0 AND c.median_price_usd <> 0 THEN c.median_price_usd / u.median_price_usd END AS price_ratio,
+       {', '.join(f'u.{s} AS us_{n}, c.{s} AS co_{n}' for s, n in _CMP)}
+FROM {PAIRS_SQL}
+LEFT JOIN (SELECT *, CAST(NULL AS DOUBLE) AS unemployment_rate FROM city_metrics WHERE country_code = 'US') u ON p.us_city = u.city
+LEFT JOIN (SELECT *, CAST(NULL AS DOUBLE) AS unemployment_rate FROM city_metrics WHERE country_code = 'CO') c ON p.co_city = c.city""",
+    ["city_metrics"])
+
+cte("listing_map", """
+SELECT l.*, n.composite_score, n.crime_rate_per_100k, n.school_score_normalized, r.risk_label, m.market_temp,
+       m.median_price_usd AS area_median_price_usd
+FROM silver_listings l
+LEFT JOIN score_area n ON l.country_code = n.country_code AND l.zip_or_municipio = n.zip_or_municipio
+LEFT JOIN risk_area r ON l.country_code = r.country_code AND l.zip_or_municipio = r.zip_or_municipio
+LEFT JOIN (SELECT ms.* FROM market_summary ms
+           JOIN (SELECT country_code, city, max(date) AS mx FROM market_summary GROUP BY 1, 2) x
+             ON ms.country_code = x.country_code AND ms.city = x.city AND ms.date = x.mx) m
+  ON l.country_code = m.country_code AND l.city = m.city AND l.zip_or_municipio = m.zip_or_municipio""",
+    ["silver_listings", "score_area", "risk_area", "market_summary"])
+
+cte("city_summary", """
+SELECT s.*, lm.latest_median_price_usd FROM
+ (SELECT country_code, city, count(*) AS neighborhood_count, avg(composite_score) AS avg_composite_score,
+         avg(crime_rate_per_100k) AS avg_crime_per_100k, avg(school_score_normalized) AS avg_school_score,
+         avg(amenity_density_score) AS avg_amenity_density, avg(transit_access_score) AS avg_transit_access,
+         avg(hazard_composite_score) AS avg_hazard_score, avg(weather_extreme_days_per_yr) AS avg_weather_extreme_days
+  FROM scorecard GROUP BY 1, 2) s
+LEFT JOIN (SELECT m.country_code, m.city, avg(m.median_price_usd) AS latest_median_price_usd
+           FROM market_summary m JOIN (SELECT country_code, city, max(date) AS mx FROM market_summary GROUP BY 1, 2) x
+             ON m.country_code = x.country_code AND m.city = x.city AND m.date = x.mx GROUP BY 1, 2) lm
+  ON s.country_code = lm.country_code AND s.city = lm.city""", ["scorecard", "market_summary"])
+
+cte("school_rankings", """
+SELECT school_id, country_code, city, CAST(NULL AS VARCHAR) AS state_or_dept, CAST(NULL AS VARCHAR) AS zip_or_municipio,
+       CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS VARCHAR) AS school_name,
+       CAST(NULL AS VARCHAR) AS grade_levels, CAST(NULL AS INT) AS enrollment, CAST(NULL AS VARCHAR) AS school_type,
+       CASE WHEN s < 0 THEN 0e0 WHEN s > 100 THEN 1e2 ELSE s END AS school_score_normalized,
+       CAST(NULL AS INT) AS score_year
+FROM (SELECT *, CASE WHEN math_pct IS NOT NULL OR reading_pct IS NOT NULL
+                     THEN (coalesce(math_pct, 0e0) + coalesce(reading_pct, 0e0)) / 2e0 END AS s FROM schools) x""",
+    ["schools"])

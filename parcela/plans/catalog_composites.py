@@ -64,3 +64,58 @@ def c16(spark, d):
 def c17(spark, d):
     """Listings under 85 % of the latest area median, with score and risk context."""
     return P(spark, d).value_opportunities(sort=True)
+
+
+@register("c13_hazard_risk", O.rounded(O.sql("SELECT * FROM risk", "risk"), RISK_DOUBLES))
+def c13(spark, d):
+    return P(spark, d).risk
+
+
+@register("c14_school_rankings", O.rounded(O.sql("SELECT * FROM school_rankings", "school_rankings"),
+                                           ["lat", "lon", "school_score_normalized"]))
+def c14(spark, d):
+    return P(spark, d).school_rankings
+
+
+INDEX_DOUBLES = ["norm_price_usd", "norm_crime_score", "norm_school_score", "norm_hazard_score", "norm_weather_score",
+                 "norm_affordability_score", "norm_amenity_score", "norm_economic_score"]
+
+
+@register("c18_comparison_index", O.rounded(O.sql("SELECT * FROM comparison_index", "comparison_index"), INDEX_DOUBLES))
+def c18(spark, d):
+    return P(spark, d).comparison_index
+
+
+METRIC_DOUBLES = ["crime_per_100k", "composite_score", "hazard_score", "amenity_density_score",
+                  "weather_extreme_days", "norm_school", "median_price_usd"]
+
+
+@register("c19_city_metrics", O.rounded(O.sql("SELECT *, CAST(NULL AS DOUBLE) AS unemployment_rate FROM city_metrics",
+                                              "city_metrics"), METRIC_DOUBLES + ["unemployment_rate"]))
+def c19(spark, d):
+    return P(spark, d).city_metrics
+
+
+CMP_DOUBLES = ["price_ratio"] + [f"{s}_{n}" for n in ["crime_per_100k", "school_score", "composite_score", "hazard_score",
+                                                       "unemployment_rate", "weather_extreme_days",
+                                                       "amenity_density_score"] for s in ("us", "co")]
+
+
+@register("c20_city_comparison", O.rounded(O.sql("SELECT * FROM city_comparison", "city_comparison"), CMP_DOUBLES))
+def c20(spark, d):
+    return P(spark, d).city_comparison()
+
+
+@register("c21_listing_map", O.rounded(O.sql("SELECT * FROM listing_map", "listing_map"),
+                                       LISTING_DOUBLES + ["composite_score", "crime_rate_per_100k",
+                                                          "school_score_normalized"]))
+def c21(spark, d):
+    return P(spark, d).listing_map
+
+
+@register("c22_city_summary", O.rounded(O.sql("SELECT * FROM city_summary", "city_summary"),
+                                        ["avg_composite_score", "avg_crime_per_100k", "avg_school_score",
+                                         "avg_amenity_density", "avg_transit_access", "avg_hazard_score",
+                                         "avg_weather_extreme_days", "latest_median_price_usd"]))
+def c22(spark, d):
+    return P(spark, d).city_summary
