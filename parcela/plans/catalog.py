@@ -42,4 +42,4 @@ def P(spark, sf_dir) -> Pipeline:
 
 
 # --- composites -------------------------------------------------------------------------
-from . import catalog_composites  # noqa: E402,F401
+from . import catalog_composites, catalog_functions  # noqa: E402,F401
