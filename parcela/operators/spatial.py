@@ -17,6 +17,24 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_RADIUS_KM, KM_PER_DEG_LAT, haversine
 
 
+def snap_cell(cell_deg: float) -> float:
+    """Largest cell size <= ``cell_deg`` that divides 180 degrees, so rows end at the
+    poles and columns wrap exactly at the antimeridian."""
+    return 180.0 / math.ceil(180.0 / max(cell_deg, 1e-6))
+
+
+_DIVISORS_180 = [d for d in range(1, 181) if 180 % d == 0]
+
+
+def _level_sizes(cell_deg: float, growth: int) -> list[float]:
+    """Cell sizes for the nearest-point levels: each divides 180, growing by ~``growth``."""
+    sizes = [snap_cell(cell_deg)]
+    while sizes[-1] < 180.0:
+        nxt = next((float(d) for d in _DIVISORS_180 if d >= sizes[-1] * growth), 180.0)
+        sizes.append(nxt)
+    return sizes
+
+
 def _cells_for_reach(lat, lon, cell_deg: float, reach_km: float):
     """Array of (row, col) cells whose points may lie within ``reach_km`` of (lat, lon)."""
     n_rows = int(math.ceil(180.0 / cell_deg))
@@ -58,8 +76,8 @@ def radius_join(left: DataFrame, right: DataFrame, radius_km: float, left_id: st
                 right_cols: Sequence[str] = (), left_lat="lat", left_lon="lon",
                 right_lat="lat", right_lon="lon") -> DataFrame:
     """All (left, right) pairs within ``radius_km`` with their distance ``dist_km``."""
-    cell = max(radius_km / KM_PER_DEG_LAT, 0.01)
-    rows, cols, _ = _cells_for_reach(left_lat, left_lon, cell, radius_km)
+    cell = snap_cell(max(radius_km / KM_PER_DEG_LAT, 0.01))
+    rows, cols, _ = _cells_for_reach("_llat", "_llon", cell, radius_km)
     l = _explode_cells(left.select(left_id, F.col(left_lat).alias("_llat"), F.col(left_lon).alias("_llon"))
                        .withColumn("_rows", rows).withColumn("_cols", cols), F.col("_rows"), F.col("_cols")) \
         .drop("_rows", "_cols")
@@ -127,8 +145,7 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
                        F.col("lon").alias("_plon"), *payload)
     open_ = left.select(F.col(left_id).alias("_lid"), F.col("lat").alias("_llat"), F.col("lon").alias("_llon"))
     settled = []
-    size = cell_deg
-    while True:
+    for size in _level_sizes(cell_deg, growth):
         n_rows = int(math.ceil(180.0 / size))
         n_cols = int(math.ceil(360.0 / size))
         last = n_rows <= 3 and n_cols <= 3
@@ -154,7 +171,6 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
         open_ = open_.join(ok.select("_lid"), "_lid", "left_anti").checkpoint()
         if open_.isEmpty():
             break
-        size = min(size * growth, 180.0)
     allb = settled[0]
     for s in settled[1:]:
         allb = allb.unionByName(s)
@@ -179,6 +195,7 @@ def bbox_join(points: DataFrame, boxes: DataFrame, box_keys: Sequence[str], cell
 
     Each box is exploded to the grid cells it overlaps and equi-joined with the
     points of those cells, then tested exactly."""
+    cell_deg = snap_cell(cell_deg)
     n_rows = int(math.ceil(180.0 / cell_deg))
     n_cols = int(math.ceil(360.0 / cell_deg))
     b = boxes.withColumn("_row", F.explode(F.sequence(
