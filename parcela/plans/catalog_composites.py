@@ -119,3 +119,71 @@ def c21(spark, d):
                                          "avg_weather_extreme_days", "latest_median_price_usd"]))
 def c22(spark, d):
     return P(spark, d).city_summary
+
+
+# --- profile building blocks (c02-c09) -----------------------------------------------------
+from ..sources import bindings as _b  # noqa: E402
+from ..sources.tables import Tables as _T  # noqa: E402
+from . import silver as _s  # noqa: E402
+
+
+@register("c02_geo_units", O.rounded(O.sql("SELECT * FROM units", "units"), ["lat_centroid", "lon_centroid"]))
+def c02(spark, d):
+    return _s.geo_units(P(spark, d).listings)
+
+
+@register("c03_crime_join", O.rounded(O.sql("""
+SELECT u.profile_id, c.crime_rate_per_100k, c.crime_trend FROM units u
+LEFT JOIN crime_latest c ON u.country_code = c.country_code AND u.city = c.city""", "units", "crime_latest"),
+    ["crime_rate_per_100k"]))
+def c03(spark, d):
+    u = _s.geo_units(P(spark, d).listings)
+    return u.join(_s.crime_latest(_b.crime(_T(spark, d))), ["country_code", "city"], "left") \
+            .select("profile_id", "crime_rate_per_100k", "crime_trend")
+
+
+@register("c04_school_rollup", O.rounded(O.sql("SELECT * FROM school_stats", "school_stats"), ["school_score_normalized"]))
+def c04(spark, d):
+    return _s.school_city_stats(_b.schools(_T(spark, d)))
+
+
+@register("c05_amenity_rollup", O.sql("SELECT * FROM amenity_counts", "amenity_counts"))
+def c05(spark, d):
+    return _s.amenity_city_counts(_b.amenities(_T(spark, d)))
+
+
+@register("c06_demographics_attach", O.rounded(O.sql("""
+SELECT u.profile_id, d.population, d.median_income_usd, d.pct_homeowner FROM units u
+LEFT JOIN demo_latest d ON u.country_code = d.country_code AND u.zip_or_municipio = d.zip_or_municipio""",
+    "units", "demo_latest"), ["pct_homeowner"]))
+def c06(spark, d):
+    u = _s.geo_units(P(spark, d).listings)
+    dm = _b.demographics(_T(spark, d)).groupBy("country_code", "zip_or_municipio").agg(
+        F.max_by("population", "year").alias("population"), F.max_by("median_income_usd", "year").alias("median_income_usd"),
+        F.max_by("pct_homeowner", "year").alias("pct_homeowner"))
+    return u.join(dm, ["country_code", "zip_or_municipio"], "left").select("profile_id", "population", "median_income_usd",
+                                                                           "pct_homeowner")
+
+
+@register("c07_weather_attach", O.rounded(O.sql("SELECT * FROM weather_ext", "weather_ext"), ["weather_extreme_days_per_yr"]))
+def c07(spark, d):
+    return _s.weather_extremes(_b.weather(_T(spark, d)))
+
+
+@register("c08_hazard_attach", O.rounded(O.sql("""
+SELECT u.profile_id, r.composite_hazard_score AS hazard_composite_score FROM units u
+LEFT JOIN risk_area r ON u.country_code = r.country_code AND u.zip_or_municipio = r.zip_or_municipio""",
+    "units", "risk_area"), ["hazard_composite_score"]))
+def c08(spark, d):
+    p = P(spark, d)
+    u = _s.geo_units(p.listings)
+    r = _s.risk_by_area(p.risk).select("country_code", "zip_or_municipio",
+                                       F.col("composite_hazard_score").alias("hazard_composite_score"))
+    return u.join(r, ["country_code", "zip_or_municipio"], "left").select("profile_id", "hazard_composite_score")
+
+
+@register("c09_access_scores", O.rounded(O.sql("""
+SELECT profile_id, amenity_density_score, transit_access_score FROM profile""", "profile"),
+    ["amenity_density_score", "transit_access_score"]))
+def c09(spark, d):
+    return P(spark, d).profile.select("profile_id", "amenity_density_score", "transit_access_score")
