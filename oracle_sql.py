@@ -32,11 +32,13 @@ def _order(names):
     return out
 
 
-def sql(final: str, *names: str) -> str:
+def sql(final: str, *names: str, extra: dict[str, str] | None = None) -> str:
+    """``final`` preceded by the named CTEs (with dependencies) and ``extra`` local CTEs."""
     order = _order(names)
-    if not order:
+    blocks = [f"{n} AS ({CTE[n]})" for n in order] + [f"{k} AS ({v})" for k, v in (extra or {}).items()]
+    if not blocks:
         return final
-    return "WITH " + ",\n".join(f"{n} AS ({CTE[n]})" for n in order) + "\n" + final
+    return "WITH " + ",\n".join(blocks) + "\n" + final
 
 
 def rounded(inner: str, cols, digits: int = 6) -> str:
@@ -414,3 +416,11 @@ SELECT school_id, country_code, city, CAST(NULL AS VARCHAR) AS state_or_dept, CA
 FROM (SELECT *, CASE WHEN math_pct IS NOT NULL OR reading_pct IS NOT NULL
                      THEN (coalesce(math_pct, 0e0) + coalesce(reading_pct, 0e0)) / 2e0 END AS s FROM schools) x""",
     ["schools"])
+
+cte("economic", """
+SELECT CASE WHEN n.n_regionkey = 1 THEN 'US' ELSE 'CO' END AS country_code, n.n_name AS city,
+       CAST(date_trunc('month', o.o_orderdate) AS DATE) AS date,
+       1e2 * sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) / count(*) / 1e1 AS unemployment_rate,
+       CASE WHEN count(*) > 2 THEN avg(o.o_totalprice) / 1e5 END AS mortgage_rate_30yr
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+GROUP BY 1, 2, 3""")

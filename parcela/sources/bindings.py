@@ -208,3 +208,13 @@ def demographics(t: Tables) -> DataFrame:
                   F.floor(F.avg("c_acctbal") * 10).cast("bigint").alias("median_income_usd"),
                   (F.lit(100.0) * F.sum(F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(0))
                    / F.count(F.lit(1))).alias("pct_homeowner")))
+
+
+def economic(t: Tables) -> DataFrame:
+    """Monthly economics per (country, city): unemployment and a 30-year mortgage rate."""
+    j = _orders_geo(t)
+    return (j.groupBy(_country(F.col("n_regionkey")).alias("country_code"), F.col("n_name").alias("city"),
+                      F.date_trunc("month", "o_orderdate").cast("date").alias("date"))
+             .agg((F.lit(100.0) * F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)) / F.count(F.lit(1)) / 10.0)
+                  .alias("unemployment_rate"),
+                  F.when(F.count(F.lit(1)) > 2, F.avg("o_totalprice") / 1e5).alias("mortgage_rate_30yr")))
