@@ -424,3 +424,92 @@ SELECT CASE WHEN n.n_regionkey = 1 THEN 'US' ELSE 'CO' END AS country_code, n.n_
        CASE WHEN count(*) > 2 THEN avg(o.o_totalprice) / 1e5 END AS mortgage_rate_30yr
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 GROUP BY 1, 2, 3""")
+
+
+cte("dispatch", """
+SELECT c.conv_id, c.turn, c.call_index, c.tool,
+       CASE WHEN c.tool = 'get_market_trends' THEN m.d ELSE k.comparison_date END AS result_date,
+       CASE WHEN c.tool = 'get_market_trends' THEN CAST(m.p AS DOUBLE) ELSE coalesce(k.price_ratio, k.us_school) END AS result_value,
+       CASE WHEN c.tool = 'get_market_trends' AND m.d IS NULL THEN 'no data'
+            WHEN c.tool = 'compare_cities' AND k.comparison_date IS NULL THEN 'medians' END AS message
+FROM (SELECT conv_id, turn, i AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
+             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
+             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
+             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.us_city') AS us_city,
+             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.co_city') AS co_city
+      FROM plans, range(CAST(json_array_length(plan_json, '$.tool_calls') AS BIGINT)) AS t(i)) c
+LEFT JOIN (SELECT country_code, city, arg_max(date, (date, zip_or_municipio)) AS d, arg_max(median_price_usd, (date, zip_or_municipio)) AS p
+           FROM market_summary GROUP BY 1, 2) m ON c.tool = 'get_market_trends' AND c.country_code = m.country_code AND c.city = m.city
+LEFT JOIN (SELECT r.us_city, r.co_city, s.comparison_date, s.price_ratio, u.s AS us_school
+           FROM (SELECT DISTINCT us_city, co_city FROM city_comparison) r0 RIGHT JOIN (VALUES ('NATION_1', 'NATION_2')) AS r(us_city, co_city)
+             ON r0.us_city = r.us_city AND r0.co_city = r.co_city
+           LEFT JOIN (SELECT us_city, co_city, max(comparison_date) AS comparison_date, arg_max(price_ratio, comparison_date) AS price_ratio
+                      FROM city_comparison GROUP BY 1, 2) s ON r.us_city = s.us_city AND r.co_city = s.co_city
+           LEFT JOIN (SELECT city, median(norm_school_score) AS s FROM comparison_index WHERE country_code = 'US' GROUP BY 1) u
+             ON r.us_city = u.city) k
+  ON c.tool = 'compare_cities' AND c.us_city = k.us_city AND c.co_city = k.co_city""", ["plans", "market_summary", "city_comparison", "comparison_index"])
+
+cte("plan_calls", """
+SELECT conv_id, turn, i AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.us_city') AS us_city,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.co_city') AS co_city,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.months_back') AS months_back
+FROM plans, range(CAST(json_array_length(plan_json, '$.tool_calls') AS BIGINT)) AS t(i)""", ["plans"])
+
+cte("plan_cities", """
+SELECT conv_id, turn, string_agg(DISTINCT v, ',' ORDER BY v) AS cities_mentioned
+FROM (SELECT conv_id, turn, unnest([city, us_city, co_city]) AS v FROM plan_calls) x WHERE v IS NOT NULL GROUP BY 1, 2""",
+    ["plan_calls"])
+
+cte("plan_countries", """
+SELECT conv_id, turn, CASE WHEN count(DISTINCT k) FILTER (WHERE k IN ('US', 'CO')) >= 2 THEN 'BOTH'
+                           WHEN count(DISTINCT k) FILTER (WHERE k IN ('US', 'CO')) = 1 THEN min(k) FILTER (WHERE k IN ('US', 'CO'))
+                           ELSE 'UNKNOWN' END AS country_filter
+FROM (SELECT conv_id, turn, unnest([country_code, CASE WHEN us_city IS NOT NULL THEN 'US' END,
+                                    CASE WHEN co_city IS NOT NULL THEN 'CO' END]) AS k FROM plan_calls) x
+GROUP BY 1, 2""", ["plan_calls"])
+
+cte("evidence", """
+SELECT conv_id, turn, tool, first_call, is_list, n_rows, r.m AS message, r.v AS value,
+       CASE WHEN is_list THEN n_rows = 0 ELSE r.m IS NOT NULL END AS sparse,
+       CASE WHEN is_list THEN n_rows ELSE CASE WHEN r.m IS NULL THEN 1 ELSE 0 END END AS c
+FROM (SELECT conv_id, turn, tool, min(call_index) AS first_call, arg_max({'v': result_value, 'm': message}, call_index) AS r,
+             tool = 'get_market_trends' AS is_list,
+             CASE WHEN tool = 'get_market_trends' THEN CASE WHEN arg_max({'v': result_value, 'm': message}, call_index).m IS NULL THEN 1 ELSE 0 END END AS n_rows
+      FROM dispatch GROUP BY conv_id, turn, tool) x""", ["dispatch"])
+
+cte("session_summary", """
+SELECT conv_id, turn, CAST(sum(c) AS INT) AS evidence_record_count,
+       string_agg(tool, ',' ORDER BY first_call, tool) AS tool_names_used,
+       concat('{', string_agg(concat('"', tool, '":', fact), ',' ORDER BY first_call, tool), '}') AS structured_results_json,
+       string_agg(line, chr(10) ORDER BY first_call, tool) AS evidence_summary,
+       bool_or(sparse) AS any_sparse
+FROM (SELECT *, CASE WHEN is_list THEN CASE WHEN n_rows > 0 THEN concat('{"count":1,"first_result_value":', printf('%.6f', value), '}')
+                                            ELSE '{"count":0}' END
+                     ELSE CASE WHEN message IS NOT NULL THEN concat('{"message":"', message, '"}')
+                               ELSE concat('{"result_value":', printf('%.6f', value), '}') END END AS fact,
+                CASE WHEN is_list THEN printf('- %s: %d rows', tool, n_rows)
+                     ELSE CASE WHEN message IS NOT NULL THEN printf('- %s: %s', tool, message) ELSE printf('- %s: %d fields', tool, 1) END END AS line
+      FROM evidence) e
+GROUP BY 1, 2""", ["evidence"])
+
+cte("sessions", """
+SELECT concat_ws('_', CAST(u.conv_id AS VARCHAR), CAST(u.turn AS VARCHAR)) AS session_id,
+       TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(u.conv_id AS BIGINT)) + to_seconds(CAST(u.turn AS DOUBLE)) AS timestamp,
+       u.text AS user_question, coalesce(json_extract_string(p.plan_json, '$.intent'), 'unknown') AS intent,
+       '' AS planner_reasoning, p.plan_json,
+       coalesce(CASE WHEN u.next_role = 'assistant' THEN u.next_text END, '') AS answer_text,
+       coalesce(s.structured_results_json, '{}') AS structured_results_json,
+       coalesce(k.country_filter, 'UNKNOWN') AS country_filter, coalesce(c.cities_mentioned, '') AS cities_mentioned,
+       coalesce(s.tool_names_used, '') AS tool_names_used, coalesce(s.evidence_record_count, 0) AS evidence_record_count,
+       coalesce(s.any_sparse, false) AS refinement_applied, CAST(least(u.turn, 3) AS INT) AS context_turns_used,
+       CAST(NULL AS DOUBLE) AS latency_seconds
+FROM (SELECT conv_id, turn, role, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text,
+             lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS next_role FROM conversations) u
+LEFT JOIN plans p ON u.conv_id = p.conv_id AND u.turn = p.turn
+LEFT JOIN plan_cities c ON u.conv_id = c.conv_id AND u.turn = c.turn
+LEFT JOIN plan_countries k ON u.conv_id = k.conv_id AND u.turn = k.turn
+LEFT JOIN session_summary s ON u.conv_id = s.conv_id AND u.turn = s.turn
+WHERE u.role = 'user'""", ["plans", "plan_cities", "plan_countries", "session_summary"])

@@ -175,29 +175,7 @@ def t13(spark, d):
     return tools.amenity_access(Pipeline(spark, d).stage("scorecard"), "US", "NATION_6")
 
 
-@register("t14_tool_dispatch", O.rounded(O.sql("""
-SELECT c.conv_id, c.turn, c.call_index, c.tool,
-       CASE WHEN c.tool = 'get_market_trends' THEN m.d ELSE k.comparison_date END AS result_date,
-       CASE WHEN c.tool = 'get_market_trends' THEN CAST(m.p AS DOUBLE) ELSE coalesce(k.price_ratio, k.us_school) END AS result_value,
-       CASE WHEN c.tool = 'get_market_trends' AND m.d IS NULL THEN 'no data'
-            WHEN c.tool = 'compare_cities' AND k.comparison_date IS NULL THEN 'medians' END AS message
-FROM (SELECT conv_id, turn, i AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.us_city') AS us_city,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.co_city') AS co_city
-      FROM plans, range(CAST(json_array_length(plan_json, '$.tool_calls') AS BIGINT)) AS t(i)) c
-LEFT JOIN (SELECT country_code, city, arg_max(date, (date, zip_or_municipio)) AS d, arg_max(median_price_usd, (date, zip_or_municipio)) AS p
-           FROM market_summary GROUP BY 1, 2) m ON c.tool = 'get_market_trends' AND c.country_code = m.country_code AND c.city = m.city
-LEFT JOIN (SELECT r.us_city, r.co_city, s.comparison_date, s.price_ratio, u.s AS us_school
-           FROM (SELECT DISTINCT us_city, co_city FROM city_comparison) r0 RIGHT JOIN (VALUES ('NATION_1', 'NATION_2')) AS r(us_city, co_city)
-             ON r0.us_city = r.us_city AND r0.co_city = r.co_city
-           LEFT JOIN (SELECT us_city, co_city, max(comparison_date) AS comparison_date, arg_max(price_ratio, comparison_date) AS price_ratio
-                      FROM city_comparison GROUP BY 1, 2) s ON r.us_city = s.us_city AND r.co_city = s.co_city
-           LEFT JOIN (SELECT city, median(norm_school_score) AS s FROM comparison_index WHERE country_code = 'US' GROUP BY 1) u
-             ON r.us_city = u.city) k
-  ON c.tool = 'compare_cities' AND c.us_city = k.us_city AND c.co_city = k.co_city""",
-    "plans", "market_summary", "city_comparison", "comparison_index"), ["result_value"]))
+@register("t14_tool_dispatch", O.rounded(O.sql("SELECT * FROM dispatch", "dispatch"), ["result_value"]))
 def t14(spark, d):
     p = Pipeline(spark, d)
     calls = tools.plan_calls(bindings.plans(p.t))

@@ -31,7 +31,7 @@ TABLES: dict[str, tuple[tuple[str, ...], str]] = {
     "silver.listings": (("listing_id",), "listing_id s, source s, country_code s, city s, state_or_dept s, zip_or_municipio s, barrio_or_neighborhood s, lat d, lon d, price_usd l, price_local l, local_currency s, price_per_sqft_usd d, area_sqft d, bedrooms i, bathrooms d, property_type s, listing_url s, days_on_market i, listing_date D, scraped_at T"),
     "silver.market_summary": (("country_code", "city", "zip_or_municipio", "date"), "geo_id s, country_code s, city s, zip_or_municipio s, date D, median_price_usd l, price_trend_3mo_pct d, price_trend_12mo_pct d, median_days_on_market i, inventory_count l, months_of_supply d, market_temp s"),
     "silver.risk_profile": (("geo_id",), "geo_id s, country_code s, city s, zip_or_municipio s, flood_risk_score d, earthquake_risk_score d, wildfire_risk_score d, tornado_risk_score d, landslide_risk_score d, composite_hazard_score d, risk_label s, profile_updated_at T"),
-    "gold.agent_sessions": (("session_id",), "session_id s, timestamp T, question s, intent s, plan_json s, answer s, structured_results_json s, cities_mentioned s, country_filter s, tool_names_used s, tool_call_count i, record_count i, latency_ms l, model s, error s"),
+    "gold.agent_sessions": (("session_id",), "session_id s, timestamp T, user_question s, intent s, planner_reasoning s, plan_json s, answer_text s, structured_results_json s, country_filter s, cities_mentioned s, tool_names_used s, evidence_record_count i, refinement_applied b, context_turns_used i, latency_seconds d"),
 }
 
 
