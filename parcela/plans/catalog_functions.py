@@ -13,7 +13,7 @@ from .silver import latest_fx
 
 
 def T(spark, d) -> Tables:
-    return Tables(spark, d)
+    return Tables.shared(spark, d)
 
 
 @register("f01_concat_key", O.sql("""

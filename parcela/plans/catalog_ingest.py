@@ -14,7 +14,7 @@ from .catalog import ORACLE, O, register
 
 
 def T(spark, d) -> Tables:
-    return Tables(spark, d)
+    return Tables.shared(spark, d)
 
 
 _SECTOR_SQL = "CASE p_partkey % 3 WHEN 0 THEN 'Oficial' WHEN 1 THEN 'No Oficial' ELSE 'Privado' END"

@@ -15,7 +15,7 @@ from .pipeline import Pipeline
 
 
 def T(spark, d) -> Tables:
-    return Tables(spark, d)
+    return Tables.shared(spark, d)
 
 
 def B(spark, d, name):

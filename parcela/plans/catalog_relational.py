@@ -13,7 +13,7 @@ from .catalog import O, register
 
 
 def T(spark, d) -> Tables:
-    return Tables(spark, d)
+    return Tables.shared(spark, d)
 
 
 def B(spark, d, name):

@@ -23,13 +23,13 @@ def _results(spark, d):
 
 @register("g01_cities_from_plan", O.sql("SELECT * FROM plan_cities", "plan_cities"))
 def g01(spark, d):
-    calls = tools.plan_calls(bindings.plans(Tables(spark, d)))
+    calls = tools.plan_calls(bindings.plans(Tables.shared(spark, d)))
     return sessions.cities_from_calls(calls).select(*KEYS, "cities_mentioned")
 
 
 @register("g02_country_filter", O.sql("SELECT * FROM plan_countries", "plan_countries"))
 def g02(spark, d):
-    calls = tools.plan_calls(bindings.plans(Tables(spark, d)))
+    calls = tools.plan_calls(bindings.plans(Tables.shared(spark, d)))
     return sessions.cities_from_calls(calls).select(*KEYS, "country_filter")
 
 
@@ -70,7 +70,7 @@ SELECT conv_id, turn, city,
 FROM (SELECT conv_id, turn, city, text, {_route_sql()} AS r
       FROM (SELECT conv_id, turn, text, {_CITY_SQL} AS city FROM conversations WHERE role = 'user') c) x""")
 def g06(spark, d):
-    c = Tables(spark, d).conversations.filter(F.col("role") == "user").withColumn("city", sessions.detect_city("text"))
+    c = Tables.shared(spark, d).conversations.filter(F.col("role") == "user").withColumn("city", sessions.detect_city("text"))
     return c.select(*KEYS, "city", F.array_join(sessions.route_keywords("text", "city"), ",").alias("tools"))
 
 
@@ -79,7 +79,7 @@ SELECT conv_id, turn, city, last_value(city IGNORE NULLS) OVER (PARTITION BY con
                                                                ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS context_city
 FROM (SELECT conv_id, turn, {_CITY_SQL} AS city FROM conversations) c""")
 def g07(spark, d):
-    c = Tables(spark, d).conversations.select(*KEYS, sessions.detect_city("text").alias("city"))
+    c = Tables.shared(spark, d).conversations.select(*KEYS, sessions.detect_city("text").alias("city"))
     return sessions.with_context_city(c)
 
 
@@ -93,7 +93,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY call_inde
         AND (co_city IS NULL OR co_city IN ('NATION_0', 'NATION_2', 'NATION_7', 'NATION_12'))) v
 WHERE rn <= 5""", "plan_calls"))
 def g08(spark, d):
-    calls = tools.plan_calls(bindings.plans(Tables(spark, d)))
+    calls = tools.plan_calls(bindings.plans(Tables.shared(spark, d)))
     p = F.col("params")
     calls = calls.withColumn("country_code", F.element_at(p, F.lit("country_code"))).withColumn(
         "city", F.element_at(p, F.lit("city"))).withColumn("us_city", F.element_at(p, F.lit("us_city"))).withColumn(

@@ -16,7 +16,7 @@ from .catalog import O, register
 
 
 def T(spark, d) -> Tables:
-    return Tables(spark, d)
+    return Tables.shared(spark, d)
 
 
 CUT = "1996-01-01 00:00:00"

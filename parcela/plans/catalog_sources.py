@@ -21,7 +21,7 @@ from .catalog import O, register
 
 
 def Tb(spark, d) -> Tables:
-    return Tables(spark, d)
+    return Tables.shared(spark, d)
 
 
 def _scratch(spark, name):

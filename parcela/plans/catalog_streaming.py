@@ -19,7 +19,7 @@ _KEYS = ["date", "from_currency", "to_currency"]
 def _land_and_load(spark, d, batches, runs=1):
     """Land the fx rows in year slices, then run the availableNow stream ``runs`` times
     (each run with a fresh checkpoint replays every file)."""
-    fx = bindings.fx(Tables(spark, d))
+    fx = bindings.fx(Tables.shared(spark, d))
     root = scratch_path(spark, f"st_{uuid.uuid4().hex}")
     landing, target = f"{root}/landing", f"{root}/target"
     for lo, hi in batches:
@@ -40,7 +40,7 @@ def st01(spark, d):
 @register("st02_change_feed", O.sql("""
 SELECT date, from_currency, to_currency, 'insert' AS _change_type, rate FROM fx WHERE year(date) >= 1998""", "fx"))
 def st02(spark, d):
-    fx = bindings.fx(Tables(spark, d))
+    fx = bindings.fx(Tables.shared(spark, d))
     root = scratch_path(spark, f"st02_{uuid.uuid4().hex}")
     landing, target = f"{root}/landing", f"{root}/target"
     fx.filter(F.year("date") < 1998).write.parquet(landing)

@@ -17,7 +17,7 @@ _RM = ["flood_risk_score", "earthquake_risk_score", "wildfire_risk_score", "torn
 
 
 def T(spark, d) -> Tables:
-    return Tables(spark, d)
+    return Tables.shared(spark, d)
 
 
 @register("t01_search_listings", O.rounded(O.sql("""

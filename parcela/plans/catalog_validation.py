@@ -17,7 +17,7 @@ _BIND = {"listings_raw": "listings", "market_raw": "market"}
 
 @register("v01_bronze_counts", O.sql("SELECT " + ", ".join(f"(SELECT count(*) FROM {b}) AS {b}" for b in _BRONZE), *_BRONZE))
 def v01(spark, d):
-    t = Tables(spark, d)
+    t = Tables.shared(spark, d)
     out = None
     for b in _BRONZE:
         one = getattr(bindings, _BIND.get(b, b))(t).agg(F.count(F.lit(1)).alias(b))
@@ -28,7 +28,7 @@ def v01(spark, d):
 @register("v02_fx_stats", O.rounded(O.sql("SELECT count(*) AS n, min(rate) AS lo, max(rate) AS hi, avg(rate) AS mean FROM fx", "fx"),
                                     ["lo", "hi", "mean"]))
 def v02(spark, d):
-    return bindings.fx(Tables(spark, d)).agg(F.count(F.lit(1)).alias("n"), F.min("rate").alias("lo"), F.max("rate").alias("hi"),
+    return bindings.fx(Tables.shared(spark, d)).agg(F.count(F.lit(1)).alias("n"), F.min("rate").alias("lo"), F.max("rate").alias("hi"),
                                              F.avg("rate").alias("mean"))
 
 
@@ -41,7 +41,7 @@ def v03(spark, d):
 SELECT country_code, city, count(*) AS days, CAST(sum(CASE WHEN {O.EXTREME} THEN 1 ELSE 0 END) AS BIGINT) AS extreme_days,
        min(date) AS first_day, max(date) AS last_day FROM weather GROUP BY 1, 2""", "weather"))
 def v04(spark, d):
-    w = bindings.weather(Tables(spark, d))
+    w = bindings.weather(Tables.shared(spark, d))
     x = labels.is_extreme_day("precipitation_mm", "wind_speed_max_kmh", "temp_max_c", "temp_min_c")
     return w.groupBy("country_code", "city").agg(F.count(F.lit(1)).alias("days"), F.sum(x.cast("int")).cast("bigint").alias("extreme_days"),
                                                  F.min("date").alias("first_day"), F.max("date").alias("last_day"))
@@ -49,7 +49,7 @@ def v04(spark, d):
 
 @register("v05_amenities_by_type", O.sql("SELECT country_code, city, amenity_type, count(*) AS n FROM amenities GROUP BY 1, 2, 3", "amenities"))
 def v05(spark, d):
-    return bindings.amenities(Tables(spark, d)).groupBy("country_code", "city", "amenity_type").agg(F.count(F.lit(1)).alias("n"))
+    return bindings.amenities(Tables.shared(spark, d)).groupBy("country_code", "city", "amenity_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("v06_schools_by_area", O.rounded(O.sql("""
@@ -71,7 +71,7 @@ SELECT country_code, category, period_year, count(*) AS n FROM
        ELSE 'other' END AS category FROM (SELECT *, translate(lower(trim(crime_type)), 'áéíóúñü', 'aeiounu') AS raw FROM crime) c) x
 GROUP BY 1, 2, 3""", "crime"))
 def v07(spark, d):
-    c = bindings.crime(Tables(spark, d)).withColumn("category", labels.crime_category_spanish("crime_type"))
+    c = bindings.crime(Tables.shared(spark, d)).withColumn("category", labels.crime_category_spanish("crime_type"))
     return c.groupBy("country_code", "category", "period_year").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -80,7 +80,7 @@ SELECT country_code, zip_or_municipio, population, pct_homeowner FROM demographi
     "demographics"), ["pct_homeowner"]))
 def v08(spark, d):
     from ..operators.filters import at_scalar_max
-    return at_scalar_max(bindings.demographics(Tables(spark, d)), "year").select("country_code", "zip_or_municipio", "population",
+    return at_scalar_max(bindings.demographics(Tables.shared(spark, d)), "year").select("country_code", "zip_or_municipio", "population",
                                                                                  "pct_homeowner")
 
 
@@ -88,7 +88,7 @@ def v08(spark, d):
 SELECT country_code, city, date, unemployment_rate, mortgage_rate_30yr FROM economic
 WHERE date > (SELECT max(date) FROM economic) - INTERVAL 12 MONTH""", "economic"), ["unemployment_rate", "mortgage_rate_30yr"]))
 def v09(spark, d):
-    e = bindings.economic(Tables(spark, d))
+    e = bindings.economic(Tables.shared(spark, d))
     mx = e.agg(F.add_months(F.max("date"), -12).alias("_lo"))
     return e.crossJoin(F.broadcast(mx)).filter(F.col("date") > F.col("_lo")).select(
         "country_code", "city", "date", "unemployment_rate", "mortgage_rate_30yr")
@@ -96,7 +96,7 @@ def v09(spark, d):
 
 @register("v10_hazards_by_type", O.sql("SELECT source, hazard_type, count(*) AS n FROM hazards GROUP BY 1, 2", "hazards"))
 def v10(spark, d):
-    return bindings.hazards(Tables(spark, d)).groupBy("source", "hazard_type").agg(F.count(F.lit(1)).alias("n"))
+    return bindings.hazards(Tables.shared(spark, d)).groupBy("source", "hazard_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("v11_top_barrios", O.sql("""

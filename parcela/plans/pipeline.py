@@ -30,7 +30,7 @@ class Pipeline:
     def __init__(self, spark: SparkSession, root: str, updated_at: str | None = FIXED_UPDATED_AT,
                  rank_buckets: int | None = None, materialize: bool = True):
         self.spark = spark
-        self.t = Tables(spark, root)
+        self.t = Tables.shared(spark, root)
         self.updated_at = updated_at
         self.rank_buckets = rank_buckets
         self.materialize = materialize

@@ -25,20 +25,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", False).csv(path)
 
 
-def sniff(spark: SparkSession, path: str, min_columns: int = 2) -> tuple[str, str]:
-    """s04: (separator, encoding) from the first line only (one bounded row to the driver).
-
-    The encoding is latin-1 when the bytes are not valid UTF-8; the separator is
-    the first of SEPARATORS that splits the header into >= ``min_columns`` parts."""
-    head = (spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 4096).alias("b"))
-            .limit(1).first())
-    raw = bytes(head["b"]) if head else b""
-    try:
-        line = raw.decode("utf-8").splitlines()[0] if raw else ""
-        enc = "utf-8"
-    except UnicodeDecodeError:
-        line = raw.decode("latin-1").splitlines()[0]
-        enc = "iso-8859-1"
+def sniff(spark: SparkSession, path: str, min_columns: int = 2, sample_lines: int = 200) -> tuple[str, str]:
+    """s04: (separator, encoding) from the first ``sample_lines`` lines (a bounded sample).
+
+    Lines are read as UTF-8; replacement characters mean the bytes are not UTF-8, so
+    the files are read as ISO-8859-1. The separator is the first of SEPARATORS that
+    splits the header into >= ``min_columns`` parts."""
+    lines = [r["value"] for r in spark.read.text(path).limit(sample_lines).collect()]
+    line = lines[0] if lines else ""
+    enc = "iso-8859-1" if any("\ufffd" in x for x in lines) else "utf-8"
     for sep in SEPARATORS:
         if len(line.split(sep)) >= min_columns:
             return sep, enc

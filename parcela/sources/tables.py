@@ -22,12 +22,28 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}.parquet"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """The parquet relation of one table, created once per accessor (file listing and
+        footer reads are not repeated for every binding that uses the table)."""
+        if name not in self._cache:
+            self._cache[name] = self.spark.read.parquet(self.path(name))
+        return self._cache[name]
+
+    _shared: dict = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, root: str) -> "Tables":
+        """One accessor per (session, folder) for read-only inputs such as the test tables,
+        so repeated queries reuse the parquet relations (listing and footers read once)."""
+        key = (id(spark), root.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, root)
+        return cls._shared[key]
 
     def exists(self, name: str) -> bool:
         return os.path.exists(self.path(name))
