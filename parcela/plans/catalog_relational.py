@@ -441,9 +441,15 @@ def a20(spark, d):
 
 
 @register("a21_rounded_avg", O.sql("""
-SELECT c_nationkey, round(avg(c_acctbal), 2) AS avg_balance FROM customer GROUP BY 1"""))
+SELECT c_nationkey, sign(s) * ((2 * abs(s) + n) // (2 * n)) / 1e2 AS avg_balance
+FROM (SELECT c_nationkey, sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS s, count(*) AS n FROM customer GROUP BY 1) x"""))
 def a21(spark, d):
-    return T(spark, d).customer.groupBy("c_nationkey").agg(F.round(F.avg("c_acctbal"), 2).alias("avg_balance"))
+    """ROUND(AVG(x), 2), half away from zero, computed exactly in integer cents so the
+    result does not depend on floating-point summation order."""
+    c = T(spark, d).customer
+    g = c.groupBy("c_nationkey").agg(F.sum(F.round(F.col("c_acctbal") * 100).cast("bigint")).alias("s"),
+                                     F.count(F.lit(1)).alias("n"))
+    return g.select("c_nationkey", (F.signum("s") * F.expr("(2 * abs(s) + n) div (2 * n)") / 100.0).alias("avg_balance"))
 
 
 @register("a22_category_map", O.sql("""
