@@ -67,9 +67,18 @@ def route_keywords(text_col, city_col: str | None = None) -> Column:
 
 def with_context_city(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", city_col: str = "city",
                       out_col: str = "context_city", max_turns: int = MAX_CONTEXT_TURNS) -> DataFrame:
-    """g07: the turn's own city, else the latest city named in the previous ``max_turns`` turns."""
-    w = Window.partitionBy(conv_col).orderBy(turn_col).rowsBetween(-max_turns, 0)
-    return turns.withColumn(out_col, F.last(city_col, ignorenulls=True).over(w))
+    """g07: the turn's own city, else the latest city named in the previous ``max_turns`` turns.
+
+    Each named city is copied forward to the next ``max_turns`` turn numbers (a fixed
+    fan-out) and equi-joined back, so one very long conversation is split across
+    tasks like any other join key instead of forming a single window partition."""
+    named = turns.filter(F.col(city_col).isNotNull()).select(conv_col, turn_col, city_col)
+    ahead = named.select(conv_col, F.col(city_col).alias("_c"),
+                         F.explode(F.sequence(F.lit(0), F.lit(max_turns))).alias("_k"),
+                         F.col(turn_col).alias("_src"))
+    ahead = ahead.withColumn(turn_col, F.col("_src") + F.col("_k"))
+    best = ahead.groupBy(conv_col, turn_col).agg(F.min_by("_c", "_k").alias(out_col))
+    return turns.join(best, [conv_col, turn_col], "left")
 
 
 def cities_from_calls(calls: DataFrame, keys: Sequence[str] = ("conv_id", "turn")) -> DataFrame:
@@ -151,10 +160,12 @@ SESSION_BASE_TS = "2024-01-01 00:00:00"
 def session_rows(plans: DataFrame, conversations: DataFrame, results: DataFrame) -> DataFrame:
     """g05: the 15-column session log row of every user turn."""
     keys = ["conv_id", "turn"]
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    conv = conversations.select("conv_id", "turn", "role", "text",
-                                F.lead("text").over(w).alias("next_text"), F.lead("role").over(w).alias("next_role"))
-    users = conv.filter(F.col("role") == "user")
+    # the reply is the next turn of the same conversation: an equi-join on (conv, turn + 1)
+    # rather than a window over a whole conversation
+    nxt = conversations.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next_text"),
+                               F.col("role").alias("next_role"))
+    users = conversations.filter(F.col("role") == "user").select("conv_id", "turn", "role", "text") \
+                         .join(nxt, keys, "left")
     calls = tools.plan_calls(plans)
     cm = cities_from_calls(calls)
     summ = session_summary(evidence(results))
