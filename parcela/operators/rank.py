@@ -4,6 +4,7 @@
 
 1. collapse rows to distinct (partition keys, value) with counts (map-side combine,
    so a hot value costs one row per task);
+   the counts are checkpointed once because three steps read them;
 2. cut the non-NULL distinct values into ``buckets`` ranges by approximate
    quantiles; the bounds (at most ``buckets`` numbers) are fixed once so every
    later evaluation and retry assigns the same bucket;
@@ -39,7 +40,10 @@ def rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = ()
     spark = df.sparkSession
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = df.groupBy(*pcols, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    # distinct (partition, value) counts are read three times (bounds, in-bucket running
+    # sums, bucket totals): write them once to the checkpoint folder instead of re-scanning
+    # and re-shuffling the input for each use
+    counts = df.groupBy(*pcols, value_col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
     bounds = _bucket_bounds(counts.filter(F.col(value_col).isNotNull()), value_col, buckets)
     v = F.col(value_col)
     if bounds:
