@@ -94,21 +94,25 @@ def radius_count(left: DataFrame, right: DataFrame, radius_km: float, left_id: s
                  left_lat="lat", left_lon="lon") -> DataFrame:
     """j12: per left row, the number of right points within ``radius_km`` (0 when none)
     and optionally the mean of ``value_col`` over them. Right points with equal
-    coordinates are collapsed to one weighted point first."""
+    coordinates are collapsed to one weighted point first, and left rows sharing a
+    location are searched once, so copies of a location never multiply the pairs."""
     agg = [F.count(F.lit(1)).alias("_w")]
     if value_col:
         agg.append(F.sum(value_col).alias("_s"))
         agg.append(F.count(value_col).alias("_sn"))
     pts = right.groupBy("lat", "lon").agg(*agg)
     cols = ["_w"] + (["_s", "_sn"] if value_col else [])
-    pairs = radius_join(left.select(left_id, left_lat, left_lon), pts, radius_km, left_id, cols,
-                        left_lat=left_lat, left_lon=left_lon)
+    locs = left.select(F.col(left_lat).alias("_qlat"), F.col(left_lon).alias("_qlon")).dropna().distinct()
+    pairs = radius_join(locs.withColumn("_qid", F.struct("_qlat", "_qlon")), pts, radius_km, "_qid", cols,
+                        left_lat="_qlat", left_lon="_qlon")
     outs = [F.sum("_w").alias(out_col)]
     if value_col:
         outs.append((F.sum("_s") / F.sum("_sn")).alias(avg_col or f"avg_{value_col}"))
-    per = pairs.groupBy(left_id).agg(*outs)
-    res = left.join(per, left_id, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit(0)).cast("bigint"))
-    return res
+    per = pairs.groupBy("_qid").agg(*outs).select(F.col("_qid._qlat").alias("_jlat"), F.col("_qid._qlon").alias("_jlon"),
+                                                   *[o for o in [out_col] + ([avg_col or f"avg_{value_col}"] if value_col else [])])
+    res = left.join(per, (F.col(left_lat) == F.col("_jlat")) & (F.col(left_lon) == F.col("_jlon")), "left") \
+              .drop("_jlat", "_jlon")
+    return res.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(0)).cast("bigint"))
 
 
 def _clear_distance(lat, lon, cell_deg: float, ring: int, n_rows: int, n_cols: int):
@@ -141,9 +145,13 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     lineage and keeps each level's plan small. Left points get NULLs when the
     right side is empty.
     """
-    pts = right.select(F.col(right_id).alias("_pid"), F.col("lat").alias("_plat"),
-                       F.col("lon").alias("_plon"), *payload)
-    open_ = left.select(F.col(left_id).alias("_lid"), F.col("lat").alias("_llat"), F.col("lon").alias("_llon"))
+    # points sharing exact coordinates collapse to the one the tie-break would pick
+    # (smallest id), so a location repeated a billion times is one candidate
+    pts = (right.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
+                .agg(F.min(F.struct(F.col(right_id).alias("_pid"), *[F.col(c) for c in payload])).alias("_p"))
+                .select("_plat", "_plon", "_p._pid", *[F.col(f"_p.{c}").alias(c) for c in payload]))
+    # query points are searched once per distinct location and joined back at the end
+    open_ = left.select(F.col("lat").alias("_llat"), F.col("lon").alias("_llon")).dropna().distinct()
     settled = []
     for size in _level_sizes(cell_deg, growth):
         n_rows = int(math.ceil(180.0 / size))
@@ -159,7 +167,7 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
         j = q.join(p, ["_row", "_col"])
         d = haversine("_llat", "_llon", "_plat", "_plon")
         best = (j.withColumn("_d", d)
-                 .groupBy("_lid", "_llat", "_llon")
+                 .groupBy("_llat", "_llon")
                  .agg(F.min(F.struct(F.col("_d"), F.col("_plat"), F.col("_plon"), F.col("_pid"),
                                      *[F.col(c) for c in payload])).alias("_b")))
         if last:
@@ -168,13 +176,14 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
         clear = _clear_distance(F.col("_llat"), F.col("_llon"), size, 1, n_rows, n_cols)
         ok = best.filter(F.col("_b._d") <= clear)
         settled.append(ok)
-        open_ = open_.join(ok.select("_lid"), "_lid", "left_anti").checkpoint()
+        open_ = open_.join(ok.select("_llat", "_llon"), ["_llat", "_llon"], "left_anti").checkpoint()
         if open_.isEmpty():
             break
     allb = settled[0]
     for s in settled[1:]:
         allb = allb.unionByName(s)
-    res = left.join(allb.select(F.col("_lid").alias(left_id), "_b"), left_id, "left")
+    res = left.join(allb.select(F.col("_llat").alias("_jlat"), F.col("_llon").alias("_jlon"), "_b"),
+                    (F.col("lat") == F.col("_jlat")) & (F.col("lon") == F.col("_jlon")), "left")
     return res.select(*left.columns, F.col("_b._pid").alias(right_id),
                       F.col("_b._d").alias("dist_km"), *[F.col(f"_b.{c}").alias(c) for c in payload])
 
