@@ -32,19 +32,18 @@ def _bucket_bounds(values: DataFrame, value_col: str, buckets: int) -> list:
     return sorted(set(float(b) for b in bounds)) if bounds else []
 
 
-def rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
-               buckets: int | None = None) -> DataFrame:
-    """Distinct (partition, value) with ``_n`` (rows with that value), ``_below``
-    (rows strictly before it, NULLs last) and ``_total`` (rows in the partition)."""
-    pcols = list(partition_cols)
-    spark = df.sparkSession
-    if buckets is None:
-        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    # distinct (partition, value) counts are read three times (bounds, in-bucket running
+def _counts(df: DataFrame, value_col: str, pcols: Sequence[str]) -> DataFrame:
+    # distinct (partition, value) counts are read several times (bounds, in-bucket running
     # sums, bucket totals): write them once to the checkpoint folder instead of re-scanning
     # and re-shuffling the input for each use
-    counts = df.groupBy(*pcols, value_col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
-    bounds = _bucket_bounds(counts.filter(F.col(value_col).isNotNull()), value_col, buckets)
+    return df.groupBy(*pcols, value_col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+
+
+def _default_buckets(df: DataFrame) -> int:
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _rank_from_counts(counts: DataFrame, value_col: str, pcols: Sequence[str], bounds: list) -> DataFrame:
     v = F.col(value_col)
     if bounds:
         arr = F.array(*[F.lit(b) for b in bounds])
@@ -53,9 +52,8 @@ def rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = ()
         bucket = F.lit(0)
     null_bucket = len(bounds) + 1
     counts = counts.withColumn("_b", F.when(v.isNull(), F.lit(null_bucket)).otherwise(bucket))
-
     totals = counts.groupBy(*pcols, "_b").agg(F.sum("_n").alias("_bn"))
-    wp = Window.partitionBy(*pcols) if pcols else Window.partitionBy(F.lit(0))
+    wp = Window.partitionBy(*pcols) if pcols else Window.partitionBy(F.lit(0))   # partitions x buckets rows
     totals = (totals
               .withColumn("_off", F.coalesce(F.sum("_bn").over(wp.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn("_total", F.sum("_bn").over(wp)))
@@ -65,13 +63,43 @@ def rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = ()
     return j.select(*pcols, value_col, "_n", (F.col("_off") + F.col("_within")).alias("_below"), "_total")
 
 
-def _attach(df: DataFrame, table: DataFrame, value_col: str, pcols: Sequence[str], out: str,
-            expr) -> DataFrame:
-    t = table.select(*[F.col(c).alias(f"_rk{i}") for i, c in enumerate(pcols)],
-                     F.col(value_col).alias("_rv"), expr.alias(out))
+def rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
+               buckets: int | None = None) -> DataFrame:
+    """Distinct (partition, value) with ``_n`` (rows with that value), ``_below``
+    (rows strictly before it, NULLs last) and ``_total`` (rows in the partition)."""
+    pcols = list(partition_cols)
+    counts = _counts(df, value_col, pcols)
+    bounds = _bucket_bounds(counts.filter(F.col(value_col).isNotNull()), value_col, buckets or _default_buckets(df))
+    return _rank_from_counts(counts, value_col, pcols, bounds)
+
+
+def percent_ranks(df: DataFrame, value_col: str, outputs: dict[str, Sequence[str]], scale: float = 100.0,
+                  buckets: int | None = None) -> DataFrame:
+    """Several percent_rank columns of one value under different partitionings (e.g.
+    per country and global) from one distinct-value table and one join back."""
+    finest = sorted({c for cols in outputs.values() for c in cols})
+    counts = _counts(df, value_col, finest)
+    bounds = _bucket_bounds(counts.filter(F.col(value_col).isNotNull()), value_col, buckets or _default_buckets(df))
+    table = counts.select(*finest, value_col)
+    for out, pcols in outputs.items():
+        pcols = list(pcols)
+        c = counts.groupBy(*pcols, value_col).agg(F.sum("_n").alias("_n"))
+        t = _rank_from_counts(c, value_col, pcols, bounds)
+        pr = F.when(F.col("_total") > 1, F.col("_below") / (F.col("_total") - 1)).otherwise(F.lit(0.0)) * F.lit(scale)
+        t = t.select(*[F.col(x).alias(f"_k{i}") for i, x in enumerate(pcols)], F.col(value_col).alias("_kv"), pr.alias(out))
+        cond = [F.col(x).eqNullSafe(F.col(f"_k{i}")) for i, x in enumerate(pcols)] + [F.col(value_col).eqNullSafe(F.col("_kv"))]
+        table = table.join(t, cond, "left").drop(*[f"_k{i}" for i in range(len(pcols))], "_kv")
+    return _attach(df, table, value_col, finest, None, None)
+
+
+def _attach(df: DataFrame, table: DataFrame, value_col: str, pcols: Sequence[str], out, expr) -> DataFrame:
+    """Join per-(partition, value) results back to the rows (null-safe keys)."""
+    outs = [out] if out is not None else [c for c in table.columns if c not in set(pcols) | {value_col}]
+    extra = [expr.alias(out)] if out is not None else [F.col(c) for c in outs]
+    t = table.select(*[F.col(c).alias(f"_rk{i}") for i, c in enumerate(pcols)], F.col(value_col).alias("_rv"), *extra)
     cond = [F.col(c).eqNullSafe(F.col(f"_rk{i}")) for i, c in enumerate(pcols)] + [F.col(value_col).eqNullSafe(F.col("_rv"))]
     j = df.join(t, cond, "left")
-    return j.select(*df.columns, out)
+    return j.select(*df.columns, *outs)
 
 
 def percent_rank(df: DataFrame, value_col: str, out_col: str, partition_cols: Sequence[str] = (),
