@@ -259,7 +259,8 @@ def c35(spark, d):
     row = F.array(F.col("zip_or_municipio"), F.col("year").cast("string"), F.col("population").cast("string"),
                   F.when(F.col("median_income_usd") < 0, F.lit("-666666666")).otherwise(F.col("median_income_usd").cast("string")),
                   F.floor(F.col("pct_homeowner") * 10).cast("bigint").cast("string"), F.lit("1000"))
-    landed = dm.groupBy("country_code").agg(F.collect_list(row).alias("rows")) \
+    landed = dm.groupBy("country_code", F.pmod(F.hash("zip_or_municipio"), F.lit(16)).alias("_page")) \
+               .agg(F.collect_list(row).alias("rows")) \
                .select(F.to_json(F.concat(F.array(header), F.col("rows"))).alias("payload"))
     parsed = payloads.parse_header_matrix(landed, "payload", {"geo_id": "zip code tabulation area", "year": "YEAR",
                                                               "population": "B01003_001E", "income": "B19013_001E",

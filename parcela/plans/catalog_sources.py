@@ -148,7 +148,7 @@ FROM weather""", "weather"), ["temp_max_c", "temp_min_c", "precipitation_mm", "w
 def s08(spark, d):
     w = bindings.weather(Tb(spark, d))
     s = F.sort_array(F.collect_list(F.struct("date", "temp_max_c", "temp_min_c", "precipitation_mm", "wind_speed_max_kmh")))
-    g = w.groupBy("country_code", "city").agg(s.alias("days"))
+    g = w.groupBy("country_code", "city", F.trunc("date", "month").alias("_month")).agg(s.alias("days"))  # one payload per month
     daily = F.struct(F.transform("days", lambda x: F.date_format(x["date"], "yyyy-MM-dd")).alias("time"),
                      F.transform("days", lambda x: x["temp_max_c"].cast("string")).alias("temperature_2m_max"),
                      F.transform("days", lambda x: x["temp_min_c"].cast("string")).alias("temperature_2m_min"),
@@ -171,7 +171,8 @@ def s09(spark, d):
     row = F.array(F.col("zip_or_municipio"), F.col("population").cast("string"),
                   F.when(F.col("median_income_usd") < 0, F.lit("-666666666")).otherwise(F.col("median_income_usd").cast("string")),
                   F.col("pct_homeowner").cast("string"), F.col("year").cast("string"), F.col("zip_or_municipio"))
-    g = dm.groupBy("country_code").agg(F.collect_list(row).alias("rows"))
+    page = F.pmod(F.hash("zip_or_municipio"), F.lit(16))          # bounded pages per country
+    g = dm.groupBy("country_code", page.alias("_page")).agg(F.collect_list(row).alias("rows"))
     landed = g.select("country_code", F.to_json(F.concat(F.array(header), F.col("rows"))).alias("payload"))
     out = payloads.parse_header_matrix(landed, "payload", {"zip_or_municipio": "zip code tabulation area", "year": "YEAR",
                                                            "population": "B01003_001E", "median_income_usd": "B19013_001E",
@@ -186,7 +187,8 @@ def s10(spark, d):
     s = Tb(spark, d).supplier
     rec = F.struct(F.col("s_name").alias("agency_name_city"), F.col("s_acctbal").cast("string").alias("latitude"))
     ori = F.concat(F.lit("ORI"), F.col("s_suppkey").cast("string"))
-    g = s.groupBy("s_nationkey").agg(F.collect_list(F.struct(ori.alias("ori"), rec.alias("r"))).alias("xs"))
+    g = s.groupBy("s_nationkey", (F.col("s_suppkey") / 1000).cast("long").alias("_page")).agg(
+        F.collect_list(F.struct(ori.alias("ori"), rec.alias("r"))).alias("xs"))
     keyed = F.to_json(F.map_from_entries(F.transform("xs", lambda x: F.struct(x["ori"], x["r"]))))
     listed = F.to_json(F.transform("xs", lambda x: F.struct(x["ori"].alias("ori"), x["r"]["agency_name_city"].alias("agency_name_city"),
                                                            x["r"]["latitude"].alias("latitude"))))
@@ -269,7 +271,8 @@ def s14(spark, d):
              .otherwise(F.create_map(F.lit("tourism"), F.lit("museum"))))
     node = F.struct(F.col("amenity_id").alias("id"), F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon"),
                     F.map_concat(tags, F.create_map(F.lit("name"), F.col("name"))).alias("tags"))
-    g = a.groupBy("city").agg(F.collect_list(node).alias("elements"))
+    g = a.groupBy("city", (F.col("amenity_id").cast("bigint") / 1000).cast("long").alias("_page")).agg(
+        F.collect_list(node).alias("elements"))
     landed = g.select(F.to_json(F.struct("elements")).alias("payload"))
     return payloads.parse_osm_elements(landed, "payload").select("amenity_id", "amenity_type", "name")
 
@@ -380,7 +383,7 @@ def s22(spark, d):
                    F.when(F.col("event_id") % 2 == 1, F.col("event_id").cast("string")).alias("id"),
                    F.upper(F.col("event_type")).alias("type"),
                    F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("date"))
-    g = e.groupBy("user_id").agg(F.collect_list(inc).alias("crimes"))
+    g = e.groupBy("user_id", (F.col("event_id") / 1000).cast("long").alias("_page")).agg(F.collect_list(inc).alias("crimes"))
     landed = g.select(F.to_json(F.struct("crimes")).alias("payload"))
     return payloads.parse_incidents(landed, "payload").select("incident_id", "crime_type", "crime_category", "incident_date", "year")
 
