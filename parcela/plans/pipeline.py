@@ -7,12 +7,13 @@ several outputs shares the plan (Spark reuses identical exchanges).
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir as ensure_ckpt
+from ..session import scratch_path
 from ..sources import bindings
 from ..sources.tables import Tables
 from . import gold, silver
@@ -37,15 +38,16 @@ class Pipeline:
         self._stages: dict[str, DataFrame] = {}
 
     def stage(self, name: str) -> DataFrame:
-        """The named table as an input of a later build: written once to the shared
-        checkpoint folder (reliable checkpoint), like the silver/gold tables of the
-        batch build, so later plans start from the written table instead of
-        recomputing (and re-planning) the whole chain."""
+        """The named table as an input of a later build: written once as parquet under the
+        shared checkpoint folder (like the silver/gold tables of the batch build) and read
+        back, so later plans start from the written table -- lineage cut, column pruning and
+        filter pushdown on the re-read -- instead of recomputing the whole chain."""
         if name not in self._stages:
             df = getattr(self, name)
             if self.materialize:
-                ensure_ckpt(self.spark)
-                df = df.checkpoint(eager=True)
+                path = scratch_path(self.spark, f"stage_{name}_{uuid.uuid4().hex}")
+                df.write.parquet(path)
+                df = self.spark.read.parquet(path)
             self._stages[name] = df
         return self._stages[name]
 
