@@ -136,7 +136,7 @@ SELECT concat('NATION_', CAST(l_suppkey % 25 AS VARCHAR)) AS city,
        CASE WHEN l_suppkey % 5 = 1 THEN 'US' ELSE 'CO' END AS country_code,
        CASE l_orderkey % 6 WHEN 0 THEN 'Homicidio' WHEN 1 THEN 'Hurto a personas' WHEN 2 THEN 'Daño en bien ajeno'
             WHEN 3 THEN 'Hurto con violencia' WHEN 4 THEN 'Extorsión' ELSE 'robbery' END AS crime_type,
-       CAST(l_quantity AS INT) AS "count", year(l_shipdate) AS period_year, month(l_shipdate) AS period_month
+       CAST(l_quantity AS INT) AS "count", CAST(year(l_shipdate) AS INT) AS period_year, CAST(month(l_shipdate) AS INT) AS period_month
 FROM lineitem""")
 
 cte("plans", """
@@ -432,7 +432,7 @@ SELECT c.conv_id, c.turn, c.call_index, c.tool,
        CASE WHEN c.tool = 'get_market_trends' THEN CAST(m.p AS DOUBLE) ELSE coalesce(k.price_ratio, k.us_school) END AS result_value,
        CASE WHEN c.tool = 'get_market_trends' AND m.d IS NULL THEN 'no data'
             WHEN c.tool = 'compare_cities' AND k.comparison_date IS NULL THEN 'medians' END AS message
-FROM (SELECT conv_id, turn, i AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
+FROM (SELECT conv_id, turn, CAST(i AS INT) AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
              json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
              json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
              json_extract_string(plan_json, '$.tool_calls[' || i || '].params.us_city') AS us_city,
@@ -450,7 +450,7 @@ LEFT JOIN (SELECT r.us_city, r.co_city, s.comparison_date, s.price_ratio, u.s AS
   ON c.tool = 'compare_cities' AND c.us_city = k.us_city AND c.co_city = k.co_city""", ["plans", "market_summary", "city_comparison", "comparison_index"])
 
 cte("plan_calls", """
-SELECT conv_id, turn, i AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
+SELECT conv_id, turn, CAST(i AS INT) AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
        json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
        json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
        json_extract_string(plan_json, '$.tool_calls[' || i || '].params.us_city') AS us_city,

@@ -158,7 +158,7 @@ def f11(spark, d):
 SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) + 1 AS next_day,
        CAST(CAST(l_shipdate AS DATE) - INTERVAL 5 YEAR AS DATE) AS five_years_back,
        make_date(year(l_shipdate), 12, 31) AS year_end, CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start,
-       year(l_shipdate) AS yr
+       CAST(year(l_shipdate) AS INT) AS yr
 FROM lineitem""")
 def f12(spark, d):
     l = T(spark, d).lineitem
@@ -173,8 +173,8 @@ _MES = ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto"
 
 
 @register("f13_month_name", """
-SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN month(l_shipdate) END AS month_from_name,
-       CASE WHEN l_linenumber % 2 = 1 THEN month(l_shipdate) END AS month_from_number
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN CAST(month(l_shipdate) AS INT) END AS month_from_name,
+       CASE WHEN l_linenumber % 2 = 1 THEN CAST(month(l_shipdate) AS INT) END AS month_from_number
 FROM lineitem""")
 def f13(spark, d):
     l = T(spark, d).lineitem
@@ -409,9 +409,9 @@ def f33(spark, d):
 
 
 @register("f34_json_text", """
-SELECT doc_id, length(text) AS n_chars,
+SELECT doc_id, CAST(length(text) AS INT) AS n_chars,
        md5(CASE WHEN length(text) > 28000 THEN concat(substr(text, 1, 28000), '...[truncated]') ELSE text END) AS evidence_md5,
-       length(CASE WHEN length(text) > 28000 THEN concat(substr(text, 1, 28000), '...[truncated]') ELSE text END) AS evidence_chars
+       CAST(length(CASE WHEN length(text) > 28000 THEN concat(substr(text, 1, 28000), '...[truncated]') ELSE text END) AS INT) AS evidence_chars
 FROM documents""")
 def f34(spark, d):
     docs = T(spark, d).documents

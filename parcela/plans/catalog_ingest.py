@@ -25,7 +25,7 @@ _CITY_SETS = {"bogota": (["dept0"], ["nation0", "nation5", "nation10"]), "medell
 WITH s AS (SELECT CAST(l_partkey AS VARCHAR) AS school_id, CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice / 1e3 END AS score,
                   year(l_shipdate) AS year FROM lineitem),
 s2 AS (SELECT * FROM s WHERE score IS NOT NULL),
-md AS (SELECT arg_min(year, (-n, year)) AS icfes_year FROM (SELECT year, count(*) AS n FROM s2 GROUP BY 1) y),
+md AS (SELECT CAST(arg_min(year, (-n, year)) AS INT) AS icfes_year FROM (SELECT year, count(*) AS n FROM s2 GROUP BY 1) y),
 inst AS (SELECT school_id, avg(score) AS icfes_score, count(*) AS student_count FROM s2 GROUP BY 1),
 pr AS (SELECT *, CASE WHEN count(*) OVER () > 1
                       THEN ((rank() OVER (ORDER BY icfes_score) + (count(*) OVER (PARTITION BY icfes_score) - 1) / 2e0) - 1)

@@ -367,7 +367,7 @@ def w11(spark, d):
 
 
 @register("w12_latest_n_reversed", O.sql("""
-SELECT country_code, city, zip_or_municipio, date, median_price_usd, 13 - rn AS pos FROM
+SELECT country_code, city, zip_or_municipio, date, median_price_usd, CAST(13 - rn AS INT) AS pos FROM
  (SELECT *, row_number() OVER (PARTITION BY country_code, city, zip_or_municipio ORDER BY date DESC) AS rn FROM market_raw) x
 WHERE rn <= 12""", "market_raw"))
 def w12(spark, d):

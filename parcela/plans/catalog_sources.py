@@ -280,7 +280,7 @@ def s14(spark, d):
 @register("s15_html_card_extract", r"""
 SELECT page_id, nullif(regexp_extract(html, '<title>(.*?)</title>', 1), '') AS title,
        nullif(regexp_extract(html, '<h[1-3][^>]*>(.*?)</h[1-3]>', 1), '') AS heading,
-       len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS n_links,
+       CAST(len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS INT) AS n_links,
        regexp_extract_all(html, 'href="([^"]*)"', 1)[1] AS first_href
 FROM pages""")
 def s15(spark, d):
@@ -376,7 +376,7 @@ def s21(spark, d):
 @register("s22_incident_json", """
 SELECT CAST(event_id AS VARCHAR) AS incident_id, event_type AS crime_type,
        CASE WHEN event_type IN ('purchase') THEN 'other' ELSE 'other' END AS crime_category,
-       CAST(ts AS DATE) AS incident_date, year(ts) AS year FROM events""")
+       CAST(ts AS DATE) AS incident_date, CAST(year(ts) AS INT) AS year FROM events""")
 def s22(spark, d):
     e = Tb(spark, d).events
     inc = F.struct(F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).alias("cdid"),

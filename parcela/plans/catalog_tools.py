@@ -93,7 +93,7 @@ def t06(spark, d):
 
 @register("t07_market_trends", O.sql("""
 SELECT arg_max(date, (date, zip_or_municipio)) AS latest_date, arg_max(median_price_usd, (date, zip_or_municipio)) AS latest_median_price_usd,
-       arg_max(market_temp, (date, zip_or_municipio)) AS latest_market_temp, count(*) AS n_points,
+       arg_max(market_temp, (date, zip_or_municipio)) AS latest_market_temp, CAST(count(*) AS INT) AS n_points,
        string_agg(concat_ws(':', CAST(date AS VARCHAR), zip_or_municipio, CAST(median_price_usd AS VARCHAR)), ',' ORDER BY date, zip_or_municipio) AS series
 FROM (SELECT * FROM market_summary WHERE country_code = 'US' AND lower(city) = 'nation_1'
       ORDER BY date DESC, zip_or_municipio DESC LIMIT 12) x""", "market_summary"))

@@ -13,6 +13,11 @@ QUERIES = E.queries()
 ORACLE = E.oracle_sql()
 
 
+# Spark simple type name -> DuckDB type name
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+            "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 4)
@@ -43,6 +48,9 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(ORACLE[name])
     dcols = rel.columns
     assert sorted(cols) == sorted(dcols)
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    for f in df.schema.fields:
+        assert TYPE_MAP.get(f.dataType.simpleString(), f.dataType.simpleString()) == dtypes[f.name], f.name
     idx = [dcols.index(c) for c in cols]
     want = [tuple(r[i] for i in idx) for r in rel.fetchall()]
     assert _rows(got) == _rows(want)
