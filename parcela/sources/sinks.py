@@ -16,14 +16,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def _versions(spark: SparkSession, root: str, committed_only: bool = True) -> list[int]:
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        if not name.startswith("v="):
+            continue
+        done = fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+        if done or not committed_only:
             out.append(int(name[2:]))
     return sorted(out)
 
@@ -32,7 +35,8 @@ def write_snapshot(df: DataFrame, root: str, partition_by=()) -> str:
     """k02: write ``df`` as the next version of the table at ``root``; return its path.
     The committed ``_SUCCESS`` marker makes the version visible to ``read_current``."""
     spark = df.sparkSession
-    vs = _versions(spark, root)
+    # a failed earlier attempt may have left an uncommitted folder: never reuse its number
+    vs = _versions(spark, root, committed_only=False)
     path = f"{root.rstrip('/')}/v={(vs[-1] + 1) if vs else 0}"
     w = df.write.mode("errorifexists")
     if partition_by:
