@@ -133,6 +133,39 @@ def _clear_distance(lat, lon, cell_deg: float, ring: int, n_rows: int, n_cols: i
     return F.least(north, south, ew)
 
 
+def _cell_lower_bound(lat, lon, row, col, size: float):
+    """Lower bound (km) of the distance from (lat, lon) to any point of grid cell (row, col)."""
+    lat0 = row * size - 90.0
+    lat1 = lat0 + size
+    gap_lat = F.greatest(F.lit(0.0), lat0 - lat, lat - lat1)
+    lon0 = col * size - 180.0
+    inside = F.pmod(lon - lon0, F.lit(360.0)) <= size
+    gap_lon = F.when(inside, F.lit(0.0)).otherwise(
+        F.least(F.pmod(lon0 - lon, F.lit(360.0)), F.pmod(lon - (lon0 + size), F.lit(360.0))))
+    # points at least gap_lon away in longitude are at least asin(cos(lat) * sin(gap)) away
+    # (for gaps of 90 degrees or more, at least the distance to the nearer pole)
+    lon_lb = F.lit(EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.abs(F.cos(F.radians(lat)))
+                                                      * F.sin(F.radians(F.least(gap_lon, F.lit(90.0))))))
+    return F.greatest(F.lit(KM_PER_DEG_LAT) * gap_lat, lon_lb)
+
+
+def _prune_cells(q: DataFrame, cells: DataFrame, size: float) -> DataFrame:
+    """Keep only the candidate cells of each query that can hold its nearest point.
+
+    Every non-empty cell contributes one representative point; the nearest
+    representative gives an achievable distance U per query, and a cell whose lower
+    bound exceeds U cannot contain the nearest point. Only the surviving (query,
+    cell) pairs are joined with the cell's points, so a dense cluster next to a
+    closer cell is never paired with the query."""
+    reps = cells.groupBy("_row", "_col").agg(F.min(F.struct("_plat", "_plon")).alias("_rep"))
+    qc = q.join(reps, ["_row", "_col"])
+    qc = qc.withColumn("_ub", haversine("_llat", "_llon", F.col("_rep._plat"), F.col("_rep._plon"))) \
+           .withColumn("_lb", _cell_lower_bound(F.col("_llat"), F.col("_llon"), F.col("_row"), F.col("_col"), size))
+    u = qc.groupBy("_llat", "_llon").agg(F.min("_ub").alias("_u"))
+    kept = qc.join(u, ["_llat", "_llon"]).filter(F.col("_lb") <= F.col("_u") * (1 + 1e-9) + 1e-6)
+    return kept.select("_llat", "_llon", "_row", "_col")
+
+
 def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                   payload: Sequence[str] = (), cell_deg: float = 1.0, growth: int = 4) -> DataFrame:
     """j11: for each left point, the nearest right point by great-circle distance.
@@ -140,7 +173,9 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
     Ties break on the smallest (distance, lat, lon, id). Levels use cells of
     ``cell_deg * growth**L`` with a 3x3 block; a left point is settled at the
     first level where its best candidate lies within the block's guaranteed
-    clear distance; unsettled points move to the next, coarser level. The set
+    clear distance; unsettled points move to the next, coarser level. Inside a
+    level, candidate cells are pruned by a lower bound against the nearest cell
+    representative before any point is paired with a query. The set
     still open after a level is written to the checkpoint folder, which cuts the
     lineage and keeps each level's plan small. Left points get NULLs when the
     right side is empty.
@@ -164,6 +199,7 @@ def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str
                 .otherwise(F.transform(F.sequence(lcol - 1, lcol + 1), lambda c: F.pmod(c, F.lit(n_cols))))
         q = open_.withColumn("_row", F.explode(rows)).withColumn("_col", F.explode(F.array_distinct(cols)))
         p = _point_cells(pts, size, "_plat", "_plon")
+        q = _prune_cells(q, p, size)
         j = q.join(p, ["_row", "_col"])
         d = haversine("_llat", "_llon", "_plat", "_plon")
         best = (j.withColumn("_d", d)

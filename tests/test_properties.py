@@ -150,3 +150,20 @@ def test_incremental_rerun_adds_nothing(spark, small):
     n1 = spark.read.parquet(f"{root}/t").count()
     incremental.run_incremental(spark, f"{root}/landing", fx.schema, f"{root}/t", f"{root}/c2", keys)
     assert spark.read.parquet(f"{root}/t").count() == n1 == fx.count()
+
+
+def test_nearest_brute_force_on_clustered_points(spark):
+    import random
+    rnd = random.Random(7)
+    pts = [(i, rnd.uniform(-89.9, 89.9), rnd.uniform(-180, 179.999)) for i in range(150)]
+    pts += [(1000 + i, 10 + rnd.uniform(0, 0.01), 20 + rnd.uniform(0, 0.01)) for i in range(200)]   # dense cluster
+    pts += [(2000, 89.95, 10.0), (2001, -89.95, -170.0), (2002, 0.0, 179.99), (2003, 0.0, -179.99), (2004, 10.005, 20.005),
+            (2005, 10.005, 20.005)]                                                                    # poles, seam, copies
+    qs = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 179.999)) for i in range(120)]
+    qs += [(500, 10.004, 20.004), (501, 0.0, -179.999), (502, 89.99, -100.0), (503, 10.5, 20.5)]
+    left = spark.createDataFrame(qs, "geo_id int, lat double, lon double")
+    right = spark.createDataFrame(pts, "point_id int, lat double, lon double")
+    got = {r["geo_id"]: r["point_id"] for r in spatial.nearest_point(left, right, "geo_id", "point_id", cell_deg=0.5).collect()}
+    for gid, la, lo in qs:
+        best = min(pts, key=lambda p: (round(_haversine((la, lo), (p[1], p[2])), 9), p[1], p[2], p[0]))
+        assert got[gid] == best[0], gid
