@@ -103,8 +103,27 @@ def radius_count(left: DataFrame, right: DataFrame, radius_km: float, left_id: s
     pts = right.groupBy("lat", "lon").agg(*agg)
     cols = ["_w"] + (["_s", "_sn"] if value_col else [])
     locs = left.select(F.col(left_lat).alias("_qlat"), F.col(left_lon).alias("_qlon")).dropna().distinct()
-    pairs = radius_join(locs.withColumn("_qid", F.struct("_qlat", "_qlon")), pts, radius_km, "_qid", cols,
-                        left_lat="_qlat", left_lon="_qlon")
+    # cells a quarter of the radius wide: a cell entirely inside the circle contributes its
+    # pre-aggregated totals, a cell entirely outside is dropped, and only boundary cells
+    # are checked point by point -- a dense cluster inside the circle costs one row
+    cell = snap_cell(max(radius_km / KM_PER_DEG_LAT / 4.0, 0.01))
+    rows, ccols, _ = _cells_for_reach("_qlat", "_qlon", cell, radius_km)
+    q = _explode_cells(locs.withColumn("_rows", rows).withColumn("_cols", ccols), F.col("_rows"), F.col("_cols")) \
+        .drop("_rows", "_cols")
+    pc = _point_cells(pts, cell)
+    cell_tot = pc.groupBy("_row", "_col").agg(*[F.sum(c).alias(c) for c in cols])
+    qc = q.join(cell_tot, ["_row", "_col"])
+    clat = (F.col("_row") + 0.5) * cell - 90.0
+    clon = (F.col("_col") + 0.5) * cell - 180.0
+    half = EARTH_RADIUS_KM * 2 * math.asin(min(1.0, math.sqrt(2.0) * math.sin(math.radians(cell) / 4)))
+    ub = haversine("_qlat", "_qlon", clat, clon) + F.lit(half)
+    lb = _cell_lower_bound(F.col("_qlat"), F.col("_qlon"), F.col("_row"), F.col("_col"), cell)
+    qc = qc.withColumn("_ub", ub).withColumn("_lb", lb).filter(F.col("_lb") <= radius_km * (1 + 1e-9) + 1e-9)
+    inside = qc.filter(F.col("_ub") < radius_km * (1 - 1e-9)).select("_qlat", "_qlon", *cols)
+    edge = qc.filter(F.col("_ub") >= radius_km * (1 - 1e-9)).select("_qlat", "_qlon", "_row", "_col")
+    near = edge.join(pc, ["_row", "_col"]).filter(haversine("_qlat", "_qlon", "lat", "lon") <= radius_km) \
+               .select("_qlat", "_qlon", *cols)
+    pairs = inside.unionByName(near).withColumn("_qid", F.struct("_qlat", "_qlon"))
     outs = [F.sum("_w").alias(out_col)]
     if value_col:
         outs.append((F.sum("_s") / F.sum("_sn")).alias(avg_col or f"avg_{value_col}"))

@@ -167,3 +167,26 @@ def test_nearest_brute_force_on_clustered_points(spark):
     for gid, la, lo in qs:
         best = min(pts, key=lambda p: (round(_haversine((la, lo), (p[1], p[2])), 9), p[1], p[2], p[0]))
         assert got[gid] == best[0], gid
+
+
+def test_radius_brute_force_on_clustered_points(spark):
+    import random
+    rnd = random.Random(11)
+    pts = [(rnd.uniform(-89.9, 89.9), rnd.uniform(-180, 179.999), float(i % 5)) for i in range(150)]
+    pts += [(10 + rnd.uniform(0, 0.01), 20 + rnd.uniform(0, 0.01), 1.0) for _ in range(300)]
+    pts += [(89.95, 10.0, 2.0), (0.0, 179.99, 3.0), (0.0, -179.99, 4.0), (10.005, 20.005, 1.0), (10.005, 20.005, 1.0)]
+    qs = [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 179.999)) for i in range(80)]
+    qs += [(500, 10.2, 20.2), (501, 0.0, -179.999), (502, 89.99, -100.0), (503, 12.0, 22.0)]
+    left = spark.createDataFrame(qs, "geo_id int, lat double, lon double")
+    right = spark.createDataFrame(pts, "lat double, lon double, v double")
+    for r_km in (50.0, 400.0, 3000.0):
+        out = spatial.radius_count(left, right, r_km, "geo_id", "n", value_col="v", avg_col="avg_v")
+        got = {row["geo_id"]: (row["n"], row["avg_v"]) for row in out.collect()}
+        for gid, la, lo in qs:
+            inside = [p for p in pts if _haversine((la, lo), (p[0], p[1])) <= r_km]
+            n, avg = got[gid]
+            assert n == len(inside), (r_km, gid)
+            if inside:
+                assert math.isclose(avg, sum(p[2] for p in inside) / len(inside), rel_tol=1e-9)
+            else:
+                assert avg is None
