@@ -190,3 +190,33 @@ def test_radius_brute_force_on_clustered_points(spark):
                 assert math.isclose(avg, sum(p[2] for p in inside) / len(inside), rel_tol=1e-9)
             else:
                 assert avg is None
+
+
+def test_partitioned_write_prunes_partitions(spark, small):
+    import uuid
+    from parcela.session import scratch_path
+    from parcela.sources import sinks
+    w = bindings.weather(Tables(spark, small))
+    path = scratch_path(spark, f"t_part_{uuid.uuid4().hex}")
+    sinks.replace_partitions(w, path, ["country_code"])
+    back = spark.read.parquet(path).filter(F.col("country_code") == "US")
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(country_code" in plan and "(country_code" in plan
+    assert back.count() == w.filter(F.col("country_code") == "US").count()
+    # a second batch replaces only its own partition
+    sinks.replace_partitions(w.filter(F.col("country_code") == "CO").limit(3), path, ["country_code"])
+    again = spark.read.parquet(path)
+    assert again.filter(F.col("country_code") == "US").count() == w.filter(F.col("country_code") == "US").count()
+    assert again.filter(F.col("country_code") == "CO").count() == 3
+
+
+def test_snapshot_versions_never_reuse_a_folder(spark):
+    import uuid
+    from parcela.session import scratch_path
+    from parcela.sources import sinks
+    root = scratch_path(spark, f"t_ver_{uuid.uuid4().hex}")
+    df = spark.range(5)
+    p0 = sinks.write_snapshot(df, root)
+    p1 = sinks.write_snapshot(df.filter("id > 2"), root)
+    assert p0.endswith("v=0") and p1.endswith("v=1")
+    assert sinks.read_current(spark, root).count() == 2
