@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, KM_PER_DEG_LAT, haversine
@@ -180,8 +180,9 @@ def _prune_cells(q: DataFrame, cells: DataFrame, size: float) -> DataFrame:
     qc = q.join(reps, ["_row", "_col"])
     qc = qc.withColumn("_ub", haversine("_llat", "_llon", F.col("_rep._plat"), F.col("_rep._plon"))) \
            .withColumn("_lb", _cell_lower_bound(F.col("_llat"), F.col("_llon"), F.col("_row"), F.col("_col"), size))
-    u = qc.groupBy("_llat", "_llon").agg(F.min("_ub").alias("_u"))
-    kept = qc.join(u, ["_llat", "_llon"]).filter(F.col("_lb") <= F.col("_u") * (1 + 1e-9) + 1e-6)
+    # a query has a few candidate cells (a 3x3 block, one row of cells near a pole): a bounded window
+    u = F.min("_ub").over(Window.partitionBy("_llat", "_llon"))
+    kept = qc.withColumn("_u", u).filter(F.col("_lb") <= F.col("_u") * (1 + 1e-9) + 1e-6)
     return kept.select("_llat", "_llon", "_row", "_col")
 
 
