@@ -62,3 +62,19 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
 def crc_mod(column: str, n: int):
     """crc32 of the id as text, mod n: the folds of the contracts (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores added until none of them is one of ``columns`` (letter case does not tell names apart)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
+def fields(df: DataFrame, columns: list[str]) -> str:
+    """``columns`` of ``df`` as the start of a schema string."""
+    kinds = dict(df.dtypes)
+    return "".join(f"`{c}` {kinds[c]}, " for c in columns)
