@@ -92,7 +92,7 @@ def _by_shards(points: DataFrame, asked: DataFrame, n: int, k: int, relax: float
 
         def shard(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
             if points.empty or queries.empty:
-                return pd.DataFrame({"pid": [], "found": [], "d": [], "ids": []})
+                return pd.DataFrame({"pid": [], "found": [], "d": [], "ids": np.zeros(0, object)})
             points = points.sort_values("pid", ignore_index=True)
             tree = Tree(np.stack(points["v"].to_list()).astype(np.float64), points["pid"].to_numpy())
             d, i = tree.nearest(np.stack(queries["v"].to_list()).astype(np.float64), k + 1, relax, queries["cap"].to_numpy())

@@ -55,7 +55,7 @@ def pretokens(text: str) -> list[str]:
     if not text:
         return []
     text = text.replace(SPACE, " ")
-    if "  " not in text:
+    if "  " not in text and text[0] != " ":                   # the model's leading space would join a first one
         return text.split(" ")
     return [w[1:] for w in _RUNS(" " + text)]
 
@@ -74,12 +74,12 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT,
     docs = docs.select("doc_id", "text")
     words = frequent_items(docs, lambda texts: (w for t in texts for w in pretokens(t)), table_size)
     lengths = np.asarray(piece_counts(worker_model(path), words), np.uint16) if words else np.zeros(0, np.uint16)
-    # A pre-token holds no line feed of its own only by luck, so the table is joined by a byte that UTF-8 never has.
+    # joined by a byte that UTF-8 never has
     table = spark.sparkContext.broadcast((b"\xff".join(w.encode("utf-8") for w in words), lengths))
 
     def count(batches: Iterable[pa.RecordBatch]):
         blob, known = table.value
-        tier1 = {w.decode("utf-8"): n for w, n in zip(blob.split(b"\xff"), known.tolist(), strict=False)}
+        tier1 = {w.decode("utf-8"): n for w, n in zip(blob.split(b"\xff") if len(known) else (), known.tolist(), strict=True)}
         tier2: dict[str, int] = {}
         sp = worker_model(path)
         for b in batches:
