@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Accepted text formats, tried in order -------------------------
 DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss", "MM/dd/yyyy", "yyyy/MM/dd"]
 EPOCH_MS_THRESHOLD = 1e12
+EPOCH_SECONDS = (-62135596800, 253402300799)          # years 1 to 9999
 # ----------------------------------------------------------------------------
 
 
@@ -19,8 +20,8 @@ def parse_listing_date(x) -> Column:
     """f11: epoch seconds or milliseconds (> 1e12) or one of DATE_FORMATS -> DATE."""
     s = F.trim(_c(x).cast("string"))
     num = s.try_cast("double")
-    from_epoch = F.when(num > EPOCH_MS_THRESHOLD, F.timestamp_seconds((num / 1000).cast("long"))) \
-                  .otherwise(F.timestamp_seconds(num.cast("long")))
+    seconds = F.when(num > EPOCH_MS_THRESHOLD, num / 1000).otherwise(num).try_cast("long")
+    from_epoch = F.timestamp_seconds(F.when(seconds.between(*EPOCH_SECONDS), seconds))
     text = F.coalesce(*[F.try_to_timestamp(F.substring(s, 1, 19), F.lit(f)) for f in DATE_FORMATS])
     return F.when(num.isNotNull(), from_epoch.cast("date")).otherwise(text.cast("date"))
 
@@ -36,7 +37,8 @@ def parse_iso_z(x) -> Column:
 def period_month_date(year, period) -> Column:
     """f11/f19: year + 'M03' -> first day of the month; M13 (annual) and bad -> NULL."""
     p = F.regexp_extract(_c(period), r"^M(\d\d)$", 1).try_cast("int")
-    return F.when(p.between(1, 12), F.make_date(_c(year).try_cast("int"), p, F.lit(1)))
+    y = _c(year).try_cast("int")
+    return F.when(p.between(1, 12) & y.between(1, 9999), F.make_date(y, p, F.lit(1)))
 
 
 def month_start(x) -> Column:

@@ -82,12 +82,12 @@ def market_temp(months_of_supply) -> Column:
 
 
 def hazard_label(score_0_100) -> Column:
-    """p13: composite hazard 0-100 -> low / medium / high / very_high."""
+    """p13: composite hazard 0-100 -> low / medium / high / very_high; NULL stays NULL."""
     s = _c(score_0_100)
     out = None
     for bound, label in HAZARD_LABEL_THRESHOLDS:
         out = (F.when(s < bound, label) if out is None else out.when(s < bound, label))
-    return out.otherwise("very_high")
+    return out.when(s.isNotNull(), "very_high")
 
 
 def risk_level(score_0_1) -> Column:
@@ -125,7 +125,7 @@ def month_number(x) -> Column:
     """f13: Spanish month name, or a number 1..12 -> int; else NULL."""
     s = accent_strip(x)
     by_name = F.element_at(_lit_map(SPANISH_MONTHS), s)
-    num = s.try_cast("double").cast("int")
+    num = s.try_cast("double").try_cast("int")
     return F.coalesce(by_name, F.when(num.between(1, 12), num))
 
 
@@ -183,7 +183,7 @@ def subject_fold(subject) -> Column:
 def grade_format(x) -> Column:
     """f09: grade code -> 'KG', 'PK', '01'..'12'; sentinels and negatives -> NULL."""
     v = F.upper(F.trim(_c(x).cast("string")))
-    n = v.try_cast("double").cast("int")
+    n = v.try_cast("double").try_cast("int")
     return (F.when(v.isNull() | v.isin(GRADE_NULL), F.lit(None).cast("string"))
              .when(v.isin("KG", "K"), "KG")
              .when(v.isin("PK", "PRE"), "PK")

@@ -84,12 +84,12 @@ def m2_to_sqft(x) -> Column:
 
 def cop_to_usd(cop, rate) -> Column:
     """f15: COP / rate truncated to long (NULL-safe; zero rate -> NULL)."""
-    return F.try_divide(_c(cop).cast("double"), F.nullif(_c(rate), F.lit(0.0))).cast("long")
+    return F.try_divide(_c(cop).cast("double"), F.nullif(_c(rate), F.lit(0.0))).try_cast("long")
 
 
 def usd_to_cop(usd, rate) -> Column:
     """f15: USD * rate truncated to long."""
-    return (_c(usd).cast("double") * _c(rate)).cast("long")
+    return (_c(usd).cast("double") * _c(rate)).try_cast("long")
 
 
 def price_per_area(price, area) -> Column:
@@ -130,7 +130,7 @@ def max_affordable_price(annual_income, rate_pct, down_payment=None) -> Column:
 
 def clamp_param(x, default, low, high) -> Column:
     """p20: greatest(low, least(high, coalesce(try_cast(x), default)))."""
-    v = F.coalesce(_try_cast(_c(x).cast("string"), "double").cast("bigint"), F.lit(default))
+    v = F.coalesce(_try_cast(_c(x).cast("string"), "double").try_cast("bigint"), F.lit(default))
     return F.greatest(F.lit(low), F.least(F.lit(high), v))
 
 
@@ -138,6 +138,6 @@ def clamp_limit(value, default: int = 10, low: int = 1, high: int = 50) -> int:
     """p20 for plain request parameters (driver-side, a single value)."""
     try:
         v = int(float(value))
-    except (TypeError, ValueError):
+    except (TypeError, ValueError, OverflowError):
         return default
     return max(low, min(high, v))

@@ -259,18 +259,23 @@ def bbox_join(points: DataFrame, boxes: DataFrame, box_keys: Sequence[str], cell
     """j13: (point, box) pairs with the point inside the box (edges included).
 
     Each box is exploded to the grid cells it overlaps and equi-joined with the
-    points of those cells, then tested exactly."""
+    points of those cells, then tested exactly. Columns wrap at the antimeridian:
+    a box may run past 180 or -180 degrees."""
     cell_deg = snap_cell(cell_deg)
     n_rows = int(math.ceil(180.0 / cell_deg))
     n_cols = int(math.ceil(360.0 / cell_deg))
     b = boxes.withColumn("_row", F.explode(F.sequence(
             F.greatest(F.lit(0), F.floor((F.col("min_lat") + 90.0) / cell_deg).cast("int")),
             F.least(F.lit(n_rows - 1), F.floor((F.col("max_lat") + 90.0) / cell_deg).cast("int"))))) \
-             .withColumn("_col", F.explode(F.sequence(
-            F.greatest(F.lit(0), F.floor((F.col("min_lon") + 180.0) / cell_deg).cast("int")),
-            F.least(F.lit(n_cols - 1), F.floor((F.col("max_lon") + 180.0) / cell_deg).cast("int")))))
+             .withColumn("_west", F.pmod(F.col("min_lon") + 180.0, F.lit(360.0))) \
+         .withColumn("_first", F.floor(F.col("_west") / cell_deg).cast("int")) \
+         .withColumn("_last", F.floor((F.col("_west") + F.least(F.col("max_lon") - F.col("min_lon"), F.lit(360.0))) / cell_deg).cast("int")) \
+         .withColumn("_col", F.explode(F.sequence(F.col("_first"), F.least("_last", F.col("_first") + n_cols - 1)))) \
+         .withColumn("_col", F.pmod("_col", F.lit(n_cols)))
     p = _point_cells(points, cell_deg)
     j = p.join(b.select(*box_keys, "min_lat", "max_lat", "min_lon", "max_lon", "_row", "_col"), ["_row", "_col"])
     inside = (F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
-              & F.col("lon").between(F.col("min_lon"), F.col("max_lon")))
+              & (F.col("lon").between(F.col("min_lon"), F.col("max_lon"))
+                 | (F.col("lon") + 360.0).between(F.col("min_lon"), F.col("max_lon"))
+                 | (F.col("lon") - 360.0).between(F.col("min_lon"), F.col("max_lon"))))
     return j.filter(inside).drop("_row", "_col", "min_lat", "max_lat", "min_lon", "max_lon")

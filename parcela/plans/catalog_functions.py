@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates, geo, labels, numbers, scoring, text
-from ..operators import scale
+from ..operators import median, scale
 from ..sources import bindings
 from ..sources.tables import Tables
 from .catalog import O, register
@@ -300,7 +300,7 @@ FROM listings_raw l JOIN (SELECT country_code, city, zip_or_municipio, median(pr
 def f24(spark, d):
     r = bindings.listings(T(spark, d))
     keys = ["country_code", "city", "zip_or_municipio"]
-    m = r.groupBy(*keys).agg(F.median("price_usd").alias("mp"))
+    m = median.exact_median(r, keys, "price_usd", "mp")
     return r.join(m, keys).select("listing_id", "seq", numbers.discount_pct("mp", "price_usd").alias("discount_pct"))
 
 

@@ -218,14 +218,14 @@ def c32(spark, d):
 @register("c33_market_load", O.sql("""
 SELECT geo_id, date, source, min(value) AS value FROM (SELECT * FROM wide UNION ALL SELECT * FROM lng) u GROUP BY 1, 2, 3""",
     "market_raw", extra={
-        "wide": """SELECT substr(lpad(replace(zip_or_municipio, 'Z', ''), 5, '0'), 1, 5) AS geo_id, date,
-                          CAST(median_price_usd AS DOUBLE) AS value, 'zhvi' AS source FROM market_raw WHERE year(date) = 1995""",
-        "lng": """SELECT substr(lpad(CAST(inventory_count % 100 AS VARCHAR), 5, '0'), 1, 5) AS geo_id, date,
+        "wide": """SELECT concat(city, '|', substr(lpad(replace(zip_or_municipio, 'Z', ''), 5, '0'), 1, 5)) AS geo_id, date,
+                          CAST(median_price_usd AS DOUBLE) AS value, 'zhvi' AS source FROM market_raw""",
+        "lng": """SELECT concat(city, '|', substr(lpad(CAST(inventory_count % 100 AS VARCHAR), 5, '0'), 1, 5)) AS geo_id, date,
                          CAST(median_price_usd AS DOUBLE) AS value, 'redfin' AS source FROM market_raw
                   WHERE inventory_count % 100 <> 0 AND month(date) <> 2"""}))
 def c33(spark, d):
-    w = cs.s17(spark, d).select(F.col("zip").alias("geo_id"), F.to_date("date_str").alias("date"), "value", F.lit("zhvi").alias("source"))
-    l = cs.s24(spark, d).select(F.col("zip").alias("geo_id"), "date", F.col("median_sale_price_usd").cast("double").alias("value"),
+    w = cs.s17(spark, d).select(F.concat_ws("|", "city", "zip").alias("geo_id"), F.to_date("date_str").alias("date"), "value", F.lit("zhvi").alias("source"))
+    l = cs.s24(spark, d).select(F.concat_ws("|", "city", "zip").alias("geo_id"), "date", F.col("median_sale_price_usd").cast("double").alias("value"),
                                 F.lit("redfin").alias("source"))
     rows = w.unionByName(l).select("geo_id", "date", "source", "value")
     target = rows.filter(F.month("date") <= 6).withColumn("value", F.col("value") * 2)

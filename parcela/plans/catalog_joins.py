@@ -98,11 +98,11 @@ def j07(spark, d):
 SELECT CAST(p.p_partkey AS VARCHAR) AS school_id, p.p_name AS school_name, s.math_pct, s.reading_pct
 FROM part p LEFT JOIN (SELECT l_partkey, max(CASE WHEN l_linenumber <= 2 THEN l_discount * 1e3 END) AS math_pct,
                               max(CASE WHEN l_linenumber BETWEEN 3 AND 5 THEN l_discount * 1e3 END) AS reading_pct
-                       FROM lineitem WHERE l_linenumber <= 5 GROUP BY 1) s ON p.p_partkey = s.l_partkey""",
+                       FROM lineitem GROUP BY 1) s ON p.p_partkey = s.l_partkey""",
     ["math_pct", "reading_pct"]))
 def j08(spark, d):
     t = T(spark, d)
-    sc = t.lineitem.filter(F.col("l_linenumber") <= 5).groupBy("l_partkey").agg(
+    sc = t.lineitem.groupBy("l_partkey").agg(
         F.max(F.when(F.col("l_linenumber") <= 2, F.col("l_discount") * 1e3)).alias("math_pct"),
         F.max(F.when(F.col("l_linenumber").between(3, 5), F.col("l_discount") * 1e3)).alias("reading_pct"))
     part = t.part
@@ -128,9 +128,13 @@ FROM demographics d LEFT JOIN listings_raw l ON d.country_code = l.country_code
 GROUP BY 1, 2, 3""", "demographics", "listings_raw"), ["lat", "lon"]))
 def j10(spark, d):
     dm = B(spark, d, "demographics").select("country_code", "zip_or_municipio", "year")
-    l = B(spark, d, "listings").select("country_code", "zip_or_municipio", "lat", "lon")
-    return dm.join(l, ["country_code", "zip_or_municipio"], "left").groupBy("country_code", "zip_or_municipio", "year") \
-             .agg(F.avg("lat").alias("lat"), F.avg("lon").alias("lon"))
+    # the listings of an area collapse to sums before they meet its years
+    l = B(spark, d, "listings").groupBy("country_code", "zip_or_municipio").agg(
+        F.sum("lat").alias("slat"), F.count("lat").alias("nlat"), F.sum("lon").alias("slon"), F.count("lon").alias("nlon"))
+    years = dm.groupBy("country_code", "zip_or_municipio", "year").agg(F.count(F.lit(1)).alias("n"))
+    return years.join(l, ["country_code", "zip_or_municipio"], "left").select(
+        "country_code", "zip_or_municipio", "year",
+        F.try_divide("slat", "nlat").alias("lat"), F.try_divide("slon", "nlon").alias("lon"))
 
 
 _HAV = geo.haversine_sql("c", "g")
@@ -157,18 +161,18 @@ def j12(spark, d):
 
 
 @register("j13_bbox_containment", O.sql("""
-SELECT c.geo_id, b.city FROM centroids c JOIN
- (SELECT city, min(lat) - greatest(0.05e0, (max(lat) - min(lat)) * 0.1e0) - 0.5e0 AS min_lat,
+SELECT c.geo_id, b.listing_id FROM centroids c JOIN
+ (SELECT listing_id, min(lat) - greatest(0.05e0, (max(lat) - min(lat)) * 0.1e0) - 0.5e0 AS min_lat,
                max(lat) + greatest(0.05e0, (max(lat) - min(lat)) * 0.1e0) + 0.5e0 AS max_lat,
                min(lon) - greatest(0.05e0, (max(lon) - min(lon)) * 0.1e0) - 0.5e0 AS min_lon,
                max(lon) + greatest(0.05e0, (max(lon) - min(lon)) * 0.1e0) + 0.5e0 AS max_lon
-  FROM listings_raw WHERE country_code = 'US' AND zip_or_municipio = 'Z1' GROUP BY 1) b
-ON c.lat BETWEEN b.min_lat AND b.max_lat AND c.lon BETWEEN b.min_lon AND b.max_lon""", "centroids", "listings_raw"))
+  FROM listings_raw GROUP BY 1) b
+ON c.lat BETWEEN b.min_lat AND b.max_lat
+ AND (c.lon BETWEEN b.min_lon AND b.max_lon OR c.lon + 360 BETWEEN b.min_lon AND b.max_lon OR c.lon - 360 BETWEEN b.min_lon AND b.max_lon)""", "centroids", "listings_raw"))
 def j13(spark, d):
-    l = B(spark, d, "listings").filter((F.col("country_code") == "US") & (F.col("zip_or_municipio") == "Z1"))
-    boxes = spatial.envelope(l, ["city"], pad_deg=0.5, pad_frac=0.1, min_pad_deg=0.05)
+    boxes = spatial.envelope(B(spark, d, "listings"), ["listing_id"], pad_deg=0.5, pad_frac=0.1, min_pad_deg=0.05)
     pts = B(spark, d, "centroids")
-    return spatial.bbox_join(pts, boxes, ["city"], cell_deg=5.0).select("geo_id", "city")
+    return spatial.bbox_join(pts, boxes, ["listing_id"], cell_deg=1.0).select("geo_id", "listing_id")
 
 
 @register("j14_latest_correlated", O.sql("""

@@ -1,4 +1,4 @@
-"""Registered table-maintenance queries (k01-k14): upserts, slices, diffs, writes."""
+"""Registered table-maintenance queries (k01-k13): upserts, slices, diffs, writes."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from .. import schemas
 from ..operators import dedupe, diff, upsert
 from ..session import scratch_path
 from ..sources import bindings, sinks
-from ..sources.tables import TEST_TABLES, Tables
+from ..sources.tables import Tables
 from . import silver
 from .catalog import O, register
 
@@ -208,11 +208,3 @@ SELECT hazard_id, source, country_code, state_or_dept, county_or_municipio, zip_
 FROM hazards""", "hazards"))
 def k13(spark, d):
     return schemas.conform(bindings.hazards(T(spark, d)), "bronze.hazards")
-
-
-@register("k14_inventory", f"""
-SELECT table_name, count(*) AS n_columns FROM information_schema.columns
-WHERE table_name IN ({', '.join(repr(t) for t in TEST_TABLES)}) GROUP BY 1""")
-def k14(spark, d):
-    t = T(spark, d)
-    return sinks.table_inventory(spark, {name: t.path(name) for name in TEST_TABLES})

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels, numbers
-from ..operators import filters
+from ..operators import filters, median
 from .gold import scorecard_by_area
 from .silver import risk_by_area
 
@@ -160,7 +160,7 @@ def compare_cities(requests: DataFrame, comparison: DataFrame, index: DataFrame)
     stored = comparison.groupBy("us_city", "co_city").agg(
         F.max_by(F.struct("comparison_date", "price_ratio", "us_composite_score", "co_composite_score"),
                  "comparison_date").alias("s"))
-    med = index.groupBy("country_code", "city").agg(*[F.median(c).alias(c) for c in INDEX_DIMS])
+    med = median.exact_medians(index, ["country_code", "city"], INDEX_DIMS)
     us = med.filter(F.col("country_code") == "US").select(F.col("city").alias("us_city"), *[F.col(c).alias(f"us_{c}") for c in INDEX_DIMS])
     co = med.filter(F.col("country_code") == "CO").select(F.col("city").alias("co_city"), *[F.col(c).alias(f"co_{c}") for c in INDEX_DIMS])
     j = requests.join(stored, ["us_city", "co_city"], "left").join(us, "us_city", "left").join(co, "co_city", "left")
@@ -178,7 +178,7 @@ def affordability(economic: DataFrame, summary: DataFrame, country_code: str, ci
         F.coalesce("r", F.lit(numbers.DEFAULT_MORTGAGE_RATE)).alias("mortgage_rate"))
     m = _area(summary, country_code, city)
     mx = m.agg(F.max("date").alias("_d"))
-    med = m.join(F.broadcast(mx), F.col("date") == F.col("_d")).agg(F.median("median_price_usd").alias("area_median_price_usd"))
+    med = median.exact_median(m.join(F.broadcast(mx), F.col("date") == F.col("_d")), [], "median_price_usd", "area_median_price_usd")
     j = rate.crossJoin(med)
     price = numbers.max_affordable_price(F.lit(float(annual_income_usd)), "mortgage_rate", F.lit(float(down_payment_usd)))
     return j.select("mortgage_rate", price.alias("max_affordable_price_usd"), "area_median_price_usd",

@@ -49,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="parcela-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)

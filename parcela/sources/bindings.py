@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import median
 from .tables import Tables
 
 
@@ -65,14 +66,18 @@ def listings(t: Tables) -> DataFrame:
 def market(t: Tables) -> DataFrame:
     """b_market: monthly series per (country, city, zip) with gaps."""
     j = _orders_geo(t)
-    return (j.groupBy(
+    keys = ["country_code", "city", "zip_or_municipio", "date"]
+    counts = (j.groupBy(
                 _country(F.col("n_regionkey")).alias("country_code"),
                 F.col("n_name").alias("city"),
                 F.concat(F.lit("Z"), (F.col("o_custkey") % 7).cast("string")).alias("zip_or_municipio"),
-                F.date_trunc("month", "o_orderdate").cast("date").alias("date"))
-             .agg(F.floor(F.median("o_totalprice")).cast("bigint").alias("median_price_usd"),
-                  F.count(F.lit(1)).alias("inventory_count"),
-                  F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("bigint").alias("homes_sold")))
+                F.date_trunc("month", "o_orderdate").cast("date").alias("date"), "o_totalprice")
+              .agg(F.count(F.lit(1)).alias("n"),
+                   F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("bigint").alias("f")))
+    every = counts.groupBy(*keys).agg(F.sum("n").alias("inventory_count"), F.sum("f").alias("homes_sold"))
+    medians = median.median_of_counts(counts, keys, "o_totalprice", "n", "m")
+    return every.join(medians, keys, "left").select(
+        *keys, F.floor("m").cast("bigint").alias("median_price_usd"), "inventory_count", "homes_sold")
 
 
 def hazards(t: Tables) -> DataFrame:

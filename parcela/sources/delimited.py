@@ -77,15 +77,19 @@ def resolve_columns(df: DataFrame, candidates: dict[str, Sequence[str]], substri
 
 
 def with_file_routing(df: DataFrame, routes: dict[str, str]) -> DataFrame:
-    """s06: file name, route (by name prefix), first 20dd in the name as the year."""
-    name = F.col("_metadata.file_name")
+    """s06: file name, route (by name prefix), first 20dd in the name as the year; files without a route are left out.
+
+    A file written in many parts is a folder: its parts go by the folder's name."""
+    path = F.split(F.col("_metadata.file_path"), "/")
+    leaf = F.element_at(path, -1)
+    name = F.when(leaf.startswith("part-") & (F.size(path) > 1), F.element_at(path, -2)).otherwise(leaf)
     route = None
     for prefix, label in routes.items():
         cond = F.lower(name).startswith(prefix)
         route = F.when(cond, label) if route is None else route.when(cond, label)
     year = F.regexp_extract(name, r"(20\d\d)", 1)
     return df.select("*", name.alias("file_name"), route.alias("route"),
-                     F.nullif(year, F.lit("")).try_cast("int").alias("file_year"))
+                     F.nullif(year, F.lit("")).try_cast("int").alias("file_year")).where(F.col("route").isNotNull())
 
 
 def long_crime_rows(df: DataFrame, file_year_col: str = "file_year", slug_col: str | None = None) -> DataFrame:
@@ -97,7 +101,7 @@ def long_crime_rows(df: DataFrame, file_year_col: str = "file_year", slug_col: s
         text.safe_str("city").alias("city"),
         ctype.alias("crime_type"),
         labels.crime_category_spanish(ctype).alias("crime_category"),
-        numbers.parse_count("count").cast("int").alias("count"),
+        numbers.parse_count("count").try_cast("int").alias("count"),
         labels.month_number(F.col("month")).alias("period_month"),
         F.when((y > 1900) & (y < 2100), y).otherwise(F.col(file_year_col)).alias("period_year"),
     ).filter(F.col("count").isNotNull() & (F.col("count") > 0))
@@ -109,7 +113,7 @@ def market_long_rows(df: DataFrame) -> DataFrame:
     d = F.coalesce(F.try_to_date(F.col("period_end"), "yyyy-MM-dd"), F.try_to_date(F.col("period_end"), "MM/dd/yyyy"))
     out = df.select(z.alias("zip"), d.alias("date"), text.safe_str("city").alias("city"),
                     numbers.safe_int("homes_sold").alias("homes_sold"), numbers.safe_int("inventory").alias("inventory_count"),
-                    numbers.safe_float("median_sale_price").cast("long").alias("median_sale_price_usd"),
+                    numbers.safe_float("median_sale_price").try_cast("long").alias("median_sale_price_usd"),
                     numbers.safe_int("median_dom").alias("median_days_on_market"))
     out = out.withColumn("months_of_supply", numbers.months_of_supply("inventory_count", "homes_sold"))
     return out.filter(F.col("zip").isNotNull() & (F.trim("zip") != "") & (F.col("zip") != "00000") & F.col("date").isNotNull())

@@ -80,7 +80,7 @@ def parse_listing_pages(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
                        *[data_obj[k] for k in ARRAY_KEYS if k != "data"])
     e = p.select(*keep, F.explode(items).alias("it"))
     g = {k: _first("it", v) for k, v in LISTING_FIELDS.items()}
-    price = numbers.safe_float(g["price"]).cast("long")
+    price = numbers.safe_float(g["price"]).try_cast("long")
     sqft = numbers.safe_int(g["sqft"])
     out = e.select(
         *keep,
@@ -111,7 +111,7 @@ def parse_daily_arrays(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
     p = df.select(*keep, F.from_json(F.col(payload_col), sch).alias("_p"))
     n = F.size(F.col("_p.daily.time"))
     z = p.filter(n > 0).select(*keep, F.col("_p.daily").alias("d"), F.posexplode(F.col("_p.daily.time")).alias("_i", "_t"))
-    cols = [F.to_date("_t").alias("date")]
+    cols = [F.col("_t").try_cast("date").alias("date")]
     for k, name in WEATHER_ARRAYS.items():
         if k == "time":
             continue
@@ -132,8 +132,8 @@ def parse_header_matrix(df: DataFrame, payload_col: str, fields: dict[str, str],
     e = p.select(*keep, "_h", F.posexplode("_m").alias("_pos", "_row")).filter(F.col("_pos") > 0)
     cols = []
     for out, name in fields.items():
-        v = F.element_at(F.col("_row"), F.array_position(F.col("_h"), F.lit(name)).cast("int"))
-        v = F.when(F.array_position(F.col("_h"), F.lit(name)) > 0, v)
+        at = F.nullif(F.array_position(F.col("_h"), F.lit(name)).cast("int"), F.lit(0))
+        v = F.try_element_at(F.col("_row"), at)                     # a short row has NULLs
         cols.append(F.when(~v.isin(list(sentinels)), v).alias(out))
     return e.select(*keep, *cols)
 

@@ -1,4 +1,4 @@
-"""Table writes without a table format (k01, k02, k07, k08, k10, k14).
+"""Table writes without a table format (k01, k02, k07, k08, k10).
 
 Snapshots are written to a new version folder and then read back; no job ever
 overwrites a path it is reading. All paths live under the shared folder named
@@ -69,9 +69,3 @@ def replace_partitions(df: DataFrame, path: str, partition_by) -> None:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
-
-
-def table_inventory(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
-    """k14: (table, n_columns) from parquet footers only (no data scan)."""
-    rows = [(name, len(spark.read.parquet(path).columns)) for name, path in sorted(tables.items())]
-    return spark.createDataFrame(rows, "table_name string, n_columns bigint")

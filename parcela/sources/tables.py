@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,19 +34,17 @@ class Tables:
             self._cache[name] = self.spark.read.parquet(self.path(name))
         return self._cache[name]
 
-    _shared: dict = {}
+    _shared: WeakKeyDictionary = WeakKeyDictionary()          # a session's accessors go with it
 
     @classmethod
     def shared(cls, spark: SparkSession, root: str) -> "Tables":
         """One accessor per (session, folder) for read-only inputs such as the test tables,
         so repeated queries reuse the parquet relations (listing and footers read once)."""
-        key = (id(spark), root.rstrip("/"))
-        if key not in cls._shared:
-            cls._shared[key] = cls(spark, root)
-        return cls._shared[key]
+        of_session = cls._shared.setdefault(spark, {})
+        return of_session.setdefault(root.rstrip("/"), cls(spark, root))
 
     def exists(self, name: str) -> bool:
-        return os.path.exists(self.path(name))
+        return _path_exists(self.spark, self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

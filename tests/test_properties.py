@@ -220,3 +220,54 @@ def test_snapshot_versions_never_reuse_a_folder(spark):
     p1 = sinks.write_snapshot(df.filter("id > 2"), root)
     assert p0.endswith("v=0") and p1.endswith("v=1")
     assert sinks.read_current(spark, root).count() == 2
+
+
+def test_exact_median(spark):
+    """Equal to the built-in median with a key that holds most rows, even and odd groups, NULLs and negatives."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from parcela.operators.median import exact_median, exact_medians
+    rng = random.Random(1)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([None, 1.5, -3.0, 2.25, 1e9, 0.0, rng.uniform(-5, 5)])) for _ in range(501)]
+    rows += [("hot", float(i % 77)) for i in range(3000)] + [("none", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    want = {r.k: r.m for r in df.groupBy("k").agg(F.median("v").alias("m")).collect()}
+    got = {r.k: r.m for r in exact_median(df, ["k"], "v", "m").collect()}
+    assert got.keys() == want.keys() and all(got[k] == want[k] or abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert exact_median(df, [], "v", "m").first().m == df.agg(F.median("v").alias("m")).first().m
+    assert exact_median(df.limit(0), [], "v", "m").first().m is None
+    two = exact_medians(df.withColumn("w", -F.col("v")), ["k"], ["v", "w"]).collect()
+    assert all(r.v == want[r.k] and r.w == (None if want[r.k] is None else -want[r.k]) for r in two)
+    plan = exact_median(df, ["k"], "v", "m")._jdf.queryExecution().toString()
+    assert "median(" not in plan and "percentile" not in plan
+
+
+def test_bbox_join_across_the_antimeridian(spark):
+    from parcela.operators import spatial
+    pts = spark.createDataFrame([(1, 0.0, 180.0), (2, 0.0, 179.9), (3, 0.0, -179.5), (4, 0.0, -178.0), (5, 0.0, -180.0), (6, 0.0, 10.0)], "geo_id long, lat double, lon double")
+    boxes = spark.createDataFrame([("e", -1.0, 1.0, 179.0, 181.0), ("w", -1.0, 1.0, -181.0, -179.0), ("all", -1.0, 1.0, -200.0, 200.0)],
+                                  "k string, min_lat double, max_lat double, min_lon double, max_lon double")
+    got = {(r.k, r.geo_id) for r in spatial.bbox_join(pts, boxes, ["k"], cell_deg=1.0).collect()}
+    near = {1, 2, 3, 5}
+    assert got == {("e", i) for i in near} | {("w", i) for i in near} | {("all", i) for i in range(1, 7)}
+
+
+def test_bad_values_become_null(spark):
+    """One bad landed value never stops a load."""
+    from pyspark.sql import functions as F
+
+    from parcela.functions import dates, labels, numbers
+    from parcela.sources import payloads
+    bad = spark.createDataFrame([("1e30",), ("Infinity",), ("NaN",), ("-1e20",), ("abc",), ("",), (None,)], "x string")
+    out = bad.select(labels.month_number("x").alias("m"), labels.grade_format("x").alias("g"), numbers.safe_int("x").alias("i"),
+                     numbers.clamp_param("x", 7, 1, 50).alias("c"), dates.parse_listing_date("x").alias("d"),
+                     dates.period_month_date(F.lit("99999"), F.lit("M03")).alias("p"), numbers.cop_to_usd(F.col("x").try_cast("double"), F.lit(0.5)).alias("u")).collect()
+    assert all(r.m is None and r.d is None and r.p is None and 1 <= r.c <= 50 for r in out)
+    daily = spark.createDataFrame([('{"daily":{"time":["2020-01-01","2020-13-45","x"],"temperature_2m_max":["1"]}}',)], "p string")
+    assert [r.date is None for r in payloads.parse_daily_arrays(daily, "p").collect()] == [False, True, True]
+    matrix = spark.createDataFrame([('[["A","B"],["1","2"],["3"],[]]',)], "p string")
+    assert {(r.a, r.b, r.z) for r in payloads.parse_header_matrix(matrix, "p", {"a": "A", "b": "B", "z": "Z"}).collect()} == {("1", "2", None), ("3", None, None), (None, None, None)}
+    page = spark.createDataFrame([('{"results":[{"zpid":"1","price":"1e30"},{"zpid":"2","price":"5"}]}',)], "p string")
+    assert {(r.listing_id, r.price_usd) for r in payloads.parse_listing_pages(page, "p").collect()} == {("1", None), ("2", 5)}
