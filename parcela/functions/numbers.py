@@ -134,10 +134,10 @@ def clamp_param(x, default, low, high) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), v))
 
 
-def clamp_limit(value, default: int = 10, low: int = 1, high: int = 50) -> int:
+def clamp_limit(value, default: int = 10, low: int = 1, high: int | None = 50) -> int:
     """p20 for plain request parameters (driver-side, a single value)."""
     try:
         v = int(float(value))
     except (TypeError, ValueError, OverflowError):
         return default
-    return max(low, min(high, v))
+    return max(low, v if high is None else min(high, v))

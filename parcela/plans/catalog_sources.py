@@ -66,9 +66,11 @@ def _crime_typed(df):
 @register("s04_delimiter_sniff", _CRIME_ORACLE)
 def s04(spark, d):
     c = bindings.crime(Tb(spark, d))
-    path = _scratch(spark, "s04_crime_semicolon_latin1")
-    c.write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(path)
-    return _crime_typed(delimited.read_sniffed(spark, path))
+    path = _scratch(spark, "s04_crime_mixed")                       # files of two separators and two encodings
+    us = F.col("country_code") == "US"
+    c.where(us).write.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1").csv(f"{path}/a")
+    c.where(~us).write.option("header", True).csv(f"{path}/b")
+    return _crime_typed(delimited.read_sniffed(spark, f"{path}/*"))
 
 
 _HEADER_CANDIDATES = {"city": ["municipio", "ciudad", "city"], "country_code": ["pais", "country"],

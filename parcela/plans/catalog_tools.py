@@ -41,7 +41,7 @@ SELECT * FROM one UNION ALL SELECT * FROM agg WHERE (SELECT count(*) FROM one) =
     "one": f"SELECT profile_id, zip_or_municipio, barrio, {', '.join(_PM)}, 'row' AS source FROM base "
            "WHERE zip_or_municipio = 'Z3' ORDER BY profile_id LIMIT 1",
     "agg": f"SELECT CAST(NULL AS VARCHAR) AS profile_id, CAST(NULL AS VARCHAR) AS zip_or_municipio, CAST(NULL AS VARCHAR) AS barrio, "
-           f"{', '.join(f'avg({c}) AS {c}' for c in _PM)}, 'aggregate' AS source FROM base"}), _PM))
+           f"{', '.join(f'avg({c}) AS {c}' for c in _PM)}, 'aggregate' AS source FROM base HAVING count(*) > 0"}), _PM))
 def t02(spark, d):
     return tools.neighborhood_profile(Pipeline(spark, d).stage("scorecard"), "CO", "NATION_0", zip_or_municipio="Z3")
 
@@ -85,7 +85,8 @@ SELECT * FROM one UNION ALL SELECT * FROM agg WHERE (SELECT count(*) FROM one) =
     "one": f"SELECT geo_id, {', '.join(_RM)}, risk_label, 'row' AS source FROM base ORDER BY geo_id, " + ", ".join(_RM) + " LIMIT 1",
     "agg": f"SELECT CAST(NULL AS VARCHAR) AS geo_id, {', '.join(f'avg({c}) AS {c}' for c in _RM)}, "
            "CASE WHEN avg(composite_hazard_score) < 25 THEN 'low' WHEN avg(composite_hazard_score) < 50 THEN 'medium' "
-           "WHEN avg(composite_hazard_score) < 75 THEN 'high' ELSE 'very_high' END AS risk_label, 'aggregate' AS source FROM base"}),
+           "WHEN avg(composite_hazard_score) < 75 THEN 'high' ELSE 'very_high' END AS risk_label, 'aggregate' AS source "
+           "FROM base HAVING avg(composite_hazard_score) IS NOT NULL"}),
     _RM))
 def t06(spark, d):
     return tools.hazard_risks(Pipeline(spark, d).risk, "CO", "NATION_3")
@@ -93,8 +94,10 @@ def t06(spark, d):
 
 @register("t07_market_trends", O.sql("""
 SELECT arg_max(date, (date, zip_or_municipio)) AS latest_date, arg_max(median_price_usd, (date, zip_or_municipio)) AS latest_median_price_usd,
-       arg_max(market_temp, (date, zip_or_municipio)) AS latest_market_temp, CAST(count(*) AS INT) AS n_points,
-       string_agg(concat_ws(':', CAST(date AS VARCHAR), zip_or_municipio, CAST(median_price_usd AS VARCHAR)), ',' ORDER BY date, zip_or_municipio) AS series
+       arg_max(market_temp, (date, zip_or_municipio)) AS latest_market_temp, round(first(price_trend_3mo_pct ORDER BY date DESC, zip_or_municipio DESC), 6) AS price_trend_3mo_pct,
+       round(first(price_trend_12mo_pct ORDER BY date DESC, zip_or_municipio DESC), 6) AS price_trend_12mo_pct,
+       first(median_days_on_market ORDER BY date DESC, zip_or_municipio DESC) AS median_days_on_market, CAST(count(*) AS INT) AS n_points,
+       string_agg(concat_ws(':', CAST(date AS VARCHAR), zip_or_municipio, CAST(median_price_usd AS VARCHAR), CAST(inventory_count AS VARCHAR)), ',' ORDER BY date, zip_or_municipio) AS series
 FROM (SELECT * FROM market_summary WHERE country_code = 'US' AND lower(city) = 'nation_1'
       ORDER BY date DESC, zip_or_municipio DESC LIMIT 12) x""", "market_summary"))
 def t07(spark, d):
@@ -102,7 +105,7 @@ def t07(spark, d):
 
 
 @register("t08_area_demographics", O.rounded(O.sql("""
-SELECT CAST(sum(population) AS BIGINT) AS population, avg(median_income_usd) AS median_income, avg(pct_homeowner) AS pct_homeowner,
+SELECT CAST(sum(population) AS BIGINT) AS population, CAST(NULL AS DOUBLE) AS median_age, avg(median_income_usd) AS median_income, avg(pct_homeowner) AS pct_homeowner,
        avg(median_income_usd) / (SELECT fx_rate FROM fx_latest) AS median_income_usd
 FROM demographics WHERE country_code = 'CO' AND zip_or_municipio = 'Z2'""", "demographics", "fx_latest"),
     ["median_income", "pct_homeowner", "median_income_usd"]))
@@ -122,36 +125,37 @@ _DIMS = tools.INDEX_DIMS
 
 
 @register("t10_compare_cities", O.rounded(O.sql(f"""
-SELECT r.us_city, r.co_city, CASE WHEN s.us_city IS NOT NULL THEN 'stored' ELSE 'medians' END AS source,
+SELECT r.us_city, r.co_city, CASE WHEN s.us_city IS NOT NULL THEN 'stored' WHEN u.city IS NULL OR c.city IS NULL THEN 'insufficient' ELSE 'medians' END AS source,
        s.comparison_date, s.price_ratio,
-       {', '.join(f'CASE WHEN s.us_city IS NULL THEN u.{c} END AS us_{c}' for c in _DIMS)},
-       {', '.join(f'CASE WHEN s.us_city IS NULL THEN c.{c} END AS co_{c}' for c in _DIMS)}
-FROM (VALUES ('NATION_1', 'NATION_0'), ('NATION_6', 'NATION_9')) AS r(us_city, co_city)
-LEFT JOIN (SELECT us_city, co_city, max(comparison_date) AS comparison_date, arg_max(price_ratio, comparison_date) AS price_ratio
-           FROM city_comparison GROUP BY 1, 2) s ON r.us_city = s.us_city AND r.co_city = s.co_city
-LEFT JOIN (SELECT city, {', '.join(f'median({c}) AS {c}' for c in _DIMS)} FROM comparison_index WHERE country_code = 'US' GROUP BY 1) u
-  ON r.us_city = u.city
-LEFT JOIN (SELECT city, {', '.join(f'median({c}) AS {c}' for c in _DIMS)} FROM comparison_index WHERE country_code = 'CO' GROUP BY 1) c
-  ON r.co_city = c.city""", "city_comparison", "comparison_index"),
+       {', '.join(f'CASE WHEN s.us_city IS NULL AND c.city IS NOT NULL THEN u.{c} END AS us_{c}' for c in _DIMS)},
+       {', '.join(f'CASE WHEN s.us_city IS NULL AND u.city IS NOT NULL THEN c.{c} END AS co_{c}' for c in _DIMS)}
+FROM (VALUES ('Nation_1', 'NATION_0'), ('NATION_6', 'nation_9'), ('NATION_1', 'NOWHERE')) AS r(us_city, co_city)
+LEFT JOIN (SELECT lower(us_city) AS us_city, lower(co_city) AS co_city, max(comparison_date) AS comparison_date, arg_max(price_ratio, comparison_date) AS price_ratio
+           FROM city_comparison GROUP BY 1, 2) s ON lower(r.us_city) = s.us_city AND lower(r.co_city) = s.co_city
+LEFT JOIN (SELECT lower(city) AS city, {', '.join(f'median({c}) AS {c}' for c in _DIMS)} FROM comparison_index WHERE country_code = 'US' GROUP BY 1) u
+  ON lower(r.us_city) = u.city
+LEFT JOIN (SELECT lower(city) AS city, {', '.join(f'median({c}) AS {c}' for c in _DIMS)} FROM comparison_index WHERE country_code = 'CO' GROUP BY 1) c
+  ON lower(r.co_city) = c.city""", "city_comparison", "comparison_index"),
     ["price_ratio"] + [f"{p}_{c}" for p in ("us", "co") for c in _DIMS]))
 def t10(spark, d):
     p = Pipeline(spark, d)
-    req = spark.createDataFrame([("NATION_1", "NATION_0"), ("NATION_6", "NATION_9")], "us_city string, co_city string")
+    req = spark.createDataFrame([("Nation_1", "NATION_0"), ("NATION_6", "nation_9"), ("NATION_1", "NOWHERE")], "us_city string, co_city string")
     return tools.compare_cities(req, p.city_comparison(), p.comparison_index)
 
 
 @register("t11_affordability", O.rounded(O.sql("""
-SELECT mortgage_rate,
+SELECT mortgage_rate, rate_note, pmt AS monthly_payment_usd,
        CASE WHEN r <= 0 THEN pmt * 360 ELSE pmt / r * (1e0 - pow(1e0 + r, -360e0)) END + 2e4 AS max_affordable_price_usd,
        area_median_price_usd,
        CASE WHEN r <= 0 THEN pmt * 360 ELSE pmt / r * (1e0 - pow(1e0 + r, -360e0)) END + 2e4 >= area_median_price_usd AS can_afford_median
-FROM (SELECT mortgage_rate, mortgage_rate / 1e2 / 12e0 AS r, 7e4 * 0.28e0 / 12e0 AS pmt, area_median_price_usd
-      FROM (SELECT coalesce(arg_max(mortgage_rate_30yr, date), 7e0) AS mortgage_rate FROM economic
-            WHERE country_code = 'US' AND lower(city) = 'nation_1' AND mortgage_rate_30yr IS NOT NULL) a
+FROM (SELECT mortgage_rate, mortgage_rate / 1e2 / 12e0 AS r, 7e4 * 0.28e0 / 12e0 AS pmt, area_median_price_usd, rate_note
+      FROM (SELECT coalesce(arg_max(mortgage_rate_30yr, (date, city)), 7e0) AS mortgage_rate,
+                   CASE WHEN count(*) > 0 THEN 'latest rate' ELSE 'default rate' END AS rate_note FROM economic
+            WHERE country_code = 'US' AND mortgage_rate_30yr IS NOT NULL) a
       CROSS JOIN (SELECT median(median_price_usd) AS area_median_price_usd FROM market_summary
                   WHERE country_code = 'US' AND lower(city) = 'nation_1'
                     AND date = (SELECT max(date) FROM market_summary WHERE country_code = 'US' AND lower(city) = 'nation_1')) b) x""",
-    "economic", "market_summary"), ["mortgage_rate", "max_affordable_price_usd", "area_median_price_usd"]))
+    "economic", "market_summary"), ["mortgage_rate", "monthly_payment_usd", "max_affordable_price_usd", "area_median_price_usd"]))
 def t11(spark, d):
     p = Pipeline(spark, d)
     return tools.affordability(bindings.economic(p.t), p.market_summary, "US", "NATION_1", 70000, 20000)

@@ -3,6 +3,7 @@ long and wide layouts (s03-s06, s17-s19, s24)."""
 
 from __future__ import annotations
 
+import csv
 import unicodedata
 from collections.abc import Sequence
 
@@ -25,25 +26,44 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return r.schema(schema).csv(path) if schema is not None else r.option("inferSchema", False).csv(path)
 
 
-def sniff(spark: SparkSession, path: str, min_columns: int = 2, sample_lines: int = 200) -> tuple[str, str]:
-    """s04: (separator, encoding) from the first ``sample_lines`` lines (a bounded sample).
-
-    Lines are read as UTF-8; replacement characters mean the bytes are not UTF-8, so
-    the files are read as ISO-8859-1. The separator is the first of SEPARATORS that
-    splits the header into >= ``min_columns`` parts."""
-    lines = [r["value"] for r in spark.read.text(path).limit(sample_lines).collect()]
-    line = lines[0] if lines else ""
-    enc = "iso-8859-1" if any("\ufffd" in x for x in lines) else "utf-8"
-    for sep in SEPARATORS:
-        if len(line.split(sep)) >= min_columns:
-            return sep, enc
-    return ",", enc
-
-
-def read_sniffed(spark: SparkSession, path: str) -> DataFrame:
-    """s04: sniff, then read every file of ``path`` with that separator and encoding."""
-    sep, enc = sniff(spark, path)
-    return read_csv(spark, path, sep=sep, encoding=enc)
+def sniff_files(lines: DataFrame, min_columns: int = 2) -> DataFrame:
+    """s04: (file, header, is_utf8, sep) of every file, decided by all of its lines.
+
+    ``lines`` has the raw lines as ``value`` with ``file``, ``block`` and ``row``. A file with any line that is not valid
+    UTF-8 is ISO-8859-1. Its separator is the first of SEPARATORS that cuts its header into ``min_columns`` parts or more,
+    else a comma."""
+    per = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("raw"),
+                                    F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+    per = per.select("file", "is_utf8", decoded("raw", "is_utf8").alias("header"))
+    sep = F.lit(None).cast("string")
+    for s in reversed(SEPARATORS):
+        sep = F.when(F.size(F.split("header", f"\\Q{s}\\E", -1)) >= min_columns, s).otherwise(sep)
+    return per.withColumn("sep", F.coalesce(sep, F.lit(",")))
+
+
+def decoded(line_col: str, is_utf8: str):
+    """The text of a raw line in its file's encoding."""
+    return F.when(F.col(is_utf8), F.col(line_col)).otherwise(F.decode(F.col(line_col).cast("binary"), ENCODINGS[1]))
+
+
+def read_sniffed(spark: SparkSession, path: str, min_columns: int = 2) -> DataFrame:
+    """s04: every file of ``path`` with its own encoding, separator and header, as strings; one record a line.
+
+    Columns are the union of all headers. Only the distinct layouts (header, separator) reach the driver; lines and files are
+    joined by the file's name."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    files = sniff_files(lines, min_columns)
+    layouts = [(r["header"], r["sep"]) for r in files.where("header is not null").select("header", "sep").distinct().collect()]
+    rows = lines.drop("block", "row").join(files, "file").withColumn("line", decoded("value", "is_utf8")).where("line <> header and line <> ''")
+    out = None
+    for header, sep in sorted(layouts):
+        names = [n.strip() or f"_c{i}" for i, n in enumerate(next(csv.reader([header], delimiter=sep)))]
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+        own = rows.where((F.col("header") == header) & (F.col("sep") == sep)).select(F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"sep": sep}).alias("r"))
+        own = own.select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    return out if out is not None else spark.createDataFrame([], "_c0 string")
 
 
 def normalize_header(name: str) -> str:
