@@ -82,12 +82,6 @@ def city_canonical(x, aliases: dict[str, str] | None = None) -> Column:
     return F.coalesce(F.element_at(m, F.lower(base)), base)
 
 
-def truncate_text(x, max_chars: int, marker: str = "...[truncated]") -> Column:
-    """f34: cut text longer than max_chars and append a marker."""
-    c = _c(x)
-    return F.when(F.length(c) > max_chars, F.concat(F.substring(c, 1, max_chars), F.lit(marker))).otherwise(c)
-
-
 def json_object_text(x) -> Column:
     """f35: strip Markdown code fences, else keep first '{' .. last '}'."""
     c = F.regexp_replace(_c(x), r"```(?:json)?", "")

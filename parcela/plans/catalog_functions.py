@@ -410,14 +410,13 @@ def f33(spark, d):
 
 @register("f34_json_text", """
 SELECT doc_id, CAST(length(text) AS INT) AS n_chars,
-       md5(CASE WHEN length(text) > 28000 THEN concat(substr(text, 1, 28000), '...[truncated]') ELSE text END) AS evidence_md5,
-       CAST(length(CASE WHEN length(text) > 28000 THEN concat(substr(text, 1, 28000), '...[truncated]') ELSE text END) AS INT) AS evidence_chars
+       json_extract_string(to_json({'doc_id': doc_id, 'text': text}), '$.text') AS evidence_text, CAST(doc_id AS VARCHAR) AS evidence_id
 FROM documents""")
 def f34(spark, d):
     docs = T(spark, d).documents
-    ev = text.truncate_text("text", 28000)
-    return docs.select("doc_id", F.length("text").alias("n_chars"), F.md5(ev).alias("evidence_md5"),
-                       F.length(ev).alias("evidence_chars"))
+    ev = F.to_json(F.struct("doc_id", "text"))                       # whole texts; read back from the JSON text
+    return docs.select("doc_id", F.length("text").alias("n_chars"), F.get_json_object(ev, "$.text").alias("evidence_text"),
+                       F.get_json_object(ev, "$.doc_id").alias("evidence_id"))
 
 
 @register("f35_json_object_extract", O.sql("""

@@ -259,7 +259,7 @@ def c35(spark, d):
     row = F.array(F.col("zip_or_municipio"), F.col("year").cast("string"), F.col("population").cast("string"),
                   F.when(F.col("median_income_usd") < 0, F.lit("-666666666")).otherwise(F.col("median_income_usd").cast("string")),
                   F.floor(F.col("pct_homeowner") * 10).cast("bigint").cast("string"), F.lit("1000"))
-    landed = dm.groupBy("country_code", F.pmod(F.hash("zip_or_municipio"), F.lit(16)).alias("_page")) \
+    landed = dm.groupBy("country_code", "zip_or_municipio") \
                .agg(F.collect_list(row).alias("rows")) \
                .select(F.to_json(F.concat(F.array(header), F.col("rows"))).alias("payload"))
     parsed = payloads.parse_header_matrix(landed, "payload", {"geo_id": "zip code tabulation area", "year": "YEAR",
@@ -271,15 +271,13 @@ def c35(spark, d):
 
 
 @register("c36_amenity_load", O.sql("""
-SELECT amenity_type, count(*) AS n FROM (
-  SELECT amenity_id, amenity_type FROM amenities WHERE amenity_type IN ('grocery', 'park', 'hospital', 'transit_stop', 'pharmacy')
+SELECT * FROM (
+  SELECT amenity_id, amenity_type, name FROM amenities WHERE amenity_type IN ('grocery', 'park', 'hospital', 'transit_stop', 'pharmacy')
   UNION ALL
-  SELECT amenity_id, amenity_type FROM amenities WHERE CAST(amenity_id AS BIGINT) % 2 = 0
-    AND amenity_type NOT IN ('grocery', 'park', 'hospital', 'transit_stop', 'pharmacy')) x
-GROUP BY 1""", "amenities"))
+  SELECT amenity_id, amenity_type, 'old' AS name FROM amenities WHERE CAST(amenity_id AS BIGINT) % 2 = 0
+    AND amenity_type NOT IN ('grocery', 'park', 'hospital', 'transit_stop', 'pharmacy')) x""", "amenities"))
 def c36(spark, d):
     parsed = cs.s14(spark, d)
     a = bindings.amenities(T(spark, d))
     target = a.filter(F.col("amenity_id").cast("bigint") % 2 == 0).select("amenity_id", "amenity_type", F.lit("old").alias("name"))
-    snap = ingest.upsert_by_key(target, parsed, ["amenity_id"])
-    return snap.groupBy("amenity_type").agg(F.count(F.lit(1)).alias("n"))
+    return ingest.upsert_by_key(target, parsed, ["amenity_id"]).select("amenity_id", "amenity_type", "name")

@@ -108,14 +108,17 @@ def _listing_pages(t):
         F.when(ok % 2 == 0, ok.cast("string")).alias("zpid"), F.when(ok % 2 == 1, ok.cast("string")).alias("listingId"),
         F.when(ok % 3 == 0, F.col("o_totalprice").cast("string")).alias("price"),
         F.when(ok % 3 != 0, F.format_string("%.2f", F.col("o_totalprice"))).alias("listPrice"),
-        (F.lit(300) + ok % 2000).cast("string").alias("livingArea"),
+        (F.lit(300) + ok % 2000).cast("string").alias("livingArea"), (ok % 50).alias("yearBuilt"),
+        F.element_at(F.array(*[F.lit(x) for x in ("condo", "SINGLE_FAMILY", "Manufactured", "LOT")]), (ok % 4 + 1).cast("int")).alias("homeType"),
         (ok % 6).cast("string").alias("bedrooms"),
         F.when(ok % 7 == 0, F.lit("FOR_RENT")).when(ok % 7 == 1, F.lit("FOR_SALE")).alias("statusType"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("listingDate"),
         F.concat(F.lit("Z"), (F.col("o_custkey") % 7).cast("string")).alias("zipcode"))
     grp = o.groupBy("o_custkey", (ok / 1000).cast("long").alias("page")).agg(F.collect_list(item).alias("items"))
     payload = (F.when(F.col("o_custkey") % 3 == 0, F.to_json(F.struct(F.col("items").alias("results"))))
-                .when(F.col("o_custkey") % 3 == 1, F.to_json(F.struct(F.struct(F.col("items").alias("listings")).alias("data"))))
+                .when(F.col("o_custkey") % 3 == 1, F.to_json(F.struct(F.struct(F.col("items").alias("listings")).alias("data"),
+                                                                      F.struct(F.lit(9).alias("total_pages")).alias("pagination"))))
+                .when(F.col("o_custkey") % 2 == 0, F.to_json(F.col("items")))
                 .otherwise(F.to_json(F.struct(F.col("items").alias("data")))))
     return grp.select("o_custkey", payload.alias("payload"))
 
@@ -123,12 +126,18 @@ def _listing_pages(t):
 @register("s07_json_listing_explode", """
 SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS listing_id, CAST(trunc(o_totalprice) AS BIGINT) AS price_usd,
        CAST(o_orderkey % 6 AS INT) AS bedrooms, CAST(300 + o_orderkey % 2000 AS INT) AS sqft, CAST(o_orderdate AS DATE) AS listing_date,
-       concat('Z', CAST(o_custkey % 7 AS VARCHAR)) AS zip
+       concat('Z', CAST(o_custkey % 7 AS VARCHAR)) AS zip,
+       CASE o_orderkey % 4 WHEN 0 THEN 'condo' WHEN 1 THEN 'single_family' WHEN 2 THEN 'single_family' END AS property_type,
+       CAST(o_orderkey % 50 AS VARCHAR) AS year_built_of_page, CASE WHEN o_custkey % 3 = 1 THEN '9' END AS pages
 FROM orders WHERE o_orderkey % 7 <> 0""")
 def s07(spark, d):
     pages = _listing_pages(Tb(spark, d))
     out = payloads.parse_listing_pages(pages, "payload", keep=["o_custkey"])
-    return out.select("o_custkey", "listing_id", "price_usd", "bedrooms", "sqft", "listing_date", "zip")
+    # the landed page is kept whole: a field that no rule names, of this listing, and one beside the listings
+    item = F.concat(F.lit('(?:zpid|listingId)":"'), F.col("listing_id"), F.lit('"[^}]*?"yearBuilt":(\\d+)'))
+    built = F.call_function("regexp_extract", F.col("raw_json"), item, F.lit(1))
+    return out.select("o_custkey", "listing_id", "price_usd", "bedrooms", "sqft", "listing_date", "zip", "property_type",
+                      built.alias("year_built_of_page"), F.get_json_object("raw_json", "$.pagination.total_pages").alias("pages"))
 
 
 @register("s08_json_parallel_arrays", O.rounded(O.sql(f"""
@@ -164,7 +173,7 @@ def s09(spark, d):
     row = F.array(F.col("zip_or_municipio"), F.col("population").cast("string"),
                   F.when(F.col("median_income_usd") < 0, F.lit("-666666666")).otherwise(F.col("median_income_usd").cast("string")),
                   F.col("pct_homeowner").cast("string"), F.col("year").cast("string"), F.col("zip_or_municipio"))
-    page = F.pmod(F.hash("zip_or_municipio"), F.lit(16))          # bounded pages per country
+    page = F.col("zip_or_municipio")                              # a page holds the years of one zip
     g = dm.groupBy("country_code", page.alias("_page")).agg(F.collect_list(row).alias("rows"))
     landed = g.select("country_code", F.to_json(F.concat(F.array(header), F.col("rows"))).alias("payload"))
     out = payloads.parse_header_matrix(landed, "payload", {"zip_or_municipio": "zip code tabulation area", "year": "YEAR",
@@ -234,20 +243,21 @@ _ZONES = ["AE", "X", "VE", "X500", "AH12", "D"]
 
 @register("s13_json_features", O.rounded(f"""
 SELECT p_partkey, zone, CAST(p_partkey AS VARCHAR) AS area_id,
-       CASE WHEN zone IN ('AE','A','AH','AO','V','VE') THEN 0.9e0 WHEN zone = 'X500' THEN 0.4e0 WHEN zone = 'X' THEN 0.1e0
+       CAST(p_size AS VARCHAR) AS other, CASE WHEN zone IN ('AE','A','AH','AO','V','VE') THEN 0.9e0 WHEN zone = 'X500' THEN 0.4e0 WHEN zone = 'X' THEN 0.1e0
             WHEN starts_with(zone, 'A') OR starts_with(zone, 'V') THEN 0.9e0 ELSE 0.5e0 END AS risk_score
-FROM (SELECT p_partkey, list_extract([{', '.join(repr(z) for z in _ZONES)}], CAST(p_partkey % {len(_ZONES)} + 1 AS INT)) AS zone FROM part) p""",
+FROM (SELECT p_partkey, p_size, list_extract([{', '.join(repr(z) for z in _ZONES)}], CAST(p_partkey % {len(_ZONES)} + 1 AS INT)) AS zone FROM part WHERE p_partkey % 13 <> 0) p""",
     ["risk_score"]))
 def s13(spark, d):
     p = Tb(spark, d).part
     z = F.element_at(F.array(*[F.lit(v) for v in _ZONES]), (F.col("p_partkey") % len(_ZONES) + 1).cast("int"))
     attrs = F.struct(F.when(F.col("p_partkey") % 2 == 0, z).alias("FLD_ZONE"), F.when(F.col("p_partkey") % 2 == 1, z).alias("ZONE"),
-                     F.col("p_partkey").cast("string").alias("FLD_AR_ID"))
+                     F.when(F.col("p_partkey") % 13 != 0, F.col("p_partkey").cast("string")).alias("FLD_AR_ID"), F.col("p_size").alias("OTHER"))
     g = p.groupBy((F.col("p_partkey") / 100).cast("long").alias("page")).agg(
         F.collect_list(F.struct(F.col("p_partkey").alias("k"), attrs.alias("attributes"))).alias("fs"))
     landed = g.select(F.to_json(F.struct(F.transform("fs", lambda f: F.struct(f["attributes"].alias("attributes"))).alias("features"))).alias("payload"))
     out = payloads.parse_features(landed, "payload")
-    return out.select(F.col("area_id").cast("bigint").alias("p_partkey"), "zone", "area_id", "risk_score")
+    return out.select(F.col("area_id").cast("bigint").alias("p_partkey"), "zone", "area_id",
+                      F.get_json_object("details_json", "$.OTHER").alias("other"), "risk_score")
 
 
 @register("s14_osm_tags_to_rows", O.sql("""
@@ -270,15 +280,33 @@ def s14(spark, d):
     return payloads.parse_osm_elements(landed, "payload").select("amenity_id", "amenity_type", "name")
 
 
-@register("s15_html_card_extract", r"""
-SELECT page_id, nullif(regexp_extract(html, '<title>(.*?)</title>', 1), '') AS title,
-       nullif(regexp_extract(html, '<h[1-3][^>]*>(.*?)</h[1-3]>', 1), '') AS heading,
-       CAST(len(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS INT) AS n_links,
-       regexp_extract_all(html, 'href="([^"]*)"', 1)[1] AS first_href
-FROM pages""")
+@register("s15_html_card_extract", O.rounded("""
+SELECT page, CASE WHEN k % 3 = 2 THEN concat('casa-', k) ELSE CAST(k AS VARCHAR) END AS listing_id,
+       concat(CASE WHEN k % 2 = 0 THEN 'https://x.co' ELSE 'https://base.co' END, '/inmueble/casa-', k, CASE WHEN k % 3 = 2 THEN '?p=1' ELSE '' END) AS listing_url,
+       concat(CASE WHEN k % 2 = 0 THEN 'Apartamento en ' ELSE 'Casa en ' END, k) AS title,
+       CASE WHEN k % 10 = 0 THEN NULL ELSE 10000000 + k * 1000 END AS price_cop,
+       CASE WHEN k % 7 = 0 THEN NULL ELSE CAST(1 + k % 5 AS INT) END AS bedrooms, 1 + (k % 2) / 2e0 AS bathrooms, 40e0 + k % 100 AS area_m2,
+       concat('Barrio ', k % 9) AS barrio, concat('Barrio ', k % 9, ', Bogota') AS address,
+       CASE WHEN k % 2 = 0 THEN 'apartamento' ELSE 'casa' END AS property_type
+FROM (SELECT p_partkey AS k, CAST(p_partkey // 20 AS BIGINT) AS page FROM part WHERE p_partkey % 11 <> 0) x""", ["bathrooms", "area_m2"]))
 def s15(spark, d):
-    p = Tb(spark, d).pages
-    return html.extract_cards(p, "html", keep=["page_id"]).select("page_id", "title", "heading", "n_links", "first_href")
+    k = F.col("p_partkey")
+    card = F.concat(                                        # every card spells its facts in one of several ways
+        F.lit("<article "), F.when(k % 3 == 0, F.concat(F.lit('data-id="'), k, F.lit('"')))
+        .when(k % 3 == 1, F.concat(F.lit('class="x" data-listing-id="'), k, F.lit('"'))).otherwise(F.lit("")), F.lit(">"),
+        F.when(k % 11 == 0, F.lit("<span>ad</span>")).otherwise(F.concat(
+            F.lit('<a href="/other">x</a><a class="l" href="'), F.when(k % 2 == 0, F.lit("https://x.co")).otherwise(F.lit("")), F.lit("/inmueble/casa-"), k,
+            F.when(k % 3 == 2, F.lit("?p=1")).otherwise(F.lit("")), F.lit('">see</a><h2 class="t">'),
+            F.when(k % 2 == 0, F.lit("Apartamento en ")).otherwise(F.lit("Casa en ")), F.lit("<b>"), k, F.lit("</b></h2>"),
+            F.when(k % 10 == 0, F.lit("<p>$ 900.000</p>")).otherwise(F.concat(F.lit("<p>$ "), F.format_number(F.lit(10000000) + k * 1000, 0), F.lit("</p>"))),
+            F.when(k % 7 != 0, F.concat(F.lit("<li>"), F.lit(1) + k % 5, F.when(k % 3 == 0, F.lit(" HABITACIONES</li>"))
+                                        .when(k % 3 == 1, F.lit(" alcobas</li>")).otherwise(F.lit("hab.</li>")))).otherwise(F.lit("")),
+            F.lit("<li>"), F.when(k % 2 == 0, F.lit("1 baño")).otherwise(F.lit("1,5 BANOS")), F.lit("</li><li>"), F.lit(40) + k % 100,
+            F.when(k % 2 == 0, F.lit(" m²")).otherwise(F.lit(" M2")), F.lit('</li><span data-testid="card-Location">Barrio '), k % 9, F.lit(", Bogota</span>"))),
+        F.lit("</article>"))
+    pages = Tb(spark, d).part.groupBy(F.floor(k / 20).cast("bigint").alias("page")).agg(
+        F.concat(F.lit("<html><title>t</title><h1>Listings</h1>"), F.array_join(F.collect_list(card), "\n"), F.lit("</html>")).alias("html"))
+    return html.extract_cards(pages, "html", keep=["page"], base_url="https://base.co")
 
 
 @register("s16_literal_rows", O.rounded(O.sql("""
@@ -365,13 +393,16 @@ def s21(spark, d):
 
 @register("s22_incident_json", """
 SELECT CAST(event_id AS VARCHAR) AS incident_id, event_type AS crime_type,
-       CASE WHEN event_type IN ('purchase') THEN 'other' ELSE 'other' END AS crime_category,
-       CAST(ts AS DATE) AS incident_date, CAST(year(ts) AS INT) AS year FROM events""")
+       CASE WHEN event_type IN ('assault', 'shooting') THEN 'violent' WHEN event_type = 'theft' THEN 'property' ELSE 'other' END AS crime_category,
+       CAST(ts AS DATE) AS incident_date, CAST(year(ts) AS INT) AS year
+FROM (SELECT * REPLACE (CASE event_type WHEN 'click' THEN 'assault' WHEN 'view' THEN 'theft' WHEN 'signup' THEN 'shooting' ELSE event_type END AS event_type)
+      FROM events) e""")
 def s22(spark, d):
     e = Tb(spark, d).events
+    kinds = F.create_map(*[F.lit(x) for x in ("click", "assault", "view", "theft", "signup", "shooting")])
     inc = F.struct(F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).alias("cdid"),
                    F.when(F.col("event_id") % 2 == 1, F.col("event_id").cast("string")).alias("id"),
-                   F.upper(F.col("event_type")).alias("type"),
+                   F.concat(F.lit(" "), F.upper(F.coalesce(F.element_at(kinds, F.col("event_type")), F.col("event_type")))).alias("type"),
                    F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("date"))
     g = e.groupBy("user_id", (F.col("event_id") / 1000).cast("long").alias("_page")).agg(F.collect_list(inc).alias("crimes"))
     landed = g.select(F.to_json(F.struct("crimes")).alias("payload"))

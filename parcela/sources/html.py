@@ -2,49 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels, numbers, text
 
 # Fixed patterns -------------------------------------------------------------------
-TITLE_RE = r"<title>(.*?)</title>"
-H_RE = r"<h[1-3][^>]*>(.*?)</h[1-3]>"
-HREF_RE = r'href="([^"]*)"'
-DATA_ID_RE = r'data-(?:listing-)?id="([^"]*)"'
-NUMBER_RE = r"(\d{1,3}(?:[.,]\d{3})+|\d+)"
-BEDS_RE = r"(\d+)\s*hab"
-BATHS_RE = r"(\d+)\s*ba[nñ]"
-AREA_RE = r"(\d+(?:[.,]\d+)?)\s*m²"
-LOCATION_RE = r'data-testid="[^"]*(?:location|address)[^"]*"[^>]*>([^<]*)<'
+CARD_RE = r"(?s)(<article\b.*?</article>)"
+HEADING_RE = r"(?s)<h[1-3][^>]*>(.*?)</h[1-3]>"
+LISTING_HREF_RE = r'<a\b[^>]*href="([^"]*(?:/inmueble/|/casa-en-venta/|/apartamento-en-venta/)[^"]*)"'
+HREF_RE = r'<a\b[^>]*href="([^"]+)"'
+LINK_TEXT_RE = r"(?s)<a\b[^>]*>(.*?)</a>"
+DATA_ID_RE = r'^<article\b[^>]*\bdata-id="([^"]+)"'
+LISTING_ID_RE = r'^<article\b[^>]*\bdata-listing-id="([^"]+)"'
+SLUG_RE = r"/([\w-]+)/?(?:\?|$)"
+PRICE_RE = r"\$|COP|\d[.,]?\d{3}"
+BEDS_RE = r"(?i)(\d+)\s*(?:hab|habitaci|alcoba)"
+BATHS_RE = r"(?i)(\d+(?:[.,]\d+)?)\s*ba[nñ]"
+AREA_RE = r"(?i)(\d+(?:[.,]\d+)?)\s*m\s*(?:²|2)"
+LOCATION_RE = r'(?i)data-testid="[^"]*(?:location|address)[^"]*"[^>]*>([^<]*)<'
 MIN_PRICE = 10_000_000
 # -----------------------------------------------------------------------------------
 
 
-def _nz(c):
-    return F.nullif(c, F.lit(""))
+def _found(c: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
 
 
-def extract_cards(df: DataFrame, html_col: str = "html", keep=()) -> DataFrame:
-    """One output row per page: title, first heading, links, ids, price and card facts."""
-    h = F.col(html_col)
-    hrefs = F.regexp_extract_all(h, F.lit(HREF_RE), 1)
-    first_href = F.element_at(hrefs, 1)
-    nums = F.transform(F.regexp_extract_all(h, F.lit(NUMBER_RE), 1), lambda s: numbers.parse_count(s))
-    price = F.element_at(F.filter(nums, lambda n: n >= MIN_PRICE), 1)
-    title = _nz(F.regexp_extract(h, TITLE_RE, 1))
-    return df.select(
+def _plain(c: Column) -> Column:
+    return F.nullif(F.trim(F.regexp_replace(c, "<[^>]*>", "")), F.lit(""))
+
+
+def extract_cards(df: DataFrame, html_col: str = "html", keep=(), base_url: str = "") -> DataFrame:
+    """One row per ``<article>`` card of every page, with the card's own link, id, title, price and facts.
+
+    The id is the card's data-id, else its data-listing-id, else the last segment of its link; a card without a link or
+    an id is dropped. The price is the first text of the card whose digits make at least MIN_PRICE."""
+    cards = df.select(*keep, F.explode(F.regexp_extract_all(F.col(html_col), F.lit(CARD_RE), 1)).alias("_c"))
+    c = F.col("_c")
+    texts = F.filter(F.transform(F.split(c, "<[^>]*>"), lambda s: F.trim(s)), lambda s: s != "")
+    cards = cards.select(*keep, "_c", texts.alias("_texts"), F.coalesce(_found(c, LISTING_HREF_RE), _found(c, HREF_RE)).alias("_href")) \
+                 .where(F.col("_href").isNotNull())
+    url = F.when(F.col("_href").startswith("http"), F.col("_href")).otherwise(F.concat(F.lit(base_url), F.col("_href")))
+    full = F.array_join("_texts", " ")
+    digits = F.transform(F.filter("_texts", lambda s: s.rlike(PRICE_RE)), lambda s: F.regexp_replace(s, "[^0-9]", "").try_cast("bigint"))
+    title = F.coalesce(_plain(_found(c, HEADING_RE)), _plain(_found(c, LINK_TEXT_RE)))
+    address = F.nullif(F.trim(_found(c, LOCATION_RE)), F.lit(""))
+    out = cards.select(
         *keep,
+        F.coalesce(_found(c, DATA_ID_RE), _found(c, LISTING_ID_RE), _found(url, SLUG_RE)).alias("listing_id"),
+        url.alias("listing_url"),
         title.alias("title"),
-        _nz(F.regexp_extract(h, H_RE, 1)).alias("heading"),
-        F.size(hrefs).alias("n_links"),
-        first_href.alias("first_href"),
-        _nz(F.regexp_extract(first_href, r"/([^/?#]+)/?$", 1)).alias("slug_id"),
-        _nz(F.regexp_extract(h, DATA_ID_RE, 1)).alias("data_id"),
-        price.alias("price_cop"),
-        _nz(F.regexp_extract(h, BEDS_RE, 1)).try_cast("int").alias("bedrooms"),
-        _nz(F.regexp_extract(h, BATHS_RE, 1)).try_cast("double").alias("bathrooms"),
-        numbers.locale_number(_nz(F.regexp_extract(h, AREA_RE, 1))).alias("area_m2"),
-        text.first_comma_segment(_nz(F.regexp_extract(h, LOCATION_RE, 1))).alias("barrio"),
+        F.try_element_at(F.filter(digits, lambda n: n >= MIN_PRICE), F.lit(1)).alias("price_cop"),
+        _found(full, BEDS_RE).try_cast("int").alias("bedrooms"),
+        numbers.locale_number(_found(full, BATHS_RE)).alias("bathrooms"),
+        numbers.locale_number(_found(full, AREA_RE)).alias("area_m2"),
+        text.first_comma_segment(address).alias("barrio"),
+        address.alias("address"),
         labels.title_property_type(title).alias("property_type"),
     )
+    return out.where(F.col("listing_id").isNotNull())

@@ -50,6 +50,8 @@ LISTING_FIELDS = {
     "home_status": ["homeStatus"],
     "listing_type": ["listingType"],
 }
+HOME_TYPES = {"SINGLE_FAMILY": "single_family", "CONDO": "condo", "TOWNHOUSE": "townhouse",            # fixed values
+              "MULTI_FAMILY": "multi_family", "MANUFACTURED": "single_family", "APARTMENT": "condo"}
 ARRAY_KEYS = ["results", "properties", "props", "listings", "data"]
 
 
@@ -67,21 +69,24 @@ def listing_page_schema() -> T.StructType:
 
 
 def parse_listing_pages(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
-    """s07: one row per listing item found under any of the array keys (or one
-    level inside ``data``), alternative field names coalesced, sale filter (p14)
-    applied, full item kept as ``raw_json``."""
+    """s07: one row per listing item of a root-level list, or found under any of the array keys (or one
+    level inside ``data``), alternative field names coalesced, home types mapped (others NULL), sale filter (p14)
+    applied, the whole landed page kept as ``raw_json``."""
     outer, inner = listing_page_schema()
     arr_t = T.ArrayType(_item_schema())
-    p = df.select(*keep, F.from_json(F.col(payload_col), outer).alias("_p"))
+    root = F.ltrim(F.col(payload_col)).startswith("[")
+    p = df.select(*keep, F.col(payload_col).alias("_raw"), F.when(~root, F.from_json(F.col(payload_col), outer)).alias("_p"),
+                  F.when(root, F.from_json(F.col(payload_col), arr_t)).alias("_list"))
     is_arr = F.ltrim(F.col("_p.data")).startswith("[")
     data_arr = F.when(is_arr, F.from_json(F.col("_p.data"), arr_t))
     data_obj = F.when(~is_arr, F.from_json(F.col("_p.data"), inner))
-    items = F.coalesce(*[F.col(f"_p.{k}") for k in ARRAY_KEYS if k != "data"], data_arr,
+    items = F.coalesce(F.col("_list"), *[F.col(f"_p.{k}") for k in ARRAY_KEYS if k != "data"], data_arr,
                        *[data_obj[k] for k in ARRAY_KEYS if k != "data"])
-    e = p.select(*keep, F.explode(items).alias("it"))
+    e = p.select(*keep, "_raw", F.explode(items).alias("it"))
     g = {k: _first("it", v) for k, v in LISTING_FIELDS.items()}
     price = numbers.safe_float(g["price"]).try_cast("long")
     sqft = numbers.safe_int(g["sqft"])
+    home_types = F.create_map(*[F.lit(x) for kv in HOME_TYPES.items() for x in kv])
     out = e.select(
         *keep,
         g["listing_id"].alias("listing_id"),
@@ -90,11 +95,11 @@ def parse_listing_pages(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
         price.alias("price_usd"), numbers.safe_int(g["bedrooms"]).alias("bedrooms"),
         numbers.safe_float(g["bathrooms"]).alias("bathrooms"), sqft.alias("sqft"),
         numbers.price_per_area(price, sqft).alias("price_per_sqft_usd"),
-        g["property_type"].alias("property_type"), g["description"].alias("description"),
+        F.element_at(home_types, F.upper(g["property_type"])).alias("property_type"), g["description"].alias("description"),
         g["listing_url"].alias("listing_url"), numbers.safe_int(g["days_on_market"]).alias("days_on_market"),
         dates.parse_listing_date(g["listing_date"]).alias("listing_date"),
         labels.is_for_sale(g["status_type"], g["home_status"], g["listing_type"]).alias("_sale"),
-        F.to_json("it").alias("raw_json"))
+        F.col("_raw").alias("raw_json"))
     return out.filter(F.col("listing_id").isNotNull() & F.col("_sale")).drop("_sale")
 
 
@@ -189,15 +194,18 @@ def parse_series(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
 
 # --- s13 features -----------------------------------------------------------------------------
 def parse_features(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
-    """s13: ``features[].attributes`` -> zone code / area id / county coalesced; attributes kept as JSON."""
+    """s13: ``features[].attributes`` -> zone code / area id / county coalesced; all attributes kept as JSON text;
+    features without an area id are dropped."""
     attrs = _struct(["FLD_ZONE", "ZONE_SUBTY", "ZONE", "FLD_AR_ID", "DFIRM_ID", "OBJECTID", "COUNTY", "CO_FIPS"])
-    sch = T.StructType([T.StructField("features", T.ArrayType(T.StructType([T.StructField("attributes", attrs)])))])
+    sch = T.StructType([T.StructField("features", T.ArrayType(T.StructType([T.StructField("attributes", S)])))])
     e = df.select(*keep, F.explode(F.from_json(F.col(payload_col), sch)["features"]).alias("_f"))
-    a = "_f.attributes"
+    e = e.select(*keep, F.col("_f.attributes").alias("_raw"), F.from_json("_f.attributes", attrs).alias("_a"))
+    a = "_a"
     zone = _first(a, ["FLD_ZONE", "ZONE_SUBTY", "ZONE"])
-    return e.select(*keep, zone.alias("zone"), _first(a, ["FLD_AR_ID", "DFIRM_ID", "OBJECTID"]).alias("area_id"),
+    out = e.select(*keep, zone.alias("zone"), _first(a, ["FLD_AR_ID", "DFIRM_ID", "OBJECTID"]).alias("area_id"),
                     _first(a, ["COUNTY", "CO_FIPS"]).alias("county"),
-                    labels.flood_zone_risk(zone).alias("risk_score"), F.to_json(F.col(a)).alias("details_json"))
+                    labels.flood_zone_risk(zone).alias("risk_score"), F.col("_raw").alias("details_json"))
+    return out.where(F.col("area_id").isNotNull())
 
 
 # --- s14 OSM elements --------------------------------------------------------------------------
