@@ -56,7 +56,7 @@ SELECT concat_ws('_', CASE WHEN n.n_regionkey = 1 THEN 'us' ELSE 'co' END,
        o.o_orderkey AS seq,
        CASE WHEN n.n_regionkey = 1 THEN 'US' ELSE 'CO' END AS country_code,
        n.n_name AS city,
-       concat('Z', CAST(o.o_custkey % 7 AS VARCHAR)) AS zip_or_municipio,
+       CASE WHEN n.n_regionkey = 1 THEN concat('Z', CAST(o.o_custkey % 7 AS VARCHAR)) ELSE n.n_name END AS zip_or_municipio,
        CAST(floor(o.o_totalprice) AS BIGINT) AS price_usd,
        CAST(o.o_orderkey % 6 AS INT) AS bedrooms,
        CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE CAST(300 + o.o_orderkey % 2000 AS DOUBLE) END AS area_sqft,
@@ -67,18 +67,25 @@ SELECT concat_ws('_', CASE WHEN n.n_regionkey = 1 THEN 'us' ELSE 'co' END,
        CAST((o.o_custkey * 104729) % 35900 AS DOUBLE) / 1e2 - 179.5e0 + CAST(o.o_orderkey % 10 AS DOUBLE) / 1e3 AS lon,
        CASE WHEN n.n_regionkey = 1 THEN NULL ELSE concat('B', CAST(o.o_orderkey % 4 AS VARCHAR)) END AS barrio_or_neighborhood,
        CAST(1 + o.o_orderkey % 3 AS DOUBLE) AS bathrooms,
-       CASE WHEN o.o_orderkey % 2 = 0 THEN 'site_a' ELSE 'site_b' END AS source
+       CASE WHEN o.o_orderkey % 2 = 0 THEN 'site_a' ELSE 'site_b' END AS source,
+       CASE WHEN n.n_regionkey <> 1 THEN CAST(floor(o.o_totalprice) AS BIGINT) * 4000 + o.o_orderkey % 1000 END AS price_cop,
+       CASE WHEN n.n_regionkey <> 1 AND o.o_orderkey % 11 <> 0 THEN CAST(30 + o.o_orderkey % 200 AS DOUBLE) END AS area_m2,
+       CASE WHEN n.n_regionkey <> 1 THEN concat('D', CAST(o.o_custkey % 5 AS VARCHAR)) END AS departamento
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 
 cte("market_raw", """
-SELECT CASE WHEN n.n_regionkey = 1 THEN 'US' ELSE 'CO' END AS country_code, n.n_name AS city,
-       concat('Z', CAST(o.o_custkey % 7 AS VARCHAR)) AS zip_or_municipio,
+SELECT *, CASE WHEN country_code = 'US' AND month(date) % 3 <> 0 THEN median_price_usd END AS median_sale_price_usd,
+       CASE WHEN country_code = 'US' THEN median_price_usd + 500 END AS median_list_price_usd,
+       CASE WHEN country_code <> 'US' THEN median_price_usd * 4000 + 7 END AS new_construction_price_cop,
+       CASE WHEN country_code = 'US' THEN CAST(inventory_count % 90 AS INT) END AS median_days_on_market
+FROM (SELECT CASE WHEN n.n_regionkey = 1 THEN 'US' ELSE 'CO' END AS country_code, n.n_name AS city,
+       CASE WHEN n.n_regionkey = 1 THEN concat('Z', CAST(o.o_custkey % 7 AS VARCHAR)) ELSE n.n_name END AS zip_or_municipio,
        CAST(date_trunc('month', o.o_orderdate) AS DATE) AS date,
        CAST(floor(median(o.o_totalprice)) AS BIGINT) AS median_price_usd,
        COUNT(*) AS inventory_count,
        CAST(SUM(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS homes_sold
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
-GROUP BY 1, 2, 3, 4""")
+GROUP BY 1, 2, 3, 4) m""")
 
 cte("hazards", """
 SELECT concat('h_', CAST(event_id AS VARCHAR)) AS hazard_id,
@@ -115,7 +122,14 @@ SELECT CAST(p_partkey AS VARCHAR) AS school_id,
        CASE WHEN p_partkey % 5 = 1 THEN 'US' ELSE 'CO' END AS country_code,
        concat('NATION_', CAST(p_partkey % 25 AS VARCHAR)) AS city,
        CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 9 = 0 THEN -2e0 ELSE CAST(p_size * 2 AS DOUBLE) END AS math_pct,
-       CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE CAST((p_partkey * 37) % 101 AS DOUBLE) END AS reading_pct
+       CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE CAST((p_partkey * 37) % 101 AS DOUBLE) END AS reading_pct,
+       CASE WHEN p_partkey % 5 <> 1 AND p_partkey % 7 <> 0 THEN CAST((p_partkey * 53) % 1010 AS DOUBLE) / 10 END AS icfes_percentile,
+       concat(CASE WHEN p_partkey % 5 = 1 THEN 'S' ELSE 'D' END, CAST(p_partkey % 5 AS VARCHAR)) AS state_or_dept,
+       CASE WHEN p_partkey % 5 = 1 THEN concat('Z', CAST(p_partkey % 7 AS VARCHAR)) ELSE concat('NATION_', CAST(p_partkey % 25 AS VARCHAR)) END AS zip_or_municipio,
+       CAST((p_partkey * 7919) % 12000 AS DOUBLE) / 1e2 - 6e1 AS lat, CAST((p_partkey * 104729) % 35900 AS DOUBLE) / 1e2 - 179.5e0 AS lon,
+       p_name AS school_name, CASE WHEN p_partkey % 3 = 0 THEN 'KG-05' ELSE '06-12' END AS grade_levels, CAST(p_size * 10 AS INT) AS enrollment,
+       CASE WHEN p_partkey % 5 = 1 THEN 'regular' WHEN p_partkey % 2 = 0 THEN 'oficial' ELSE 'privado' END AS school_type,
+       CASE WHEN p_partkey % 5 <> 1 THEN CAST(2020 + p_partkey % 4 AS INT) END AS icfes_year
 FROM part""")
 
 cte("weather", """
@@ -149,7 +163,7 @@ FROM conversations""")
 
 cte("demographics", """
 SELECT CASE WHEN n.n_regionkey = 1 THEN 'US' ELSE 'CO' END AS country_code,
-       concat('Z', CAST(c.c_custkey % 7 AS VARCHAR)) AS zip_or_municipio,
+       CASE WHEN n.n_regionkey = 1 THEN concat('Z', CAST(c.c_custkey % 7 AS VARCHAR)) ELSE n.n_name END AS zip_or_municipio,
        CAST(2022 + c.c_custkey % 2 AS INT) AS year,
        CAST(count(*) * 1000 AS BIGINT) AS population,
        CAST(floor(avg(c.c_acctbal) * 10) AS BIGINT) AS median_income_usd,
@@ -167,12 +181,13 @@ cte("fx_latest", "SELECT rate AS fx_rate FROM fx WHERE from_currency = 'COP' AND
                  "ORDER BY date DESC, rate DESC LIMIT 1", ["fx"])
 
 cte("silver_listings", f"""
-SELECT listing_id, source, country_code, city, CAST(NULL AS VARCHAR) AS state_or_dept, zip_or_municipio,
-       barrio_or_neighborhood, lat, lon, price_usd,
-       CASE WHEN country_code = 'CO' THEN CAST(trunc(CAST(price_usd AS DOUBLE) * fx_rate) AS BIGINT) ELSE price_usd END AS price_local,
+SELECT listing_id, source, country_code, city, CASE WHEN country_code = 'CO' THEN departamento END AS state_or_dept, zip_or_municipio,
+       barrio_or_neighborhood, lat, lon, CASE WHEN country_code = 'CO' THEN CAST(trunc(CAST(price_cop AS DOUBLE) / nullif(fx_rate, 0)) AS BIGINT) ELSE price_usd END AS price_usd,
+       CASE WHEN country_code = 'CO' THEN price_cop ELSE price_usd END AS price_local,
        CASE WHEN country_code = 'CO' THEN 'COP' ELSE 'USD' END AS local_currency,
-       CASE WHEN area_sqft > 0 THEN CAST(price_usd AS DOUBLE) / area_sqft END AS price_per_sqft_usd,
-       area_sqft, bedrooms, bathrooms, {PROPERTY_CASE} AS property_type,
+       CASE WHEN country_code = 'CO' THEN CAST(price_cop AS DOUBLE) / fx_rate / (area_m2 * 10.7639e0)
+            WHEN area_sqft > 0 THEN CAST(price_usd AS DOUBLE) / area_sqft END AS price_per_sqft_usd,
+       CASE WHEN country_code = 'CO' THEN area_m2 * 10.7639e0 ELSE area_sqft END AS area_sqft, bedrooms, bathrooms, {PROPERTY_CASE} AS property_type,
        CAST(NULL AS VARCHAR) AS listing_url, CAST(NULL AS INT) AS days_on_market,
        CAST(scraped_at AS DATE) AS listing_date, scraped_at
 FROM (SELECT *, row_number() OVER (PARTITION BY listing_id ORDER BY scraped_at DESC, seq DESC) AS rn
@@ -187,12 +202,16 @@ SELECT geo_id, country_code, city, zip_or_municipio, date, median_price_usd,
        CASE WHEN months_of_supply < 2 THEN 'hot' WHEN months_of_supply < 4 THEN 'warm'
             WHEN months_of_supply < 6 THEN 'cool' WHEN months_of_supply IS NOT NULL THEN 'cold' END AS market_temp
 FROM (SELECT concat_ws('_', country_code, city, zip_or_municipio) AS geo_id, country_code, city, zip_or_municipio,
-             date, median_price_usd, CAST(NULL AS INT) AS median_days_on_market, inventory_count, homes_sold,
+             date, median_price_usd, median_days_on_market, inventory_count, homes_sold,
              lag(median_price_usd, 3) OVER w AS lag3, lag(median_price_usd, 12) OVER w AS lag12,
              CASE WHEN homes_sold IS NOT NULL AND homes_sold > 0 AND inventory_count IS NOT NULL
                   THEN CAST(inventory_count AS DOUBLE) / CAST(homes_sold AS DOUBLE) END AS months_of_supply
-      FROM market_raw WHERE median_price_usd IS NOT NULL
-      WINDOW w AS (PARTITION BY country_code, city, zip_or_municipio ORDER BY date)) s""", ["market_raw"])
+      FROM (SELECT country_code, city, zip_or_municipio, date, homes_sold, median_days_on_market,
+                   CASE WHEN country_code = 'US' THEN inventory_count END AS inventory_count,
+                   CASE WHEN country_code = 'US' THEN coalesce(median_sale_price_usd, median_list_price_usd)
+                        ELSE CAST(trunc(CAST(new_construction_price_cop AS DOUBLE) / nullif(fx_rate, 0)) AS BIGINT) END AS median_price_usd
+            FROM market_raw CROSS JOIN fx_latest) m WHERE median_price_usd IS NOT NULL
+      WINDOW w AS (PARTITION BY country_code, city, zip_or_municipio ORDER BY date)) s""", ["market_raw", "fx_latest"])
 
 HAZ = ["flood", "earthquake", "wildfire", "tornado", "landslide"]
 _piv = ",\n".join(f"coalesce(max(CASE WHEN hazard_type = '{h}' THEN risk_score * 1e2 END), 0e0) AS {h}_risk_score" for h in HAZ)
@@ -238,7 +257,7 @@ GROUP BY 1, 2""", ["crime"])
 
 cte("school_stats", """
 SELECT country_code, city, count(*) AS school_count,
-       avg((coalesce(math_pct, 0e0) + coalesce(reading_pct, 0e0)) / 2e0) AS school_score_normalized
+       avg(CASE WHEN country_code = 'US' THEN (coalesce(math_pct, 0e0) + coalesce(reading_pct, 0e0)) / 2e0 ELSE icfes_percentile END) AS school_score_normalized
 FROM schools GROUP BY 1, 2""", ["schools"])
 
 cte("amenity_counts", """
@@ -363,7 +382,11 @@ SELECT * FROM
                   JOIN (SELECT country_code, city, max(date) AS mx FROM market_summary GROUP BY 1, 2) x
                     ON m.country_code = x.country_code AND m.city = x.city AND m.date = x.mx
                   GROUP BY 1, 2) mp
-   USING (country_code, city)""", ["scorecard", "comparison_index", "market_summary"])
+   USING (country_code, city)
+ LEFT JOIN (SELECT e.country_code, e.city, avg(e.unemployment_rate) AS unemployment_rate FROM economic e
+            JOIN (SELECT country_code, city, max(date) AS mx FROM economic GROUP BY 1, 2) x
+              ON e.country_code = x.country_code AND e.city = x.city AND e.date = x.mx GROUP BY 1, 2) un
+   USING (country_code, city)""", ["scorecard", "comparison_index", "market_summary", "economic"])
 
 PAIRS_SQL = ("(VALUES ('NATION_1','NATION_0'),('NATION_6','NATION_0'),('NATION_11','NATION_0'),('NATION_16','NATION_0'),"
              "('NATION_21','NATION_0'),('NATION_1','NATION_2'),('NATION_6','NATION_2'),('NATION_11','NATION_3'),"
@@ -379,8 +402,8 @@ SELECT concat_ws('_', p.us_city, p.co_city, '2024-01-01') AS comparison_id, p.us
        CASE WHEN u.median_price_usd <> 0 AND c.median_price_usd <> 0 THEN c.median_price_usd / u.median_price_usd END AS price_ratio,
        {', '.join(f'u.{s} AS us_{n}, c.{s} AS co_{n}' for s, n in _CMP)}
 FROM {PAIRS_SQL}
-LEFT JOIN (SELECT *, CAST(NULL AS DOUBLE) AS unemployment_rate FROM city_metrics WHERE country_code = 'US') u ON p.us_city = u.city
-LEFT JOIN (SELECT *, CAST(NULL AS DOUBLE) AS unemployment_rate FROM city_metrics WHERE country_code = 'CO') c ON p.co_city = c.city""",
+LEFT JOIN (SELECT * FROM city_metrics WHERE country_code = 'US') u ON p.us_city = u.city
+LEFT JOIN (SELECT * FROM city_metrics WHERE country_code = 'CO') c ON p.co_city = c.city""",
     ["city_metrics"])
 
 cte("listing_map", """
@@ -408,12 +431,10 @@ LEFT JOIN (SELECT m.country_code, m.city, avg(m.median_price_usd) AS latest_medi
   ON s.country_code = lm.country_code AND s.city = lm.city""", ["scorecard", "market_summary"])
 
 cte("school_rankings", """
-SELECT school_id, country_code, city, CAST(NULL AS VARCHAR) AS state_or_dept, CAST(NULL AS VARCHAR) AS zip_or_municipio,
-       CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon, CAST(NULL AS VARCHAR) AS school_name,
-       CAST(NULL AS VARCHAR) AS grade_levels, CAST(NULL AS INT) AS enrollment, CAST(NULL AS VARCHAR) AS school_type,
+SELECT school_id, country_code, city, state_or_dept, zip_or_municipio, lat, lon, school_name, grade_levels, enrollment, school_type,
        CASE WHEN s < 0 THEN 0e0 WHEN s > 100 THEN 1e2 ELSE s END AS school_score_normalized,
-       CAST(NULL AS INT) AS score_year
-FROM (SELECT *, CASE WHEN math_pct IS NOT NULL OR reading_pct IS NOT NULL
+       CASE WHEN country_code <> 'US' THEN icfes_year END AS score_year
+FROM (SELECT *, CASE WHEN country_code <> 'US' THEN icfes_percentile WHEN math_pct IS NOT NULL OR reading_pct IS NOT NULL
                      THEN (coalesce(math_pct, 0e0) + coalesce(reading_pct, 0e0)) / 2e0 END AS s FROM schools) x""",
     ["schools"])
 

@@ -90,8 +90,7 @@ METRIC_DOUBLES = ["crime_per_100k", "composite_score", "hazard_score", "amenity_
                   "weather_extreme_days", "norm_school", "median_price_usd"]
 
 
-@register("c19_city_metrics", O.rounded(O.sql("SELECT *, CAST(NULL AS DOUBLE) AS unemployment_rate FROM city_metrics",
-                                              "city_metrics"), METRIC_DOUBLES + ["unemployment_rate"]))
+@register("c19_city_metrics", O.rounded(O.sql("SELECT * FROM city_metrics", "city_metrics"), METRIC_DOUBLES + ["unemployment_rate"]))
 def c19(spark, d):
     return P(spark, d).city_metrics
 

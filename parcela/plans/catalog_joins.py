@@ -31,7 +31,7 @@ SELECT l.listing_id, l.seq, m.median_price_usd FROM listings_raw l
 JOIN market_latest_area m ON l.country_code = m.country_code AND l.city = m.city AND l.zip_or_municipio = m.zip_or_municipio""",
     "listings_raw", "market_latest_area"))
 def j01(spark, d):
-    ms = silver.market_summary(B(spark, d, "market"))
+    ms = silver.market_summary(B(spark, d, "market"), B(spark, d, "fx"))
     m = gold.latest_area_market(ms).select(*KEYS3, "median_price_usd")
     return B(spark, d, "listings").join(m, KEYS3, "inner").select("listing_id", "seq", "median_price_usd")
 
@@ -276,8 +276,11 @@ def w02(spark, d):
 
 
 @register("w03_pct_change", O.rounded(O.sql("""
-SELECT country_code, city, zip_or_municipio, date, price_trend_3mo_pct, price_trend_12mo_pct FROM market_summary""",
-    "market_summary"), ["price_trend_3mo_pct", "price_trend_12mo_pct"]))
+SELECT country_code, city, zip_or_municipio, date, CASE WHEN l3 > 0 THEN 1e2 * (median_price_usd - l3) / l3 END AS price_trend_3mo_pct,
+       CASE WHEN l12 > 0 THEN 1e2 * (median_price_usd - l12) / l12 END AS price_trend_12mo_pct
+FROM (SELECT *, lag(median_price_usd, 3) OVER w AS l3, lag(median_price_usd, 12) OVER w AS l12 FROM market_raw
+      WINDOW w AS (PARTITION BY country_code, city, zip_or_municipio ORDER BY date)) x""",
+    "market_raw"), ["price_trend_3mo_pct", "price_trend_12mo_pct"]))
 def w03(spark, d):
     m = B(spark, d, "market")
     out = windows.lag_change(m, KEYS3, "date", "median_price_usd", {"price_trend_3mo_pct": 3, "price_trend_12mo_pct": 12})

@@ -39,11 +39,11 @@ def t01(spark, d):
 SELECT * FROM one UNION ALL SELECT * FROM agg WHERE (SELECT count(*) FROM one) = 0""", "scorecard", extra={
     "base": "SELECT * FROM scorecard WHERE country_code = 'CO' AND lower(city) = 'nation_0'",
     "one": f"SELECT profile_id, zip_or_municipio, barrio, {', '.join(_PM)}, 'row' AS source FROM base "
-           "WHERE zip_or_municipio = 'Z3' ORDER BY profile_id LIMIT 1",
+           "WHERE zip_or_municipio = 'NATION_0' ORDER BY profile_id LIMIT 1",
     "agg": f"SELECT CAST(NULL AS VARCHAR) AS profile_id, CAST(NULL AS VARCHAR) AS zip_or_municipio, CAST(NULL AS VARCHAR) AS barrio, "
            f"{', '.join(f'avg({c}) AS {c}' for c in _PM)}, 'aggregate' AS source FROM base HAVING count(*) > 0"}), _PM))
 def t02(spark, d):
-    return tools.neighborhood_profile(Pipeline(spark, d).stage("scorecard"), "CO", "NATION_0", zip_or_municipio="Z3")
+    return tools.neighborhood_profile(Pipeline(spark, d).stage("scorecard"), "CO", "NATION_0", zip_or_municipio="NATION_0")
 
 
 @register("t03_crime_stats", O.sql("""
@@ -107,11 +107,11 @@ def t07(spark, d):
 @register("t08_area_demographics", O.rounded(O.sql("""
 SELECT CAST(sum(population) AS BIGINT) AS population, CAST(NULL AS DOUBLE) AS median_age, avg(median_income_usd) AS median_income, avg(pct_homeowner) AS pct_homeowner,
        avg(median_income_usd) / (SELECT fx_rate FROM fx_latest) AS median_income_usd
-FROM demographics WHERE country_code = 'CO' AND zip_or_municipio = 'Z2'""", "demographics", "fx_latest"),
+FROM demographics WHERE country_code = 'CO' AND zip_or_municipio = 'NATION_2'""", "demographics", "fx_latest"),
     ["median_income", "pct_homeowner", "median_income_usd"]))
 def t08(spark, d):
     t = T(spark, d)
-    return tools.area_demographics(bindings.demographics(t), silver.latest_fx(bindings.fx(t)), "CO", "Z2")
+    return tools.area_demographics(bindings.demographics(t), silver.latest_fx(bindings.fx(t)), "CO", "NATION_2")
 
 
 @register("t09_nearby_amenities", O.sql("""

@@ -70,12 +70,14 @@ class Pipeline:
     def weather(self) -> DataFrame: return bindings.weather(self.t)
     @cached_property
     def demographics(self) -> DataFrame: return bindings.demographics(self.t)
+    @cached_property
+    def economic(self) -> DataFrame: return bindings.economic(self.t)
 
     # silver
     @cached_property
     def listings(self) -> DataFrame: return silver.silver_listings(self.listings_raw, self.fx)
     @cached_property
-    def market_summary(self) -> DataFrame: return silver.market_summary(self.market_raw)
+    def market_summary(self) -> DataFrame: return silver.market_summary(self.market_raw, self.fx)
     @cached_property
     def risk(self) -> DataFrame: return silver.risk_profile(self.hazards, self.updated_at)
     @cached_property
@@ -95,7 +97,7 @@ class Pipeline:
     def comparison_index(self) -> DataFrame: return gold.comparison_index(self.stage("scorecard"))
     @cached_property
     def city_metrics(self) -> DataFrame:
-        return gold.city_metrics(self.comparison_index, self.stage("scorecard"), self.stage("market_summary"))
+        return gold.city_metrics(self.comparison_index, self.stage("scorecard"), self.stage("market_summary"), self.economic)
     def city_comparison(self, pairs=CITY_PAIRS, comparison_date: str = COMPARISON_DATE) -> DataFrame:
         p = self.spark.createDataFrame(list(pairs), "us_city string, co_city string")
         return gold.city_comparison(p, self.city_metrics, comparison_date)

@@ -40,7 +40,7 @@ def listings(t: Tables) -> DataFrame:
         ok.alias("seq"),
         country.alias("country_code"),
         F.col("n_name").alias("city"),
-        F.concat(F.lit("Z"), (ck % 7).cast("string")).alias("zip_or_municipio"),
+        F.when(F.col("n_regionkey") == 1, F.concat(F.lit("Z"), (ck % 7).cast("string"))).otherwise(F.col("n_name")).alias("zip_or_municipio"),
         F.floor("o_totalprice").cast("bigint").alias("price_usd"),
         (ok % 6).cast("int").alias("bedrooms"),
         F.when(ok % 11 == 0, F.lit(None).cast("double"))
@@ -58,26 +58,35 @@ def listings(t: Tables) -> DataFrame:
          .otherwise(F.concat(F.lit("B"), (ok % 4).cast("string"))).alias("barrio_or_neighborhood"),
         (F.lit(1) + ok % 3).cast("double").alias("bathrooms"),
         F.when(ok % 2 == 0, "site_a").otherwise("site_b").alias("source"),
+        F.when(F.col("n_regionkey") != 1, F.floor("o_totalprice").cast("bigint") * 4000 + ok % 1000),
+        F.when((F.col("n_regionkey") != 1) & (ok % 11 != 0), (F.lit(30) + ok % 200).cast("double")),
+        F.when(F.col("n_regionkey") != 1, F.concat(F.lit("D"), (ck % 5).cast("string"))),
     ).toDF("listing_id", "seq", "country_code", "city", "zip_or_municipio", "price_usd",
            "bedrooms", "area_sqft", "property_type", "scraped_at", "lat", "lon",
-           "barrio_or_neighborhood", "bathrooms", "source")
+           "barrio_or_neighborhood", "bathrooms", "source", "price_cop", "area_m2", "departamento")
 
 
 def market(t: Tables) -> DataFrame:
-    """b_market: monthly series per (country, city, zip) with gaps."""
+    """b_market: monthly series per area (US by zip, CO by city) with gaps. ``median_price_usd`` is the plain median; beside it
+    stand the prices as the two countries land them: US sale (not every month) and list prices, CO prices in COP."""
     j = _orders_geo(t)
     keys = ["country_code", "city", "zip_or_municipio", "date"]
+    us = F.col("country_code") == "US"
     counts = (j.groupBy(
                 _country(F.col("n_regionkey")).alias("country_code"),
                 F.col("n_name").alias("city"),
-                F.concat(F.lit("Z"), (F.col("o_custkey") % 7).cast("string")).alias("zip_or_municipio"),
+                F.when(F.col("n_regionkey") == 1, F.concat(F.lit("Z"), (F.col("o_custkey") % 7).cast("string"))).otherwise(F.col("n_name")).alias("zip_or_municipio"),
                 F.date_trunc("month", "o_orderdate").cast("date").alias("date"), "o_totalprice")
               .agg(F.count(F.lit(1)).alias("n"),
                    F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).cast("bigint").alias("f")))
     every = counts.groupBy(*keys).agg(F.sum("n").alias("inventory_count"), F.sum("f").alias("homes_sold"))
     medians = median.median_of_counts(counts, keys, "o_totalprice", "n", "m")
     return every.join(medians, keys, "left").select(
-        *keys, F.floor("m").cast("bigint").alias("median_price_usd"), "inventory_count", "homes_sold")
+        *keys, F.floor("m").cast("bigint").alias("median_price_usd"), "inventory_count", "homes_sold") \
+        .select("*", F.when(us & (F.month("date") % 3 != 0), F.col("median_price_usd")).alias("median_sale_price_usd"),
+                F.when(us, F.col("median_price_usd") + 500).alias("median_list_price_usd"),
+                F.when(~us, F.col("median_price_usd") * 4000 + 7).alias("new_construction_price_cop"),
+                F.when(us, (F.col("inventory_count") % 90).cast("int")).alias("median_days_on_market"))
 
 
 def hazards(t: Tables) -> DataFrame:
@@ -135,9 +144,10 @@ def amenities(t: Tables) -> DataFrame:
 
 
 def schools(t: Tables) -> DataFrame:
-    """b_schools: two nullable scores, some sentinel negatives."""
+    """b_schools: US schools with two nullable scores, some sentinel negatives; CO schools with a nullable percentile."""
     p = t.part
     k = F.col("p_partkey")
+    us = k % 5 == 1
     return p.select(
         k.cast("string").alias("school_id"),
         F.when(k % 5 == 1, "US").otherwise("CO").alias("country_code"),
@@ -146,7 +156,16 @@ def schools(t: Tables) -> DataFrame:
          .otherwise((F.col("p_size") * 2).cast("double")).alias("math_pct"),
         F.when(k % 6 == 0, F.lit(None).cast("double"))
          .otherwise(((k * 37) % 101).cast("double")).alias("reading_pct"),
-    )
+        F.when(~us & (k % 7 != 0), ((k * 53) % 1010).cast("double") / 10).alias("icfes_percentile"),
+        F.concat(F.when(us, "S").otherwise("D"), (k % 5).cast("string")).alias("state_or_dept"),
+        F.when(us, F.concat(F.lit("Z"), (k % 7).cast("string"))).otherwise(F.concat(F.lit("NATION_"), (k % 25).cast("string"))).alias("zip_or_municipio"),
+        ((k * 7919) % 12000).cast("double") / 1e2 - 6e1, ((k * 104729) % 35900).cast("double") / 1e2 - 179.5,
+        F.col("p_name").alias("school_name"), F.when(k % 3 == 0, "KG-05").otherwise("06-12").alias("grade_levels"),
+        (F.col("p_size") * 10).cast("int").alias("enrollment"),
+        F.when(us, "regular").when(k % 2 == 0, "oficial").otherwise("privado").alias("school_type"),
+        F.when(~us, (F.lit(2020) + k % 4).cast("int")).alias("icfes_year"),
+    ).toDF("school_id", "country_code", "city", "math_pct", "reading_pct", "icfes_percentile", "state_or_dept", "zip_or_municipio",
+           "lat", "lon", "school_name", "grade_levels", "enrollment", "school_type", "icfes_year")
 
 
 def weather(t: Tables) -> DataFrame:
@@ -204,10 +223,10 @@ def plans(t: Tables) -> DataFrame:
 def demographics(t: Tables) -> DataFrame:
     """Demographics per (country, zip, year) from customers: population, income, homeowner share."""
     c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    n = F.broadcast(t.nation.select("n_nationkey", "n_regionkey"))
+    n = F.broadcast(t.nation.select("n_nationkey", "n_name", "n_regionkey"))
     j = c.join(n, c.c_nationkey == n.n_nationkey)
     return (j.groupBy(_country(F.col("n_regionkey")).alias("country_code"),
-                      F.concat(F.lit("Z"), (F.col("c_custkey") % 7).cast("string")).alias("zip_or_municipio"),
+                      F.when(F.col("n_regionkey") == 1, F.concat(F.lit("Z"), (F.col("c_custkey") % 7).cast("string"))).otherwise(F.col("n_name")).alias("zip_or_municipio"),
                       (F.lit(2022) + F.col("c_custkey") % 2).cast("int").alias("year"))
              .agg((F.count(F.lit(1)) * 1000).cast("bigint").alias("population"),
                   F.floor(F.avg("c_acctbal") * 10).cast("bigint").alias("median_income_usd"),
