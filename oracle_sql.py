@@ -6,6 +6,8 @@ assembles a statement with the CTEs it needs, in dependency order.
 
 from __future__ import annotations
 
+from parcela.sources.bindings import PLAN_EXTRAS
+
 UPDATED_AT = "TIMESTAMP '2024-01-01 00:00:00'"
 
 CTE: dict[str, str] = {}
@@ -155,9 +157,10 @@ FROM lineitem""")
 
 cte("plans", """
 SELECT conv_id, turn, role,
-       concat('{"intent":"t', CAST(turn AS VARCHAR), '","tool_calls":[{"tool":"get_market_trends","params":{"country_code":"',
+       concat('{"intent":"t', CAST(turn AS VARCHAR), '","reasoning":"because ', CAST(conv_id % 9 AS VARCHAR), '","tool_calls":[{"tool":"get_market_trends","params":{"country_code":"',
               CASE WHEN conv_id % 3 = 0 THEN 'US' ELSE 'CO' END, '","city":"NATION_', CAST(conv_id % 25 AS VARCHAR),
               '"}}', CASE WHEN conv_id % 4 = 0 THEN ',{"tool":"compare_cities","params":{"us_city":"NATION_1","co_city":"NATION_2"}}' ELSE '' END,
+              [""" + ", ".join(f"'{x}'" for x in PLAN_EXTRAS) + """][conv_id % """ + str(len(PLAN_EXTRAS)) + """ + 1],
               ']}') AS plan_json
 FROM conversations""")
 
@@ -452,7 +455,8 @@ SELECT c.conv_id, c.turn, c.call_index, c.tool,
        CASE WHEN c.tool = 'get_market_trends' THEN m.d ELSE k.comparison_date END AS result_date,
        CASE WHEN c.tool = 'get_market_trends' THEN CAST(m.p AS DOUBLE) ELSE coalesce(k.price_ratio, k.us_school) END AS result_value,
        CASE WHEN c.tool = 'get_market_trends' AND m.d IS NULL THEN 'no data'
-            WHEN c.tool = 'compare_cities' AND k.comparison_date IS NULL THEN 'medians' END AS message
+            WHEN c.tool = 'compare_cities' AND k.comparison_date IS NULL AND k.us_school IS NULL THEN 'insufficient data'
+            WHEN c.tool NOT IN ('get_market_trends', 'compare_cities') THEN 'unsupported tool' END AS message
 FROM (SELECT conv_id, turn, CAST(i AS INT) AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
              json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
              json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
@@ -462,7 +466,7 @@ FROM (SELECT conv_id, turn, CAST(i AS INT) AS call_index, json_extract_string(pl
 LEFT JOIN (SELECT country_code, city, arg_max(date, (date, zip_or_municipio)) AS d, arg_max(median_price_usd, (date, zip_or_municipio)) AS p
            FROM market_summary GROUP BY 1, 2) m ON c.tool = 'get_market_trends' AND c.country_code = m.country_code AND c.city = m.city
 LEFT JOIN (SELECT r.us_city, r.co_city, s.comparison_date, s.price_ratio, u.s AS us_school
-           FROM (SELECT DISTINCT us_city, co_city FROM city_comparison) r0 RIGHT JOIN (VALUES ('NATION_1', 'NATION_2')) AS r(us_city, co_city)
+           FROM (SELECT DISTINCT us_city, co_city FROM city_comparison) r0 RIGHT JOIN (VALUES ('NATION_1', 'NATION_2'), ('NATION_1', 'NATION_3')) AS r(us_city, co_city)
              ON r0.us_city = r.us_city AND r0.co_city = r.co_city
            LEFT JOIN (SELECT us_city, co_city, max(comparison_date) AS comparison_date, arg_max(price_ratio, comparison_date) AS price_ratio
                       FROM city_comparison GROUP BY 1, 2) s ON r.us_city = s.us_city AND r.co_city = s.co_city
@@ -476,7 +480,10 @@ SELECT conv_id, turn, CAST(i AS INT) AS call_index, json_extract_string(plan_jso
        json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
        json_extract_string(plan_json, '$.tool_calls[' || i || '].params.us_city') AS us_city,
        json_extract_string(plan_json, '$.tool_calls[' || i || '].params.co_city') AS co_city,
-       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.months_back') AS months_back
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.months_back') AS months_back,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.limit') AS lim,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.bedrooms_min') AS bedrooms_min,
+       json_extract_string(plan_json, '$.tool_calls[' || i || '].params.min_price_usd') AS min_price_usd
 FROM plans, range(CAST(json_array_length(plan_json, '$.tool_calls') AS BIGINT)) AS t(i)""", ["plans"])
 
 cte("plan_cities", """
@@ -492,35 +499,49 @@ FROM (SELECT conv_id, turn, unnest([country_code, CASE WHEN us_city IS NOT NULL
                                     CASE WHEN co_city IS NOT NULL THEN 'CO' END]) AS k FROM plan_calls) x
 GROUP BY 1, 2""", ["plan_calls"])
 
+cte("results", f"""
+SELECT conv_id, turn, call_order, ['search_listings', 'get_market_trends', 'compare_cities', 'get_hazard_risks', 'get_school_rankings'][k + 1] AS tool,
+       CASE WHEN k = 0 THEN concat('[', array_to_string([concat('{{"listing_id":"L', s, '","price_usd":', s * 1000 + j, ',"city":"X"}}') for j in range(1, s % 4 + 1)], ','), ']')
+            WHEN k = 1 AND s % 5 = 0 THEN concat('{{"message":"No market data for CO/NATION_', s % 25, '"}}')
+            WHEN k = 1 THEN concat('{{"city":"NATION_', s % 25, '","latest_median_price_usd":', s * 100, ',"market_temp":"hot","note":"{'n' * 70}","monthly_series":[{{"m":1}}],"flag":true,"zip":null}}')
+            WHEN k = 2 THEN concat('{{"us_city":"NATION_1","co_city":"NATION_2","aggregate":true,"us_metrics":{{"a":1}},"price_ratio":', s, '}}')
+            WHEN k = 3 AND s % 7 = 0 THEN '{{"error":"ValueError: bad"}}'
+            WHEN k = 3 THEN concat('{{"composite_hazard_score":', s, ',"risk_label":null}}')
+            ELSE concat('[{{"school_id":"1","school_score_normalized":', s, '}}]') END AS result_json
+FROM (SELECT conv_id, turn, CAST(i AS INT) AS call_order, (conv_id + turn + i * i) % 5 AS k, conv_id * 10 + turn + i AS s
+      FROM conversations, range(conv_id % 3 + 2) AS t(i)) x""")
+
 cte("evidence", """
-SELECT conv_id, turn, tool, first_call, is_list, n_rows, r.m AS message, r.v AS value,
-       CASE WHEN is_list THEN n_rows = 0 ELSE r.m IS NOT NULL END AS sparse,
-       CASE WHEN is_list THEN n_rows ELSE CASE WHEN r.m IS NULL THEN 1 ELSE 0 END END AS c
-FROM (SELECT conv_id, turn, tool, min(call_index) AS first_call, arg_max({'v': result_value, 'm': message}, call_index) AS r,
-             tool = 'get_market_trends' AS is_list,
-             CASE WHEN tool = 'get_market_trends' THEN CASE WHEN arg_max({'v': result_value, 'm': message}, call_index).m IS NULL THEN 1 ELSE 0 END END AS n_rows
-      FROM dispatch GROUP BY conv_id, turn, tool) x""", ["dispatch"])
+SELECT conv_id, turn, call_order, tool,
+       CASE WHEN is_list THEN n_rows WHEN 'message' IN ks THEN 0 ELSE 1 END AS records,
+       CASE WHEN is_list THEN n_rows = 0 ELSE 'message' IN ks OR 'error' IN ks END AS sparse,
+       concat('{', array_to_string(list_concat(CASE WHEN is_list THEN [concat('"count":', n_rows)] ELSE [] END,
+         [concat('"', CASE WHEN is_list THEN 'first_' ELSE '' END, k, '":', CAST(json_extract(o, concat('$.', k)) AS VARCHAR)) for k in list_sort(ks)
+          if json_type(o, concat('$.', k)) IN ('UBIGINT', 'BIGINT', 'DOUBLE')
+             or (not is_list and json_type(o, concat('$.', k)) = 'VARCHAR' and length(json_extract_string(o, concat('$.', k))) < 64)]), ','), '}') AS facts,
+       CASE WHEN is_list THEN concat('- ', tool, ': ', n_rows, ' rows')
+            WHEN 'message' IN ks THEN concat('- ', tool, ': ', json_extract_string(o, '$.message'))
+            ELSE concat('- ', tool, ': ', len(ks), ' fields') END AS line
+FROM (SELECT *, coalesce(json_keys(o), []) AS ks FROM
+       (SELECT conv_id, turn, call_order, starts_with(result_json, '[') AS is_list,
+               CASE WHEN row_number() OVER (PARTITION BY conv_id, turn, tool ORDER BY call_order) = 1 THEN tool ELSE concat(tool, '_', call_order) END AS tool,
+               CAST(CASE WHEN starts_with(result_json, '[') THEN json_array_length(result_json) ELSE 0 END AS INT) AS n_rows,
+               CASE WHEN starts_with(result_json, '[') THEN json_extract(result_json, '$[0]') ELSE CAST(result_json AS JSON) END AS o
+        FROM results) x) y""", ["results"])
 
 cte("session_summary", """
-SELECT conv_id, turn, CAST(sum(c) AS INT) AS evidence_record_count,
-       string_agg(tool, ',' ORDER BY first_call, tool) AS tool_names_used,
-       concat('{', string_agg(concat('"', tool, '":', fact), ',' ORDER BY first_call, tool), '}') AS structured_results_json,
-       string_agg(line, chr(10) ORDER BY first_call, tool) AS evidence_summary,
+SELECT conv_id, turn, CAST(sum(records) AS INT) AS evidence_record_count,
+       string_agg(tool, ',' ORDER BY call_order) AS tool_names_used,
+       concat('{', string_agg(concat('"', tool, '":', facts), ',' ORDER BY call_order), '}') AS structured_results_json,
+       string_agg(line, chr(10) ORDER BY call_order) AS evidence_summary,
        bool_or(sparse) AS any_sparse
-FROM (SELECT *, CASE WHEN is_list THEN CASE WHEN n_rows > 0 THEN concat('{"count":1,"first_result_value":', printf('%.6f', value), '}')
-                                            ELSE '{"count":0}' END
-                     ELSE CASE WHEN message IS NOT NULL THEN concat('{"message":"', message, '"}')
-                               ELSE concat('{"result_value":', printf('%.6f', value), '}') END END AS fact,
-                CASE WHEN is_list THEN printf('- %s: %d rows', tool, n_rows)
-                     ELSE CASE WHEN message IS NOT NULL THEN printf('- %s: %s', tool, message) ELSE printf('- %s: %d fields', tool, 1) END END AS line
-      FROM evidence) e
-GROUP BY 1, 2""", ["evidence"])
+FROM evidence GROUP BY 1, 2""", ["evidence"])
 
 cte("sessions", """
 SELECT concat_ws('_', CAST(u.conv_id AS VARCHAR), CAST(u.turn AS VARCHAR)) AS session_id,
        TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(u.conv_id AS BIGINT)) + to_seconds(CAST(u.turn AS DOUBLE)) AS timestamp,
        u.text AS user_question, coalesce(json_extract_string(p.plan_json, '$.intent'), 'unknown') AS intent,
-       '' AS planner_reasoning, p.plan_json,
+       coalesce(json_extract_string(p.plan_json, '$.reasoning'), '') AS planner_reasoning, p.plan_json,
        coalesce(CASE WHEN u.next_role = 'assistant' THEN u.next_text END, '') AS answer_text,
        coalesce(s.structured_results_json, '{}') AS structured_results_json,
        coalesce(k.country_filter, 'UNKNOWN') AS country_filter, coalesce(c.cities_mentioned, '') AS cities_mentioned,

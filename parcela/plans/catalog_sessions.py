@@ -14,11 +14,8 @@ from .pipeline import Pipeline
 KEYS = ["conv_id", "turn"]
 
 
-def _results(spark, d):
-    p = Pipeline(spark, d)
-    plans = bindings.plans(p.t)
-    calls = tools.plan_calls(plans)
-    return p, plans, tools.dispatch(calls, p.market_summary, p.city_comparison(), p.comparison_index)
+def _evidence(spark, d):
+    return sessions.evidence(bindings.results(Tables.shared(spark, d)))
 
 
 @register("g01_cities_from_plan", O.sql("SELECT * FROM plan_cities", "plan_cities"))
@@ -35,86 +32,99 @@ def g02(spark, d):
 
 @register("g03_record_count", O.sql("SELECT conv_id, turn, evidence_record_count FROM session_summary", "session_summary"))
 def g03(spark, d):
-    _, _, res = _results(spark, d)
-    return sessions.session_summary(sessions.evidence(res)).select(*KEYS, "evidence_record_count")
+    return sessions.session_summary(_evidence(spark, d)).select(*KEYS, "evidence_record_count")
 
 
 @register("g04_numeric_facts", O.sql("SELECT conv_id, turn, structured_results_json FROM session_summary", "session_summary"))
 def g04(spark, d):
-    _, _, res = _results(spark, d)
-    return sessions.session_summary(sessions.evidence(res)).select(*KEYS, "structured_results_json")
+    return sessions.session_summary(_evidence(spark, d)).select(*KEYS, "structured_results_json")
 
 
 @register("g05_session_append", O.sql("SELECT * FROM sessions", "sessions"))
 def g05(spark, d):
-    p, plans, res = _results(spark, d)
-    return sessions.session_rows(plans, p.t.conversations, res)
+    t = Tables.shared(spark, d)
+    return sessions.session_rows(bindings.plans(t), t.conversations, bindings.results(t))
 
 
 _CITY_SQL = ("CASE WHEN lower(text) LIKE '%bogot%' THEN 'Bogota' WHEN lower(text) LIKE '%medell%' THEN 'Medellin' "
              + " ".join(f"WHEN lower(text) LIKE '%{c}%' THEN '{c.title()}'" for c in sessions.US_CITIES) + " END")
 
 
+def _call_sql(tool: str, **params) -> str:
+    body = " || ',' || ".join(f"""'"{k}":"' || {v} || '"'""" for k, v in params.items())
+    return f"""'{{"tool":"{tool}","params":{{' || {body} || '}}}}'"""
+
+
 def _route_sql() -> str:
-    parts = ["CASE WHEN city IS NOT NULL THEN 'get_neighborhood_profile' END",
-             "CASE WHEN city IS NOT NULL THEN 'get_market_trends' END"]
+    parts = ["CASE WHEN city IS NOT NULL THEN " + _call_sql("get_neighborhood_profile", country_code="country", city="city") + " END",
+             "CASE WHEN city IS NOT NULL THEN " + _call_sql("get_market_trends", country_code="country", city="city", months_back="12") + " END"]
+    more = {"get_school_rankings": {"limit": "8"}, "get_crime_stats": {"months_back": "12"},
+            "get_affordability_analysis": {"annual_income_usd": "70000", "down_payment_usd": "20000"}}
     for words, tool in sessions.KEYWORD_TOOLS:
         cond = " OR ".join(f"lower(text) LIKE '%{w}%'" for w in words)
-        parts.append(f"CASE WHEN {cond} THEN '{tool}' END")
+        call = _call_sql(tool, us_city="'Miami'", co_city="coalesce(city, 'Medellin')") if tool == "compare_cities" else \
+            _call_sql(tool, country_code="coalesce(country, 'CO')", city="coalesce(city, 'Medellin')", **more.get(tool, {}))
+        parts.append(f"CASE WHEN {cond} THEN {call} END")
     return f"list_filter([{', '.join(parts)}], lambda x: x IS NOT NULL)"
 
 
+_DEFAULT_SQL = "[" + _call_sql("search_listings", country_code="'CO'", city="'Medellin'", limit="10") + ", " + \
+    _call_sql("get_market_trends", country_code="'CO'", city="'Medellin'", months_back="12") + "]"
+
+
 @register("g06_keyword_router", f"""
-SELECT conv_id, turn, city,
-       array_to_string(CASE WHEN len(r) = 0 THEN ['search_listings', 'get_market_trends'] ELSE r[1:5] END, ',') AS tools
-FROM (SELECT conv_id, turn, city, text, {_route_sql()} AS r
-      FROM (SELECT conv_id, turn, text, {_CITY_SQL} AS city FROM conversations WHERE role = 'user') c) x""")
+SELECT conv_id, turn, city, concat('[', array_to_string(CASE WHEN len(r) = 0 THEN {_DEFAULT_SQL} ELSE r END, ','), ']') AS calls
+FROM (SELECT conv_id, turn, city, {_route_sql()} AS r
+      FROM (SELECT *, CASE WHEN city IN ('Bogota', 'Medellin') THEN 'CO' WHEN city IS NOT NULL THEN 'US' END AS country
+            FROM (SELECT conv_id, turn, text, {_CITY_SQL} AS city FROM conversations WHERE role = 'user') c) d) x""")
 def g06(spark, d):
     c = Tables.shared(spark, d).conversations.filter(F.col("role") == "user").withColumn("city", sessions.detect_city("text"))
-    return c.select(*KEYS, "city", F.array_join(sessions.route_keywords("text", "city"), ",").alias("tools"))
+    return c.select(*KEYS, "city", F.to_json(sessions.route_keywords("text", "city")).alias("calls"))
 
 
 @register("g07_context_carry_forward", f"""
 SELECT conv_id, turn, city, last_value(city IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn
-                                                               ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS context_city
+                                                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS context_city
 FROM (SELECT conv_id, turn, {_CITY_SQL} AS city FROM conversations) c""")
 def g07(spark, d):
     c = Tables.shared(spark, d).conversations.select(*KEYS, sessions.detect_city("text").alias("city"))
-    return sessions.with_context_city(c)
+    return sessions.with_context_city(c, block=4)
+
+
+_CO = "('NATION_0', 'NATION_2', 'NATION_7', 'NATION_12')"
+
+
+def _clamp_sql(c: str, lo: int, hi: int) -> str:
+    return f"CASE WHEN {c} IS NOT NULL THEN greatest({lo}, least({hi}, CAST(trunc(TRY_CAST({c} AS DOUBLE)) AS BIGINT))) END"
 
 
 @register("g08_call_validation", O.sql(f"""
-SELECT conv_id, turn, call_index, tool, country_code, city, us_city, co_city,
-       CAST(NULL AS BIGINT) AS "limit", CASE WHEN months_back IS NOT NULL THEN greatest(1, least(24, coalesce(CAST(TRY_CAST(months_back AS DOUBLE) AS BIGINT), 1))) END AS months_back,
-       CAST(NULL AS BIGINT) AS years_back, CAST(NULL AS BIGINT) AS bedrooms_min
-FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY call_index) AS rn FROM plan_calls
-      WHERE tool IN ({', '.join(repr(t) for t in sessions.ALLOWED_TOOLS)})
-        AND NOT (country_code = 'CO' AND city IS NOT NULL AND city NOT IN ('NATION_0', 'NATION_2', 'NATION_7', 'NATION_12'))
-        AND (co_city IS NULL OR co_city IN ('NATION_0', 'NATION_2', 'NATION_7', 'NATION_12'))) v
-WHERE rn <= 5""", "plan_calls"))
+SELECT conv_id, turn, call_index, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY call_index) - 1 AS INT) AS call_order, 'ok' AS status, tool,
+       country_code, city, us_city, co_city, {_clamp_sql('lim', 1, 50)} AS "limit", {_clamp_sql('months_back', 1, 24)} AS months_back,
+       {_clamp_sql('bedrooms_min', 0, 10)} AS bedrooms_min, TRY_CAST(min_price_usd AS DOUBLE) AS min_price_usd
+FROM plan_calls
+WHERE tool IN ({', '.join(repr(t) for t in sessions.ALLOWED_TOOLS)})
+  AND coalesce(country_code IN ('US', 'CO'), true) AND coalesce(length(city) > 0, true)
+  AND NOT coalesce(country_code = 'CO' AND city NOT IN {_CO}, false) AND coalesce(co_city IN {_CO}, true)
+  AND (lim IS NULL OR TRY_CAST(lim AS DOUBLE) IS NOT NULL) AND (months_back IS NULL OR TRY_CAST(months_back AS DOUBLE) IS NOT NULL)
+  AND (bedrooms_min IS NULL OR TRY_CAST(bedrooms_min AS DOUBLE) IS NOT NULL)
+  AND (min_price_usd IS NULL OR TRY_CAST(min_price_usd AS DOUBLE) >= 0)""", "plan_calls"))
 def g08(spark, d):
     calls = tools.plan_calls(bindings.plans(Tables.shared(spark, d)))
-    p = F.col("params")
-    calls = calls.withColumn("country_code", F.element_at(p, F.lit("country_code"))).withColumn(
-        "city", F.element_at(p, F.lit("city"))).withColumn("us_city", F.element_at(p, F.lit("us_city"))).withColumn(
-        "co_city", F.element_at(p, F.lit("co_city")))
     v = sessions.validate_calls(calls, ["NATION_0", "NATION_2", "NATION_7", "NATION_12"])
-    return v.select(*KEYS, "call_index", "tool", "country_code", "city", "us_city", "co_city", "limit", "months_back",
-                    "years_back", "bedrooms_min")
+    p = {k: F.element_at("params", F.lit(k)) for k in ("country_code", "city", "us_city", "co_city", "limit", "months_back", "bedrooms_min", "min_price_usd")}
+    return v.select(*KEYS, "call_index", "call_order", "status", "tool", *[p[k].alias(k) for k in ("country_code", "city", "us_city", "co_city")],
+                    *[p[k].cast("bigint").alias(k) for k in ("limit", "months_back", "bedrooms_min")], p["min_price_usd"].cast("double").alias("min_price_usd"))
 
 
 @register("g09_sparse_flag", O.sql("SELECT conv_id, turn, tool, sparse FROM evidence", "evidence"))
 def g09(spark, d):
-    _, _, res = _results(spark, d)
-    ev = sessions.evidence(res)
-    sparse = F.when(F.col("is_list"), F.col("n_rows") == 0).otherwise(F.col("message").isNotNull())
-    return ev.select(*KEYS, "tool", sparse.alias("sparse"))
+    return _evidence(spark, d).select(*KEYS, "tool", "sparse")
 
 
 @register("g10_evidence_summary", O.sql("SELECT conv_id, turn, evidence_summary FROM session_summary", "session_summary"))
 def g10(spark, d):
-    _, _, res = _results(spark, d)
-    return sessions.session_summary(sessions.evidence(res)).select(*KEYS, "evidence_summary")
+    return sessions.session_summary(_evidence(spark, d)).select(*KEYS, "evidence_summary")
 
 
 @register("g11_relaxed_retry", O.rounded(O.sql("""

@@ -140,7 +140,7 @@ LEFT JOIN (SELECT lower(city) AS city, {', '.join(f'median({c}) AS {c}' for c in
 def t10(spark, d):
     p = Pipeline(spark, d)
     req = spark.createDataFrame([("Nation_1", "NATION_0"), ("NATION_6", "nation_9"), ("NATION_1", "NOWHERE")], "us_city string, co_city string")
-    return tools.compare_cities(req, p.city_comparison(), p.comparison_index)
+    return tools.compare_cities(req, p.stage("city_pairs"), p.stage("comparison_index"))
 
 
 @register("t11_affordability", O.rounded(O.sql("""
@@ -183,4 +183,4 @@ def t13(spark, d):
 def t14(spark, d):
     p = Pipeline(spark, d)
     calls = tools.plan_calls(bindings.plans(p.t))
-    return tools.dispatch(calls, p.market_summary, p.city_comparison(), p.comparison_index)
+    return tools.dispatch(calls, p.stage("market_summary"), p.stage("city_pairs"), p.stage("comparison_index"))

@@ -83,7 +83,7 @@ class Pipeline:
     @cached_property
     def profile(self) -> DataFrame:
         return silver.neighborhood_profile(self.stage("listings"), self.crime, self.schools, self.amenities,
-                                           self.demographics, self.weather, self.risk, self.updated_at)
+                                           self.demographics, self.weather, self.stage("risk"), self.updated_at)
 
     # gold
     @cached_property
@@ -92,18 +92,20 @@ class Pipeline:
     def market_trends(self) -> DataFrame: return gold.market_trends(self.market_summary)
     def value_opportunities(self, sort: bool = True) -> DataFrame:
         return gold.value_opportunities(self.stage("listings"), self.stage("market_summary"),
-                                        self.stage("scorecard"), self.risk, sort)
+                                        self.stage("scorecard"), self.stage("risk"), sort)
     @cached_property
     def comparison_index(self) -> DataFrame: return gold.comparison_index(self.stage("scorecard"))
     @cached_property
     def city_metrics(self) -> DataFrame:
-        return gold.city_metrics(self.comparison_index, self.stage("scorecard"), self.stage("market_summary"), self.economic)
+        return gold.city_metrics(self.stage("comparison_index"), self.stage("scorecard"), self.stage("market_summary"), self.economic)
     def city_comparison(self, pairs=CITY_PAIRS, comparison_date: str = COMPARISON_DATE) -> DataFrame:
         p = self.spark.createDataFrame(list(pairs), "us_city string, co_city string")
         return gold.city_comparison(p, self.city_metrics, comparison_date)
     @cached_property
+    def city_pairs(self) -> DataFrame: return self.city_comparison()
+    @cached_property
     def listing_map(self) -> DataFrame:
-        return gold.listing_map(self.stage("listings"), self.stage("scorecard"), self.risk,
+        return gold.listing_map(self.stage("listings"), self.stage("scorecard"), self.stage("risk"),
                                 self.stage("market_summary"))
     @cached_property
     def city_summary(self) -> DataFrame:

@@ -264,7 +264,7 @@ def dispatch(calls: DataFrame, summary: DataFrame, comparison: DataFrame, index:
     b = cc.join(cmp_, ["us_city", "co_city"], "left").select(
         *keys, "tool", F.col("comparison_date").alias("result_date"),
         F.coalesce("price_ratio", "us_norm_school_score").alias("result_value"),
-        F.when(F.col("source") == "medians", F.lit("medians")).alias("message"))
+        F.when(F.col("source") == "insufficient", F.lit("insufficient data")).alias("message"))
     other = calls.filter(~F.col("tool").isin("get_market_trends", "compare_cities")).select(
         *keys, "tool", F.lit(None).cast("date").alias("result_date"), F.lit(None).cast("double").alias("result_value"),
         F.lit("unsupported tool").alias("message"))

@@ -211,15 +211,49 @@ def plans(t: Tables) -> DataFrame:
     return c.select(
         "conv_id", "turn", "role",
         F.concat(
-            F.lit('{"intent":"t'), F.col("turn").cast("string"),
+            F.lit('{"intent":"t'), F.col("turn").cast("string"), F.lit('","reasoning":"because '), (cid % 9).cast("string"),
             F.lit('","tool_calls":[{"tool":"get_market_trends","params":{"country_code":"'),
             F.when(cid % 3 == 0, "US").otherwise("CO"),
             F.lit('","city":"NATION_'), (cid % 25).cast("string"), F.lit('"}}'),
             F.when(cid % 4 == 0, F.lit(',{"tool":"compare_cities","params":{"us_city":"NATION_1","co_city":"NATION_2"}}'))
              .otherwise(F.lit("")),
+            F.element_at(F.array(*[F.lit(x) for x in PLAN_EXTRAS]), (cid % len(PLAN_EXTRAS) + 1).cast("int")),
             F.lit("]}")).alias("plan_json"))
 
 
+# Further calls of the plans: values to clamp, values that break a rule, tools and cities nobody knows, a repeated tool.
+PLAN_EXTRAS = (
+    ',{"tool":"search_listings","params":{"country_code":"US","city":"NATION_1","limit":999,"min_price_usd":0}}',
+    ',{"tool":"search_listings","params":{"country_code":"US","city":"NATION_1","limit":"abc"}}',
+    ',{"tool":"search_listings","params":{"country_code":"US","city":"NATION_6","bedrooms_min":-3,"limit":5}}',
+    ',{"tool":"search_listings","params":{"country_code":"US","city":"NATION_6","min_price_usd":-5}}',
+    ',{"tool":"launch_rocket","params":{"city":"NATION_6"}}',
+    ',{"tool":"compare_cities","params":{"us_city":"NATION_1","co_city":"NATION_3"}}',
+    ',{"tool":"get_market_trends","params":{"country_code":"US","city":"NOWHERE","months_back":30}},{"tool":"get_market_trends","params":{"country_code":"XX","city":"NATION_1"}}',
+)
+
+
+def results(t: Tables) -> DataFrame:
+    """JSON results of the calls of every turn: lists of some or no rows, objects, messages, errors, repeated tools."""
+    c = t.conversations
+    i = F.col("call_order")
+    calls = c.select("conv_id", "turn", F.explode(F.sequence(F.lit(0), (F.col("conv_id") % 3 + 1).cast("int"))).alias("call_order"))
+    k, s = (F.col("conv_id") + F.col("turn") + i * i) % 5, F.col("conv_id") * 10 + F.col("turn") + i
+    row = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda j: F.concat(
+        F.lit('{"listing_id":"L'), s.cast("string"), F.lit('","price_usd":'), (s * 1000 + j).cast("string"), F.lit(',"city":"X"}')))
+    text = (F.when(k == 0, F.concat(F.lit("["), F.array_join(F.slice(row, F.lit(1), (s % 4).cast("int")), ","), F.lit("]")))
+             .when((k == 1) & (s % 5 == 0), F.concat(F.lit('{"message":"No market data for CO/NATION_'), (s % 25).cast("string"), F.lit('"}')))
+             .when(k == 1, F.concat(F.lit('{"city":"NATION_'), (s % 25).cast("string"), F.lit('","latest_median_price_usd":'), (s * 100).cast("string"),
+                                    F.lit(',"market_temp":"hot","note":"' + "n" * 70 + '","monthly_series":[{"m":1}],"flag":true,"zip":null}')))
+             .when(k == 2, F.concat(F.lit('{"us_city":"NATION_1","co_city":"NATION_2","aggregate":true,"us_metrics":{"a":1},"price_ratio":'), s.cast("string"), F.lit("}")))
+             .when((k == 3) & (s % 7 == 0), F.lit('{"error":"ValueError: bad"}'))
+             .when(k == 3, F.concat(F.lit('{"composite_hazard_score":'), s.cast("string"), F.lit(',"risk_label":null}')))
+             .otherwise(F.concat(F.lit('[{"school_id":"1","school_score_normalized":'), s.cast("string"), F.lit("}]"))))
+    tools = ["search_listings", "get_market_trends", "compare_cities", "get_hazard_risks", "get_school_rankings"]
+    tool = F.element_at(F.array(*[F.lit(x) for x in tools]), (k + 1).cast("int"))
+    return calls.select("conv_id", "turn", "call_order", tool.alias("tool"), text.alias("result_json"))
+
+
 def demographics(t: Tables) -> DataFrame:
     """Demographics per (country, zip, year) from customers: population, income, homeowner share."""
     c = t.customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
