@@ -26,10 +26,10 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fields, map_batches, materialize, prepare, read_table
+from .common import crc_mod, fewest, fields, map_batches, materialize, prepare, read_table
 
 ORDER = 4
 TRAIN_DOCS = 600             # documents a language that are read for training, one in six of them for calibration
@@ -238,9 +238,8 @@ def train(rows: DataFrame, usable: Column, docs_per_lang: int = TRAIN_DOCS, char
     """A model from the labelled rows (doc_id, text, lang) where ``usable`` holds."""
     prepare(rows.sparkSession)
     rows = rows.select("doc_id", "text", "lang", usable.alias("u")).where("u and lang is not null and text is not null")
-    by = Window.partitionBy("lang").orderBy("h", "doc_id")
-    few = (rows.select("lang", "doc_id", F.xxhash64("doc_id", "text").alias("h")).distinct()
-           .withColumn("n", F.row_number().over(by)).where(F.col("n") <= docs_per_lang).select("h", "n").distinct())
+    few = fewest(rows.select("lang", F.xxhash64("doc_id", "text").alias("h")).distinct(), "lang", "h", docs_per_lang).drop("lang")
+    few = few.groupBy("h").agg(F.min("n").alias("n"))
     chosen = materialize(rows.withColumn("h", F.xxhash64("doc_id", "text")).join(F.broadcast(few), "h")        # docs_per_lang rows a language
                          .select("lang", "text", (F.col("n") % 6 == 0).alias("calibrate")), "languages")
 

@@ -20,10 +20,10 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fields, map_batches, prepare, read_table
+from .common import crc_mod, fewest, fields, map_batches, prepare, read_table
 
 CHUNK, OVERLAP = 256, 32
 EMBED, WIDTH, STEP, FILTERS, HIDDEN = 7, 8, 3, 16, 16
@@ -166,8 +166,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_
     prepare(docs.sparkSession)
     marked = labels.where(usable).select("doc_id", F.col("quality").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     shares = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    by = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    few = marked.distinct().withColumn("n", F.row_number().over(by)).where(F.col("n") <= rows // 2).select("doc_id", "y")
+    few = fewest(marked.distinct(), "y", "doc_id", rows // 2).select("doc_id", "y")
 
     def cut(batches: Iterable[pa.RecordBatch]):
         for b in batches:
