@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..operators import pivot, unpivot, upsert
-from ..sources import bindings, payloads
+from ..session import scratch_path
+from ..sources import bindings, delimited, payloads
 from ..sources.tables import Tables
 from . import catalog_sources as cs
 from . import ingest
@@ -85,17 +88,41 @@ _INC = ("CASE event_type WHEN 'click' THEN 'Flood' WHEN 'view' THEN 'Severe Stor
         "WHEN 'purchase' THEN 'Tornado' ELSE 'Volcano' END")
 
 
-@register("c26_disaster_frequency", O.rounded(f"""
-SELECT concat_ws('_', 'fema', hazard_type, state, replace(county, ' ', '_')) AS hazard_id, state, county, hazard_type, count(*) AS n,
+def _hazard_target(spark, d, source: str, dataset: str):
+    """A stored hazard table: some rows of the source's own slice, some of another dataset of it, the rest from elsewhere."""
+    h = bindings.hazards(T(spark, d))
+    k = F.substring("hazard_id", 3, 30).cast("bigint")
+    return h.select(*[(F.when(k % 4 == 0, source).otherwise(F.col("source")) if c == "source" else F.col(c) if c in h.columns else F.lit(None)).cast(t).alias(c)
+                      for c, t in ingest.HAZARD_ROW.items()], F.when(k % 8 == 0, dataset).otherwise("other").alias("dataset"))
+
+
+def _hazard_sql(block: str, source: str, dataset: str, country: str, *ctes) -> str:
+    """The stored rows outside the block's slices, and the block (a SELECT of the columns it has)."""
+    cols = ", ".join(f"CAST({c} AS {t}) AS {c}" if c not in ("source", "country_code") else f"'{source if c == 'source' else country}' AS {c}"
+                     for c, t in {k: {"string": "VARCHAR", "double": "DOUBLE", "date": "DATE", "timestamp": "TIMESTAMP"}[v] for k, v in ingest.HAZARD_ROW.items()}.items())
+    nulls = "NULL AS lat, NULL AS lon, NULL AS state_or_dept, NULL AS county_or_municipio, NULL AS zip_or_zone, NULL AS data_date, NULL AS details_json, NULL AS ingested_at"
+    return O.rounded(O.sql(f"""
+SELECT * FROM stored s WHERE NOT EXISTS (SELECT 1 FROM block b WHERE b.source = s.source AND b.hazard_type = s.hazard_type AND b.dataset = s.dataset)
+UNION ALL SELECT * FROM block""", "hazards", *ctes, extra={
+        "rows_": block,
+        "block": f"SELECT {cols}, '{dataset}' AS dataset FROM (SELECT * FROM rows_ UNION ALL BY NAME SELECT * FROM (SELECT {nulls}) z WHERE false) b0",
+        "stored": f"""SELECT hazard_id, CASE WHEN k % 4 = 0 THEN '{source}' ELSE source END AS source, country_code, state_or_dept, county_or_municipio, zip_or_zone,
+       CAST(NULL AS DOUBLE) AS lat, CAST(NULL AS DOUBLE) AS lon, hazard_type, CAST(NULL AS VARCHAR) AS risk_level, risk_score, CAST(NULL AS DATE) AS data_date,
+       CAST(NULL AS VARCHAR) AS details_json, CAST(NULL AS TIMESTAMP) AS ingested_at, CASE WHEN k % 8 = 0 THEN '{dataset}' ELSE 'other' END AS dataset
+FROM (SELECT *, CAST(substr(hazard_id, 3) AS BIGINT) AS k FROM hazards) h"""}), ["risk_score", "lat", "lon"])
+
+
+@register("c26_disaster_frequency", _hazard_sql(f"""
+SELECT concat_ws('_', 'fema', hazard_type, state, replace(county, ' ', '_')) AS hazard_id, state AS state_or_dept, county AS county_or_municipio, hazard_type,
        least(count(*) / 5e1, 1e0) AS risk_score,
        CASE WHEN least(count(*) / 5e1, 1e0) >= 0.8 THEN 'very_high' WHEN least(count(*) / 5e1, 1e0) >= 0.6 THEN 'high'
             WHEN least(count(*) / 5e1, 1e0) >= 0.3 THEN 'medium' ELSE 'low' END AS risk_level,
-       min(declaration_id) AS sample_id
+       concat('{{"n":', count(*), ',"sample_id":"', min(declaration_id), '"}}') AS details_json
 FROM (SELECT CAST(event_id AS VARCHAR) AS declaration_id, concat('S', CAST(user_id % 5 AS VARCHAR)) AS state,
              concat('County ', CAST(user_id % 40 AS VARCHAR)) AS county,
              CASE {_INC} WHEN 'Flood' THEN 'flood' WHEN 'Severe Storm' THEN 'flood' WHEN 'Fire' THEN 'wildfire'
                          WHEN 'Tornado' THEN 'tornado' END AS hazard_type FROM events) e
-WHERE hazard_type IS NOT NULL GROUP BY state, county, hazard_type""", ["risk_score"]))
+WHERE hazard_type IS NOT NULL GROUP BY state, county, hazard_type""", "fema", "disasters", "US"))
 def c26(spark, d):
     e = T(spark, d).events
     et = F.col("event_type")
@@ -104,49 +131,63 @@ def c26(spark, d):
     dec = e.select(F.col("event_id").cast("string").alias("declaration_id"),
                    F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")).alias("state"),
                    F.concat(F.lit("County "), (F.col("user_id") % 40).cast("string")).alias("county"), inc.alias("incident_type"))
-    return ingest.disaster_frequency(dec)
+    rows = ingest.disaster_frequency(dec).withColumn("details_json", F.to_json(F.struct("n", "sample_id")))
+    return ingest.load_hazards(_hazard_target(spark, d, "fema", "disasters"), ingest.hazard_block(rows, "fema", "US", "disasters", state_or_dept="state", county_or_municipio="county"))
 
 
 _HAV = "(2.0 * 6371.0 * asin(least(1.0, sqrt(pow(sin((radians(g.lat) - radians(c.lat)) / 2), 2) + cos(radians(c.lat)) * cos(radians(g.lat)) * pow(sin((radians(g.lon) - radians(c.lon)) / 2), 2)))))"
 
 
-@register("c27_earthquake", O.rounded(O.sql(f"""
-SELECT geo_id, point_id, round(dist_km, 4) AS dist_km, pga, least(pga / 0.5e0, 1e0) AS risk_score,
+@register("c27_earthquake", _hazard_sql(f"""
+SELECT concat('sgc_earthquake_', geo_id) AS hazard_id, lat, lon, 'earthquake' AS hazard_type, concat('{{"point_id":', point_id, '}}') AS details_json,
+       least(pga / 0.5e0, 1e0) AS risk_score,
        CASE WHEN least(pga / 0.5e0, 1e0) >= 0.8 THEN 'very_high' WHEN least(pga / 0.5e0, 1e0) >= 0.6 THEN 'high'
             WHEN least(pga / 0.5e0, 1e0) >= 0.3 THEN 'medium' ELSE 'low' END AS risk_level
-FROM (SELECT c.geo_id, g.point_id, {_HAV} AS dist_km, g.pga,
+FROM (SELECT c.geo_id, c.lat, c.lon, g.point_id, g.pga,
              row_number() OVER (PARTITION BY c.geo_id ORDER BY {_HAV}, g.lat, g.lon, g.point_id) AS rn
-      FROM centroids c CROSS JOIN grid g) x WHERE rn = 1""", "centroids", "grid"), ["risk_score"]))
+      FROM centroids c CROSS JOIN grid g) x WHERE rn = 1""", "sgc", "pga", "CO", "centroids", "grid"))
 def c27(spark, d):
     t = T(spark, d)
-    return ingest.earthquake_from_grid(bindings.centroids(t), bindings.grid(t))
+    rows = ingest.earthquake_from_grid(bindings.centroids(t), bindings.grid(t)).join(bindings.centroids(t), "geo_id") \
+        .select(F.concat_ws("_", F.lit("sgc_earthquake"), "geo_id").alias("hazard_id"), "lat", "lon", F.lit("earthquake").alias("hazard_type"),
+                F.to_json(F.struct("point_id")).alias("details_json"), "risk_score", "risk_level")
+    return ingest.load_hazards(_hazard_target(spark, d, "sgc", "pga"), ingest.hazard_block(rows, "sgc", "CO", "pga"))
 
 
 _CLASSES = ["Bajo", "MEDIO", "alto", "Muy  Alto", "muy_alto", "desconocido"]
 
 
-@register("c28_ungrd", O.rounded(f"""
-SELECT concat_ws('_', 'ungrd', 'landslide', municipio) AS hazard_id, municipio, 'landslide' AS hazard_type, max(s) AS risk_score,
+@register("c28_ungrd", _hazard_sql(f"""
+SELECT concat_ws('_', 'ungrd', 'landslide', municipio) AS hazard_id, municipio AS county_or_municipio, 'landslide' AS hazard_type, max(s) AS risk_score,
        CASE WHEN max(s) >= 0.8 THEN 'very_high' WHEN max(s) >= 0.6 THEN 'high' WHEN max(s) >= 0.3 THEN 'medium' ELSE 'low' END AS risk_level
 FROM (SELECT concat('NATION_', CAST(p_partkey % 25 AS VARCHAR)) AS municipio,
              CASE regexp_replace(lower(trim(c)), '\\s+', ' ', 'g') WHEN 'bajo' THEN 0.2e0 WHEN 'medio' THEN 0.5e0 WHEN 'alto' THEN 0.8e0
                   WHEN 'muy alto' THEN 0.95e0 WHEN 'muy_alto' THEN 0.95e0 END AS s
       FROM (SELECT p_partkey, list_extract([{', '.join(repr(c) for c in _CLASSES)}], CAST(p_partkey % 6 + 1 AS INT)) AS c FROM part) p) x
-WHERE s IS NOT NULL GROUP BY municipio""", ["risk_score"]))
+WHERE s IS NOT NULL GROUP BY municipio""", "ungrd", "landslide_2021", "CO"))
 def c28(spark, d):
     p = T(spark, d).part
     cls = F.element_at(F.array(*[F.lit(c) for c in _CLASSES]), (F.col("p_partkey") % 6 + 1).cast("int"))
-    rows = p.select(F.concat(F.lit("NATION_"), (F.col("p_partkey") % 25).cast("string")).alias("municipio"), cls.alias("classification"))
-    return ingest.risk_class_rows(rows, "landslide")
-
-
-@register("c29_flood_zones", f"""
-SELECT *, CASE WHEN risk_score >= 0.8 THEN 'very_high' WHEN risk_score >= 0.6 THEN 'high' WHEN risk_score >= 0.3 THEN 'medium'
-               WHEN risk_score IS NOT NULL THEN 'low' END AS risk_level
-FROM ({ORACLE["s13_json_features"]}) f""")
+    raw = p.select(F.concat(F.lit("NATION_"), (F.col("p_partkey") % 25).cast("string")).alias("Municipio "), cls.alias("Clasificación"))
+    landing = scratch_path(spark, f"c28_{uuid.uuid4().hex}")               # landed under a routed name, headers to resolve
+    raw.write.option("header", True).csv(f"{landing}/ungrd_remocion_2021.csv")
+    raw.limit(1).write.option("header", True).csv(f"{landing}/leeme.csv")
+    routed = delimited.with_file_routing(delimited.read_csv(spark, f"{landing}/*"), {"ungrd_remocion": "landslide"})
+    rows = delimited.resolve_columns(routed, {"municipio": ["municipio"], "classification": ["clasificacion", "amenaza"]})
+    return ingest.load_hazards(_hazard_target(spark, d, "ungrd", "landslide_2021"),
+                               ingest.hazard_block(ingest.risk_class_rows(rows, "landslide"), "ungrd", "CO", "landslide_2021", county_or_municipio="municipio"))
+
+
+@register("c29_flood_zones", _hazard_sql(f"""
+SELECT concat('fema_flood_S', CAST(p_partkey % 5 AS VARCHAR), '_', area_id) AS hazard_id, concat('S', CAST(p_partkey % 5 AS VARCHAR)) AS state_or_dept,
+       zone AS zip_or_zone, 'flood' AS hazard_type, risk_score, concat('{{"', CASE WHEN p_partkey % 2 = 0 THEN 'FLD_ZONE' ELSE 'ZONE' END, '":"', zone, '","FLD_AR_ID":"', area_id, '","OTHER":', other, '}}') AS details_json,
+       CASE WHEN risk_score >= 0.8 THEN 'very_high' WHEN risk_score >= 0.6 THEN 'high' WHEN risk_score >= 0.3 THEN 'medium'
+            WHEN risk_score IS NOT NULL THEN 'low' END AS risk_level
+FROM ({ORACLE["s13_json_features"]}) f""", "fema", "flood_zones", "US"))
 def c29(spark, d):
-    base = cs.s13(spark, d)
-    return base.withColumn("risk_level", labels.risk_level("risk_score"))
+    features = cs.flood_features(spark, d).withColumn("state", F.concat(F.lit("S"), (F.col("area_id").cast("bigint") % 5).cast("string")))
+    block = ingest.hazard_block(ingest.flood_zone_rows(features, "state"), "fema", "US", "flood_zones")
+    return ingest.load_hazards(_hazard_target(spark, d, "fema", "flood_zones"), block)
 
 
 _WCOLS = ["country_code", "city", "date", "temp_max_c", "temp_min_c", "precipitation_mm", "wind_speed_max_kmh"]

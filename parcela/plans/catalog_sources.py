@@ -248,6 +248,13 @@ SELECT p_partkey, zone, CAST(p_partkey AS VARCHAR) AS area_id,
 FROM (SELECT p_partkey, p_size, list_extract([{', '.join(repr(z) for z in _ZONES)}], CAST(p_partkey % {len(_ZONES)} + 1 AS INT)) AS zone FROM part WHERE p_partkey % 13 <> 0) p""",
     ["risk_score"]))
 def s13(spark, d):
+    out = flood_features(spark, d)
+    return out.select(F.col("area_id").cast("bigint").alias("p_partkey"), "zone", "area_id",
+                      F.get_json_object("details_json", "$.OTHER").alias("other"), "risk_score")
+
+
+def flood_features(spark, d):
+    """Landed feature pages of the parts, parsed."""
     p = Tb(spark, d).part
     z = F.element_at(F.array(*[F.lit(v) for v in _ZONES]), (F.col("p_partkey") % len(_ZONES) + 1).cast("int"))
     attrs = F.struct(F.when(F.col("p_partkey") % 2 == 0, z).alias("FLD_ZONE"), F.when(F.col("p_partkey") % 2 == 1, z).alias("ZONE"),
@@ -255,9 +262,7 @@ def s13(spark, d):
     g = p.groupBy((F.col("p_partkey") / 100).cast("long").alias("page")).agg(
         F.collect_list(F.struct(F.col("p_partkey").alias("k"), attrs.alias("attributes"))).alias("fs"))
     landed = g.select(F.to_json(F.struct(F.transform("fs", lambda f: F.struct(f["attributes"].alias("attributes"))).alias("features"))).alias("payload"))
-    out = payloads.parse_features(landed, "payload")
-    return out.select(F.col("area_id").cast("bigint").alias("p_partkey"), "zone", "area_id",
-                      F.get_json_object("details_json", "$.OTHER").alias("other"), "risk_score")
+    return payloads.parse_features(landed, "payload")
 
 
 @register("s14_osm_tags_to_rows", O.sql("""

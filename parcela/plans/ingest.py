@@ -67,9 +67,33 @@ def risk_class_rows(rows: DataFrame, hazard_type: str) -> DataFrame:
                     "municipio", F.lit(hazard_type).alias("hazard_type"), "risk_score", labels.risk_level("risk_score").alias("risk_level"))
 
 
-def flood_zone_rows(features: DataFrame) -> DataFrame:
-    """c29: parsed flood features -> label per area."""
-    return features.select("area_id", "zone", "county", "risk_score", labels.risk_level("risk_score").alias("risk_level"))
+def flood_zone_rows(features: DataFrame, state_col: str) -> DataFrame:
+    """c29: parsed flood features -> hazard id, place, score and label per area of a state."""
+    return features.select(F.concat_ws("_", F.lit("fema_flood"), state_col, "area_id").alias("hazard_id"), F.col(state_col).alias("state_or_dept"),
+                           F.col("county").alias("county_or_municipio"), F.col("zone").alias("zip_or_zone"), F.lit("flood").alias("hazard_type"),
+                           "risk_score", labels.risk_level("risk_score").alias("risk_level"), "details_json")
+
+
+HAZARD_ROW = {"hazard_id": "string", "source": "string", "country_code": "string", "state_or_dept": "string", "county_or_municipio": "string",
+              "zip_or_zone": "string", "lat": "double", "lon": "double", "hazard_type": "string", "risk_level": "string", "risk_score": "double",
+              "data_date": "date", "details_json": "string", "ingested_at": "timestamp"}
+HAZARD_SLICE = ["source", "hazard_type", "dataset"]
+
+
+def hazard_block(rows: DataFrame, source: str, country_code: str, dataset: str, **named) -> DataFrame:
+    """d15: the 14 hazard columns and the dataset they come from; ``named`` gives a column another name, absent ones are NULL.
+
+    Rows that repeat a hazard_id collapse to the largest (the order of columns decides)."""
+    given = {"source": F.lit(source), "country_code": F.lit(country_code)} | {k: F.col(v) for k, v in named.items()}
+    cols = [(given.get(c) if c in given else F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in HAZARD_ROW.items()]
+    block = rows.select(*cols, F.lit(dataset).alias("dataset"))
+    rest = [c for c in block.columns if c != "hazard_id"]
+    return block.groupBy("hazard_id").agg(F.max(F.struct(*rest)).alias("r")).select("hazard_id", "r.*")
+
+
+def load_hazards(target: DataFrame, block: DataFrame) -> DataFrame:
+    """k07 on the hazard table: the slices (source, hazard type, dataset) of the block are replaced, all others stay."""
+    return upsert.slice_replace(target, block, HAZARD_SLICE)
 
 
 def append_after_high_water(target: DataFrame, batch: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
