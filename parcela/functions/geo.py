@@ -35,11 +35,3 @@ def haversine_sql(a: str, b: str, radius: float = EARTH_RADIUS_KM) -> str:
     """The same formula as SQL text (used by oracles and SQL views)."""
     return (f"(2.0 * {radius} * asin(least(1.0, sqrt(pow(sin((radians({b}.lat) - radians({a}.lat)) / 2), 2) "
             f"+ cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin((radians({b}.lon) - radians({a}.lon)) / 2), 2)))))")
-
-
-def cell_index(lat, lon, cell_deg: float):
-    """Grid cell of a point: (row, col) with col wrapped into [0, n_cols)."""
-    n_cols = int(math.ceil(360.0 / cell_deg))
-    row = F.floor((_c(lat) + F.lit(90.0)) / F.lit(cell_deg)).cast("int")
-    col = F.pmod(F.floor((_c(lon) + F.lit(180.0)) / F.lit(cell_deg)).cast("int"), F.lit(n_cols))
-    return row, col

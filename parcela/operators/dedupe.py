@@ -74,14 +74,3 @@ def latest_value(df: DataFrame, value_col: str, order_by: Sequence[str], out_col
     """l04 / j19: a one-row frame with the value of the newest row (max_by, no driver round trip)."""
     key = F.struct(*[F.col(c) for c in order_by])
     return df.agg(F.max_by(F.col(value_col), key).alias(out_col or value_col))
-
-
-def first_non_null_latest(df: DataFrame, value_col: str, order_col: str, out_col: str) -> DataFrame:
-    """Latest non-NULL value as a one-row frame."""
-    return df.filter(F.col(value_col).isNotNull()).agg(F.max_by(value_col, order_col).alias(out_col))
-
-
-def with_row_number(df: DataFrame, partition: Sequence[str], order: Sequence[Column], name: str = "rn") -> DataFrame:
-    """Plain row_number for bounded groups (top-k after a pre-aggregation)."""
-    from pyspark.sql import Window
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))

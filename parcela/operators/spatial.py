@@ -72,23 +72,6 @@ def _explode_cells(df: DataFrame, rows, cols) -> DataFrame:
               .withColumn("_col", F.explode(F.array_distinct(cols))))
 
 
-def radius_join(left: DataFrame, right: DataFrame, radius_km: float, left_id: str,
-                right_cols: Sequence[str] = (), left_lat="lat", left_lon="lon",
-                right_lat="lat", right_lon="lon") -> DataFrame:
-    """All (left, right) pairs within ``radius_km`` with their distance ``dist_km``."""
-    cell = snap_cell(max(radius_km / KM_PER_DEG_LAT, 0.01))
-    rows, cols, _ = _cells_for_reach("_llat", "_llon", cell, radius_km)
-    l = _explode_cells(left.select(left_id, F.col(left_lat).alias("_llat"), F.col(left_lon).alias("_llon"))
-                       .withColumn("_rows", rows).withColumn("_cols", cols), F.col("_rows"), F.col("_cols")) \
-        .drop("_rows", "_cols")
-    r = _point_cells(right.select(F.col(right_lat).alias("_rlat"), F.col(right_lon).alias("_rlon"), *right_cols),
-                     cell, "_rlat", "_rlon")
-    j = l.join(r, ["_row", "_col"])
-    d = haversine("_llat", "_llon", "_rlat", "_rlon")
-    return j.withColumn("dist_km", d).filter(F.col("dist_km") <= radius_km) \
-            .select(left_id, *right_cols, "_rlat", "_rlon", "dist_km")
-
-
 def radius_count(left: DataFrame, right: DataFrame, radius_km: float, left_id: str,
                  out_col: str = "n_within", value_col: str | None = None, avg_col: str | None = None,
                  left_lat="lat", left_lon="lon") -> DataFrame:

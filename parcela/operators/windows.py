@@ -19,18 +19,6 @@ def lag_change(df: DataFrame, keys: Sequence[str], order_col: str, value_col: st
     return out
 
 
-def lag_change_by_months(df: DataFrame, keys: Sequence[str], date_col: str, value_col: str,
-                         lags: dict[str, int]) -> DataFrame:
-    """w02 option: compare with the value exactly k calendar months earlier (self-join on the month)."""
-    out = df
-    for name, k in lags.items():
-        prev = df.select(*keys, F.add_months(F.col(date_col), k).alias(date_col), F.col(value_col).alias("_prev"))
-        out = out.join(prev, [*keys, date_col], "left") \
-                 .withColumn(name, F.when(F.col("_prev") > 0, 100.0 * (F.col(value_col) - F.col("_prev")) / F.col("_prev"))) \
-                 .drop("_prev")
-    return out
-
-
 def rolling_mean(df: DataFrame, keys: Sequence[str], order_col: str, value_col: str,
                  frames: dict[str, int], centered: bool = False) -> DataFrame:
     """w04/w08: trailing n-row mean including the current row (or centred)."""

@@ -32,7 +32,7 @@ JOIN market_latest_area m ON l.country_code = m.country_code AND l.city = m.city
     "listings_raw", "market_latest_area"))
 def j01(spark, d):
     ms = silver.market_summary(B(spark, d, "market"), B(spark, d, "fx"))
-    m = gold.latest_area_market(ms).select(*KEYS3, "median_price_usd")
+    m = gold.latest_area_price(ms, "median_price_usd")
     return B(spark, d, "listings").join(m, KEYS3, "inner").select("listing_id", "seq", "median_price_usd")
 
 
