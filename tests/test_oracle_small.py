@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from parcela.plans import catalog
 from parcela.sources.tables import TEST_TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = catalog.QUERIES            # the optional operators have tests of their own in tests/llm
+ORACLE = catalog.ORACLE
 
 
 # Spark simple type name -> DuckDB type name
