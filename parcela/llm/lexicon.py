@@ -16,7 +16,6 @@ by one; further columns are ignored; empty tables give empty results.
 from __future__ import annotations
 
 import functools
-import hashlib
 import io
 from collections.abc import Iterable
 
@@ -181,14 +180,13 @@ def _plain(path: str) -> _Spelling:
 def ship(spark: SparkSession, data: bytes, stem: str) -> str:
     """Write bytes to the shared folder by Hadoop's file system and let every executor fetch them; the file's name."""
     jvm = spark.sparkContext._jvm
-    name = f"{stem}-{hashlib.sha256(data).hexdigest()[:24]}.bin"
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch(spark, stem)}/{name}")
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch(spark, stem)}.bin")          # a name of its own: a session holds one file a name
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = fs.create(path, True)
     out.write(bytearray(data))
     out.close()
     spark.sparkContext.addFile(fs.makeQualified(path).toString())
-    return name
+    return path.getName()
 
 
 @functools.lru_cache(2)
