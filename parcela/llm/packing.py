@@ -108,13 +108,16 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, ca
     groups = -(-cut.count() // group) or 1
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
+        pdf = pdf.sort_values(["length", "no_id", "doc_id", "start", "ids_crc32"], ascending=[False, False, True, True, True])
         windows = BestFit(capacity)
         placed = np.asarray([windows.place(n) for n in pdf["length"].tolist()], np.int64).reshape(-1, 2)
         return pdf.assign(sequence_id=pdf["g"].astype("int64") * (1 << 32) + placed[:, 0], offset=placed[:, 1]).drop(columns="g")
 
-    return (cut.withColumn("g", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups)))
-            .groupBy("g").applyInPandas(fill, cut._jdf.schema().toDDL().replace(" NOT NULL", "") + ", sequence_id BIGINT, offset BIGINT"))
+    kept = cut.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", F.col("doc_id").isNull().alias("no_id"),
+                      F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups)).alias("g"))          # pandas has no null integers
+    done = kept.groupBy("g").applyInPandas(fill, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, no_id boolean, "
+                                                 "sequence_id long, offset long")
+    return done.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), *done.columns[1:5], "sequence_id", "offset")
 
 
 def sequences(docs: DataFrame, packed: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
