@@ -39,12 +39,11 @@ def frequent_items(docs: DataFrame, items: Callable[[list[str]], Iterable[str]],
     def count(batches: Iterable[pa.RecordBatch]):
         counts: Counter = Counter()
         for b in batches:
-            counts.update(items(texts_of(b)))
+            counts.update({w: n for w, n in Counter(items(texts_of(b))).items() if len(w) <= MAX_ITEM})
             if len(counts) > 4 * size:
                 counts = Counter(dict(counts.most_common(2 * size)))
         if counts:
-            short = Counter({w: n for w, n in counts.items() if len(w) <= MAX_ITEM})
-            yield {"task": [TaskContext.get().partitionId()], "summary": [_pack(short, size)]}
+            yield {"task": [TaskContext.get().partitionId()], "summary": [_pack(counts, size)]}
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         total: Counter = Counter()

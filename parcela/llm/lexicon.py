@@ -18,6 +18,7 @@ from __future__ import annotations
 import functools
 import io
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,7 @@ from .frequent import frequent_items
 from .subword import CACHE_WORDS, WORD_BPE, WordIds, byte_level, little_endian, tokenizer_path
 
 LEXICON_SIZE = 30_000
+MAPPED = "\x1c"               # before a counted word that is spelt in the byte alphabet already; no plain word holds it
 _FIELDS = ("key", "target", "before", "final", "offset", "ids")
 
 
@@ -156,25 +158,17 @@ def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Trans
 
     def words(texts: list[str]):
         cut = _plain(path)
-        for text in texts:
-            for part in cut._cut(text):
-                if part.__class__ is tuple:
-                    yield from part[0] if part[1] else map(cut.spell, part[0])
+        parts = [p for text in texts for p in cut._cut(text) if p.__class__ is tuple]
+        return chain.from_iterable([MAPPED + w for w in words] if mapped else words for words, mapped in parts)
 
-    top = frequent_items(docs, words, size)
+    top = [w[1:] if w[0] == MAPPED else byte_level(w) for w in frequent_items(docs, words, size)]
     ids = _plain(path).merge(top, True)
     return Transducer.build({w.encode("utf-8"): little_endian(i).tolist() for w, i in zip(top, ids, strict=True)})
 
 
-class _Spelling(WordIds):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.spell = functools.lru_cache(100_000)(byte_level)
-
-
 @functools.lru_cache(2)
-def _plain(path: str) -> _Spelling:
-    return _Spelling(path)
+def _plain(path: str) -> WordIds:
+    return WordIds(path)
 
 
 def ship(spark: SparkSession, data: bytes, stem: str) -> str:

@@ -19,6 +19,8 @@ import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+LONG_WORD = 256                # characters; longer pre-tokens are not kept
+MERGED = 512                   # pre-tokens that the model merges in one call
 CACHE_WORDS = 300_000          # distinct pre-tokens a worker keeps; at the bound the cache starts anew
 
 # Characters the compiled pattern may split: Latin-1 and Latin Extended-A without the four information separators
@@ -60,8 +62,8 @@ class WordIds:
         self.full.no_truncation()
         self.full.no_padding()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.model = Tokenizer.from_str(json.dumps(
-            spec | {"added_tokens": [], "normalizer": None, "pre_tokenizer": None, "post_processor": None}))
+        self.model = Tokenizer.from_str(json.dumps(              # pre-tokens in the byte alphabet, between spaces
+            spec | {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None}))
         letters, numbers, spaces = _class("L"), _class("N"), _SPACES
         other = f"[^{spaces}{letters}{numbers}]+"
         ends = "'s|'t|'re|'ve|'m|'ll|'d|"
@@ -86,7 +88,14 @@ class WordIds:
     def merge(self, words: list[str], mapped: bool) -> list[bytes]:
         """Ids of single pre-tokens, by the library's merges."""
         spelt = words if mapped else [byte_level(w) for w in words]
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self.model.encode_batch(spelt, add_special_tokens=False)]
+        out: list[bytes] = []
+        for s in range(0, len(spelt), MERGED):                   # the byte alphabet has no white space
+            part = spelt[s:s + MERGED]
+            e = self.model.encode(" ".join(part), add_special_tokens=False)
+            ids = np.asarray(e.ids, "<u4").tobytes()
+            cuts = np.searchsorted(np.asarray(e.word_ids, np.int64), np.arange(len(part) + 1)).tolist()
+            out += [ids[4 * a:4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        return out
 
     def learn(self, words: list[str], mapped: bool) -> None:
         """Put the ids of words into the cache, which must not lack any of them afterwards."""
@@ -105,6 +114,7 @@ class WordIds:
     def encode_batch(self, texts: list[str], joined: bool = True) -> list:
         """The ids of each text as bytes; ``joined=False`` gives the list of its pre-tokens' ids instead."""
         parts = [self._cut(t) for t in texts]
+        long: list[tuple[dict, str]] = []
         for known, mapped in ((self.plain, False), (self.mapped, True)):
             wanted = set().union(*(p[0] for ps in parts for p in ps if p.__class__ is tuple and p[1] is mapped))
             if missing := list(wanted.difference(known)):
@@ -112,6 +122,7 @@ class WordIds:
                     known.clear()
                     missing = list(wanted)
                 self.learn(missing, mapped)
+                long += [(known, w) for w in missing if len(w) > LONG_WORD]
         out = []
         for ps in parts:
             ids: list[bytes] = []
@@ -121,6 +132,8 @@ class WordIds:
                 else:
                     ids.append(p)
             out.append(b"".join(ids) if joined else ids)
+        for known, w in long:
+            known.pop(w, None)
         for known in (self.plain, self.mapped):
             if len(known) > CACHE_WORDS:
                 known.clear()

@@ -16,6 +16,7 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import map_batches, prepare, read_table, texts_of
 from .frequent import frequent_items
-from .subword import tokenizer_path
+from .subword import LONG_WORD, tokenizer_path
 
 PIECE_BPE = "piece_bpe_32k.model"
 TABLE_SIZE = 50_000        # pre-tokens in the broadcast table, each of at most frequent.MAX_ITEM characters
@@ -72,7 +73,7 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT,
     spark = prepare(docs.sparkSession)
     path = model or tokenizer_path(PIECE_BPE)
     docs = docs.select("doc_id", "text")
-    words = frequent_items(docs, lambda texts: (w for t in texts for w in pretokens(t)), table_size)
+    words = frequent_items(docs, lambda texts: chain.from_iterable(map(pretokens, texts)), table_size)
     lengths = np.asarray(piece_counts(worker_model(path), words), np.uint16) if words else np.zeros(0, np.uint16)
     # joined by a byte that UTF-8 never has
     table = spark.sparkContext.broadcast((b"\xff".join(w.encode("utf-8") for w in words), lengths))
@@ -94,6 +95,9 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT,
             tier2.update(zip(missing, piece_counts(sp, missing), strict=True))
             both = tier1 | {w: tier2[w] for w in wanted}
             n = [sum(map(both.__getitem__, ws)) for ws in cut]
+            for w in missing:
+                if len(w) > LONG_WORD:                       # long pre-tokens are not kept
+                    del tier2[w]
             yield {"doc_id": b.column("doc_id"), "n_bytes": [len(t.encode("utf-8")) for t in texts],
                    "n_tokens": n, "over_limit": [x > limit for x in n]}
 
