@@ -3,8 +3,8 @@
 language ID   learns from the folds of sf_dir's documents that the operator may learn from; rejected documents go
 quality       learns from sf_dir's labels likewise; documents predicted 0 go
 line dedup    a line stays once in the corpus; documents that lose all their lines go; n_chars counts the text that stays
-near dedup    the document with the smallest id of each SimHash component stays; rows without doc_id stay, rows that repeat a
-              doc_id stay or go together
+near dedup    one row of each SimHash component stays: the smallest doc_id, rows without one last; of rows that repeat it the
+              smallest hash of the text, then any one
 packing       pieces of the documents that are left, in sequences
 
 Every stage's result is written as Parquet into the shared folder and read back. Null and empty texts go at the first stage; an
@@ -42,9 +42,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(docs)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    return simhash.one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

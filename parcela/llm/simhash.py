@@ -23,10 +23,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialize, prepare, read_table
+from .common import fields, fresh, map_batches, materialize, prepare, read_table
 from .components import components
 from .vantage import Router, hamming, hamming_forest
 
@@ -56,16 +56,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(raw)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, f: the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, words: int = WORDS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in ``keep`` and f: the fingerprint as a signed long."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]):
         for b in batches:
             f = np.asarray([fingerprint(t, words) for t in b.column("text").to_pylist()], np.uint64)
-            yield {"doc_id": b.column("doc_id"), "f": f.view(np.int64)}
+            yield {c: b.column(c) for c in keep} | {"f": f.view(np.int64)}
 
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, f long")
+    return map_batches(docs.select(*keep, "text"), run, fields(docs, list(keep)) + "f long")
 
 
 def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
@@ -116,18 +116,35 @@ def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
             .groupBy("leaf", "block").applyInPandas(forest, "a long, b long"))
 
 
+def firsts(prints: DataFrame, order: Column, bits: int = BITS) -> DataFrame:
+    """g, first: the smallest ``order`` among the rows of ``prints`` in the component of every fingerprint g."""
+    classes = materialize(prints.groupBy("f").agg(F.min(order).alias("own")), "classes")
+    roots = components(links(classes.select("f"), bits), "a", "b")
+    linked = roots.join(classes, roots["node"] == classes["f"]).select("f", "root", "own")
+    lowest = linked.groupBy("root").agg(F.min("own").alias("lowest"))
+    linked = linked.join(lowest, "root").select(F.col("f").alias("g"), "lowest")
+    return classes.join(linked, classes["f"] == linked["g"], "left").select(
+        F.col("f").alias("g"), F.coalesce("lowest", "own").alias("first"))
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
     """doc_id, fingerprint, component_id of every row of ``docs`` (doc_id, text)."""
     prints = materialize(fingerprints(docs, words), "simhash")
-    classes = materialize(prints.groupBy("f").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes.select("f"), bits), "a", "b")
-    linked = roots.join(classes, roots["node"] == classes["f"]).select("f", "root", "first")
-    lowest = linked.groupBy("root").agg(F.min("first").alias("lowest"))
-    linked = linked.join(lowest, "root").select(F.col("f").alias("g"), "lowest")
-    named = classes.join(linked, classes["f"] == linked["g"], "left").select(
-        F.col("f").alias("g"), F.coalesce("lowest", "first").alias("component_id"))
+    named = firsts(prints, F.col("doc_id"), bits)
     return prints.join(named, prints["f"] == named["g"]).select(
-        "doc_id", F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", F.lpad(F.lower(F.hex("f")), 16, "0").alias("fingerprint"), F.col("first").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFrame:
+    """One row of ``docs`` (doc_id, text and more) of every component: the smallest doc_id, nulls last, then the smallest hash of
+    the text, then any one of the rows that are left. Rows are told apart by a key that is written before it is used."""
+    key, = fresh(docs.columns, "k_row")
+    keyed = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    base = keyed.select("doc_id", F.xxhash64("text").alias("h"), F.col(key).alias("k"), "text")
+    prints = materialize(fingerprints(base, words, ("doc_id", "h", "k")), "simhash")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "k")
+    stay = firsts(prints, order, bits).select(F.col("first.k").alias("stays")).distinct()
+    return keyed.join(stay, keyed[key] == stay["stays"], "left_semi").select(*docs.columns)
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,3 +151,16 @@ def test_pipeline_run_and_empty(spark, folder, corpus):
     assert corpus_pipeline.run(spark, none).collect() == []
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "quality_classifier", "line_dedup", "simhash_near_dedup", "packing"]
     assert set(CLASHES)
+
+
+def test_near_dedup_keeps_one_row_of_a_group(spark):
+    """Rows that repeat doc_id and text, copies without doc_id, and one doc_id on two texts: one row of each group stays."""
+    a, b, c, d, e = (prose(60 + i, 80) for i in range(5))
+    rows = [(1, a), (1, a), (1, a), (2, a), (None, a),                     # repeated rows, a copy with and one without an id
+            (None, b), (None, b), (None, b),                               # copies without ids only
+            (3, c), (7, c), (7, d), (7, d),                                # doc 7 is a copy of doc 3 and has a text of its own
+            (9, e)]
+    got = corpus_pipeline.simhash_near_dedup(spark, frame(spark, rows).repartition(4), "")
+    assert got.columns == frame(spark, []).columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, a), (None, b), (3, c), (7, d), (9, e)])
+    assert corpus_pipeline.simhash_near_dedup(spark, frame(spark, []), "").collect() == []
