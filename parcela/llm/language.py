@@ -12,7 +12,7 @@ also give the highest entropy of a plausible text (``REJECT_QUANTILE`` of them p
 letters, is rejected.
 
 Training reads at most ``TRAIN_DOCS`` documents a language (those with the smallest hash of their id and text) and counts their grams on the
-executors; the table of grams is bounded by these texts (whole texts; at most ``TRAIN_CHARS`` characters of each are counted).
+executors, over their whole texts; only sums of grams and a row of entropies for every calibration text reach the driver.
 
 Defined results: null texts and texts without letters are ``und`` with score 0; rows that repeat are returned each; rows without lang
 never train; an empty table, or one without any labelled text, gives ``und`` throughout; further columns are ignored.
@@ -33,7 +33,7 @@ from .common import crc_mod, fewest, fields, map_batches, materialize, prepare,
 
 ORDER = 4
 TRAIN_DOCS = 600             # documents a language that are read for training, one in six of them for calibration
-TRAIN_CHARS = 20_000         # characters of one of them that are counted
+SLICE = 1 << 20              # characters of a text that are counted at once
 REJECT_QUANTILE = 0.999
 MARGIN = 0.75                # nats a character beyond the quantile
 SPACE, ASTRAL = 32, 0xFFFF
@@ -234,7 +234,7 @@ def _kneser_ney(chars: np.ndarray, n: np.ndarray, alphabet: int):
     return uniform, probs, weights
 
 
-def train(rows: DataFrame, usable: Column, docs_per_lang: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> Model:
+def train(rows: DataFrame, usable: Column, docs_per_lang: int = TRAIN_DOCS) -> Model:
     """A model from the labelled rows (doc_id, text, lang) where ``usable`` holds."""
     prepare(rows.sparkSession)
     rows = rows.select("doc_id", "text", "lang", usable.alias("u")).where("u and lang is not null and text is not null")
@@ -246,14 +246,16 @@ def train(rows: DataFrame, usable: Column, docs_per_lang: int = TRAIN_DOCS, char
     def count(batches: Iterable[pa.RecordBatch]):
         for b in batches:
             for lang, text, calibrate in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), b.column("calibrate").to_pylist(), strict=True):
-                c = folded(text[:chars])
-                if len(c) < ORDER or calibrate:
+                if calibrate:
                     continue
-                packed = np.zeros(len(c) - ORDER + 1, np.uint64)              # characters are below 2 ** 16, a gram is one number
-                for i in range(ORDER):
-                    packed = packed << np.uint64(16) | c[i:len(packed) + i].astype(np.uint64)
-                g, n = np.unique(packed, return_counts=True)
-                yield {"lang": [lang] * len(n), "gram": g.view(np.int64), "n": n}
+                c = folded(text)
+                for s in range(0, len(c) - ORDER + 1, SLICE):
+                    part = c[s:s + SLICE + ORDER - 1]
+                    packed = np.zeros(len(part) - ORDER + 1, np.uint64)       # characters are below 2 ** 16, a gram is one number
+                    for i in range(ORDER):
+                        packed = packed << np.uint64(16) | part[i:len(packed) + i].astype(np.uint64)
+                    g, n = np.unique(packed, return_counts=True)
+                    yield {"lang": [lang] * len(n), "gram": g.view(np.int64), "n": n}
 
     summed = map_batches(chosen.select("lang", "text", "calibrate"), count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     counts = {}
@@ -266,18 +268,22 @@ def train(rows: DataFrame, usable: Column, docs_per_lang: int = TRAIN_DOCS, char
         return Model([], [], [], [], np.zeros(0))
     alphabet = len({c for g, _ in counts.values() for c in np.unique(g).tolist()}) + 1
     model = Model.fit(counts, alphabet)
-    held = chosen.where("calibrate").toPandas()
-    held["text"] = held["text"].str.slice(0, chars)
-    return calibrate_model(model, held["text"].tolist(), held["lang"].tolist())
-
-
-def calibrate_model(model: Model, texts: list[str], langs: list[str]) -> Model:
-    """Fit the temperature and the limit of rejection on texts that were not counted."""
-    pairs = [(folded(t), lang) for t, lang in zip(texts, langs, strict=True) if lang in model.langs]
-    pairs = [(c, lang) for c, lang in pairs if len(c)]
-    if pairs:
-        e = model.entropy([c for c, _ in pairs])
-        right = np.asarray([model.langs.index(lang) for _, lang in pairs])
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def entropies(batches: Iterable[pa.RecordBatch]):
+        for b in batches:
+            texts = [folded(t) for t in b.column("text").to_pylist()]
+            keep = [i for i, (t, lang) in enumerate(zip(texts, b.column("lang").to_pylist(), strict=True)) if len(t) and lang in shared.value.langs]
+            yield {"lang": b.column("lang").take(pa.array(keep, pa.int64())), "e": shared.value.entropy([texts[i] for i in keep]).tolist()}
+
+    held = map_batches(chosen.where("calibrate").select("lang", "text"), entropies, "lang string, e array<double>").toPandas()
+    return calibrate_model(model, np.asarray(held["e"].tolist(), float).reshape(-1, len(model.langs)), held["lang"].tolist())
+
+
+def calibrate_model(model: Model, e: np.ndarray, langs: list[str]) -> Model:
+    """Fit the temperature and the limit of rejection on the entropies of texts that were not counted."""
+    if len(langs):
+        right = np.asarray([model.langs.index(lang) for lang in langs])
         best = np.inf
         for t in np.geomspace(0.005, 1, 30):
             z = -(e - e.min(1, keepdims=True)) / t

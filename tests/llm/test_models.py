@@ -164,3 +164,13 @@ def test_near_dedup_keeps_one_row_of_a_group(spark):
     assert got.columns == frame(spark, []).columns
     assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(1, a), (None, b), (3, c), (7, d), (9, e)])
     assert corpus_pipeline.simhash_near_dedup(spark, frame(spark, []), "").collect() == []
+
+
+def test_language_trains_on_whole_texts(spark):
+    """A long labelled text that opens with digits and signs still teaches its class what comes after them."""
+    rng = np.random.default_rng(3)
+    words = {"en": "river stone meadow willow harbour lantern".split(), "de": "zwölf schön gärten brücke straße mühle".split()}
+    rows = [(2 * i + k, "12 34 .. " * 2500 + " ".join(rng.choice(words[lang], 200)), lang) for i in range(40) for k, lang in enumerate(words)]
+    model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert model.langs == ["de", "en"] and np.isfinite(model.limit)
+    assert model.predict(["schön gärten brücke", "meadow willow harbour"])[0] == ["de", "en"]
