@@ -240,8 +240,9 @@ def train(rows: DataFrame, usable: Column, docs_per_lang: int = TRAIN_DOCS) -> M
     rows = rows.select("doc_id", "text", "lang", usable.alias("u")).where("u and lang is not null and text is not null")
     few = fewest(rows.select("lang", F.xxhash64("doc_id", "text").alias("h")).distinct(), "lang", "h", docs_per_lang).drop("lang")
     few = few.groupBy("h").agg(F.min("n").alias("n"))
-    chosen = materialize(rows.withColumn("h", F.xxhash64("doc_id", "text")).join(F.broadcast(few), "h")        # docs_per_lang rows a language
-                         .select("lang", "text", (F.col("n") % 6 == 0).alias("calibrate")), "languages")
+    once = rows.withColumn("h", F.xxhash64("doc_id", "text")).join(F.broadcast(few), "h").groupBy("h", "lang").agg(      # a row however often it repeats
+        F.first("text").alias("text"), F.first("n").alias("n"))
+    chosen = materialize(once.select("lang", "text", (F.col("n") % 6 == 0).alias("calibrate")), "languages")           # docs_per_lang rows a language
 
     def count(batches: Iterable[pa.RecordBatch]):
         for b in batches:

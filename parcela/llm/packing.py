@@ -5,8 +5,8 @@ window, goes to the tightest open window. A segment tree over the remaining capa
 counts the open windows with c tokens left, and the first occupied leaf from the piece's length on is the best fit.
 
 Texts never move: ids, cuts and checksums are made where the text is read, and only one narrow row a piece is written and
-shuffled. Pieces are packed in groups of about ``group`` pieces, chosen by a hash of the whole piece so that no document,
-source or group of copies fills one of them; packing thousands at a time wastes at most a few windows a group.
+shuffled. Pieces are packed in groups of about ``group`` pieces, chosen by a hash of the whole piece and of a key that its row
+is written with, so that no document, source or group of copies fills one of them, rows that repeat included; packing thousands at a time wastes at most a few windows a group.
 
 Defined results: null and empty texts hold the end id alone; repeated rows and null ids are pieces of their own; further
 columns are ignored; an empty table gives an empty result. Pieces of equal length are packed by doc_id and start.
@@ -104,7 +104,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID,
 
 def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
     """The pieces of ``docs`` with sequence_id and offset."""
-    cut = materialize(pieces(docs, tokenizer, end_id, capacity), "pieces")
+    cut = materialize(pieces(docs, tokenizer, end_id, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces")
     groups = -(-cut.count() // group) or 1
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -114,7 +114,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, ca
         return pdf.assign(sequence_id=pdf["g"].astype("int64") * (1 << 32) + placed[:, 0], offset=placed[:, 1]).drop(columns="g")
 
     kept = cut.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", F.col("doc_id").isNull().alias("no_id"),
-                      F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens"), F.lit(groups)).alias("g"))          # pandas has no null integers
+                      F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "doc_tokens", "row"), F.lit(groups)).alias("g"))          # pandas has no null integers
     done = kept.groupBy("g").applyInPandas(fill, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, no_id boolean, "
                                                  "sequence_id long, offset long")
     return done.select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), *done.columns[1:5], "sequence_id", "offset")

@@ -174,8 +174,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_
             chunks = [c[np.linspace(0, len(c) - 1, min(len(c), TRAIN_CHUNKS)).astype(int)] for c in chunks]
             yield {"doc_id": b.column("doc_id"), "y": b.column("y"), "chunks": [c.tobytes() for c in chunks]}
 
-    chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")               # at most ``rows`` rows
-    got = map_batches(chosen, cut, "doc_id long, y int, chunks binary").toPandas().sort_values(["doc_id", "y", "chunks"])
+    chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")               # a doc_id may repeat any number of times
+    once = map_batches(chosen, cut, "doc_id long, y int, chunks binary").groupBy("doc_id", "y").agg(F.min("chunks").alias("chunks"))
+    got = once.toPandas().sort_values(["doc_id", "y"])                                     # at most ``rows`` rows
     samples = [(np.frombuffer(c, np.uint8).reshape(-1, CHUNK), y) for c, y in zip(got["chunks"], got["y"], strict=True)]
     ones = sum(y for _, y in samples)
     if 0 < ones < len(samples):

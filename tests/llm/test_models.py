@@ -174,3 +174,21 @@ def test_language_trains_on_whole_texts(spark):
     model = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
     assert model.langs == ["de", "en"] and np.isfinite(model.limit)
     assert model.predict(["schön gärten brücke", "meadow willow harbour"])[0] == ["de", "en"]
+
+
+def test_repeated_rows_stay_bounded(spark, monkeypatch):
+    """Rows that repeat fill no packing group, and train the models as one row."""
+    packed = packing.pack(frame(spark, [(1, "a b c")] * 4000 + [(None, "d")] * 4000).repartition(4), group=200).collect()
+    sizes = Counter(r.sequence_id >> 32 for r in packed)
+    assert len(packed) == 8000 and len(sizes) == 40 and max(sizes.values()) < 400
+
+    seen = []
+    monkeypatch.setattr(language, "calibrate_model", lambda model, e, langs: seen.append(Counter(langs)) or model)
+    monkeypatch.setattr(quality, "fit", lambda samples: seen.append(len(samples)) or quality.Network(np.random.default_rng(1)))
+    rows = [(i, prose(700 + i, 30)) for i in range(24)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(24)], "doc_id long, quality int")
+    for repeat in (1, 30):
+        docs = frame(spark, [r for r in rows for _ in range(repeat)], ("en",))
+        language.train(docs, F.lit(True))
+        quality.train(docs, labels, F.lit(True))
+    assert seen == [Counter(en=4), 24] * 2
