@@ -52,7 +52,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("language_id", language_id), ("quality_classifier", quality_classifier), ("line_dedup", line_dedup),
           ("simhash_near_dedup", simhash_near_dedup), ("packing", pack)]
 
-# Fitted models, tokenizers and signatures are beyond SQL: tests/llm compares run() with a brute-force version.
+# Fitted models, tokenizers and signatures are beyond SQL: tests/llm compares the line-dedup and near-dedup stages with brute-force
+# versions, the fitted stages with held-out labels and packing with its pieces.
 ORACLE_SQL = None
 
 

@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from parcela.llm import lines, neighbours, quartiles, simhash
 from parcela.llm.components import components
 from parcela.llm.vantage import Router, Tree, euclid, hamming, hamming_forest
@@ -257,3 +258,30 @@ def test_edited_query(spark, folder, odd, empty, parts):
         f, g, h = map(quartiles.digest, (t, e, n))
         want[d, len(t), hashlib.sha256(e.encode()).hexdigest(), f, g, quartiles.likeness(f, g), quartiles.likeness(f, h)] += 1
     assert Counter(map(tuple, got)) == want
+
+
+def test_pipeline_dedup_stages_by_brute_force(spark):
+    """The two dedup stages of the pipeline on repeated rows, null ids and one id on two texts, without their operators."""
+    def signed(t):
+        h = xxhash.xxh64_intdigest(t.encode(), 42)
+        return h - (1 << 64) if h >> 63 else h
+    many = near_lines(80)
+    text = ["\n".join(many[4 * i:4 * i + 4]) for i in range(20)]
+    long = [" ".join(f"w{100 * i + j}" for j in range(90)) for i in range(4)]                # no line is near another
+    rows = [(i, t) for i, t in enumerate(text)] + [(3, text[3])] * 3 + [(None, text[5])] * 2 + [(8, text[9]), (30, " \n")]
+    rows += [(None, long[0])] * 3 + [(40, long[1])] * 4 + [(41, long[2]), (41, long[3]), (41, long[3])]
+    kept, left = line_oracle(rows), []
+    for d, t in rows:
+        full = [i for i, _ in lines.lines_of(t)]
+        stay = [i for i in full if (d, t, i) in kept]
+        if stay or not full:
+            left.append((d, "\n".join(x for i, x in enumerate(t.split("\n")) if i not in full or i in stay)))
+    now = corpus_pipeline.materialize(corpus_pipeline.line_dedup(spark, frame(spark, rows).repartition(3), ""), "lines")
+    assert Counter((r.doc_id, r.text) for r in now.collect()) == Counter(left)
+    prints = [fingerprint(t) for _, t in left]
+    root = union(len(left), [(i, j) for i in range(len(left)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 2])
+    first = {}
+    for (d, t), r in zip(left, root, strict=True):
+        first[r] = min(first.get(r, (2,)), (d is None, d or 0, signed(t), d, t), key=lambda x: x[:3])
+    got = corpus_pipeline.simhash_near_dedup(spark, now, "").collect()
+    assert len(got) < len(left) and Counter((r.doc_id, r.text) for r in got) == Counter(x[3:] for x in first.values())
