@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from . import decontamination, fill_middle
+from .alignment import op12_cross_alignment
+from .decontamination import op13_decontamination
+from .fill_middle import op11_fill_in_middle
 from .language import op8_language_kneser_ney
 from .lexicon import op10_bpe_lexicon
 from .lines import op1_fuzzy_line_dedup
@@ -24,7 +28,13 @@ QUERIES = {
     "op8_language_kneser_ney": op8_language_kneser_ney,
     "op9_quality_byte_cnn": op9_quality_byte_cnn,
     "op10_bpe_lexicon": op10_bpe_lexicon,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_cross_alignment": op12_cross_alignment,
+    "op13_decontamination": op13_decontamination,
 }
 # SQL has neither the tokenizers' merges nor fitted models, 64-bit shingle hashes or nearest-neighbour trees at a bearable cost:
-# all ten are tested against brute force, the tokenizers' own libraries or held-out labels in tests/llm.
-ORACLE: dict[str, str] = {}
+# the others are tested against brute force, the tokenizers' own libraries or held-out labels in tests/llm.
+ORACLE: dict[str, str] = {
+    "op11_fill_in_middle": fill_middle.ORACLE_SQL,
+    "op13_decontamination": decontamination.ORACLE_SQL,
+}

@@ -49,10 +49,12 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``fn(iterator of RecordBatch) -> iterator of dict of columns``, as mapInArrow."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    arrow, names = to_arrow_schema(_parse_datatype_string(schema)), df.columns
+    if any("." in c or "`" in c for c in names):             # mapInArrow looks its columns up by unquoted names
+        df = df.toDF(*(f"c{i}" for i in range(len(names))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for columns in fn(batches):
+        for columns in fn(b.rename_columns(names) for b in batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
 
@@ -89,4 +91,9 @@ def fresh(columns: list[str], *names: str) -> list[str]:
 def fields(df: DataFrame, columns: list[str]) -> str:
     """``columns`` of ``df`` as the start of a schema string."""
     kinds = dict(df.dtypes)
-    return "".join(f"`{c}` {kinds[c]}, " for c in columns)
+    return "".join(f"{quoted(c)} {kinds[c]}, " for c in columns)
+
+
+def quoted(column: str) -> str:
+    """A column's name as ``select`` and ``col`` take it, whatever it holds."""
+    return "`" + column.replace("`", "``") + "`"

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fewest, fields, map_batches, materialize, prepare, read_table
+from .common import crc_mod, fewest, fields, map_batches, materialize, prepare, quoted, read_table
 
 ORDER = 4
 TRAIN_DOCS = 600             # documents a language that are read for training, one in six of them for calibration
@@ -305,7 +305,7 @@ def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, names
             yield {c: b.column(c) for c in keep} | dict(zip(names, shared.value.predict(b.column("text").to_pylist()), strict=True))
 
     lang, score, rejected = names
-    return map_batches(docs.select(*dict.fromkeys([*keep, "text"])), run, fields(docs, keep) + f"{lang} string, {score} double, {rejected} boolean")
+    return map_batches(docs.select(*map(quoted, dict.fromkeys([*keep, "text"]))), run, fields(docs, keep) + f"{lang} string, {score} double, {rejected} boolean")
 
 
 def learnable() -> Column:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fresh, map_batches, materialize, prepare, read_table
+from .common import fields, fresh, map_batches, materialize, prepare, quoted, read_table
 from .components import components
 
 SHINGLE, THRESHOLD = 8, 0.8
@@ -288,7 +288,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     kept = kept.groupBy(F.col("doc_id").alias(doc), F.col("h").alias(h)).agg(F.collect_list("line").alias(stay))
     joined = docs.withColumn(own, F.xxhash64("text")).join(kept, F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(h)), "left")
     names = [c for c in docs.columns if c != "text"]
-    joined = joined.select(*names, "text", stay)
+    joined = joined.select(*map(quoted, names), "text", stay)
 
     def rebuild(batches: Iterable[pa.RecordBatch]):
         for b in batches:

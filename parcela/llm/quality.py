@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, fewest, fields, map_batches, prepare, read_table
+from .common import crc_mod, fewest, fields, map_batches, prepare, quoted, read_table
 
 CHUNK, OVERLAP = 256, 32
 EMBED, WIDTH, STEP, FILTERS, HIDDEN = 7, 8, 3, 16, 16
@@ -200,7 +200,7 @@ def scored(docs: DataFrame, net: Network, keep: list[str] | None = None, names:
             p = shared.value.score(b.column("text").to_pylist())
             yield {c: b.column(c) for c in keep} | {names[0]: p, names[1]: (p >= CUT).astype(np.int32)}
 
-    return map_batches(docs.select(*dict.fromkeys([*keep, "text"])), run, fields(docs, keep) + f"{names[0]} double, {names[1]} int")
+    return map_batches(docs.select(*map(quoted, dict.fromkeys([*keep, "text"]))), run, fields(docs, keep) + f"{names[0]} double, {names[1]} int")
 
 
 def learnable() -> Column:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fresh, map_batches, materialize, prepare, read_table
+from .common import fields, fresh, map_batches, materialize, prepare, quoted, read_table
 from .components import components
 from .vantage import Router, hamming, hamming_forest
 
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, keep: tuple[str, ...] = ("
             f = np.asarray([fingerprint(t, words) for t in b.column("text").to_pylist()], np.uint64)
             yield {c: b.column(c) for c in keep} | {"f": f.view(np.int64)}
 
-    return map_batches(docs.select(*keep, "text"), run, fields(docs, list(keep)) + "f long")
+    return map_batches(docs.select(*map(quoted, keep), "text"), run, fields(docs, list(keep)) + "f long")
 
 
 def links(distinct: DataFrame, bits: int = BITS) -> DataFrame:
@@ -144,7 +144,7 @@ def one_of_each(docs: DataFrame, words: int = WORDS, bits: int = BITS) -> DataFr
     prints = materialize(fingerprints(base, words, ("doc_id", "h", "k")), "simhash")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "k")
     stay = firsts(prints, order, bits).select(F.col("first.k").alias("stays")).distinct()
-    return keyed.join(stay, keyed[key] == stay["stays"], "left_semi").select(*docs.columns)
+    return keyed.join(stay, keyed[key] == stay["stays"], "left_semi").select(*map(quoted, docs.columns))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
