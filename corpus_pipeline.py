@@ -17,19 +17,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcela.llm import language, lines, packing, quality, simhash
-from parcela.llm.common import fresh, materialize, read_table
+from parcela.llm.common import fresh, materialize, quoted, read_table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language.train(read_table(spark, sf_dir, "documents"), language.learnable())
     names = fresh(docs.columns, "lang_pred", "lang_score", "lang_rejected")
-    return language.identify(docs, model, docs.columns, tuple(names)).where(~F.col(names[2])).select(*docs.columns)
+    return language.identify(docs, model, docs.columns, tuple(names)).where(~F.col(names[2])).select(*map(quoted, docs.columns))
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     net = quality.train(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), quality.learnable())
     names = fresh(docs.columns, "quality_score", "quality_predicted")
-    return quality.scored(docs, net, docs.columns, tuple(names)).where(F.col(names[1]) == 1).select(*docs.columns)
+    return quality.scored(docs, net, docs.columns, tuple(names)).where(F.col(names[1]) == 1).select(*map(quoted, docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +38,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = out.where((F.col(n_lines) == 0) | (F.col(n_kept) > 0))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out.select(*map(quoted, docs.columns))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
