@@ -45,6 +45,16 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def parts_of(texts: list, size: int) -> Iterator[slice]:
+    """Consecutive texts of about ``size`` characters or bytes in all."""
+    start = held = 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= size or i + 1 == len(texts):
+            yield slice(start, i + 1)
+            start, held = i + 1, 0
+
+
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     """``fn(iterator of RecordBatch) -> iterator of dict of columns``, as mapInArrow."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -33,7 +33,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fresh, map_batches, materialize, prepare, quoted, read_table
+from .common import fields, fresh, map_batches, materialize, parts_of, prepare, quoted, read_table
 from .lexicon import ship
 from .mapped import map_arrays, pack_arrays
 
@@ -259,12 +259,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
 
 def _found(texts: list[bytes], names: list[str]) -> Iterator[tuple[int, list[list[int]], list[str]]]:
     """n_words, merged spans of word numbers and item names of each text."""
-    start = held = 0
-    for i, t in enumerate(texts):
-        held += len(t)
-        if held >= HELD_BYTES or i + 1 == len(texts):
-            yield from _found_in(texts[start:i + 1], names)
-            start, held = i + 1, 0
+    for part in parts_of(texts, HELD_BYTES):
+        yield from _found_in(texts[part], names)
 
 
 def _found_in(texts: list[bytes], names: list[str]) -> Iterator[tuple[int, list[list[int]], list[str]]]:

@@ -3,8 +3,8 @@
 The corpus' frequent words (``frequent.frequent_items``, at most ``size``) become a minimal acyclic automaton that
 shares prefixes and suffixes. Every arc carries the number of words that sort before those behind it in its state; the
 sum along a word's path is the word's rank, which leads to its ids. The arrays are written as one file to the shared
-folder, shipped by ``SparkContext.addFile`` and memory-mapped by the workers of an executor. Words the
-transducer lacks are merged by the library's model and kept in the worker's bounded cache: both ways give the ids of the
+folder, shipped by ``SparkContext.addFile`` and memory-mapped by the workers of an executor. The distinct words of every batch
+step through it together; words that it lacks are merged by the library's model and kept in the worker's bounded cache: both ways give the ids of the
 library on whole texts, special strings inside a text included.
 
 Decoding is the library's ``decode(ids, skip_special_tokens=False)``: a file without decoder joins its tokens by one space.
@@ -17,20 +17,21 @@ from __future__ import annotations
 
 import functools
 import io
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .common import map_batches, prepare, read_table, scratch, texts_of
+from .common import map_batches, parts_of, prepare, read_table, scratch, texts_of
 from .frequent import frequent_items
-from .subword import CACHE_WORDS, WORD_BPE, WordIds, byte_level, little_endian, tokenizer_path
+from .subword import WORD_BPE, WordIds, byte_level, little_endian, numbered, spell, tokenizer_path
 
 LEXICON_SIZE = 30_000
+HELD_CHARS = 4 << 20          # of texts that are encoded at once (a longer text alone)
 MAPPED = "\x1c"               # before a counted word that is spelt in the byte alphabet already; no plain word holds it
 _FIELDS = ("key", "target", "before", "final", "offset", "ids")
 
@@ -137,20 +138,53 @@ class Transducer:
 
 
 class LexiconIds(WordIds):
-    """Word ids by the transducer; the library's merges for the words it lacks."""
+    """Ids of words by the transducer, which is asked for the distinct words of every batch; the library's merges, kept in a cache, for
+    those that it lacks."""
 
     def __init__(self, path: str, lexicon: Transducer):
         super().__init__(path)
         self.lexicon = lexicon
-
-    def merge(self, words: list[str], mapped: bool) -> list[bytes]:
-        spelt = words if mapped else [byte_level(w) for w in words]
-        ranks = self.lexicon.ranks([w.encode("utf-8") for w in spelt])
-        out = [self.lexicon.ids_of(r).astype("<u4").tobytes() if r >= 0 else b"" for r in ranks.tolist()]
+        self.held: list[bytes | None] = [None] * (len(lexicon.offset) - 1)        # the ids of ranks asked for so far
+        self.asked = self.answered = 0                       # pre-tokens, and those that the transducer held
+        tokens = {i: w for w, i in self.full.get_vocab(with_added_tokens=True).items()}
+        n = max(tokens) + 1
+        self.decimal = Shown([str(i) for i in range(n)])
+        self.token = Shown([tokens.get(i, "") for i in range(n)])
+
+    def ids_at(self, rank: int) -> bytes:
+        ids = self.held[rank]
+        if ids is None:
+            ids = self.held[rank] = self.lexicon.ids_of(rank).astype("<u4").tobytes()
+        return ids
+
+    def lookup(self, words: list[str], mapped: bool) -> list[bytes]:
+        distinct, at = numbered(words)
+        ranks = self.lexicon.ranks((" ".join(distinct) if mapped else spell(distinct)).encode("utf-8").split(b" "))
+        out = [self.ids_at(r) if r >= 0 else b"" for r in ranks.tolist()]
         unseen = np.flatnonzero(ranks < 0).tolist()
-        for i, ids in zip(unseen, super().merge([spelt[i] for i in unseen], True), strict=True):
+        for i, ids in zip(unseen, self.distinct([distinct[i] for i in unseen], mapped), strict=True):
             out[i] = ids
-        return out
+        self.asked += len(words)
+        self.answered += int((ranks >= 0)[at].sum())
+        return list(map(out.__getitem__, at))
+
+
+class Shown:
+    """A text for each id, and the texts of runs of ids joined by one space."""
+
+    def __init__(self, texts: list[str]):
+        parts = [t.encode("utf-8") + b" " for t in texts]
+        self.size = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
+
+    def join(self, runs: list[np.ndarray]) -> list[bytes]:
+        ids = np.concatenate([np.zeros(0, np.uint32), *runs])
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        joined = self.bytes[np.arange(int(size.sum())) + np.repeat(self.start[ids] - ends + size, size)].tobytes()
+        cuts = np.concatenate([[0], ends])[np.cumsum([0, *map(len, runs)])].tolist()
+        return [joined[s:e - 1] if e > s else b"" for s, e in zip(cuts, cuts[1:], strict=False)]
 
 
 def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Transducer:
@@ -162,7 +196,7 @@ def build_lexicon(docs: DataFrame, path: str, size: int = LEXICON_SIZE) -> Trans
         return chain.from_iterable([MAPPED + w for w in words] if mapped else words for words, mapped in parts)
 
     top = [w[1:] if w[0] == MAPPED else byte_level(w) for w in frequent_items(docs, words, size)]
-    ids = _plain(path).merge(top, True)
+    ids = _plain(path).merge(top, True) if top else []
     return Transducer.build({w.encode("utf-8"): little_endian(i).tolist() for w, i in zip(top, ids, strict=True)})
 
 
@@ -188,8 +222,8 @@ def _worker_encoder(path: str, name: str) -> LexiconIds:
     return LexiconIds(path, Transducer.load(SparkFiles.get(name)))
 
 
-def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, size: int = LEXICON_SIZE) -> DataFrame:
-    """doc_id, ids, decoded of every row of ``docs`` (doc_id, text)."""
+def _rounds(docs: DataFrame, tokenizer: str | None, size: int, out: Callable[[LexiconIds, list[np.ndarray], list[bytes]], dict], schema: str) -> DataFrame:
+    """doc_id and the columns that ``out`` makes of the texts' ids and decoded texts (UTF-8)."""
     spark = prepare(docs.sparkSession)
     path = tokenizer or tokenizer_path(WORD_BPE)
     docs = docs.select("doc_id", "text")
@@ -197,29 +231,40 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, size: int = LE
 
     def run(batches: Iterable[pa.RecordBatch]):
         encoder = _worker_encoder(path, name)
-        token = encoder.full.id_to_token
-        shown: dict[bytes, str] = {}                 # ids of a word -> its tokens joined by a space
         for b in batches:
-            encoded = encoder.encode_batch(texts_of(b), joined=False)
-            if encoder.full.decoder is None:
-                for w in set().union(*encoded).difference(shown):
-                    shown[w] = " ".join(map(token, little_endian(w).tolist()))
-                decoded = [" ".join(map(shown.__getitem__, words)) for words in encoded]
-                if len(shown) > CACHE_WORDS:
-                    shown.clear()
-            else:
-                decoded = encoder.full.decode_batch([little_endian(b"".join(x)).tolist() for x in encoded], skip_special_tokens=False)
-            flat = [b"".join(words) for words in encoded]
-            ends = np.cumsum([0, *(len(x) // 4 for x in flat)]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(little_endian(b"".join(flat)).astype(np.int32)))
-            yield {"doc_id": b.column("doc_id"), "ids": ids, "decoded": decoded}
-
-    return map_batches(docs, run, "doc_id long, ids array<int>, decoded string")
+            texts = texts_of(b)
+            for part in parts_of(texts, HELD_CHARS):
+                ids = [little_endian(x) for x in encoder.encode_batch(texts[part])]
+                if encoder.full.decoder is None:
+                    decoded = encoder.token.join(ids)
+                else:
+                    decoded = [t.encode("utf-8") for t in encoder.full.decode_batch([x.tolist() for x in ids], skip_special_tokens=False)]
+                yield {"doc_id": b.column("doc_id")[part]} | out(encoder, ids, decoded)
+
+    return map_batches(docs, run, "doc_id long, " + schema)
+
+
+def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, size: int = LEXICON_SIZE) -> DataFrame:
+    """doc_id, ids, decoded of every row of ``docs`` (doc_id, text)."""
+
+    def whole(_: LexiconIds, ids: list[np.ndarray], decoded: list[bytes]) -> dict:
+        ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+        flat = np.concatenate(ids).astype(np.int32)
+        return {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)), "decoded": [x.decode("utf-8") for x in decoded]}
+
+    return _rounds(docs, tokenizer, size, whole, "ids array<int>, decoded string")
+
+
+def bpe_digests(docs: DataFrame, tokenizer: str | None = None, size: int = LEXICON_SIZE) -> DataFrame:
+    """doc_id, n_tokens, and the SHA-256 of the ids' decimal text and of the decoded text: ``bpe_round_trip`` without sending ids
+    and texts out of the task."""
+
+    def digests(encoder: LexiconIds, ids: list[np.ndarray], decoded: list[bytes]) -> dict:
+        sha = [[sha256(x).hexdigest() for x in texts] for texts in (encoder.decimal.join(ids), decoded)]
+        return {"n_tokens": [len(x) for x in ids], "ids_sha256": sha[0], "decoded_sha256": sha[1]}
+
+    return _rounds(docs, tokenizer, size, digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op10_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = bpe_round_trip(read_table(spark, sf_dir, "documents"))
-    return done.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe_digests(read_table(spark, sf_dir, "documents"))

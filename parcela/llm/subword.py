@@ -1,7 +1,7 @@
 """Ids of whole texts as the tokenizers library gives them, by one dictionary lookup per pre-token.
 
 A BPE tokenizer merges only inside a pre-token, so the ids of a text are the ids of its pre-tokens in order.
-``WordIds`` splits a text into pre-tokens and encodes each distinct one once per worker, by the library's own
+``WordIds`` splits a text into pre-tokens and encodes distinct ones in bulk, by the library's own
 model without normalizer and pre-tokenizer. Texts of Latin letters are split by a compiled pattern; any other text is
 normalised and split by the library itself. Special strings inside a text become their ids, as the library does.
 """
@@ -14,6 +14,9 @@ import os
 import re
 import sys
 import unicodedata
+from collections import defaultdict
+from collections.abc import Callable
+from itertools import count
 
 import numpy as np
 
@@ -21,7 +24,7 @@ BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 LONG_WORD = 256                # characters; longer pre-tokens are not kept
 MERGED = 512                   # pre-tokens that the model merges in one call
-CACHE_WORDS = 300_000          # distinct pre-tokens a worker keeps; at the bound the cache starts anew
+CACHE_WORDS = 300_000          # distinct pre-tokens of a cache's generation; it keeps two
 
 # Characters the compiled pattern may split: Latin-1 and Latin Extended-A without the four information separators
 # and the dotted capital I (whose lower case is two characters), general punctuation, the euro sign.
@@ -51,6 +54,57 @@ def byte_level(word: str) -> str:
     return word.encode("utf-8").decode("latin-1").translate(byte_alphabet())
 
 
+@functools.lru_cache(1)
+def _alphabet_points() -> np.ndarray:
+    """Code points of the byte alphabet; byte 255, which UTF-8 never has, stands for the space between two words."""
+    points = np.asarray([ord(byte_alphabet()[b]) for b in range(256)], "<u4")
+    points[255] = ord(" ")
+    return points
+
+
+def spell(words: list[str]) -> str:
+    """The words in the byte alphabet, joined by spaces."""
+    raw = np.frombuffer(b"\xff".join([w.encode("utf-8") for w in words]), np.uint8)
+    return _alphabet_points()[raw].tobytes().decode("utf-32-le")
+
+
+class Generations:
+    """A bounded cache: at the bound, only what is asked for again outlives the next generation."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def lookup(self, keys: list[str], make: Callable[[list[str]], list]) -> list:
+        """The value of each key; ``make`` gives those of distinct keys that the cache lacks. Long keys are not kept."""
+        out = list(map(self.young.get, keys))
+        at = [i for i, x in enumerate(out) if x is None]
+        if not at:
+            return out
+        wanted = list(dict.fromkeys([keys[i] for i in at]))
+        new = [k for k in wanted if k not in self.old]
+        made = dict(zip(new, make(new), strict=True)) if new else {}
+        if len(new) < len(wanted):
+            made.update((k, self.old[k]) for k in wanted if k in self.old)
+        for i in at:
+            out[i] = made[keys[i]]
+        if len(self.young) + len(made) > self.size:
+            made, self.young, self.old = dict(zip(keys, out, strict=True)), {}, self.young
+        if len(max(wanted, key=len)) > LONG_WORD:
+            made = {k: x for k, x in made.items() if len(k) <= LONG_WORD}
+        if len(made) <= self.size:
+            self.young.update(made)
+        return out
+
+
+def numbered(words: list[str]) -> tuple[list[str], list[int]]:
+    """The distinct words and the place of each word among them."""
+    number: defaultdict[str, int] = defaultdict(count().__next__)
+    at = list(map(number.__getitem__, words))
+    return list(number), at
+
+
 class WordIds:
     """Pre-tokens and ids of one tokenizer file; ``lookup`` keeps ids as little-endian unsigned 32-bit bytes."""
 
@@ -69,13 +123,12 @@ class WordIds:
         ends = "'s|'t|'re|'ve|'m|'ll|'d|"
         self.lower = spec["normalizer"] is not None
         if self.lower:
-            self.split = re.compile(f"{ends}[{letters}]+|[{numbers}]|{other}").findall
+            self.split = re.compile(f"[{letters}]+|[{numbers}]|{ends}{other}").findall
         else:
-            self.split = re.compile(f"{ends} ?[{letters}]+| ?[{numbers}]+| ?{other}"
+            self.split = re.compile(f" ?[{letters}]+| ?[{numbers}]+|{ends} ?{other}"
                                     f"|[{spaces}]+(?![^{spaces}])|[{spaces}]+").findall
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
-        self.plain: dict[str, bytes] = {}       # pre-token as in the text -> ids
-        self.mapped: dict[str, bytes] = {}      # pre-token in the byte alphabet -> ids
+        self.known = Generations(CACHE_WORDS), Generations(CACHE_WORDS)          # ids of pre-tokens as in the text, in the byte alphabet
 
     def words(self, text: str) -> tuple[list[str], bool]:
         """Pre-tokens of a text without special strings; True if they are spelt in the byte alphabet already."""
@@ -87,20 +140,23 @@ class WordIds:
 
     def merge(self, words: list[str], mapped: bool) -> list[bytes]:
         """Ids of single pre-tokens, by the library's merges."""
-        spelt = words if mapped else [byte_level(w) for w in words]
         out: list[bytes] = []
-        for s in range(0, len(spelt), MERGED):                   # the byte alphabet has no white space
-            part = spelt[s:s + MERGED]
-            e = self.model.encode(" ".join(part), add_special_tokens=False)
+        for s in range(0, len(words), MERGED):                   # the byte alphabet has no white space
+            part = words[s:s + MERGED]
+            e = self.model.encode(" ".join(part) if mapped else spell(part), add_special_tokens=False)
             ids = np.asarray(e.ids, "<u4").tobytes()
             cuts = np.searchsorted(np.asarray(e.word_ids, np.int64), np.arange(len(part) + 1)).tolist()
             out += [ids[4 * a:4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
-    def learn(self, words: list[str], mapped: bool) -> None:
-        """Put the ids of words into the cache, which must not lack any of them afterwards."""
-        known = self.mapped if mapped else self.plain
-        known.update(zip(words, self.merge(words, mapped), strict=True))
+    def lookup(self, words: list[str], mapped: bool) -> list[bytes]:
+        """The ids of each word. Words are numbered first: the cache, which is large, is asked once for each distinct one."""
+        distinct, at = numbered(words)
+        return list(map(self.distinct(distinct, mapped).__getitem__, at))
+
+    def distinct(self, words: list[str], mapped: bool) -> list[bytes]:
+        """``lookup`` of distinct words: from the cache, or merged."""
+        return self.known[mapped].lookup(words, lambda new: self.merge(new, mapped))
 
     def _cut(self, text: str) -> list:
         """The parts of a text: ids of a special string, or (pre-tokens, spelt in the byte alphabet)."""
@@ -111,34 +167,31 @@ class WordIds:
                     for p in self.cut_special(text) if p]
         return [self.words(text)]
 
-    def encode_batch(self, texts: list[str], joined: bool = True) -> list:
-        """The ids of each text as bytes; ``joined=False`` gives the list of its pre-tokens' ids instead."""
-        parts = [self._cut(t) for t in texts]
-        long: list[tuple[dict, str]] = []
-        for known, mapped in ((self.plain, False), (self.mapped, True)):
-            wanted = set().union(*(p[0] for ps in parts for p in ps if p.__class__ is tuple and p[1] is mapped))
-            if missing := list(wanted.difference(known)):
-                if len(known) + len(missing) > CACHE_WORDS:
-                    known.clear()
-                    missing = list(wanted)
-                self.learn(missing, mapped)
-                long += [(known, w) for w in missing if len(w) > LONG_WORD]
-        out = []
+    def encode_parts(self, parts: list[list]) -> list[bytes]:
+        """The ids of texts that ``_cut`` has cut."""
+        flat: tuple[list[str], list[str]] = [], []
+        for ps in parts:
+            for p in ps:
+                if p.__class__ is tuple:
+                    flat[p[1]].extend(p[0])
+        values = [self.lookup(words, bool(mapped)) if words else [] for mapped, words in enumerate(flat)]
+        at, out = [0, 0], []
         for ps in parts:
             ids: list[bytes] = []
             for p in ps:
                 if p.__class__ is tuple:
-                    ids.extend(map((self.mapped if p[1] else self.plain).__getitem__, p[0]))
+                    start = at[p[1]]
+                    at[p[1]] = end = start + len(p[0])
+                    ids += values[p[1]][start:end]
                 else:
                     ids.append(p)
-            out.append(b"".join(ids) if joined else ids)
-        for known, w in long:
-            known.pop(w, None)
-        for known in (self.plain, self.mapped):
-            if len(known) > CACHE_WORDS:
-                known.clear()
+            out.append(b"".join(ids))
         return out
 
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes."""
+        return self.encode_parts([self._cut(t) for t in texts])
+
     def encode(self, text: str) -> bytes:
         return self.encode_batch([text])[0]
 
