@@ -41,18 +41,21 @@ class WaveletMatrix:
 
     def __init__(self, n: int, planes: list[tuple[np.ndarray, np.ndarray, int]]):
         self.n, self.planes = n, planes
+        # zeros before each block, as the directories tell them; made when first asked for
+        self._zeros: dict[int, np.ndarray] = {}
 
     @staticmethod
     def build(ids: np.ndarray) -> WaveletMatrix:
-        planes, seq = [], ids.astype(np.uint32)
-        for level in range(int(seq.max(initial=0)).bit_length() - 1, -1, -1):
-            bits = ((seq >> level) & 1).astype(bool)
+        levels = int(ids.max(initial=0)).bit_length()
+        planes, seq = [], ids.astype(np.uint16 if levels <= 16 else np.uint32)
+        for level in range(levels - 1, -1, -1):
+            bits = seq & seq.dtype.type(1 << level) != 0
             packed = np.packbits(bits, bitorder="little")
             packed = np.concatenate([packed, np.zeros(-len(packed) % (BLOCK // 8), np.uint8)])
             ones = np.bitwise_count(packed.reshape(-1, BLOCK // 8)).sum(1, dtype=np.int64)
-            zeros = seq[~bits]
+            zeros = seq.compress(~bits)
             planes.append((packed, np.concatenate([[0], np.cumsum(ones)]).astype(np.int64), len(zeros)))
-            seq = np.concatenate([zeros, seq[bits]])
+            seq = np.concatenate([zeros, seq.compress(bits)])
         return WaveletMatrix(len(ids), planes)
 
     def _ones(self, plane, i: int) -> int:
@@ -100,12 +103,15 @@ class WaveletMatrix:
         i = lo + k
         for level, plane in enumerate(reversed(self.planes)):
             one = symbol >> level & 1
-            i = self._select_bit(plane, i - plane[2] if one else i, one)
+            i = self._select_bit(level, plane, i - plane[2] if one else i, one)
         return i
 
-    def _select_bit(self, plane, k: int, one: int) -> int:
-        packed, before, _ = plane
-        starts = before if one else np.arange(len(before), dtype=np.int64) * BLOCK - before
+    def _select_bit(self, level: int, plane, k: int, one: int) -> int:
+        packed, starts, _ = plane
+        if not one:
+            if level not in self._zeros:
+                self._zeros[level] = np.arange(len(starts), dtype=np.int64) * BLOCK - starts
+            starts = self._zeros[level]
         block = int(np.searchsorted(starts, k, "right")) - 1
         at = block * (BLOCK // 8)
         bits = np.unpackbits(packed[at:at + BLOCK // 8], bitorder="little")
@@ -116,14 +122,14 @@ class WaveletMatrix:
 
     def to_array(self) -> np.ndarray:
         """The whole sequence, from the last plane up: each step undoes one stable partition."""
-        seq = np.zeros(self.n, np.uint32)
+        seq = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level, (packed, _, zeros) in enumerate(reversed(self.planes)):
-            bits = np.unpackbits(packed, count=self.n, bitorder="little").astype(bool)
-            out = np.empty(self.n, np.uint32)
-            out[~bits] = seq[:zeros]
-            out[bits] = seq[zeros:] | np.uint32(1 << level)
+            bits = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
+            out = np.empty_like(seq)
+            out[np.flatnonzero(~bits)] = seq[:zeros]
+            out[np.flatnonzero(bits)] = seq[zeros:] | seq.dtype.type(1 << level)
             seq = out
-        return seq
+        return seq.astype(np.uint32)
 
     def dump(self) -> bytes:
         out = [struct.pack("<QI", self.n, len(self.planes))]
