@@ -160,6 +160,8 @@ SELECT conv_id, turn, role,
        concat('{"intent":"t', CAST(turn AS VARCHAR), '","reasoning":"because ', CAST(conv_id % 9 AS VARCHAR), '","tool_calls":[{"tool":"get_market_trends","params":{"country_code":"',
               CASE WHEN conv_id % 3 = 0 THEN 'US' ELSE 'CO' END, '","city":"NATION_', CAST(conv_id % 25 AS VARCHAR),
               '"}}', CASE WHEN conv_id % 4 = 0 THEN ',{"tool":"compare_cities","params":{"us_city":"NATION_1","co_city":"NATION_2"}}' ELSE '' END,
+              CASE WHEN conv_id % 5 = 2 THEN concat(',{"tool":"search_listings","params":{"country_code":"US","city":"nation_6","min_price_usd":', CAST(conv_id % 13 * 20000 AS VARCHAR),
+                ',"max_price_usd":', CAST(conv_id % 13 * 20000 + 150000 AS VARCHAR), ',"limit":', CAST(conv_id % 60 + 1 AS VARCHAR), '}}') ELSE '' END,
               [""" + ", ".join(f"'{x}'" for x in PLAN_EXTRAS) + """][conv_id % """ + str(len(PLAN_EXTRAS)) + """ + 1],
               ']}') AS plan_json
 FROM conversations""")
@@ -450,30 +452,6 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_
 GROUP BY 1, 2, 3""")
 
 
-cte("dispatch", """
-SELECT c.conv_id, c.turn, c.call_index, c.tool,
-       CASE WHEN c.tool = 'get_market_trends' THEN m.d ELSE k.comparison_date END AS result_date,
-       CASE WHEN c.tool = 'get_market_trends' THEN CAST(m.p AS DOUBLE) ELSE coalesce(k.price_ratio, k.us_school) END AS result_value,
-       CASE WHEN c.tool = 'get_market_trends' AND m.d IS NULL THEN 'no data'
-            WHEN c.tool = 'compare_cities' AND k.comparison_date IS NULL AND k.us_school IS NULL THEN 'insufficient data'
-            WHEN c.tool NOT IN ('get_market_trends', 'compare_cities') THEN 'unsupported tool' END AS message
-FROM (SELECT conv_id, turn, CAST(i AS INT) AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.city') AS city,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.us_city') AS us_city,
-             json_extract_string(plan_json, '$.tool_calls[' || i || '].params.co_city') AS co_city
-      FROM plans, range(CAST(json_array_length(plan_json, '$.tool_calls') AS BIGINT)) AS t(i)) c
-LEFT JOIN (SELECT country_code, city, arg_max(date, (date, zip_or_municipio)) AS d, arg_max(median_price_usd, (date, zip_or_municipio)) AS p
-           FROM market_summary GROUP BY 1, 2) m ON c.tool = 'get_market_trends' AND c.country_code = m.country_code AND c.city = m.city
-LEFT JOIN (SELECT r.us_city, r.co_city, s.comparison_date, s.price_ratio, u.s AS us_school
-           FROM (SELECT DISTINCT us_city, co_city FROM city_comparison) r0 RIGHT JOIN (VALUES ('NATION_1', 'NATION_2'), ('NATION_1', 'NATION_3')) AS r(us_city, co_city)
-             ON r0.us_city = r.us_city AND r0.co_city = r.co_city
-           LEFT JOIN (SELECT us_city, co_city, max(comparison_date) AS comparison_date, arg_max(price_ratio, comparison_date) AS price_ratio
-                      FROM city_comparison GROUP BY 1, 2) s ON r.us_city = s.us_city AND r.co_city = s.co_city
-           LEFT JOIN (SELECT city, median(norm_school_score) AS s FROM comparison_index WHERE country_code = 'US' GROUP BY 1) u
-             ON r.us_city = u.city) k
-  ON c.tool = 'compare_cities' AND c.us_city = k.us_city AND c.co_city = k.co_city""", ["plans", "market_summary", "city_comparison", "comparison_index"])
-
 cte("plan_calls", """
 SELECT conv_id, turn, CAST(i AS INT) AS call_index, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
        json_extract_string(plan_json, '$.tool_calls[' || i || '].params.country_code') AS country_code,
@@ -555,3 +533,148 @@ LEFT JOIN plan_cities c ON u.conv_id = c.conv_id AND u.turn = c.turn
 LEFT JOIN plan_countries k ON u.conv_id = k.conv_id AND u.turn = k.turn
 LEFT JOIN session_summary s ON u.conv_id = s.conv_id AND u.turn = s.turn
 WHERE u.role = 'user'""", ["plans", "plan_cities", "plan_countries", "session_summary"])
+
+
+# --- t14: the answers of all tools -------------------------------------------------------
+def _d(column: str, name: str | None = None) -> str:
+    return f"'{name or column}': CAST({column} AS DECIMAL(24,6))"
+
+
+_TOOL_PARAMS = {"cc": "country_code", "city": "city", "zip": "zip_or_municipio", "usc": "us_city", "coc": "co_city", "types": "amenity_types", "ptype": "property_type",
+                "lim": "limit", "months": "months_back", "years": "years_back", "minp": "min_price_usd", "maxp": "max_price_usd", "beds": "bedrooms_min",
+                "baths": "bathrooms_min", "income": "annual_income_usd", "down": "down_payment_usd"}
+_SUPPORTED = "('NATION_0', 'NATION_2', 'NATION_7', 'NATION_12')"
+cte("calls_ok", f"""
+SELECT conv_id, turn, CAST(row_number() OVER (PARTITION BY conv_id, turn ORDER BY i) - 1 AS INT) AS call_order, tool, pj, {', '.join(_TOOL_PARAMS)}
+FROM (SELECT conv_id, turn, i, json_extract_string(plan_json, '$.tool_calls[' || i || '].tool') AS tool,
+             CAST(json_extract(plan_json, '$.tool_calls[' || i || '].params') AS VARCHAR) AS pj,
+             {', '.join(f"json_extract_string(plan_json, '$.tool_calls[' || i || '].params.{v}') AS {k}" for k, v in _TOOL_PARAMS.items())}
+      FROM plans, range(CAST(json_array_length(plan_json, '$.tool_calls') AS BIGINT)) AS t(i)) x
+WHERE tool <> 'launch_rocket' AND coalesce(cc IN ('US', 'CO'), true) AND NOT coalesce(cc = 'CO' AND city NOT IN {_SUPPORTED}, false)
+  AND coalesce(coc IN {_SUPPORTED}, true) AND (lim IS NULL OR TRY_CAST(lim AS DOUBLE) IS NOT NULL)
+  AND (minp IS NULL OR TRY_CAST(minp AS DOUBLE) >= 0)""", ["plans"])
+
+_PROFILE = ["composite_score", "crime_rate_per_100k", "school_score_normalized", "amenity_density_score", "transit_access_score", "hazard_composite_score"]
+_RISKS = ["flood_risk_score", "earthquake_risk_score", "wildfire_risk_score", "tornado_risk_score", "landslide_risk_score", "composite_hazard_score"]
+_ACCESS = ["amenity_density_score", "transit_access_score", "grocery_count", "park_count", "hospital_count", "transit_stop_count"]
+_DIMS = ["norm_crime_score", "norm_school_score", "norm_hazard_score", "norm_weather_score", "norm_amenity_score", "norm_economic_score"]
+_INCIDENT = """CASE WHEN lower(trim(crime_type)) IN ('assault','robbery','shooting','homicide') THEN 'violent' WHEN lower(trim(crime_type)) IN ('burglary','theft','vandalism','arson') THEN 'property' ELSE 'other' END"""
+_SPANISH = """CASE WHEN raw = '' THEN 'other'
+       WHEN raw LIKE '%homicid%' OR raw LIKE '%lesion%' OR raw LIKE '%secuestr%' OR raw LIKE '%violenc%' OR raw LIKE '%violacion%'
+         OR raw LIKE '%feminicid%' OR raw LIKE '%delitos sexuales%' OR raw LIKE '%sexual%' THEN 'violent'
+       WHEN raw LIKE '%hurto%' AND (raw LIKE '%violen%') THEN 'violent'
+       WHEN raw LIKE '%hurto%' OR raw LIKE '%robo%' OR raw LIKE '%dano%' OR raw LIKE '%abigeato%' OR raw LIKE '%piracy%' OR raw LIKE '%pirateria%' THEN 'property'
+       ELSE 'other' END"""
+
+
+def _listed(tool: str, fields: str, source: str, order: str, where: str) -> str:
+    """A JSON list of at most the limit of a request's rows."""
+    return f"""SELECT r.pj, r.tool, coalesce('[' || string_agg(j, ',' ORDER BY rk) || ']', '[]') AS result_json FROM reqs r
+LEFT JOIN (SELECT q.pj, CAST(to_json({{{fields}}}) AS VARCHAR) AS j, row_number() OVER (PARTITION BY q.pj ORDER BY {order}) AS rk
+           FROM reqs q JOIN {source} ON {where} WHERE q.tool = '{tool}') a ON a.pj = r.pj AND a.rk <= r.k
+WHERE r.tool = '{tool}' GROUP BY 1, 2"""
+
+
+def _answer(tool: str, hit: str, fields: str, message: str, source: str) -> str:
+    return f"""SELECT r.pj, r.tool, CASE WHEN {hit} THEN CAST(to_json({{{fields}}}) AS VARCHAR) ELSE CAST(to_json({{'message': {message}}}) AS VARCHAR) END AS result_json
+FROM reqs r {source} WHERE r.tool = '{tool}'"""
+
+
+def _first_or_mean(tool: str, table: str, order: str, shown: list, metrics: list, has: str, none: str) -> str:
+    whole = ", ".join(f"'{c}': f.{c}" for c in shown)
+    return f"""SELECT r.pj, r.tool, CASE WHEN f.area IS NOT NULL THEN CAST(to_json({{{whole}, {', '.join(_d('f.' + c, c) for c in metrics)}}}) AS VARCHAR)
+  WHEN m.{has} IS NOT NULL THEN CAST(to_json({{{', '.join(_d('m.' + c, c) for c in metrics)}, 'country_code': r.cc, 'city': r.city, 'aggregate': true}}) AS VARCHAR)
+  ELSE CAST(to_json({{'message': '{none}' || r.cc || '/' || r.city}}) AS VARCHAR) END AS result_json
+FROM reqs r LEFT JOIN (SELECT q.pj, q.area, t.*, row_number() OVER (PARTITION BY q.pj ORDER BY {order}) AS rk FROM reqs q
+    JOIN {table} t ON t.country_code = q.cc AND lower(t.city) = q.area AND (q.zip IS NULL OR t.zip_or_municipio = q.zip) WHERE q.tool = '{tool}') f ON f.pj = r.pj AND f.rk = 1
+LEFT JOIN (SELECT country_code, lower(city) AS area, {', '.join(f'avg({c}) AS {c}' for c in metrics)} FROM {table} GROUP BY 1, 2) m
+  ON m.country_code = r.cc AND m.area = r.area
+WHERE r.tool = '{tool}'"""
+
+
+_HERE = "t.country_code = q.cc AND lower(t.city) = q.area"
+_WHO = "'country_code': r.cc, 'city': r.city"
+_PLACE = "r.cc || '/' || r.city"
+_TOOL_SQL = [
+    _listed("search_listings", "'listing_id': t.listing_id, 'city': t.city, 'zip_or_municipio': t.zip_or_municipio, 'price_usd': t.price_usd, 'bedrooms': t.bedrooms, "
+            + _d("t.bathrooms", "bathrooms") + ", " + _d("t.area_sqft", "area_sqft") + ", 'property_type': t.property_type, " + _d("t.score", "neighborhood_score")
+            + ", 'hazard_risk_label': t.label",
+            """(SELECT l.*, s.composite_score AS score, k.risk_label AS label FROM silver_listings l
+  LEFT JOIN score_area s ON l.country_code = s.country_code AND l.zip_or_municipio = s.zip_or_municipio
+  LEFT JOIN risk_area k ON l.country_code = k.country_code AND l.zip_or_municipio = k.zip_or_municipio) t""", "t.price_usd ASC NULLS LAST, t.listing_id",
+            _HERE + " AND (q.minp IS NULL OR t.price_usd >= q.minp) AND (q.maxp IS NULL OR t.price_usd <= q.maxp) AND (q.beds IS NULL OR t.bedrooms >= q.beds) "
+            "AND (q.baths IS NULL OR t.bathrooms >= q.baths) AND (q.ptype IS NULL OR t.property_type = q.ptype)"),
+    _first_or_mean("get_neighborhood_profile", "scorecard", "t.profile_id", ["profile_id", "zip_or_municipio", "barrio"], _PROFILE, "composite_score", "No profile found for "),
+    _first_or_mean("get_hazard_risks", "risk", "t.geo_id, " + ", ".join(f"t.{c}" for c in _RISKS), ["geo_id", "risk_label"], _RISKS, "composite_hazard_score",
+                   "No hazard profile for "),
+    f"""SELECT r.pj, r.tool, CASE WHEN c.total IS NULL THEN CAST(to_json({{'message': 'No crime data for ' || {_PLACE}}}) AS VARCHAR)
+  ELSE concat('{{"country_code":"', r.cc, '","city":"', r.city, '","category_counts":', c.kinds, ',"total_incidents":', c.total, '}}') END AS result_json
+FROM reqs r LEFT JOIN (SELECT country_code, area, concat('{{', string_agg(concat('"', kind, '":', n), ',' ORDER BY kind), '}}') AS kinds, CAST(sum(n) AS BIGINT) AS total
+    FROM (SELECT country_code, lower(city) AS area, CASE WHEN country_code = 'US' THEN incident ELSE {_SPANISH} END AS kind,
+                 CAST(sum(CASE WHEN country_code = 'US' THEN 1 ELSE "count" END) AS BIGINT) AS n
+          FROM (SELECT *, translate(lower(trim(crime_type)), 'áéíóúñü', 'aeiounu') AS raw, {_INCIDENT} AS incident FROM crime) x GROUP BY 1, 2, 3) y GROUP BY 1, 2) c
+  ON c.country_code = r.cc AND c.area = r.area WHERE r.tool = 'get_crime_stats'""",
+    _listed("get_school_rankings", "'school_id': t.school_id, 'city': t.city, " + _d("t.school_score_normalized", "school_score_normalized"), "school_rankings t",
+            "t.school_score_normalized DESC NULLS LAST, t.school_id", _HERE + " AND (q.zip IS NULL OR t.zip_or_municipio = q.zip)"),
+    _answer("get_weather_summary", "w.a IS NOT NULL", f"{_d('w.a', 'avg_temp_max_c')}, {_d('w.b', 'avg_temp_min_c')}, {_d('w.c', 'avg_precipitation_mm')}, 'total_extreme_days': w.x, "
+            f"'years_covered': w.y, 'first_date': CAST(w.f AS VARCHAR), 'last_date': CAST(w.l AS VARCHAR), {_d('w.x / w.y', 'extreme_days_per_year')}, {_WHO}",
+            f"'No weather data for ' || {_PLACE}", f"""
+LEFT JOIN (SELECT q.pj, avg(temp_max_c) AS a, avg(temp_min_c) AS b, avg(precipitation_mm) AS c, CAST(sum(CASE WHEN {EXTREME} THEN 1 ELSE 0 END) AS BIGINT) AS x,
+                  count(DISTINCT year(date)) AS y, min(date) AS f, max(date) AS l
+           FROM reqs q JOIN (SELECT *, max(year(date)) OVER (PARTITION BY country_code, lower(city)) AS newest FROM weather) t ON {_HERE}
+           WHERE q.tool = 'get_weather_summary' AND (q.years IS NULL OR year(date) >= newest - q.years) GROUP BY 1) w ON w.pj = r.pj"""),
+    _answer("get_market_trends", "m.s IS NOT NULL", f"{_WHO}, 'zip_or_municipio': r.zip, 'latest_date': CAST(m.d AS VARCHAR), 'latest_median_price_usd': m.p, "
+            f"{_d('m.t3', 'price_trend_3mo_pct')}, {_d('m.t12', 'price_trend_12mo_pct')}, 'median_days_on_market': m.dom, 'market_temp': m.temp, 'monthly_series': m.s",
+            f"'No market data for ' || {_PLACE}", f"""
+LEFT JOIN (SELECT pj, first(date ORDER BY rk) AS d, first(median_price_usd ORDER BY rk) AS p, first(price_trend_3mo_pct ORDER BY rk) AS t3, first(price_trend_12mo_pct ORDER BY rk) AS t12,
+                  first(median_days_on_market ORDER BY rk) AS dom, first(market_temp ORDER BY rk) AS temp,
+                  list({{'date': CAST(date AS VARCHAR), 'median_price_usd': median_price_usd, 'inventory_count': inventory_count}} ORDER BY rk DESC) AS s
+           FROM (SELECT q.pj, q.months, t.*, row_number() OVER (PARTITION BY q.pj ORDER BY t.date DESC, t.zip_or_municipio DESC) AS rk FROM reqs q
+                 JOIN market_summary t ON {_HERE} AND (q.zip IS NULL OR t.zip_or_municipio = q.zip) WHERE q.tool = 'get_market_trends') x WHERE rk <= months GROUP BY 1) m ON m.pj = r.pj"""),
+    _answer("get_area_demographics", "g.p IS NOT NULL", f"'population': g.p, {_d('g.i', 'median_income')}, {_d('g.h', 'pct_homeowner')}, "
+            f"{_d('CASE WHEN r.cc = ' + chr(39) + 'CO' + chr(39) + ' THEN g.i / (SELECT fx_rate FROM fx_latest) ELSE g.i END', 'median_income_usd')}, {_WHO}",
+            f"'No demographics found for ' || {_PLACE}", """
+LEFT JOIN (SELECT q.pj, CAST(sum(population) AS BIGINT) AS p, avg(median_income_usd) AS i, avg(pct_homeowner) AS h FROM reqs q JOIN demographics t
+    ON t.country_code = q.cc AND (coalesce(q.zip, CASE WHEN q.cc = 'CO' THEN q.city END) IS NULL
+                                  OR lower(t.zip_or_municipio) = lower(coalesce(q.zip, q.city))) WHERE q.tool = 'get_area_demographics' GROUP BY 1) g ON g.pj = r.pj"""),
+    _listed("get_nearby_amenities", "'amenity_id': t.amenity_id, 'amenity_type': t.amenity_type, 'name': t.name", "amenities t", "t.amenity_type, t.name, t.amenity_id",
+            _HERE + " AND (q.types IS NULL OR list_contains(CAST(q.types AS VARCHAR[]), t.amenity_type))"),
+    f"""SELECT r.pj, r.tool, CASE WHEN s.us IS NOT NULL THEN CAST(to_json({{'us_city': r.usc, 'co_city': r.coc, 'comparison_date': CAST(s.d AS VARCHAR),
+    {_d('s.ratio', 'price_ratio')}, {_d('s.u', 'us_composite_score')}, {_d('s.c', 'co_composite_score')}}}) AS VARCHAR)
+  WHEN u.m IS NOT NULL AND c.m IS NOT NULL THEN CAST(to_json({{'us_city': r.usc, 'co_city': r.coc, 'us_metrics': u.m, 'co_metrics': c.m, 'aggregate': true}}) AS VARCHAR)
+  ELSE CAST(to_json({{'message': 'Insufficient data to compare ' || r.usc || ' vs ' || r.coc}}) AS VARCHAR) END AS result_json
+FROM reqs r LEFT JOIN (SELECT lower(us_city) AS us, lower(co_city) AS co, comparison_date AS d, price_ratio AS ratio, us_composite_score AS u, co_composite_score AS c
+    FROM city_comparison) s ON s.us = lower(r.usc) AND s.co = lower(r.coc)
+LEFT JOIN (SELECT lower(city) AS area, {{{', '.join(_d(f'median({c})', c) for c in _DIMS)}}} AS m FROM comparison_index WHERE country_code = 'US' GROUP BY 1) u ON u.area = lower(r.usc)
+LEFT JOIN (SELECT lower(city) AS area, {{{', '.join(_d(f'median({c})', c) for c in _DIMS)}}} AS m FROM comparison_index WHERE country_code = 'CO' GROUP BY 1) c ON c.area = lower(r.coc)
+WHERE r.tool = 'compare_cities'""",
+    _answer("get_affordability_analysis", "r.income IS NOT NULL", f"{_WHO}, {_d('r.income', 'annual_income_usd')}, {_d('coalesce(r.down, 0)', 'down_payment_usd')}, "
+            f"{_d('p.rate', 'mortgage_rate_pct')}, 'rate_note': p.note, 'max_price_usd': CAST(floor(p.most) AS BIGINT), 'estimated_monthly_payment': CAST(floor(r.income * 0.28e0 / 12e0) AS BIGINT), "
+            "'median_price_usd_in_area': CAST(floor(p.med) AS BIGINT), 'can_afford_median': p.most >= p.med", "'annual_income_usd is missing'", """
+LEFT JOIN (SELECT pj, rate, note, med, CASE WHEN rate <= 0 THEN pmt * 360 ELSE pmt / (rate / 1200e0) * (1e0 - pow(1e0 + rate / 1200e0, -360e0)) END + down AS most
+    FROM (SELECT q.pj, q.income * 0.28e0 / 12e0 AS pmt, coalesce(q.down, 0) AS down, coalesce(e.rate, 7e0) AS rate, CASE WHEN e.rate IS NULL THEN 'default rate' ELSE 'latest rate' END AS note, m.med
+          FROM reqs q LEFT JOIN (SELECT country_code, arg_max(mortgage_rate_30yr, (date, city)) AS rate FROM economic WHERE mortgage_rate_30yr IS NOT NULL GROUP BY 1) e ON e.country_code = q.cc
+          LEFT JOIN (SELECT country_code, area, median(median_price_usd) AS med FROM (SELECT *, lower(city) AS area, max(date) OVER (PARTITION BY country_code, lower(city)) AS mx FROM market_summary) z
+                     WHERE date = mx GROUP BY 1, 2) m ON m.country_code = q.cc AND m.area = q.area WHERE q.tool = 'get_affordability_analysis') y) p ON p.pj = r.pj"""),
+    _listed("get_value_opportunities", "'listing_id': t.listing_id, 'price_usd': t.price_usd, " + _d("t.area_median_price_usd", "area_median_price_usd") + ", " + _d("t.discount_pct", "discount_pct"),
+            "value_opportunities t", "t.discount_pct DESC NULLS LAST, t.listing_id", _HERE + " AND (q.maxp IS NULL OR t.price_usd <= q.maxp)"),
+    _answer("get_amenity_access", "a.avg_amenity_density_score IS NOT NULL", ", ".join(_d(f"a.avg_{c}", f"avg_{c}") for c in _ACCESS) + f", {_WHO}", f"'No amenity data for ' || {_PLACE}", f"""
+LEFT JOIN (SELECT country_code, lower(city) AS area, {', '.join(f'avg({c}) AS avg_{c}' for c in _ACCESS)} FROM scorecard GROUP BY 1, 2) a ON a.country_code = r.cc AND a.area = r.area"""),
+]
+
+
+def _bounded(column: str, low: int, high: int, default: str) -> str:
+    return (f"CASE WHEN TRY_CAST({column} AS DOUBLE) IS NULL THEN {default} "
+            f"ELSE greatest({low}, least({high}, CAST(trunc(TRY_CAST({column} AS DOUBLE)) AS BIGINT))) END")
+
+
+cte("reqs", f"""
+SELECT DISTINCT tool, pj, cc, city, lower(city) AS area, zip, usc, coc, types, ptype, {_bounded('lim', 1, 50, "CASE WHEN tool = 'get_nearby_amenities' THEN 20 ELSE 10 END")} AS k,
+       {_bounded('months', 1, 24, '12')} AS months, {_bounded('years', 1, 10, 'NULL')} AS years, {_bounded('beds', 0, 10, 'NULL')} AS beds,
+       CASE WHEN TRY_CAST(baths AS DOUBLE) IS NOT NULL THEN greatest(0, least(10, TRY_CAST(baths AS DOUBLE))) END AS baths, TRY_CAST(minp AS DOUBLE) AS minp, TRY_CAST(maxp AS DOUBLE) AS maxp,
+       TRY_CAST(income AS DOUBLE) AS income, TRY_CAST(down AS DOUBLE) AS down
+FROM calls_ok""", ["calls_ok"])
+cte("dispatch", "SELECT c.conv_id, c.turn, c.call_order, c.tool, a.result_json FROM calls_ok c JOIN (" + "\nUNION ALL ".join(f"({x})" for x in _TOOL_SQL)
+    + ") a ON a.tool = c.tool AND a.pj = c.pj",
+    ["reqs", "silver_listings", "score_area", "risk_area", "scorecard", "risk", "crime", "school_rankings", "weather", "market_summary", "demographics", "fx_latest",
+     "amenities", "city_comparison", "comparison_index", "economic", "value_opportunities"])

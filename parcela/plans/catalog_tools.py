@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..sources import bindings
 from ..sources.tables import Tables
-from . import gold, silver, tools
+from . import gold, requests, sessions, silver, tools
 from .catalog import O, register
 from .pipeline import Pipeline
 
@@ -179,8 +179,25 @@ def t13(spark, d):
     return tools.amenity_access(Pipeline(spark, d).stage("scorecard"), "US", "NATION_6")
 
 
-@register("t14_tool_dispatch", O.rounded(O.sql("SELECT * FROM dispatch", "dispatch"), ["result_value"]))
+# CO cities that calls may name.
+CO_CITIES = ["NATION_0", "NATION_2", "NATION_7", "NATION_12"]
+
+
+def tool_tables(p: Pipeline) -> requests.ToolTables:
+    return requests.ToolTables(
+        listings=p.stage("listings"), scorecard=p.stage("scorecard"), risk=p.stage("risk"), market_summary=p.stage("market_summary"),
+        opportunities=p.value_opportunities(sort=False), city_pairs=p.stage("city_pairs"), comparison_index=p.stage("comparison_index"), crime=p.crime,
+        schools=p.school_rankings, weather=p.weather, demographics=p.demographics, amenities=p.amenities, economic=p.economic, fx_rate=silver.latest_fx(p.fx))
+
+
+def answered_calls(p: Pipeline):
+    """conv_id, turn, call_order, tool, result_json of every valid call of the plans."""
+    calls = sessions.validate_calls(tools.plan_calls(bindings.plans(p.t)), CO_CITIES).where("status = 'ok'")
+    typed = p.write("calls", requests.requests_of(calls, ["conv_id", "turn"]))
+    answers = requests.answer_requests(p.write("requests", requests.distinct_requests(typed)), tool_tables(p))
+    return typed.select("conv_id", "turn", "call_order", "tool", "rid").join(answers, "rid").drop("rid")
+
+
+@register("t14_tool_dispatch", O.sql("SELECT * FROM dispatch", "dispatch"))
 def t14(spark, d):
-    p = Pipeline(spark, d)
-    calls = tools.plan_calls(bindings.plans(p.t))
-    return tools.dispatch(calls, p.stage("market_summary"), p.stage("city_pairs"), p.stage("comparison_index"))
+    return answered_calls(Pipeline(spark, d))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sources import bindings
-from ..sources.tables import Tables
+from ..sources.tables import Tables, folder_version, path_exists
 from . import gold, silver
 
 FIXED_UPDATED_AT = "2024-01-01 00:00:00"
@@ -37,20 +37,34 @@ class Pipeline:
         self.materialize = materialize
         self._stages: dict[str, DataFrame] = {}
 
+    # Paths of the stages that this application has written, by folder, version of its files and the chain's parameters.
+    _written: dict[tuple, str] = {}
+
     def stage(self, name: str) -> DataFrame:
         """The named table as an input of a later build: written once as parquet under the
         shared checkpoint folder (like the silver/gold tables of the batch build) and read
         back, so later plans start from the written table -- lineage cut, column pruning and
-        filter pushdown on the re-read -- instead of recomputing the whole chain."""
+        filter pushdown on the re-read -- instead of recomputing the whole chain. A stage is built once for an
+        application, a folder and the state of its files; later pipelines over the same input read it."""
         if name not in self._stages:
-            df = getattr(self, name)
             if self.materialize:
-                path = scratch_path(self.spark, f"stage_{name}_{uuid.uuid4().hex}")
-                df.write.parquet(path)
-                df = self.spark.read.parquet(path)
-            self._stages[name] = df
+                key = (self.spark.sparkContext.applicationId, self.t.root, folder_version(self.spark, self.t.root), self.updated_at, self.rank_buckets, name)
+                if key in self._written and path_exists(self.spark, self._written[key]):
+                    self._stages[name] = self.spark.read.parquet(self._written[key])
+                else:
+                    self._stages[name] = self.write(name, getattr(self, name), key)
+            else:
+                self._stages[name] = getattr(self, name)
         return self._stages[name]
 
+    def write(self, name: str, df: DataFrame, key: tuple | None = None) -> DataFrame:
+        """``df``, written as parquet under the shared checkpoint folder and read back; found again by ``key``, if given."""
+        path = scratch_path(self.spark, f"stage_{name}_{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        if key is not None:
+            self._written[key] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
     # bronze-shaped inputs
     @cached_property
     def listings_raw(self) -> DataFrame: return bindings.listings(self.t)

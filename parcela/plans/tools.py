@@ -234,7 +234,7 @@ def amenity_access(card: DataFrame, country_code: str, city: str, zip_or_municip
     return c.agg(*[F.avg(x).alias(f"avg_{x}") for x in cols]).where(F.col("avg_amenity_density_score").isNotNull())
 
 
-# --- t14: a table of requests, one job per tool -------------------------------------------------
+# --- t14: a table of requests (answered in requests.py) -------------------------------------------------
 CALL_SCHEMA = "array<struct<tool:string,params:map<string,string>>>"
 
 
@@ -243,29 +243,3 @@ def plan_calls(plans: DataFrame, plan_col: str = "plan_json", keys=("conv_id", "
     calls = F.from_json(F.get_json_object(F.col(plan_col), "$.tool_calls"), CALL_SCHEMA)
     e = plans.select(*keys, F.posexplode(calls).alias("call_index", "c"))
     return e.select(*keys, "call_index", F.col("c.tool").alias("tool"), F.col("c.params").alias("params"))
-
-
-def dispatch(calls: DataFrame, summary: DataFrame, comparison: DataFrame, index: DataFrame) -> DataFrame:
-    """t14: answer every call of a request table with set-based joins per tool;
-    unknown tools get a message row."""
-    p = F.col("params")
-    keys = [c for c in calls.columns if c not in ("tool", "params")]
-    mt = calls.filter(F.col("tool") == "get_market_trends").select(
-        *keys, "tool", F.element_at(p, F.lit("country_code")).alias("country_code"),
-        F.element_at(p, F.lit("city")).alias("city"))
-    latest = summary.groupBy("country_code", "city").agg(
-        F.max_by(F.struct("date", "median_price_usd"), F.struct("date", "zip_or_municipio")).alias("l"))
-    a = mt.join(latest, ["country_code", "city"], "left").select(
-        *keys, "tool", F.col("l.date").alias("result_date"), F.col("l.median_price_usd").cast("double").alias("result_value"),
-        F.when(F.col("l").isNull(), F.lit("no data")).alias("message"))
-    cc = calls.filter(F.col("tool") == "compare_cities").select(
-        *keys, "tool", F.element_at(p, F.lit("us_city")).alias("us_city"), F.element_at(p, F.lit("co_city")).alias("co_city"))
-    cmp_ = compare_cities(cc.select("us_city", "co_city").distinct(), comparison, index)
-    b = cc.join(cmp_, ["us_city", "co_city"], "left").select(
-        *keys, "tool", F.col("comparison_date").alias("result_date"),
-        F.coalesce("price_ratio", "us_norm_school_score").alias("result_value"),
-        F.when(F.col("source") == "insufficient", F.lit("insufficient data")).alias("message"))
-    other = calls.filter(~F.col("tool").isin("get_market_trends", "compare_cities")).select(
-        *keys, "tool", F.lit(None).cast("date").alias("result_date"), F.lit(None).cast("double").alias("result_value"),
-        F.lit("unsupported tool").alias("message"))
-    return a.unionByName(b).unionByName(other)

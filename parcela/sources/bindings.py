@@ -217,6 +217,9 @@ def plans(t: Tables) -> DataFrame:
             F.lit('","city":"NATION_'), (cid % 25).cast("string"), F.lit('"}}'),
             F.when(cid % 4 == 0, F.lit(',{"tool":"compare_cities","params":{"us_city":"NATION_1","co_city":"NATION_2"}}'))
              .otherwise(F.lit("")),
+            F.when(cid % 5 == 2, F.concat(F.lit(',{"tool":"search_listings","params":{"country_code":"US","city":"nation_6","min_price_usd":'), (cid % 13 * 20000).cast("string"),
+                                          F.lit(',"max_price_usd":'), (cid % 13 * 20000 + 150000).cast("string"), F.lit(',"limit":'), (cid % 60 + 1).cast("string"), F.lit("}}")))
+             .otherwise(F.lit("")),
             F.element_at(F.array(*[F.lit(x) for x in PLAN_EXTRAS]), (cid % len(PLAN_EXTRAS) + 1).cast("int")),
             F.lit("]}")).alias("plan_json"))
 
@@ -230,6 +233,17 @@ PLAN_EXTRAS = (
     ',{"tool":"launch_rocket","params":{"city":"NATION_6"}}',
     ',{"tool":"compare_cities","params":{"us_city":"NATION_1","co_city":"NATION_3"}}',
     ',{"tool":"get_market_trends","params":{"country_code":"US","city":"NOWHERE","months_back":30}},{"tool":"get_market_trends","params":{"country_code":"XX","city":"NATION_1"}}',
+    ',{"tool":"get_neighborhood_profile","params":{"country_code":"CO","city":"NATION_0","zip_or_municipio":"NATION_0"}},{"tool":"get_crime_stats","params":{"country_code":"CO","city":"NATION_0"}}',
+    ',{"tool":"get_neighborhood_profile","params":{"country_code":"US","city":"Nation_1","zip_or_municipio":"NO_ZIP"}},{"tool":"get_crime_stats","params":{"country_code":"US","city":"nation_1"}}',
+    ',{"tool":"get_school_rankings","params":{"country_code":"CO","city":"NATION_2","limit":8}},{"tool":"get_weather_summary","params":{"country_code":"US","city":"nation_1","years_back":1}}',
+    ',{"tool":"get_school_rankings","params":{"country_code":"US","city":"NATION_6","zip_or_municipio":"Z3"}},{"tool":"get_weather_summary","params":{"country_code":"CO","city":"NATION_7"}}',
+    ',{"tool":"get_hazard_risks","params":{"country_code":"CO","city":"NATION_7"}},{"tool":"get_area_demographics","params":{"country_code":"CO","city":"NATION_2"}}',
+    ',{"tool":"get_hazard_risks","params":{"country_code":"US","city":"NATION_6","zip_or_municipio":"NO_ZIP"}},{"tool":"get_area_demographics","params":{"country_code":"US","city":"NATION_6","zip_or_municipio":"Z3"}}',
+    ',{"tool":"get_nearby_amenities","params":{"country_code":"CO","city":"NATION_0","amenity_types":["grocery","park"],"limit":7}},{"tool":"get_affordability_analysis","params":{"country_code":"US","city":"NATION_1","annual_income_usd":70000,"down_payment_usd":20000}}',
+    ',{"tool":"get_nearby_amenities","params":{"country_code":"US","city":"nation_6"}},{"tool":"get_affordability_analysis","params":{"country_code":"CO","city":"NATION_12","annual_income_usd":12000}}',
+    ',{"tool":"get_value_opportunities","params":{"country_code":"CO","city":"NATION_0","max_price_usd":200000,"limit":10}},{"tool":"get_amenity_access","params":{"country_code":"US","city":"nation_6"}}',
+    ',{"tool":"get_value_opportunities","params":{"country_code":"US","city":"nation_6"}},{"tool":"get_amenity_access","params":{"country_code":"US","city":"NOWHERE"}}',
+    ',{"tool":"search_listings","params":{"country_code":"CO","city":"NATION_0","bedrooms_min":3,"bathrooms_min":2,"property_type":"apartment","limit":30}},{"tool":"compare_cities","params":{"us_city":"nation_21","co_city":"NATION_12"}}',
 )
 
 

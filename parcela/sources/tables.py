@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from weakref import WeakKeyDictionary
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,17 +32,20 @@ class Tables:
             self._cache[name] = self.spark.read.parquet(self.path(name))
         return self._cache[name]
 
-    _shared: WeakKeyDictionary = WeakKeyDictionary()          # a session's accessors go with it
-
     @classmethod
     def shared(cls, spark: SparkSession, root: str) -> "Tables":
-        """One accessor per (session, folder) for read-only inputs such as the test tables,
-        so repeated queries reuse the parquet relations (listing and footers read once)."""
-        of_session = cls._shared.setdefault(spark, {})
-        return of_session.setdefault(root.rstrip("/"), cls(spark, root))
+        """One accessor per (session, folder) for read-only inputs such as the test tables, so repeated queries reuse the
+        parquet relations (listing and footers read once); another one when the files have changed. It lives with its session."""
+        of_session = spark.__dict__.setdefault("_parcela_tables", {})
+        root = root.rstrip("/")
+        version = folder_version(spark, root)
+        held = of_session.get(root)
+        if held is None or held[0] != version:
+            held = of_session[root] = (version, cls(spark, root))
+        return held[1]
 
     def exists(self, name: str) -> bool:
-        return _path_exists(self.spark, self.path(name))
+        return path_exists(self.spark, self.path(name))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -52,6 +53,20 @@ class Tables:
         return self.read(name)
 
 
+def folder_version(spark: SparkSession, root: str) -> tuple:
+    """Bytes, files and time of change of every test table under a folder, whatever its file system."""
+    sc = spark.sparkContext
+    conf, path = sc._jsc.hadoopConfiguration(), sc._jvm.org.apache.hadoop.fs.Path
+    out = []
+    for name in TEST_TABLES:
+        at = path(f"{root}/{name}.parquet")
+        fs = at.getFileSystem(conf)
+        if fs.exists(at):
+            size = fs.getContentSummary(at)
+            out.append((name, size.getLength(), size.getFileCount(), fs.getFileStatus(at).getModificationTime()))
+    return tuple(out)
+
+
 def table_scan(spark: SparkSession, path: str) -> DataFrame:
     """s01: full table read (parquet path or catalog name)."""
     if "/" in path:
@@ -59,7 +74,7 @@ def table_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.table(path)
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -72,7 +87,7 @@ def guarded_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     Columns of ``schema`` missing from the stored table come back as typed NULLs,
     so downstream plans always see the same columns.
     """
-    exists = (spark.catalog.tableExists(path) if "/" not in path else _path_exists(spark, path))
+    exists = (spark.catalog.tableExists(path) if "/" not in path else path_exists(spark, path))
     if not exists:
         return spark.createDataFrame([], schema)
     df = table_scan(spark, path)
