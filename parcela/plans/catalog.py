@@ -42,4 +42,4 @@ def P(spark, sf_dir) -> Pipeline:
 
 
 # --- composites -------------------------------------------------------------------------
-from . import catalog_composites, catalog_functions, catalog_relational, catalog_joins, catalog_sinks, catalog_sources, catalog_tools, catalog_sessions, catalog_streaming, catalog_validation, catalog_ingest  # noqa: E402,F401
+from . import catalog_composites, catalog_functions, catalog_loads, catalog_relational, catalog_joins, catalog_sinks, catalog_sources, catalog_tools, catalog_sessions, catalog_streaming, catalog_validation, catalog_ingest  # noqa: E402,F401

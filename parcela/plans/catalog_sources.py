@@ -101,8 +101,8 @@ def s06(spark, d):
     return routed.select("city", "crime_type", F.col("count").cast("int").alias("count"), "route", "file_year")
 
 
-def _listing_pages(t):
-    o = t.orders
+def listing_pages(o):
+    """Landed pages of listings, of the orders ``o``."""
     ok = F.col("o_orderkey")
     item = F.struct(
         F.when(ok % 2 == 0, ok.cast("string")).alias("zpid"), F.when(ok % 2 == 1, ok.cast("string")).alias("listingId"),
@@ -131,13 +131,15 @@ SELECT o_custkey, CAST(o_orderkey AS VARCHAR) AS listing_id, CAST(trunc(o_totalp
        CAST(o_orderkey % 50 AS VARCHAR) AS year_built_of_page, CASE WHEN o_custkey % 3 = 1 THEN '9' END AS pages
 FROM orders WHERE o_orderkey % 7 <> 0""")
 def s07(spark, d):
-    pages = _listing_pages(Tb(spark, d))
-    out = payloads.parse_listing_pages(pages, "payload", keep=["o_custkey"])
-    # the landed page is kept whole: a field that no rule names, of this listing, and one beside the listings
-    item = F.concat(F.lit('(?:zpid|listingId)":"'), F.col("listing_id"), F.lit('"[^}]*?"yearBuilt":(\\d+)'))
-    built = F.call_function("regexp_extract", F.col("raw_json"), item, F.lit(1))
-    return out.select("o_custkey", "listing_id", "price_usd", "bedrooms", "sqft", "listing_date", "zip", "property_type",
-                      built.alias("year_built_of_page"), F.get_json_object("raw_json", "$.pagination.total_pages").alias("pages"))
+    pages = listing_pages(Tb(spark, d).orders).withColumn("page_id", F.sha2("payload", 256))
+    out = payloads.parse_listing_pages(pages, "payload", keep=["o_custkey", "page_id"]).drop("raw_json")
+    # the landed page is kept once, under its digest: what no rule names is read from it, page by page, and joined by key
+    entry = F.lit('(?:zpid|listingId)":"([^"]*)"[^}]*?"yearBuilt":(\\d+)')
+    found = F.arrays_zip(*[F.regexp_extract_all("payload", entry, F.lit(i)).alias(c) for i, c in ((1, "listing_id"), (2, "built"))])
+    facts = pages.select("page_id", F.get_json_object("payload", "$.pagination.total_pages").alias("pages"), F.explode(found).alias("x"))
+    facts = facts.select("page_id", "pages", F.col("x.listing_id").alias("listing_id"), F.col("x.built").alias("year_built_of_page"))
+    return out.join(facts, ["page_id", "listing_id"]).select("o_custkey", "listing_id", "price_usd", "bedrooms", "sqft", "listing_date", "zip", "property_type",
+                                                            "year_built_of_page", "pages")
 
 
 @register("s08_json_parallel_arrays", O.rounded(O.sql(f"""
@@ -295,6 +297,11 @@ SELECT page, CASE WHEN k % 3 = 2 THEN concat('casa-', k) ELSE CAST(k AS VARCHAR)
        CASE WHEN k % 2 = 0 THEN 'apartamento' ELSE 'casa' END AS property_type
 FROM (SELECT p_partkey AS k, CAST(p_partkey // 20 AS BIGINT) AS page FROM part WHERE p_partkey % 11 <> 0) x""", ["bathrooms", "area_m2"]))
 def s15(spark, d):
+    return html.extract_cards(card_pages(Tb(spark, d).part), "html", keep=["page"], base_url="https://base.co")
+
+
+def card_pages(parts):
+    """Landed pages of listing cards, of the parts."""
     k = F.col("p_partkey")
     card = F.concat(                                        # every card spells its facts in one of several ways
         F.lit("<article "), F.when(k % 3 == 0, F.concat(F.lit('data-id="'), k, F.lit('"')))
@@ -309,9 +316,8 @@ def s15(spark, d):
             F.lit("<li>"), F.when(k % 2 == 0, F.lit("1 baño")).otherwise(F.lit("1,5 BANOS")), F.lit("</li><li>"), F.lit(40) + k % 100,
             F.when(k % 2 == 0, F.lit(" m²")).otherwise(F.lit(" M2")), F.lit('</li><span data-testid="card-Location">Barrio '), k % 9, F.lit(", Bogota</span>"))),
         F.lit("</article>"))
-    pages = Tb(spark, d).part.groupBy(F.floor(k / 20).cast("bigint").alias("page")).agg(
+    return parts.groupBy(F.floor(k / 20).cast("bigint").alias("page")).agg(
         F.concat(F.lit("<html><title>t</title><h1>Listings</h1>"), F.array_join(F.collect_list(card), "\n"), F.lit("</html>")).alias("html"))
-    return html.extract_cards(pages, "html", keep=["page"], base_url="https://base.co")
 
 
 @register("s16_literal_rows", O.rounded(O.sql("""
@@ -403,15 +409,18 @@ SELECT CAST(event_id AS VARCHAR) AS incident_id, event_type AS crime_type,
 FROM (SELECT * REPLACE (CASE event_type WHEN 'click' THEN 'assault' WHEN 'view' THEN 'theft' WHEN 'signup' THEN 'shooting' ELSE event_type END AS event_type)
       FROM events) e""")
 def s22(spark, d):
-    e = Tb(spark, d).events
+    return payloads.parse_incidents(incident_feeds(Tb(spark, d).events), "payload").select("incident_id", "crime_type", "crime_category", "incident_date", "year")
+
+
+def incident_feeds(e):
+    """Landed incident feeds of users, of the events ``e``."""
     kinds = F.create_map(*[F.lit(x) for x in ("click", "assault", "view", "theft", "signup", "shooting")])
     inc = F.struct(F.when(F.col("event_id") % 2 == 0, F.col("event_id").cast("string")).alias("cdid"),
                    F.when(F.col("event_id") % 2 == 1, F.col("event_id").cast("string")).alias("id"),
                    F.concat(F.lit(" "), F.upper(F.coalesce(F.element_at(kinds, F.col("event_type")), F.col("event_type")))).alias("type"),
                    F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("date"))
     g = e.groupBy("user_id", (F.col("event_id") / 1000).cast("long").alias("_page")).agg(F.collect_list(inc).alias("crimes"))
-    landed = g.select(F.to_json(F.struct("crimes")).alias("payload"))
-    return payloads.parse_incidents(landed, "payload").select("incident_id", "crime_type", "crime_category", "incident_date", "year")
+    return g.select("user_id", F.to_json(F.struct("crimes")).alias("payload"))
 
 
 @register("s23_record_json", """

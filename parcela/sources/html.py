@@ -33,11 +33,12 @@ def _plain(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(c, "<[^>]*>", "")), F.lit(""))
 
 
-def extract_cards(df: DataFrame, html_col: str = "html", keep=(), base_url: str = "") -> DataFrame:
+def extract_cards(df: DataFrame, html_col: str = "html", keep=(), base_url: str = "", raw: str | None = None) -> DataFrame:
     """One row per ``<article>`` card of every page, with the card's own link, id, title, price and facts.
 
     The id is the card's data-id, else its data-listing-id, else the last segment of its link; a card without a link or
-    an id is dropped. The price is the first text of the card whose digits make at least MIN_PRICE."""
+    an id is dropped. The price is the first text of the card whose digits make at least MIN_PRICE. ``raw`` names a
+    column for the card's own HTML."""
     cards = df.select(*keep, F.explode(F.regexp_extract_all(F.col(html_col), F.lit(CARD_RE), 1)).alias("_c"))
     c = F.col("_c")
     texts = F.filter(F.transform(F.split(c, "<[^>]*>"), lambda s: F.trim(s)), lambda s: s != "")
@@ -60,5 +61,6 @@ def extract_cards(df: DataFrame, html_col: str = "html", keep=(), base_url: str
         text.first_comma_segment(address).alias("barrio"),
         address.alias("address"),
         labels.title_property_type(title).alias("property_type"),
+        *([c.alias(raw)] if raw else []),
     )
     return out.where(F.col("listing_id").isNotNull())

@@ -68,10 +68,10 @@ def listing_page_schema() -> T.StructType:
                         + [T.StructField("data", S)]), inner
 
 
-def parse_listing_pages(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
+def parse_listing_pages(df: DataFrame, payload_col: str, keep=(), position: str | None = None) -> DataFrame:
     """s07: one row per listing item of a root-level list, or found under any of the array keys (or one
     level inside ``data``), alternative field names coalesced, home types mapped (others NULL), sale filter (p14)
-    applied, the whole landed page kept as ``raw_json``."""
+    applied, the whole landed page kept as ``raw_json``, the item's place on its page as ``position``, if named."""
     outer, inner = listing_page_schema()
     arr_t = T.ArrayType(_item_schema())
     root = F.ltrim(F.col(payload_col)).startswith("[")
@@ -82,7 +82,7 @@ def parse_listing_pages(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
     data_obj = F.when(~is_arr, F.from_json(F.col("_p.data"), inner))
     items = F.coalesce(F.col("_list"), *[F.col(f"_p.{k}") for k in ARRAY_KEYS if k != "data"], data_arr,
                        *[data_obj[k] for k in ARRAY_KEYS if k != "data"])
-    e = p.select(*keep, "_raw", F.explode(items).alias("it"))
+    e = p.select(*keep, "_raw", F.posexplode(items).alias("_place", "it"))
     g = {k: _first("it", v) for k, v in LISTING_FIELDS.items()}
     price = numbers.safe_float(g["price"]).try_cast("long")
     sqft = numbers.safe_int(g["sqft"])
@@ -99,7 +99,7 @@ def parse_listing_pages(df: DataFrame, payload_col: str, keep=()) -> DataFrame:
         g["listing_url"].alias("listing_url"), numbers.safe_int(g["days_on_market"]).alias("days_on_market"),
         dates.parse_listing_date(g["listing_date"]).alias("listing_date"),
         labels.is_for_sale(g["status_type"], g["home_status"], g["listing_type"]).alias("_sale"),
-        F.col("_raw").alias("raw_json"))
+        *([F.col("_place").alias(position)] if position else []), F.col("_raw").alias("raw_json"))
     return out.filter(F.col("listing_id").isNotNull() & F.col("_sale")).drop("_sale")
 
 
