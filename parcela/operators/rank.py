@@ -1,16 +1,12 @@
-"""Distributed percentile ranks (w05, w06, w07) without a single-partition window.
+"""Distributed percentile ranks (w05, w06, w07) without a single-partition window and without joining ranks back.
 
 ``Window.orderBy(x)`` with no partition moves every row into one task. Here:
 
-1. collapse rows to distinct (partition keys, value) with counts (map-side combine,
-   so a hot value costs one row per task);
-   the counts are checkpointed once because three steps read them;
-2. cut the non-NULL distinct values into ``buckets`` ranges by approximate
-   quantiles; the bounds (at most ``buckets`` numbers) are fixed once so every
-   later evaluation and retry assigns the same bucket;
-3. per-bucket totals (a table of partitions x buckets rows) give each bucket its
-   offset; a running sum inside each (partition, bucket) gives the rest;
-4. join the rank of each distinct value back to the rows (AQE splits a hot value).
+1. approximate quantiles of the values (at most ``buckets``) cut them into ranges; every bound is a range of its own, as are the
+   NULLs. A value that holds more rows than a bucket is a bound, so it never lies within a longer range;
+2. row counts of (partition keys, range), a narrow aggregate, give every range its offset and every partition its total;
+3. the rows move once, by (range, salt), and are ranked inside it by a window. In a range of one value all rows tie, so they are
+   spread over tasks by a salt: no task holds a hot value whole, and no row meets a table of distinct values.
 
 NULL values sort last and tie with each other, as ``asc_nulls_last``.
 """
@@ -19,105 +15,73 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bucket_bounds(values: DataFrame, value_col: str, buckets: int) -> list:
-    if buckets <= 1:
-        return []
-    probs = [i / buckets for i in range(1, buckets)]
-    row = values.agg(F.percentile_approx(F.col(value_col).cast("double"), probs, 10000).alias("b")).first()
-    bounds = row["b"] if row is not None else None
-    return sorted(set(float(b) for b in bounds)) if bounds else []
-
-
-def _counts(df: DataFrame, value_col: str, pcols: Sequence[str]) -> DataFrame:
-    # distinct (partition, value) counts are read several times (bounds, in-bucket running
-    # sums, bucket totals): write them once to the checkpoint folder instead of re-scanning
-    # and re-shuffling the input for each use
-    return df.groupBy(*pcols, value_col).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+def _bounds(df: DataFrame, value_col: str, buckets: int) -> list:
+    """At most ``buckets`` distinct values that occur, ascending, in the column's own type."""
+    probs = [i / buckets for i in range(1, buckets)] or [0.5]
+    found = df.agg(F.percentile_approx(value_col, probs, 10000).alias("b")).first()["b"]
+    return sorted({b for b in found or [] if b == b})                 # no NaN: it is greater than all others
 
 
 def _default_buckets(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-def _rank_from_counts(counts: DataFrame, value_col: str, pcols: Sequence[str], bounds: list) -> DataFrame:
-    v = F.col(value_col)
-    if bounds:
-        arr = F.array(*[F.lit(b) for b in bounds])
-        bucket = F.size(F.filter(arr, lambda b: b < v.cast("double")))
-    else:
-        bucket = F.lit(0)
-    null_bucket = len(bounds) + 1
-    counts = counts.withColumn("_b", F.when(v.isNull(), F.lit(null_bucket)).otherwise(bucket))
-    totals = counts.groupBy(*pcols, "_b").agg(F.sum("_n").alias("_bn"))
-    wp = Window.partitionBy(*pcols) if pcols else Window.partitionBy(F.lit(0))   # partitions x buckets rows
-    totals = (totals
-              .withColumn("_off", F.coalesce(F.sum("_bn").over(wp.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .withColumn("_total", F.sum("_bn").over(wp)))
-    wb = Window.partitionBy(*pcols, "_b").orderBy(v).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counts.withColumn("_within", F.coalesce(F.sum("_n").over(wb), F.lit(0)))
-    j = ranked.join(totals.select(*pcols, "_b", "_off", "_total"), [*pcols, "_b"])
-    return j.select(*pcols, value_col, "_n", (F.col("_off") + F.col("_within")).alias("_below"), "_total")
-
-
-def rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
-               buckets: int | None = None) -> DataFrame:
-    """Distinct (partition, value) with ``_n`` (rows with that value), ``_below``
-    (rows strictly before it, NULLs last) and ``_total`` (rows in the partition)."""
-    pcols = list(partition_cols)
-    counts = _counts(df, value_col, pcols)
-    bounds = _bucket_bounds(counts.filter(F.col(value_col).isNotNull()), value_col, buckets or _default_buckets(df))
-    return _rank_from_counts(counts, value_col, pcols, bounds)
+def _ranked(df: DataFrame, value_col: str, partitions: Sequence[Sequence[str]], buckets: int | None) -> DataFrame:
+    """``df`` with ``_below<i>`` (rows strictly before), ``_ties<i>`` (rows with the value) and ``_total<i>`` (rows) of each partitioning."""
+    n = buckets or _default_buckets(df)
+    v, kind = F.col(value_col), df.schema[value_col].dataType
+    bounds = F.array(*[F.lit(b).cast(kind) for b in _bounds(df, value_col, n)])
+    before = F.size(F.filter(bounds, lambda b: b < v))
+    placed = df.withColumn("_b", F.when(v.isNull(), 2 * F.size(bounds) + 1).otherwise(2 * before + F.array_contains(bounds, v).cast("int")))
+    one_value = F.col("_b") % 2 == 1
+    out = placed.withColumn("_salt", F.when(one_value, F.pmod(F.spark_partition_id(), F.lit(n))).otherwise(F.lit(0)))
+    ordered = sorted(range(len(partitions)), key=lambda i: len(partitions[i]))           # the coarsest shuffles, finer ones stay in place
+    for i in ordered:
+        w = Window.partitionBy("_b", "_salt", *partitions[i])
+        out = out.withColumn(f"_in{i}", F.rank().over(w.orderBy(v)) - 1)
+        out = out.withColumn(f"_same{i}", F.count(F.lit(1)).over(Window.partitionBy("_b", "_salt", *partitions[i], value_col)))
+    for i in ordered:
+        keys = list(partitions[i])
+        sizes = placed.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_rows"))
+        of = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))          # 2 x buckets rows of each key
+        sizes = sizes.withColumn("_off", F.coalesce(F.sum("_rows").over(of.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+        sizes = sizes.select(*[F.col(k).alias(f"_k{j}") for j, k in enumerate(keys)], F.col("_b").alias("_kb"), "_off", "_rows", F.sum("_rows").over(of).alias(f"_total{i}"))
+        same = [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)] + [F.col("_b") == F.col("_kb")]
+        out = out.join(sizes, same).withColumn(f"_below{i}", F.col("_off") + F.col(f"_in{i}"))
+        out = out.withColumn(f"_ties{i}", F.when(one_value, F.col("_rows")).otherwise(F.col(f"_same{i}")))
+        out = out.drop("_kb", "_off", "_rows", f"_in{i}", f"_same{i}", *[f"_k{j}" for j in range(len(keys))])
+    return out
 
 
 def percent_ranks(df: DataFrame, value_col: str, outputs: dict[str, Sequence[str]], scale: float = 100.0,
                   buckets: int | None = None) -> DataFrame:
-    """Several percent_rank columns of one value under different partitionings (e.g.
-    per country and global) from one distinct-value table and one join back."""
-    finest = sorted({c for cols in outputs.values() for c in cols})
-    counts = _counts(df, value_col, finest)
-    bounds = _bucket_bounds(counts.filter(F.col(value_col).isNotNull()), value_col, buckets or _default_buckets(df))
-    table = counts.select(*finest, value_col)
-    for out, pcols in outputs.items():
-        pcols = list(pcols)
-        c = counts.groupBy(*pcols, value_col).agg(F.sum("_n").alias("_n"))
-        t = _rank_from_counts(c, value_col, pcols, bounds)
-        pr = F.when(F.col("_total") > 1, F.col("_below") / (F.col("_total") - 1)).otherwise(F.lit(0.0)) * F.lit(scale)
-        t = t.select(*[F.col(x).alias(f"_k{i}") for i, x in enumerate(pcols)], F.col(value_col).alias("_kv"), pr.alias(out))
-        cond = [F.col(x).eqNullSafe(F.col(f"_k{i}")) for i, x in enumerate(pcols)] + [F.col(value_col).eqNullSafe(F.col("_kv"))]
-        table = table.join(t, cond, "left").drop(*[f"_k{i}" for i in range(len(pcols))], "_kv")
-    return _attach(df, table, value_col, finest, None, None)
-
-
-def _attach(df: DataFrame, table: DataFrame, value_col: str, pcols: Sequence[str], out, expr) -> DataFrame:
-    """Join per-(partition, value) results back to the rows (null-safe keys)."""
-    outs = [out] if out is not None else [c for c in table.columns if c not in set(pcols) | {value_col}]
-    extra = [expr.alias(out)] if out is not None else [F.col(c) for c in outs]
-    t = table.select(*[F.col(c).alias(f"_rk{i}") for i, c in enumerate(pcols)], F.col(value_col).alias("_rv"), *extra)
-    cond = [F.col(c).eqNullSafe(F.col(f"_rk{i}")) for i, c in enumerate(pcols)] + [F.col(value_col).eqNullSafe(F.col("_rv"))]
-    j = df.join(t, cond, "left")
-    return j.select(*df.columns, *outs)
+    """Several percent_rank columns (ascending, NULLs last, x ``scale``) of one value under different partitionings, e.g. per
+    country and global: the rows move once for all of them where one partitioning is empty or a part of the others."""
+    ranked = _ranked(df, value_col, [list(p) for p in outputs.values()], buckets)
+
+    def share(i: int) -> Column:
+        return F.when(F.col(f"_total{i}") > 1, F.col(f"_below{i}") / (F.col(f"_total{i}") - 1)).otherwise(F.lit(0.0)) * F.lit(scale)
+    return ranked.select(*df.columns, *[share(i).alias(out) for i, out in enumerate(outputs)])
 
 
 def percent_rank(df: DataFrame, value_col: str, out_col: str, partition_cols: Sequence[str] = (),
                  scale: float = 100.0, buckets: int | None = None) -> DataFrame:
     """w05/w06: percent_rank() (ascending, NULLs last) x ``scale``."""
-    pcols = list(partition_cols)
-    t = rank_table(df, value_col, pcols, buckets)
-    pr = F.when(F.col("_total") > 1, F.col("_below") / (F.col("_total") - 1)).otherwise(F.lit(0.0)) * F.lit(scale)
-    return _attach(df, t, value_col, pcols, out_col, pr)
+    return percent_ranks(df, value_col, {out_col: partition_cols}, scale, buckets)
 
 
 def average_rank_percentile(df: DataFrame, value_col: str, out_col: str,
                             partition_cols: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """w07: (average rank - 1) / (n - 1) * 100 with ties sharing their mean rank; n = 1 -> 100.
+    """w07: (average rank - 1) / (n - 1) * 100 with ties sharing their mean rank, over the n rows with a value; n = 1 -> 100.
     NULL values get NULL (as pandas ``rank``)."""
-    pcols = list(partition_cols)
-    nonnull = df.filter(F.col(value_col).isNotNull())
-    t = rank_table(nonnull, value_col, pcols, buckets)
-    avg_rank = F.col("_below") + (F.col("_n") + 1) / 2.0
-    pct = F.when(F.col("_total") > 1, (avg_rank - 1) / (F.col("_total") - 1) * 100.0).otherwise(F.lit(100.0))
-    return _attach(df, t, value_col, pcols, out_col, pct)
+    keys = list(partition_cols)
+    valued = df.where(F.col(value_col).isNotNull())
+    ranked = _ranked(valued, value_col, [keys], buckets)
+    rank = F.col("_below0") + (F.col("_ties0") + 1) / 2.0
+    pct = F.when(F.col("_total0") > 1, (rank - 1) / (F.col("_total0") - 1) * 100.0).otherwise(F.lit(100.0))
+    none = df.where(F.col(value_col).isNull()).withColumn(out_col, F.lit(None).cast("double"))
+    return ranked.select(*df.columns, pct.alias(out_col)).unionByName(none)
