@@ -238,27 +238,61 @@ def envelope(df: DataFrame, keys: Sequence[str], pad_deg: float = 0.0, pad_frac:
                     (F.col("min_lon") - plon).alias("min_lon"), (F.col("max_lon") + plon).alias("max_lon"))
 
 
+BOX_CELLS = 4                # cells that the longer side of a box spans, or one more
+
+
+def _box_levels(cell_deg: float) -> list[float]:
+    """Cell sizes from the whole globe down to about ``cell_deg``, each half of the one before."""
+    sizes = [180.0]
+    while sizes[-1] / 2 >= min(cell_deg, 180.0) * (1 - 1e-9):
+        sizes.append(sizes[-1] / 2)
+    return sizes
+
+
+def box_cover(boxes: DataFrame, cell_deg: float = 1.0) -> DataFrame:
+    """``boxes`` with one row a cell that covers it: ``_level``, ``_row``, ``_col`` and ``_inner``, true if the whole cell lies in the box.
+
+    The size of a box picks its level, so that any box, whatever its extent, is at most (BOX_CELLS + 2) squared cells."""
+    sizes = F.array(*[F.lit(s) for s in _box_levels(cell_deg)])
+    span = F.least(F.lit(360.0), F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon")))
+    level = F.greatest(F.lit(0), F.size(F.filter(sizes, lambda s: s >= span / BOX_CELLS)) - 1)
+    b = boxes.withColumn("_level", level).withColumn("_size", F.element_at(sizes, F.col("_level") + 1))
+    top, right = F.lit(180.0) / F.col("_size") - 1, F.lit(360.0) / F.col("_size")
+    b = (b.withColumn("_row", F.explode(F.sequence(F.greatest(F.lit(0), F.floor((F.col("min_lat") + 90.0) / F.col("_size")).cast("int")),
+                                                   F.least(top.cast("int"), F.floor((F.col("max_lat") + 90.0) / F.col("_size")).cast("int")))))
+         .withColumn("_west", F.pmod(F.col("min_lon") + 180.0, F.lit(360.0))).withColumn("_wide", F.least(F.col("max_lon") - F.col("min_lon"), F.lit(360.0)))
+         .withColumn("_first", F.floor(F.col("_west") / F.col("_size")).cast("int"))
+         .withColumn("_last", F.floor((F.col("_west") + F.col("_wide")) / F.col("_size")).cast("int"))
+         .withColumn("_at", F.explode(F.sequence(F.col("_first"), F.least(F.col("_last"), F.col("_first") + right.cast("int") - 1)))))
+    south, west = F.col("_row") * F.col("_size") - 90.0, F.col("_at") * F.col("_size")
+    inner = ((south >= F.col("min_lat")) & (south + F.col("_size") <= F.col("max_lat"))
+             & (F.col("_wide") >= 360.0) | (south >= F.col("min_lat")) & (south + F.col("_size") <= F.col("max_lat"))
+             & (west >= F.col("_west")) & (west + F.col("_size") <= F.col("_west") + F.col("_wide")))
+    b = b.withColumn("_inner", inner).withColumn("_col", F.pmod("_at", right.cast("int")))
+    return b.drop("_size", "_west", "_wide", "_first", "_last", "_at")
+
+
 def bbox_join(points: DataFrame, boxes: DataFrame, box_keys: Sequence[str], cell_deg: float = 1.0) -> DataFrame:
     """j13: (point, box) pairs with the point inside the box (edges included).
 
-    Each box is exploded to the grid cells it overlaps and equi-joined with the
-    points of those cells, then tested exactly. Columns wrap at the antimeridian:
-    a box may run past 180 or -180 degrees."""
-    cell_deg = snap_cell(cell_deg)
-    n_rows = int(math.ceil(180.0 / cell_deg))
-    n_cols = int(math.ceil(360.0 / cell_deg))
-    b = boxes.withColumn("_row", F.explode(F.sequence(
-            F.greatest(F.lit(0), F.floor((F.col("min_lat") + 90.0) / cell_deg).cast("int")),
-            F.least(F.lit(n_rows - 1), F.floor((F.col("max_lat") + 90.0) / cell_deg).cast("int"))))) \
-             .withColumn("_west", F.pmod(F.col("min_lon") + 180.0, F.lit(360.0))) \
-         .withColumn("_first", F.floor(F.col("_west") / cell_deg).cast("int")) \
-         .withColumn("_last", F.floor((F.col("_west") + F.least(F.col("max_lon") - F.col("min_lon"), F.lit(360.0))) / cell_deg).cast("int")) \
-         .withColumn("_col", F.explode(F.sequence(F.col("_first"), F.least("_last", F.col("_first") + n_cols - 1)))) \
-         .withColumn("_col", F.pmod("_col", F.lit(n_cols)))
-    p = _point_cells(points, cell_deg)
-    j = p.join(b.select(*box_keys, "min_lat", "max_lat", "min_lon", "max_lon", "_row", "_col"), ["_row", "_col"])
+    Boxes are covered by a few cells of a size that fits them (``box_cover``), points take the cell of every level that some box
+    uses, and the two meet by equality. Points of an inner cell need no test. Columns wrap at the antimeridian: a box may run past
+    180 or -180 degrees."""
+    sizes = _box_levels(cell_deg)
+    cover = box_cover(boxes.select(*box_keys, "min_lat", "max_lat", "min_lon", "max_lon")
+                      .where((F.col("min_lat") <= F.col("max_lat")) & (F.col("min_lon") <= F.col("max_lon"))), cell_deg)
+    used = sorted(r["_level"] for r in cover.select("_level").distinct().collect())          # at most a number a level
+    if not used:
+        used = [0]
+    level = F.explode(F.array(*[F.struct(F.lit(i).alias("_level"), F.lit(sizes[i]).alias("_size")) for i in used]))
+    p = points.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).withColumn("_l", level)
+    size = F.col("_l._size")
+    p = (p.withColumn("_level", F.col("_l._level"))
+         .withColumn("_row", F.least((F.lit(180.0) / size - 1).cast("int"), F.floor((F.col("lat") + 90.0) / size).cast("int")))
+         .withColumn("_col", F.pmod(F.floor((F.col("lon") + 180.0) / size).cast("int"), (F.lit(360.0) / size).cast("int"))).drop("_l"))
+    j = p.join(cover, ["_level", "_row", "_col"])
     inside = (F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
               & (F.col("lon").between(F.col("min_lon"), F.col("max_lon"))
                  | (F.col("lon") + 360.0).between(F.col("min_lon"), F.col("max_lon"))
                  | (F.col("lon") - 360.0).between(F.col("min_lon"), F.col("max_lon"))))
-    return j.filter(inside).drop("_row", "_col", "min_lat", "max_lat", "min_lon", "max_lon")
+    return j.filter(F.col("_inner") | inside).drop("_level", "_row", "_col", "_inner", "min_lat", "max_lat", "min_lon", "max_lon")

@@ -18,7 +18,7 @@ _KEYS = ["date", "from_currency", "to_currency"]
 
 def _land_and_load(spark, d, batches, runs=1):
     """Land the fx rows in year slices, then run the availableNow stream ``runs`` times
-    (each run with a fresh checkpoint replays every file)."""
+    (each run with a fresh checkpoint replays every file; a checkpoint that is kept goes on with its state)."""
     fx = bindings.fx(Tables.shared(spark, d))
     root = scratch_path(spark, f"st_{uuid.uuid4().hex}")
     landing, target = f"{root}/landing", f"{root}/target"
@@ -26,8 +26,7 @@ def _land_and_load(spark, d, batches, runs=1):
         sl = fx.filter((F.year("date") >= lo) & (F.year("date") < hi))
         sl.write.mode("append").parquet(landing)
         for r in range(runs):
-            incremental.run_incremental(spark, landing, fx.schema, target, f"{root}/ckpt_{r}", _KEYS,
-                                        partition_by=["from_currency"])
+            incremental.run_stateful(spark, landing, fx.schema, target, f"{root}/ckpt_{r}", _KEYS, partition_by=["from_currency"])
     return fx, target
 
 
@@ -43,13 +42,12 @@ def st02(spark, d):
     fx = bindings.fx(Tables.shared(spark, d))
     root = scratch_path(spark, f"st02_{uuid.uuid4().hex}")
     landing, target = f"{root}/landing", f"{root}/target"
-    fx.filter(F.year("date") < 1998).write.parquet(landing)
-    incremental.run_incremental(spark, landing, fx.schema, target, f"{root}/ckpt", _KEYS)
-    v1 = f"{root}/v1"
-    spark.read.parquet(target).write.parquet(v1)                     # version 1 of the table
-    fx.filter(F.year("date") >= 1998).write.mode("append").parquet(landing)
-    incremental.run_incremental(spark, landing, fx.schema, target, f"{root}/ckpt", _KEYS)
-    return diff.snapshot_diff(spark.read.parquet(v1).select(*fx.columns), spark.read.parquet(target).select(*fx.columns), _KEYS)
+    versions = [f"{root}/v0", f"{root}/v1"]
+    for slice_, version in zip((fx.filter(F.year("date") < 1998), fx.filter(F.year("date") >= 1998)), versions):
+        slice_.write.mode("append").parquet(landing)
+        incremental.run_stateful(spark, landing, fx.schema, target, f"{root}/ckpt", _KEYS)
+        diff.write_version(spark.read.parquet(target).select(*fx.columns), version, _KEYS, ranges=16)
+    return diff.version_diff(spark, *versions, fx.schema, _KEYS)
 
 
 @register("st03_idempotent_rerun", O.sql("SELECT * FROM fx", "fx"))

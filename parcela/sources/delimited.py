@@ -3,7 +3,6 @@ long and wide layouts (s03-s06, s17-s19, s24)."""
 
 from __future__ import annotations
 
-import csv
 import unicodedata
 from collections.abc import Sequence
 
@@ -27,14 +26,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def sniff_files(lines: DataFrame, min_columns: int = 2) -> DataFrame:
-    """s04: (file, header, is_utf8, sep) of every file, decided by all of its lines.
+    """s04: (file, header, first, is_utf8, sep) of every file, decided by all of its lines; ``first`` is the header's place.
 
     ``lines`` has the raw lines as ``value`` with ``file``, ``block`` and ``row``. A file with any line that is not valid
     UTF-8 is ISO-8859-1. Its separator is the first of SEPARATORS that cuts its header into ``min_columns`` parts or more,
     else a comma."""
-    per = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("raw"),
+    per = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("raw"), F.min(F.struct("block", "row")).alias("first"),
                                     F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
-    per = per.select("file", "is_utf8", decoded("raw", "is_utf8").alias("header"))
+    per = per.select("file", "first", "is_utf8", decoded("raw", "is_utf8").alias("header"))
     sep = F.lit(None).cast("string")
     for s in reversed(SEPARATORS):
         sep = F.when(F.size(F.split("header", f"\\Q{s}\\E", -1)) >= min_columns, s).otherwise(sep)
@@ -46,24 +45,35 @@ def decoded(line_col: str, is_utf8: str):
     return F.when(F.col(is_utf8), F.col(line_col)).otherwise(F.decode(F.col(line_col).cast("binary"), ENCODINGS[1]))
 
 
+def _cells(line: str, sep: str, width: int):
+    """The fields of a line as an array of ``width`` strings, cut by its file's separator."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    out = F.lit(None).cast("array<string>")
+    for s in SEPARATORS:
+        r = F.from_csv(line, schema, {"sep": s})
+        out = F.when(F.col(sep) == s, F.array(*[r[f"c{i}"] for i in range(width)])).otherwise(out)
+    return out
+
+
 def read_sniffed(spark: SparkSession, path: str, min_columns: int = 2) -> DataFrame:
     """s04: every file of ``path`` with its own encoding, separator and header, as strings; one record a line.
 
-    Columns are the union of all headers. Only the distinct layouts (header, separator) reach the driver; lines and files are
-    joined by the file's name."""
+    Columns are the union of all headers. Whatever the number of layouts, the lines are parsed in one scan: a line is cut into
+    an array by its file's separator, and a column is the field at its name's place in the file's header (the first one of a name). Only the
+    names of the columns and the greatest number of fields reach the driver. The header is dropped by its place: data equal to it stays."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
                                          F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
     files = sniff_files(lines, min_columns)
-    layouts = [(r["header"], r["sep"]) for r in files.where("header is not null").select("header", "sep").distinct().collect()]
-    rows = lines.drop("block", "row").join(files, "file").withColumn("line", decoded("value", "is_utf8")).where("line <> header and line <> ''")
-    out = None
-    for header, sep in sorted(layouts):
-        names = [n.strip() or f"_c{i}" for i, n in enumerate(next(csv.reader([header], delimiter=sep)))]
-        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-        own = rows.where((F.col("header") == header) & (F.col("sep") == sep)).select(F.from_csv("line", schema.simpleString()[7:-1].replace(":", " "), {"sep": sep}).alias("r"))
-        own = own.select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
-        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
-    return out if out is not None else spark.createDataFrame([], "_c0 string")
+    cut = F.split("header", F.concat(F.lit("\\Q"), "sep", F.lit("\\E")), -1)
+    width = files.agg(F.max(F.size(cut))).first()[0]
+    if width is None:
+        return spark.createDataFrame([], "_c0 string")
+    names = F.transform(_cells("header", "sep", width), lambda n, i: F.when(i < F.size(cut), F.coalesce(F.nullif(F.trim(n), F.lit("")), F.concat(F.lit("_c"), i.cast("string")))))
+    files = files.withColumn("names", F.filter(names, lambda n: n.isNotNull()))
+    columns = [r["n"] for r in files.select(F.explode("names").alias("n")).distinct().orderBy("n").collect()]
+    rows = lines.join(files, "file").where(F.struct("block", "row") > F.col("first")).withColumn("line", decoded("value", "is_utf8")).where("line <> ''")
+    rows = rows.withColumn("cells", _cells("line", "sep", width))
+    return rows.select(*[F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in columns])
 
 
 def normalize_header(name: str) -> str:
