@@ -9,12 +9,14 @@ points sharing exact coordinates are pre-aggregated before the join.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, KM_PER_DEG_LAT, haversine
+from ..session import scratch_path
 
 
 def snap_cell(cell_deg: float) -> float:
@@ -23,18 +25,6 @@ def snap_cell(cell_deg: float) -> float:
     return 180.0 / math.ceil(180.0 / max(cell_deg, 1e-6))
 
 
-_DIVISORS_180 = [d for d in range(1, 181) if 180 % d == 0]
-
-
-def _level_sizes(cell_deg: float, growth: int) -> list[float]:
-    """Cell sizes for the nearest-point levels: each divides 180, growing by ~``growth``."""
-    sizes = [snap_cell(cell_deg)]
-    while sizes[-1] < 180.0:
-        nxt = next((float(d) for d in _DIVISORS_180 if d >= sizes[-1] * growth), 180.0)
-        sizes.append(nxt)
-    return sizes
-
-
 def _cells_for_reach(lat, lon, cell_deg: float, reach_km: float):
     """Array of (row, col) cells whose points may lie within ``reach_km`` of (lat, lon)."""
     n_rows = int(math.ceil(180.0 / cell_deg))
@@ -117,24 +107,6 @@ def radius_count(left: DataFrame, right: DataFrame, radius_km: float, left_id: s
     return res.withColumn(out_col, F.coalesce(F.col(out_col), F.lit(0)).cast("bigint"))
 
 
-def _clear_distance(lat, lon, cell_deg: float, ring: int, n_rows: int, n_cols: int):
-    """Lower bound (km) of the distance from (lat, lon) to any point outside the
-    (2*ring+1)^2 block of cells around its cell."""
-    row = F.floor((lat + 90.0) / cell_deg)
-    colf = F.floor((lon + 180.0) / cell_deg)
-    top = (row + ring + 1) * cell_deg - 90.0
-    bot = (row - ring) * cell_deg - 90.0
-    inf = F.lit(float("inf"))
-    north = F.when(top >= 90.0, inf).otherwise((top - lat) * KM_PER_DEG_LAT)
-    south = F.when(bot <= -90.0, inf).otherwise((lat - bot) * KM_PER_DEG_LAT)
-    east_g = (colf + ring + 1) * cell_deg - 180.0 - lon
-    west_g = lon - ((colf - ring) * cell_deg - 180.0)
-    g = F.least(east_g, west_g)
-    ew = F.when((2 * ring + 1 >= n_cols) | (g >= 90.0), inf) \
-          .otherwise(F.lit(EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.cos(F.radians(lat)) * F.sin(F.radians(g)))))
-    return F.least(north, south, ew)
-
-
 def _cell_lower_bound(lat, lon, row, col, size: float):
     """Lower bound (km) of the distance from (lat, lon) to any point of grid cell (row, col)."""
     lat0 = row * size - 90.0
@@ -148,80 +120,67 @@ def _cell_lower_bound(lat, lon, row, col, size: float):
     # (for gaps of 90 degrees or more, at least the distance to the nearer pole)
     lon_lb = F.lit(EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.abs(F.cos(F.radians(lat)))
                                                       * F.sin(F.radians(F.least(gap_lon, F.lit(90.0))))))
-    return F.greatest(F.lit(KM_PER_DEG_LAT) * gap_lat, lon_lb)
-
-
-def _prune_cells(q: DataFrame, cells: DataFrame, size: float) -> DataFrame:
-    """Keep only the candidate cells of each query that can hold its nearest point.
-
-    Every non-empty cell contributes one representative point; the nearest
-    representative gives an achievable distance U per query, and a cell whose lower
-    bound exceeds U cannot contain the nearest point. Only the surviving (query,
-    cell) pairs are joined with the cell's points, so a dense cluster next to a
-    closer cell is never paired with the query."""
-    reps = cells.groupBy("_row", "_col").agg(F.min(F.struct("_plat", "_plon")).alias("_rep"))
-    qc = q.join(reps, ["_row", "_col"])
-    qc = qc.withColumn("_ub", haversine("_llat", "_llon", F.col("_rep._plat"), F.col("_rep._plon"))) \
-           .withColumn("_lb", _cell_lower_bound(F.col("_llat"), F.col("_llon"), F.col("_row"), F.col("_col"), size))
-    # a query has a few candidate cells (a 3x3 block, one row of cells near a pole): a bounded window
-    u = F.min("_ub").over(Window.partitionBy("_llat", "_llon"))
-    kept = qc.withColumn("_u", u).filter(F.col("_lb") <= F.col("_u") * (1 + 1e-9) + 1e-6)
-    return kept.select("_llat", "_llon", "_row", "_col")
-
-
-def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
-                  payload: Sequence[str] = (), cell_deg: float = 1.0, growth: int = 4) -> DataFrame:
+    # a cell lies within half its diagonal of its centre: close for small cells and far points
+    half = EARTH_RADIUS_KM * 2 * math.asin(min(1.0, math.sqrt(2.0) * math.sin(math.radians(size) / 4)))
+    centre = haversine(lat, lon, lat0 + size / 2, lon0 + size / 2)
+    return F.greatest(F.lit(KM_PER_DEG_LAT) * gap_lat, lon_lb, centre - F.lit(half))
+
+
+TREE_LEVELS, TREE_STEP = 24, 3        # cells of 180 / 2 ** 24 degrees (about a metre); levels that a step of the descent goes down
+
+
+def _tree(pts: DataFrame) -> DataFrame:
+    """The non-empty cells of every step's level with one of their points: ``_level``, ``_nr``, ``_nc``, ``_rep``. Written once, by level."""
+    levels = list(range(TREE_STEP, TREE_LEVELS + 1, TREE_STEP))
+    up = F.explode(F.array(*[F.struct(F.lit(level).alias("_level"), F.shiftright("_r", TREE_LEVELS - level).alias("_nr"),
+                                      F.shiftright("_c", TREE_LEVELS - level).alias("_nc")) for level in levels]))
+    cells = pts.select(up.alias("_n"), F.struct("_plat", "_plon").alias("_p")).groupBy("_n._level", "_n._nr", "_n._nc").agg(F.min("_p").alias("_rep"))
+    path = scratch_path(pts.sparkSession, f"quadtree_{uuid.uuid4().hex}")
+    cells.write.partitionBy("_level").parquet(path)
+    return pts.sparkSession.read.schema("_nr int, _nc int, _rep struct<_plat: double, _plon: double>, _level int").parquet(path)
+
+
+def _nearest_cells(locs: DataFrame, pts: DataFrame) -> DataFrame:
+    """Locations (``_llat``, ``_llon``) with the finest cells (``_r``, ``_c``) that may hold their nearest point."""
+    tree = _tree(pts)
+    open_ = locs.withColumn("_r", F.lit(0)).withColumn("_c", F.explode(F.array(F.lit(0), F.lit(1))))       # two cells cover the globe
+    for level in range(TREE_STEP, TREE_LEVELS + 1, TREE_STEP):
+        size = 180.0 / (1 << level)
+        nodes = tree.where(F.col("_level") == level).select(F.shiftright("_nr", TREE_STEP).alias("_r"), F.shiftright("_nc", TREE_STEP).alias("_c"), "_nr", "_nc", "_rep")
+        below = open_.join(nodes, ["_r", "_c"])
+        below = below.withColumn("_ub", haversine("_llat", "_llon", F.col("_rep._plat"), F.col("_rep._plon"))) \
+                     .withColumn("_lb", _cell_lower_bound(F.col("_llat"), F.col("_llon"), F.col("_nr"), F.col("_nc"), size))
+        # a location has a few open cells, each with at most 4 ** TREE_STEP cells below it: a bounded window
+        least = F.min("_ub").over(Window.partitionBy("_llat", "_llon"))
+        below = below.withColumn("_u", least).where(F.col("_lb") <= F.col("_u") * (1 + 1e-9) + 1e-6)
+        open_ = below.select("_llat", "_llon", F.col("_nr").alias("_r"), F.col("_nc").alias("_c"))
+    return open_
+
+
+def nearest_point(left: DataFrame, right: DataFrame, left_id: str, right_id: str, payload: Sequence[str] = ()) -> DataFrame:
     """j11: for each left point, the nearest right point by great-circle distance.
 
-    Ties break on the smallest (distance, lat, lon, id). Levels use cells of
-    ``cell_deg * growth**L`` with a 3x3 block; a left point is settled at the
-    first level where its best candidate lies within the block's guaranteed
-    clear distance; unsettled points move to the next, coarser level. Inside a
-    level, candidate cells are pruned by a lower bound against the nearest cell
-    representative before any point is paired with a query. The set
-    still open after a level is written to the checkpoint folder, which cuts the
-    lineage and keeps each level's plan small. Left points get NULLs when the
-    right side is empty.
+    The right points form a quadtree of cells; every cell knows one of its points. All left points descend together: at each level
+    the nearest known point of a left point's open cells is an achievable distance, and a cell whose lower bound is beyond it is closed.
+    What stays open at the finest level, cells of about a metre, is compared point by point, so a dense cluster is never scanned,
+    not even when it holds the nearest point. Ties break on the smallest (distance, lat, lon, id). Left points get NULLs when the
+    right side is empty or their own coordinates are NULL.
     """
     # points sharing exact coordinates collapse to the one the tie-break would pick
     # (smallest id), so a location repeated a billion times is one candidate
-    pts = (right.groupBy(F.col("lat").alias("_plat"), F.col("lon").alias("_plon"))
+    n = 1 << TREE_LEVELS
+    pts = (right.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).groupBy(F.col("lat").cast("double").alias("_plat"), F.col("lon").cast("double").alias("_plon"))
                 .agg(F.min(F.struct(F.col(right_id).alias("_pid"), *[F.col(c) for c in payload])).alias("_p"))
                 .select("_plat", "_plon", "_p._pid", *[F.col(f"_p.{c}").alias(c) for c in payload]))
+    pts = (pts.withColumn("_r", F.least(F.lit(n - 1), F.floor((F.col("_plat") + 90.0) / 180.0 * n).cast("int")))
+              .withColumn("_c", F.pmod(F.floor((F.col("_plon") + 180.0) / 180.0 * n).cast("int"), F.lit(2 * n))))
     # query points are searched once per distinct location and joined back at the end
-    open_ = left.select(F.col("lat").alias("_llat"), F.col("lon").alias("_llon")).dropna().distinct()
-    settled = []
-    for size in _level_sizes(cell_deg, growth):
-        n_rows = int(math.ceil(180.0 / size))
-        n_cols = int(math.ceil(360.0 / size))
-        last = n_rows <= 3 and n_cols <= 3
-        lrow = F.floor((F.col("_llat") + 90.0) / size).cast("int")
-        lcol = F.floor((F.col("_llon") + 180.0) / size).cast("int")
-        rows = F.sequence(F.greatest(F.lit(0), lrow - 1), F.least(F.lit(n_rows - 1), lrow + 1))
-        cols = F.when(F.lit(n_cols <= 3), F.sequence(F.lit(0), F.lit(n_cols - 1))) \
-                .otherwise(F.transform(F.sequence(lcol - 1, lcol + 1), lambda c: F.pmod(c, F.lit(n_cols))))
-        q = open_.withColumn("_row", F.explode(rows)).withColumn("_col", F.explode(F.array_distinct(cols)))
-        p = _point_cells(pts, size, "_plat", "_plon")
-        q = _prune_cells(q, p, size)
-        j = q.join(p, ["_row", "_col"])
-        d = haversine("_llat", "_llon", "_plat", "_plon")
-        best = (j.withColumn("_d", d)
-                 .groupBy("_llat", "_llon")
-                 .agg(F.min(F.struct(F.col("_d"), F.col("_plat"), F.col("_plon"), F.col("_pid"),
-                                     *[F.col(c) for c in payload])).alias("_b")))
-        if last:
-            settled.append(best)
-            break
-        clear = _clear_distance(F.col("_llat"), F.col("_llon"), size, 1, n_rows, n_cols)
-        ok = best.filter(F.col("_b._d") <= clear)
-        settled.append(ok)
-        open_ = open_.join(ok.select("_llat", "_llon"), ["_llat", "_llon"], "left_anti").checkpoint()
-        if open_.isEmpty():
-            break
-    allb = settled[0]
-    for s in settled[1:]:
-        allb = allb.unionByName(s)
-    res = left.join(allb.select(F.col("_llat").alias("_jlat"), F.col("_llon").alias("_jlon"), "_b"),
+    locs = left.select(F.col("lat").alias("_llat"), F.col("lon").alias("_llon")).dropna().distinct()
+    j = _nearest_cells(locs, pts).join(pts, ["_r", "_c"])
+    d = haversine("_llat", "_llon", "_plat", "_plon")
+    best = (j.withColumn("_d", d).groupBy("_llat", "_llon")
+             .agg(F.min(F.struct(F.col("_d"), F.col("_plat"), F.col("_plon"), F.col("_pid"), *[F.col(c) for c in payload])).alias("_b")))
+    res = left.join(best.select(F.col("_llat").alias("_jlat"), F.col("_llon").alias("_jlon"), "_b"),
                     (F.col("lat") == F.col("_jlat")) & (F.col("lon") == F.col("_jlon")), "left")
     return res.select(*left.columns, F.col("_b._pid").alias(right_id),
                       F.col("_b._d").alias("dist_km"), *[F.col(f"_b.{c}").alias(c) for c in payload])

@@ -147,7 +147,7 @@ SELECT geo_id, lat, lon, point_id, round(dist_km, 4) AS dist_km, pga FROM
   FROM centroids c CROSS JOIN grid g) x WHERE rn = 1""", "centroids", "grid"))
 def j11(spark, d):
     c, g = B(spark, d, "centroids"), B(spark, d, "grid")
-    out = spatial.nearest_point(c, g, "geo_id", "point_id", payload=["pga"], cell_deg=2.0)
+    out = spatial.nearest_point(c, g, "geo_id", "point_id", payload=["pga"])
     return out.withColumn("dist_km", F.round("dist_km", 4))
 
 

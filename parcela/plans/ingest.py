@@ -51,9 +51,9 @@ def disaster_frequency(declarations: DataFrame, full_scale: int = 50) -> DataFra
                     "sample_id")
 
 
-def earthquake_from_grid(centroids: DataFrame, grid: DataFrame, full_scale: float = 0.5, cell_deg: float = 2.0) -> DataFrame:
+def earthquake_from_grid(centroids: DataFrame, grid: DataFrame, full_scale: float = 0.5) -> DataFrame:
     """c27: nearest measured point per centroid -> PGA score -> label."""
-    n = spatial.nearest_point(centroids, grid, "geo_id", "point_id", payload=["pga"], cell_deg=cell_deg)
+    n = spatial.nearest_point(centroids, grid, "geo_id", "point_id", payload=["pga"])
     score = numbers.score_from_measure("pga", full_scale)
     return n.select("geo_id", "point_id", F.round("dist_km", 4).alias("dist_km"), "pga", score.alias("risk_score"),
                     labels.risk_level(score).alias("risk_level"))

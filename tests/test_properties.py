@@ -91,7 +91,7 @@ def test_nearest_and_radius_equal_brute_force(spark, small):
     c, g = bindings.centroids(t), bindings.grid(t)
     cs = [(r["geo_id"], r["lat"], r["lon"]) for r in c.collect()]
     gs = [(r["point_id"], r["lat"], r["lon"]) for r in g.collect()]
-    near = {r["geo_id"]: r["point_id"] for r in spatial.nearest_point(c, g, "geo_id", "point_id", cell_deg=1.0).collect()}
+    near = {r["geo_id"]: r["point_id"] for r in spatial.nearest_point(c, g, "geo_id", "point_id").collect()}
     for gid, la, lo in cs:
         best = min(gs, key=lambda p: (_haversine((la, lo), (p[1], p[2])), p[1], p[2], p[0]))
         assert near[gid] == best[0]
@@ -163,7 +163,7 @@ def test_nearest_brute_force_on_clustered_points(spark):
     qs += [(500, 10.004, 20.004), (501, 0.0, -179.999), (502, 89.99, -100.0), (503, 10.5, 20.5)]
     left = spark.createDataFrame(qs, "geo_id int, lat double, lon double")
     right = spark.createDataFrame(pts, "point_id int, lat double, lon double")
-    got = {r["geo_id"]: r["point_id"] for r in spatial.nearest_point(left, right, "geo_id", "point_id", cell_deg=0.5).collect()}
+    got = {r["geo_id"]: r["point_id"] for r in spatial.nearest_point(left, right, "geo_id", "point_id").collect()}
     for gid, la, lo in qs:
         best = min(pts, key=lambda p: (round(_haversine((la, lo), (p[1], p[2])), 9), p[1], p[2], p[0]))
         assert got[gid] == best[0], gid
