@@ -118,7 +118,7 @@ def _count(where: str) -> str:
 
 
 @register("ld04_load_summary", f"""
-SELECT 'us_first' AS source, count(*) AS inserted, 0 AS updated, 0 AS failed, 0 AS skipped, 'ok' AS status FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderdate < DATE '1996-01-01'
+SELECT 'us_first' AS source, count(*) AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped, 'ok' AS status FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderdate < DATE '1996-01-01'
 UNION ALL SELECT 'us_second', {_count("o_orderdate >= DATE '1996-01-01'")}, {_count("o_orderdate < DATE '1996-01-01'")}, 0, 0, 'ok'
 FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderdate >= DATE '1995-01-01'
 UNION ALL SELECT 'co_first', count(*), 0, {_count('p_partkey % 10 = 0')}, 0, 'ok' FROM part WHERE p_partkey % 11 <> 0 AND p_partkey % 3 <> 0
