@@ -21,6 +21,7 @@ pass through; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,11 @@ def lines_of(text: str | None) -> list[tuple[int, str]]:
     return [(i, s) for i, line in enumerate((text or "").split("\n")) if (s := line.strip())]
 
 
+def contents(texts: Iterable[str | None]) -> Iterable[str]:
+    """The contents of ``lines_of`` of many texts."""
+    return filter(None, map(str.strip, chain.from_iterable([t.split("\n") for t in texts if t])))
+
+
 def line_key(line: str) -> bytes:
     return xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
 
@@ -108,12 +114,11 @@ def packed_bands(docs: DataFrame, buckets: int) -> DataFrame:
             return {"bucket": bucket[np.concatenate([[0], cuts])], "entries": [p.astype("<u8").tobytes() for p in parts]}
 
         for b in batches:
-            for text in b.column("text").to_pylist():
-                for _, line in lines_of(text):
-                    ref = int.from_bytes(line_key(line)[:8], "little")
-                    if ref not in seen:
-                        seen.add(ref)
-                        held[ref] = line
+            for line in dict.fromkeys(contents(b.column("text").to_pylist())):
+                ref = int.from_bytes(line_key(line)[:8], "little")
+                if ref not in seen:
+                    seen.add(ref)
+                    held[ref] = line
             if len(held) >= FLUSH or sum(map(len, held.values())) > 64 << 20:
                 yield pack()
                 held = {}
@@ -226,7 +231,7 @@ def line_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     def texts(batches: Iterable[pa.RecordBatch]):
         sent: set[bytes] = set()
         for b in batches:
-            found = {line_key(line): line for text in b.column("text").to_pylist() for _, line in lines_of(text)}
+            found = {line_key(line): line for line in dict.fromkeys(contents(b.column("text").to_pylist()))}
             keys = [k for k in found if k not in sent]
             ref = np.frombuffer(b"".join(k[:8] for k in keys), "<u8")
             keep = np.flatnonzero(_in_bloom(table.value, ref)).tolist()
@@ -268,17 +273,24 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     roots = components(line_links(base, candidate_groups(base)), "a", "b").select(F.col("node").alias("key"), "root")
 
     def occurrences(batches: Iterable[pa.RecordBatch]):
+        """The lines of each document; a line that the task has sent from a document that comes first is not sent again."""
+        sent: dict[str, tuple] = {}
         for b in batches:
             out: dict[str, list] = {"key": [], "doc_id": [], "h": [], "line": []}
             for doc, h, text in zip(b.column("doc_id").to_pylist(), b.column("h").to_pylist(), b.column("text").to_pylist(), strict=True):
-                first: dict[bytes, int] = {}
+                first: dict[str, int] = {}
                 for i, line in lines_of(text):
-                    first.setdefault(line_key(line), i)
-                out["key"] += first
-                out["line"] += first.values()
-                out["doc_id"] += [doc] * len(first)
-                out["h"] += [h] * len(first)
+                    first.setdefault(line, i)
+                place = (doc is not None, doc or 0, h)
+                new = [line for line in first if line not in sent or place < sent[line]]
+                sent.update(dict.fromkeys(new, place))
+                out["key"] += map(line_key, new)
+                out["line"] += map(first.__getitem__, new)
+                out["doc_id"] += [doc] * len(new)
+                out["h"] += [h] * len(new)
             yield out
+            if sum(map(len, sent)) > 64 << 20 or len(sent) > FLUSH:
+                sent.clear()
 
     rows = map_batches(base.withColumn("h", F.xxhash64("text")), occurrences, "key binary, doc_id long, h long, line int")
     classes = rows.groupBy("key").agg(F.min(F.struct("doc_id", "h", "line")).alias("first"))
