@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fields, fresh, map_batches, materialize, prepare, quoted, read_table
+from .common import fields, fresh, map_batches, materialize, parts_of, prepare, quoted, read_table
 from .components import components
 
 SHINGLE, THRESHOLD = 8, 0.8
@@ -223,6 +223,26 @@ def linked(lines: list[str], threshold: float = THRESHOLD) -> np.ndarray:
     return root
 
 
+def linked_pairs(lines: list[str], threshold: float = THRESHOLD) -> np.ndarray:
+    """Whether lines 0 and 1, 2 and 3, ... are linked: ``linked`` for many groups of two at once."""
+    h, starts, ends = _windows(lines)
+    size = ends - starts
+    ends_ = np.cumsum(size)
+    at = np.arange(int(size.sum())) + np.repeat(starts - ends_ + size, size)
+    x = (h[at] & ~np.uint64(1)) | np.repeat(np.arange(len(lines), dtype=np.uint64) & np.uint64(1), size)      # the last bit tells the line
+    cuts = np.concatenate([[0], ends_[1::2]])
+    for s, e in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+        x[s:e].sort()
+    first = np.zeros(len(x), bool)
+    first[cuts[:-1]] = True
+    new = first.copy()
+    new[1:] |= x[1:] != x[:-1]                                         # the distinct shingles of either line
+    both = np.zeros(len(x), bool)
+    both[1:] = ~first[1:] & (x[1:] == x[:-1] + np.uint64(1)) & (x[1:] & np.uint64(1)).astype(bool)
+    n, common = (np.add.reduceat(a.astype(np.int64), cuts[:-1]) for a in (new, both))
+    return common >= threshold * (n - common) - 1e-9                   # n counts the common ones twice
+
+
 def line_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """a, b: keys of linked lines, a forest of every group."""
     spark = docs.sparkSession
@@ -254,8 +274,14 @@ def line_links(docs: DataFrame, groups: DataFrame) -> DataFrame:
         pdf = pdf.sort_values(["unit", "key"], ignore_index=True)
         unit, keys, lines = pdf["unit"].to_numpy(), pdf["key"].tolist(), pdf["line"].tolist()
         cuts = [0, *(np.flatnonzero(np.diff(unit)) + 1).tolist(), len(unit)]
+        two = [s for s, e in zip(cuts, cuts[1:], strict=False) if e - s == 2]
+        for part in parts_of([lines[s] + lines[s + 1] for s in two], 1 << 18):
+            for s, hit in zip(two[part], linked_pairs([x for s in two[part] for x in lines[s:s + 2]]).tolist(), strict=True):
+                if hit:
+                    a.append(keys[s + 1])
+                    b.append(keys[s])
         for s, e in zip(cuts, cuts[1:], strict=False):
-            if e - s > 1:
+            if e - s > 2:
                 for i, r in enumerate(linked(lines[s:e]).tolist()):
                     if i != r:
                         a.append(keys[s + i])

@@ -285,3 +285,19 @@ def test_pipeline_dedup_stages_by_brute_force(spark):
         first[r] = min(first.get(r, (2,)), (d is None, d or 0, signed(t), d, t), key=lambda x: x[:3])
     got = corpus_pipeline.simhash_near_dedup(spark, now, "").collect()
     assert len(got) < len(left) and Counter((r.doc_id, r.text) for r in got) == Counter(x[3:] for x in first.values())
+
+
+def test_pairs_of_lines_link_as_groups_do():
+    rng = random.Random(9)
+    base = [prose(i, 3 + i % 20).replace("\n", " ") for i in range(120)] + ["ab", "ab ", "x", "aaaaaaaaaaaaaaaaaaaa", "aaaaaaaaaaaaaaa", "日本語のテキスト"]
+    flat = []
+    for x in base:
+        y = list(x)
+        for _ in range(rng.randint(0, 3)):
+            y[rng.randrange(len(y))] = rng.choice("abc xyz")
+        flat += [x, "".join(y)]
+    for i in range(0, len(flat), 7):
+        flat += [flat[i], rng.choice(flat)]
+    got = lines.linked_pairs(flat).tolist()
+    want = [int(lines.linked(flat[i:i + 2])[1]) == 0 for i in range(0, len(flat), 2)]
+    assert got == want and 0 < sum(want) < len(want)
