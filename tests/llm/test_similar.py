@@ -218,6 +218,23 @@ def test_neighbours(spark, monkeypatch, relax, least):
     assert not got and hit >= least * total
 
 
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_one_id_on_two_vectors(spark, kind):
+    """Each row is a query and a candidate of its own; scores are those of the vectors as they are held."""
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=5)) for i in range(150)] + [(0, rng.normal(size=5)), (100, rng.normal(size=5)), (7, rng.normal(size=5))]
+    rows.append(rows[0])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], f"vec_id long, embedding array<{kind}>").repartition(3)
+    held = [(i, np.asarray(v, np.float32 if kind == "float" else np.float64).astype(float)) for i, v in rows[:-1]]
+    want = Counter()
+    for at, (q, v) in enumerate(held):
+        if q % 100 == 0:
+            near = sorted((float(np.sqrt(((v - w) ** 2).sum())), d) for i, (d, w) in enumerate(held) if i != at)[:10]
+            want.update((q, n + 1, d, round(x, 11)) for n, (x, d) in enumerate(near))
+    got = neighbours.nearest(df, F.col("vec_id") % 100 == 0, relax=1.0).collect()
+    assert Counter((r.query_id, r["rank"], r.vec_id, round(r.score, 11)) for r in got) == want and len(got) == 40
+
+
 def test_neighbours_empty(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest(none, F.col("vec_id") % 100 == 0).collect() == []
