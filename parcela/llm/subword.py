@@ -118,6 +118,10 @@ class WordIds:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.model = Tokenizer.from_str(json.dumps(              # pre-tokens in the byte alphabet, between spaces
             spec | {"added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None}))
+        suffix = spec["model"]["end_of_word_suffix"] or ""
+        vocab = spec["model"]["vocab"]
+        self.spelt = np.zeros(max(vocab.values()) + 1, np.int64)              # characters of a word that a token stands for
+        self.spelt[list(vocab.values())] = [len(t.removesuffix(suffix)) for t in vocab]
         letters, numbers, spaces = _class("L"), _class("N"), _SPACES
         other = f"[^{spaces}{letters}{numbers}]+"
         ends = "'s|'t|'re|'ve|'m|'ll|'d|"
@@ -143,10 +147,17 @@ class WordIds:
         out: list[bytes] = []
         for s in range(0, len(words), MERGED):                   # the byte alphabet has no white space
             part = words[s:s + MERGED]
-            e = self.model.encode(" ".join(part) if mapped else spell(part), add_special_tokens=False)
-            ids = np.asarray(e.ids, "<u4").tobytes()
-            cuts = np.searchsorted(np.asarray(e.word_ids, np.int64), np.arange(len(part) + 1)).tolist()
-            out += [ids[4 * a:4 * b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            text = " ".join(part) if mapped else spell(part)
+            e, = self.model.encode_batch_fast([text], add_special_tokens=False)          # without offsets and places of words
+            flat = np.asarray(e.ids, "<u4")
+            spelt, ends = np.cumsum(self.spelt[flat]), np.cumsum([len(w) for w in (part if mapped else text.split(" "))])
+            if len(flat) and spelt[-1] == ends[-1]:
+                cuts = [0, *(4 * np.searchsorted(spelt, ends, "right")).tolist()]
+            else:                                                # a vocabulary that lacks a byte
+                e = self.model.encode(text, add_special_tokens=False)
+                cuts = (4 * np.searchsorted(np.asarray(e.word_ids, np.int64), np.arange(len(part) + 1))).tolist()
+            ids = flat.tobytes()
+            out += [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
     def lookup(self, words: list[str], mapped: bool) -> list[bytes]:
