@@ -6,8 +6,9 @@ three quartiles relative to the largest. ``likeness`` is one minus the digests'
 unrelated texts have, so that it runs from 0 to 1 and equal digests give 1.
 
 The registered query compares each text with its edited text and with the next document in ascending doc_id. Rows are
-dealt into ranges of doc_id of equal size; the first document of each range is copied to the range before (the very first to the
-last), sorted behind its rows, so every task streams its documents with the next one at hand and moves each text once.
+dealt into ranges of doc_id of equal size, an id with many rows (or none) into ranges of its texts' hashes; one copy of the first document
+of each range goes to the range before (the very first to the last), sorted behind its rows, so every task streams its documents with the next one at hand
+and moves each text once. Only rows equal in id and text stay in one range.
 
 Defined results: null texts are empty; texts under three bytes have an empty count and differ by length and check byte; the next of
 the last row is the first (itself if alone); null ids sort first; rows that repeat an id follow each other by the hash of their
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from collections import Counter
 from collections.abc import Iterable
 
 import numpy as np
@@ -96,31 +98,48 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - n] + following[:n]
 
 
+_LEAST = -(2 ** 63)
+
+
+def cuts_of(quantiles: list[int]) -> list[tuple[int, int]]:
+    """First (key, hash) of every range but the lowest: a key that is m quantiles is cut into m ranges of its hashes."""
+    return [(k, _LEAST + i * (2 ** 64 // m)) for k, m in sorted(Counter(quantiles).items()) for i in range(m)]
+
+
+def place(cuts: list[tuple[int, int]], key: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The range of each (key, hash): how many cuts lie at or below it."""
+    keys, hashes = np.asarray([k for k, _ in cuts], np.int64), np.asarray([x for _, x in cuts], np.int64)
+    first, out = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+    several = np.flatnonzero(out - first > 1)
+    for at in np.unique(first[several]).tolist():                          # the keys that hold several ranges
+        rows = several[first[several] == at]
+        out[rows] = at + np.searchsorted(hashes[at:out[rows[0]]], h[rows], "right")
+    return out.astype(np.int64)
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows dealt to ranges and sorted: (range, look, key, h, doc_id, text); look marks the copy of the next range's first row."""
+    """Rows dealt to ranges of (id, hash of the text) and sorted: (range, look, doc_id, text); look marks the one copy of the next
+    range's first row."""
     spark = prepare(docs.sparkSession)
-    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(2 ** 63))).alias("key"), F.xxhash64("text").alias("h"))
+    keyed = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LEAST)).alias("key"), F.xxhash64("text").alias("h"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = keyed.approxQuantile("key", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
-    cuts = np.asarray(sorted({int(c) for c in cuts}), np.int64)           # fewer than the partitions
+    quantiles = keyed.approxQuantile("key", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
+    cuts = cuts_of([int(q) for q in quantiles])                            # fewer than the partitions
 
     @F.pandas_udf("long")
-    def range_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(np.int64), "right").astype(np.int64))
-
-    ids = keyed.select("key").withColumn("range", range_of("key"))
-    firsts = {r["range"]: r["first"] for r in ids.groupBy("range").agg(F.min("key").alias("first")).collect()}
-    used = sorted(firsts)                                                  # a number per partition
-    before = {firsts[r]: used[i - 1] for i, r in enumerate(used)}          # first key of a range -> the range before
-
-    @F.pandas_udf("array<long>")
-    def ranges(key: pd.Series) -> pd.Series:
-        home = np.searchsorted(cuts, key.to_numpy(np.int64), "right").tolist()
-        return pd.Series([[h, -1 - before[k]] if k in before else [h] for h, k in zip(home, key.tolist(), strict=True)])
-
-    dealt = keyed.withColumn("to", F.explode(ranges("key")))
-    dealt = dealt.withColumn("look", (F.col("to") < 0).cast("int")).withColumn("range", F.when(F.col("to") < 0, -1 - F.col("to")).otherwise(F.col("to")))
-    return (dealt.repartitionById(max(1, n), F.col("range").cast("int"))
+    def range_of(key: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series(place(cuts, key.to_numpy(np.int64), h.to_numpy(np.int64)))
+
+    split = {k for k, m in Counter(k for k, _ in cuts).items() if m > 1}   # only these ids need the hash of the text to tell the range
+    h = F.when(F.col("key").isin(*split), F.col("h")).otherwise(F.lit(_LEAST)) if split else F.lit(_LEAST)
+    dealt = keyed.withColumn("range", range_of("key", h))
+    firsts = dealt.groupBy("range").agg(F.min("key").alias("key")).collect()             # a row per range that is used
+    firsts.sort(key=lambda r: r["range"])
+    heads = spark.createDataFrame([(r["range"], r["key"], firsts[i - 1]["range"]) for i, r in enumerate(firsts)], "range long, key long, to long")
+    looks = dealt.join(F.broadcast(heads), ["key", "range"]).groupBy("to").agg(F.min(F.struct("key", "h", "doc_id", "text")).alias("r"))
+    both = dealt.select("range", F.lit(0).alias("look"), "key", "h", "doc_id", "text").unionAll(
+        looks.select("to", F.lit(1), "r.key", "r.h", "r.doc_id", "r.text"))
+    return (both.repartitionById(max(1, n), F.col("range").cast("int"))
             .sortWithinPartitions("range", "look", "key", "h").select("range", "look", "doc_id", "text"))
 
 
@@ -128,13 +147,10 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     """The rows of the registered query, from ``docs`` (doc_id, text)."""
 
     def run(batches: Iterable[pa.RecordBatch]):
-        held = None                    # (doc_id, text, digest, range) that waits for its next document
-        done = None                    # the range whose last document has met the copy
+        held = None                    # (doc_id, text, digest) that waits for its next document
         for b in batches:
             out: dict[str, list] = {k: [] for k in ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")}
-            for r, look, doc, text in zip(b.column("range").to_pylist(), b.column("look").to_pylist(), b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                if look and done == r:
-                    continue           # a repeated id: the first of its rows is the next document
+            for look, doc, text in zip(b.column("look").to_pylist(), b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 text = text or ""
                 print_ = digest(text)
                 if held is not None:
@@ -143,7 +159,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
                     f = digest(e)
                     for k, v in zip(out, (d, len(t), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), p, f, likeness(p, f), likeness(p, print_)), strict=True):
                         out[k].append(v)
-                held, done = (None, r) if look else ((doc, text, print_), None)
+                held = None if look else (doc, text, print_)
             yield out
 
     return map_batches(with_next(docs), run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "

@@ -277,6 +277,20 @@ def test_edited_query(spark, folder, odd, empty, parts):
     assert Counter(map(tuple, got)) == want
 
 
+def test_edited_deals_hot_ids(spark):
+    rows = [(None if i % 4 else i, f"text {i} " + "word " * (i % 7)) for i in range(2000)] + [(None, "copy")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    dealt = quartiles.with_next(docs)
+    size = [r["n"] for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert max(size) < 900 and dealt.where("look = 1").count() == dealt.select("range").distinct().count()
+    assert dealt.where("look = 0").count() == len(rows)
+    got = quartiles.compare_edited(docs).collect()
+    assert Counter((r.doc_id, r.n_chars) for r in got) == Counter((d, len(t)) for d, t in rows)
+    cuts = quartiles.cuts_of([5, 5, 5, 9])
+    keys, hashes = np.asarray([4, 5, 5, 5, 7, 9]), np.asarray([0, -2 ** 63, 0, 2 ** 63 - 1, 0, -1])
+    assert quartiles.place(cuts, keys, hashes).tolist() == [sum(c <= x for c in cuts) for x in zip(keys.tolist(), hashes.tolist(), strict=True)]
+
+
 def test_pipeline_dedup_stages_by_brute_force(spark):
     """The two dedup stages of the pipeline on repeated rows, null ids and one id on two texts, without their operators."""
     def signed(t):
