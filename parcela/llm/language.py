@@ -92,7 +92,8 @@ class Model:
         keys, logp, back = [np.zeros(0, np.uint64)], [np.zeros((0, len(langs)))], [np.zeros((0, len(langs)))]
         floor = np.log(np.asarray([per[lang][0] for lang in langs]) / alphabet)
         for n in range(1, ORDER + 1):
-            chars = np.unique(np.concatenate([per[lang][1][n][0] for lang in langs]), axis=0)
+            # A context at the start of a text alone is no gram that anything precedes; it needs a row for its weight.
+            chars = np.unique(np.concatenate([per[lang][part][n][0] for lang in langs for part in (1, 2)]), axis=0)
             key = _row_keys(chars)
             order = np.argsort(key)
             chars, key = chars[order], key[order]

@@ -2,12 +2,13 @@
 
 The UTF-8 bytes of the whole text are cut into chunks of ``CHUNK`` bytes that overlap by ``OVERLAP``. Every byte becomes a learned
 vector of ``EMBED`` numbers and one channel that tells whether the four bytes ending there stood within the last ``LAGS`` bytes of the
-chunk. ``FILTERS`` learned filters of ``WIDTH`` bytes run over each chunk and are max-pooled; the mean and the largest of the
-pooled values over all chunks go through one hidden layer into one probability.
+chunk. ``FILTERS`` learned filters of ``WIDTH`` bytes run over each chunk in steps of ``STEP`` bytes, from its first byte to its last, and
+are max-pooled; the mean and the largest of the pooled values over all chunks go through one hidden layer into one probability.
 
-Training: at most ``TRAIN_ROWS`` labelled documents, half of each class, those with the smallest hash of their id; of each at most
-``TRAIN_CHUNKS`` evenly spaced chunks reach the driver, where the network is fitted by Adam. The logit is then moved by the classes'
-shares in all labels. Scoring always reads every chunk.
+Training: a sample of at most ``TRAIN_ROWS`` labelled documents, half of each class, those with the smallest hash of their id, and of
+at most ``TRAIN_BYTES`` in all (half for each class; a document longer than ``LONGEST`` bytes is not drawn). The whole texts of the
+sample reach the driver, where the network is fitted by Adam on all their chunks. The logit is then moved by the classes' shares in
+all labels. Scoring reads every chunk of every document, whatever its length.
 
 Defined results: null and empty texts are one chunk of zero bytes and get its score; rows that repeat are scored each; labels that are
 null never train; without two classes among the labels every score is the share of class 1 (0.5 without labels); further columns are
@@ -20,15 +21,16 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import crc_mod, fewest, fields, map_batches, prepare, quoted, read_table
 
-CHUNK, OVERLAP = 256, 32
+CHUNK, OVERLAP = 257, 32       # CHUNK - WIDTH is a multiple of STEP
 EMBED, WIDTH, STEP, FILTERS, HIDDEN = 7, 8, 3, 16, 16
 LAGS = 32
-TRAIN_ROWS, TRAIN_CHUNKS = 3000, 16
+TRAIN_ROWS, TRAIN_BYTES, LONGEST = 3000, 32 << 20, 1 << 20
+AT_ONCE = 256                 # chunks whose windows are held at once
 EPOCHS, BATCH, RATE = 8, 32, 4e-3
 LEAST_STEPS = 700             # of few documents, more passes
 CUT = 0.3
@@ -75,11 +77,18 @@ class Network:
     def pooled(self, chunks: np.ndarray) -> np.ndarray:
         """Max-pooled filters of every chunk, a bounded number of chunks at once."""
         out = [np.zeros((0, FILTERS), np.float32)]
-        for s in range(0, len(chunks), 256):
-            x = self.windows(chunks[s:s + 256])
+        for s in range(0, len(chunks), AT_ONCE):
+            x = self.windows(chunks[s:s + AT_ONCE])
             out.append(np.maximum((x.reshape(-1, x.shape[2]) @ self.w["filters"]).reshape(x.shape[0], x.shape[1], -1).max(1) + self.w["bias"], 0))
         return np.concatenate(out)
 
+    def peaks(self, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every chunk and filter: the position of the largest value, that value, and the window there."""
+        x = self.windows(chunks)
+        a = (x.reshape(-1, x.shape[2]) @ self.w["filters"]).reshape(x.shape[0], x.shape[1], -1)
+        at = a.argmax(1)
+        return at, np.take_along_axis(a, at[:, None, :], 1)[:, 0] + self.w["bias"], x[np.arange(len(x))[:, None], at]
+
     def head(self, mean: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         x = np.concatenate([mean, top], 1)
         h = np.tanh(x @ self.w["hidden"] + self.w["hidden_bias"])
@@ -109,10 +118,8 @@ class Network:
 
     def gradients(self, chunks: np.ndarray, starts: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         w, n = self.w, len(y)
-        x = self.windows(chunks)
-        a = (x.reshape(-1, x.shape[2]) @ w["filters"]).reshape(x.shape[0], x.shape[1], -1)
-        at = a.argmax(1)                                                     # chunk, filter -> position
-        raw = np.take_along_axis(a, at[:, None, :], 1)[:, 0] + w["bias"]
+        peaks = [self.peaks(chunks[s:s + AT_ONCE]) for s in range(0, len(chunks), AT_ONCE)]
+        at, raw, picked = (np.concatenate(part) for part in zip(*peaks, strict=True))        # picked: chunk, filter, input
         p = np.maximum(raw, 0)
         count = np.diff(np.append(starts, len(p)))
         doc = np.repeat(np.arange(n), count)
@@ -127,7 +134,6 @@ class Network:
         dp = np.where(raw > 0, dp, 0).astype(np.float32)
         g = {"out": h.T @ dz, "out_bias": dz.sum(keepdims=True), "hidden": f.T @ dh, "hidden_bias": dh.sum(0), "bias": dp.sum(0)}
         rows = np.arange(len(p))[:, None]
-        picked = x[rows, at]                                                 # chunk, filter, input
         g["filters"] = np.einsum("cfi,cf->if", picked, dp)
         dx = dp[:, :, None] * w["filters"].T[None]                           # chunk, filter, input
         dx = dx.reshape(len(p), FILTERS, EMBED + 1, WIDTH)[:, :, :EMBED]
@@ -149,7 +155,7 @@ def fit(samples: list[tuple[np.ndarray, int]], seed: int = 5) -> Network:
         order = rng.permutation(len(samples))
         for s in range(0, len(order), BATCH):
             part = [samples[i] for i in order[s:s + BATCH]]
-            chunks = [c[np.sort(rng.choice(len(c), min(len(c), 8), replace=False))] for c, _ in part]
+            chunks = [c for c, _ in part]
             starts = np.cumsum([0, *map(len, chunks)])[:-1]
             g = net.gradients(np.concatenate(chunks), starts, np.asarray([y for _, y in part], np.float32))
             t += 1
@@ -166,18 +172,13 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_
     prepare(docs.sparkSession)
     marked = labels.where(usable).select("doc_id", F.col("quality").cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     shares = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    few = fewest(marked.distinct(), "y", "doc_id", rows // 2).select("doc_id", "y")
-
-    def cut(batches: Iterable[pa.RecordBatch]):
-        for b in batches:
-            chunks = [chunks_of(t) for t in b.column("text").to_pylist()]
-            chunks = [c[np.linspace(0, len(c) - 1, min(len(c), TRAIN_CHUNKS)).astype(int)] for c in chunks]
-            yield {"doc_id": b.column("doc_id"), "y": b.column("y"), "chunks": [c.tobytes() for c in chunks]}
-
-    chosen = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id")               # a doc_id may repeat any number of times
-    once = map_batches(chosen, cut, "doc_id long, y int, chunks binary").groupBy("doc_id", "y").agg(F.min("chunks").alias("chunks"))
-    got = once.toPandas().sort_values(["doc_id", "y"])                                     # at most ``rows`` rows
-    samples = [(np.frombuffer(c, np.uint8).reshape(-1, CHUNK), y) for c, y in zip(got["chunks"], got["y"], strict=True)]
+    few = fewest(marked.distinct(), "y", "doc_id", rows // 2)
+    chosen = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= LONGEST).join(F.broadcast(few), "doc_id")
+    once = chosen.groupBy("doc_id", "y").agg(F.min("n").alias("n"), F.min("text").alias("text"))         # a doc_id may repeat any number of times
+    upto = Window.partitionBy("y").orderBy("n")                                                         # at most half of ``rows``
+    once = once.withColumn("upto", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(upto)).where(F.col("upto") <= TRAIN_BYTES // 2)
+    got = once.select("doc_id", "y", "text").toPandas().sort_values(["doc_id", "y"])                      # at most ``TRAIN_BYTES``
+    samples = [(chunks_of(t), y) for t, y in zip(got["text"], got["y"], strict=True)]
     ones = sum(y for _, y in samples)
     if 0 < ones < len(samples):
         net = fit(samples)

@@ -44,6 +44,52 @@ def test_kneser_ney_sums_to_one():
     assert np.allclose(one[0], two[1]) and one[0, 0] < one[0, 1]
 
 
+def test_kneser_ney_equals_plain_recursion():
+    """Dictionaries of strings and the textbook recursion, against the sorted hash arrays."""
+    texts = {"en": [prose(s, 60) for s in range(4)], "xx": ["zazu kolo mizu " * 5, "äöü kolo zazu"]}
+    text = {lang: [language.folded(t) for t in ts] for lang, ts in texts.items()}
+    counts, plain = {}, {}
+    for lang, ts in text.items():
+        top = Counter(tuple(t[i:i + language.ORDER].tolist()) for t in ts for i in range(len(t) - language.ORDER + 1))
+        counts[lang] = (np.asarray(list(top), np.uint32), np.asarray(list(top.values())))
+        tables = {language.ORDER: top}
+        for k in range(language.ORDER - 1, 0, -1):
+            tables[k] = Counter(g[1:] for g in tables[k + 1])
+        plain[lang] = tables
+    alphabet = len({c for t in plain.values() for g in t[language.ORDER] for c in g}) + 1
+    model = language.Model.fit(counts, alphabet)
+
+    def prob(tables, gram):
+        if not gram:
+            return 1 / alphabet
+        table = tables[len(gram)]
+        ones, twos = (sum(v == n for v in table.values()) for n in (1, 2))
+        d = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones + twos else 0.5
+        after = [v for g, v in table.items() if g[:-1] == gram[:-1]]
+        low = prob(tables, gram[1:])
+        return (max(0, table[gram] - d) + d * len(after) * low) / sum(after) if after else low
+
+    asked = [language.folded(t) for t in ("the fox zazu", "kolo qqq ö", prose(9, 12))]
+    got = model.entropy(asked)
+    for i, t in enumerate(asked):
+        grams = [tuple(t[k:k + language.ORDER].tolist()) for k in range(len(t) - language.ORDER + 1)]
+        for j, lang in enumerate(model.langs):
+            assert abs(got[i, j] + np.mean([np.log(prob(plain[lang], g)) for g in grams])) < 1e-4, (i, lang)
+
+
+def test_rejection_rates(spark):
+    """Lettered gibberish and languages that were not learned go, real texts stay; README gives the rates."""
+    rng = np.random.default_rng(6)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.train(docs, language.learnable())
+    real = [r.text for r in docs.where("text is not null").collect() if any(c.isalpha() for c in r.text)]
+    noise = ["".join(rng.choice(list("qxzjvkwpfyg hbd"), 400)) for _ in range(100)]
+    other = ["Съешь же ещё этих мягких французских булок да выпей чаю " * 4, "日本語の文章はこのように書かれています。" * 5, "Το γρήγορο καφέ αλεπού πηδά πάνω από " * 4]
+    rate = [float(np.mean(model.predict(t)[2])) for t in (real, noise, other)]
+    print("rejected: real, gibberish, not learned", rate)
+    assert rate[0] < 0.002 and rate[1] > 0.95 and rate[2] == 1
+
+
 def test_language_odd(spark, odd, empty):
     model = language.train(odd, language.learnable())
     got = language.identify(odd, model, odd.columns, ("p", "s", "r")).collect()
@@ -96,6 +142,39 @@ def test_chunks_cover_the_text():
         assert whole.rstrip(b"\0").decode() == text and len(c) <= max(1, -(-n // step) + 1)
 
 
+def test_network_equals_plain_loops():
+    """One byte, window and filter at a time, over every chunk of the text up to its last byte."""
+    rng = np.random.default_rng(4)
+    net = quality.Network(rng)
+    w, shift = {k: v.astype(float) for k, v in net.w.items()}, 0.3
+    net.shift = shift
+    assert (quality.CHUNK - quality.WIDTH) % quality.STEP == 0
+
+    def plain(text):
+        raw, step = list((text or "").encode()), quality.CHUNK - quality.OVERLAP
+        pooled = []
+        for s in [0, *range(step, max(0, len(raw) - quality.OVERLAP), step)]:
+            chunk = raw[s:s + quality.CHUNK]
+            chunk += [0] * (quality.CHUNK - len(chunk))
+            rows = []
+            for i, byte in enumerate(chunk):
+                four = chunk[i - 3:i + 1] if i >= 3 else None
+                seen = four is not None and any(four) and any(chunk[i - lag - 3:i - lag + 1] == four for lag in range(2, min(quality.LAGS, i - 3) + 1))
+                rows.append([*w["embed"][byte], float(seen)])
+            best = [-np.inf] * quality.FILTERS
+            for at in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STEP):
+                for f in range(quality.FILTERS):
+                    v = sum(rows[at + k][c] * w["filters"][c * quality.WIDTH + k, f] for c in range(quality.EMBED + 1) for k in range(quality.WIDTH))
+                    best[f] = max(best[f], v)
+            pooled.append([max(0.0, b + c) for b, c in zip(best, w["bias"], strict=True)])
+        x = [sum(col) / len(pooled) for col in zip(*pooled, strict=True)] + [max(col) for col in zip(*pooled, strict=True)]
+        h = [np.tanh(sum(a * b for a, b in zip(x, w["hidden"][:, j], strict=True)) + w["hidden_bias"][j]) for j in range(quality.HIDDEN)]
+        return 1 / (1 + np.exp(-(sum(a * b for a, b in zip(h, w["out"], strict=True)) + w["out_bias"][0] + shift)))
+
+    texts = [None, "abcabcabcabc", "é" * 129, prose(3, 60), "x" * 256 + "\x01", "日本" * 100]
+    assert np.allclose(net.score(texts), [plain(t) for t in texts], atol=1e-5)
+
+
 def test_scores_do_not_depend_on_the_batch(spark):
     net = quality.Network(np.random.default_rng(1))
     texts = [t for _, t in odd_rows()]
