@@ -222,6 +222,28 @@ def test_snapshot_versions_never_reuse_a_folder(spark):
     assert sinks.read_current(spark, root).count() == 2
 
 
+def test_median_of_values_close_together(spark):
+    """One key whose values lie within 0.01 %: no window holds more than a small share of them."""
+    import statistics
+
+    from pyspark.sql import functions as F
+
+    from parcela.operators import median
+    rows = spark.range(40_000).select(F.lit("a").alias("k"), (F.lit(250_000.0) + F.col("id") * 0.0005).alias("v"))
+    rows = rows.unionAll(spark.createDataFrame([("a", 1.0), ("a", 9e9), ("b", -0.0), ("b", float("inf")), ("c", float("inf")), ("c", None), ("d", None)], "k string, v double"))
+    want = {}
+    for r in rows.where("v is not null").collect():
+        want.setdefault(r.k, []).append(r.v)
+    got = {r.k: r.m for r in median.exact_median(rows, ["k"], "v", "m").collect()}
+    assert got == {k: statistics.median(v) for k, v in want.items()} | {"d": None}
+    counts = rows.where("k = 'a'").groupBy("k", "v").agg(F.count("*").alias("n"))
+    c = counts.select("k", F.col("v").alias("_v"), F.col("n").alias("_n"), F.col("v").alias("_x"), F.lit(0).cast("long").alias("_below"),
+                      F.lit(None).cast("long").alias("_all"), median.bucket_of(F.col("v")).alias("_b"))
+    first = median._middle_buckets(c, ["k"])
+    again = first.withColumn("_b", F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * median.RESOLUTION)).drop("_lo", "_hi")
+    assert first.count() > 10_000 and median._middle_buckets(again, ["k"]).count() < 100
+
+
 def test_exact_median(spark):
     """Equal to the built-in median with a key that holds most rows, even and odd groups, NULLs and negatives."""
     import random
