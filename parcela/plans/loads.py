@@ -43,8 +43,10 @@ def load_listings_us(table: BucketTable, pages_table: BucketTable, pages: DataFr
     """Pages of listings: every page is kept once, by its digest, and its listings name it. Known listings have their price, price an area,
     days on the market and time refreshed; ``order_by`` names columns of ``pages`` by which a batch's later rows win."""
     landed = pages.select(F.sha2(payload_col, 256).alias("page_id"), F.col(payload_col).alias("raw_json"), *order_by)
-    pages_table.merge(landed.select("page_id", "raw_json"), update=[])
-    parsed = payloads.parse_listing_pages(landed, "raw_json", keep=["page_id", *order_by], position="place").drop("raw_json")
+    # equal pages hold equal listings, the last of them wins: the batch is read once and parsed from its stage
+    staged, distinct, _ = pages_table.stage(landed, order_by)
+    pages_table.merge_staged(staged, update=[])
+    parsed = payloads.parse_listing_pages(distinct, "raw_json", keep=["page_id", *order_by], position="place").drop("raw_json")
     rows = parsed.withColumns({"source": F.lit(source), "scraped_at": _stamp(at)})
     return table.merge(rows, update=REFRESHED_US, order_by=[*order_by, "place"], failed=F.col("price_usd").isNull())
 

@@ -2,10 +2,12 @@
 
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
 from parcela.plans import loads
+from parcela.sources import payloads
 from parcela.sources.buckets import BUCKET, BucketTable
 
 SCHEMA = "id string, part int, price bigint, note string"
@@ -81,6 +83,30 @@ def test_listing_pages_are_kept_once(spark, tmp_path):
     assert [(r.source, r.inserted, r.status) for r in status] == [("a", 2, "ok"), ("b", 2, "failed"), ("c", 0, "failed")]
 
 
+def test_a_batch_is_read_once_and_a_new_table_needs_no_join(spark, tmp_path):
+    """Landed pages are evaluated once for the pages and their listings; equal pages count by the last of them."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    body = page('{"zpid":"1","price":"100"}'), page('{"zpid":"1","price":"200"}')
+    df = spark.createDataFrame([(0, body[0]), (1, body[1]), (2, body[0]), (3, None)], "n int, body string").mapInArrow(count, "n int, body string")
+    table, pages = BucketTable(spark, f"{tmp_path}/l", loads.LISTINGS_US, ["listing_id"], 4), BucketTable(spark, f"{tmp_path}/p", loads.PAGES_US, ["page_id"], 4)
+    got = loads.load_listings_us(table, pages, df, "body", "zillow", "2024-01-01 00:00:00", order_by=["n"])
+    assert reads.value == 4 and got == {"staged": 1, "inserted": 1, "updated": 0, "failed": 0, "skipped": 0}
+    assert [r.price_usd for r in table.read().collect()] == [100] and pages.read().count() == 2
+
+
+def test_the_parser_of_pages_can_be_compiled(spark):
+    """The JVM interprets methods over 8,000 bytes of code, which made the parser several times slower."""
+    df = payloads.parse_listing_pages(spark.range(3).selectExpr("cast(id as string) AS p"), "p", keep=["p"], position="place")
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
 def test_cards_keep_their_html_until_refreshed(spark, tmp_path):
     table = BucketTable(spark, f"{tmp_path}/c", loads.LISTINGS_CO, ["listing_id", "source"], 4)
     card = '<article data-id="%s"><a href="/inmueble/x-%s">see</a><h2>Casa %s</h2><p>$ %s</p>%s</article>'
