@@ -4,6 +4,7 @@ long and wide layouts (s03-s06, s17-s19, s24)."""
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import dates, labels, numbers, text
+from ..session import scratch_path
 
 # Fixed values --------------------------------------------------------------------
 SEPARATORS = [";", ",", "|", "\t"]
@@ -26,14 +28,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
 
 def sniff_files(lines: DataFrame, min_columns: int = 2) -> DataFrame:
-    """s04: (file, header, first, is_utf8, sep) of every file, decided by all of its lines; ``first`` is the header's place.
-
-    ``lines`` has the raw lines as ``value`` with ``file``, ``block`` and ``row``. A file with any line that is not valid
-    UTF-8 is ISO-8859-1. Its separator is the first of SEPARATORS that cuts its header into ``min_columns`` parts or more,
-    else a comma."""
-    per = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "row")).alias("raw"), F.min(F.struct("block", "row")).alias("first"),
-                                    F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
-    per = per.select("file", "first", "is_utf8", decoded("raw", "is_utf8").alias("header"))
+    """s04: (file, header, first, is_utf8, sep) of every file, decided by all of its lines; ``first`` is the header's place in block 0.
+
+    ``lines`` has the raw lines as ``value`` with ``file``, ``block`` (where the part of the file begins that a task reads) and ``row``. A file
+    with any line that is not valid UTF-8 is ISO-8859-1. Its separator is the first of SEPARATORS that cuts its header into
+    ``min_columns`` parts or more, else a comma. Only a number and a flag a file are aggregated, so no line is sorted or kept."""
+    per = lines.groupBy("file").agg(F.min(F.when(F.col("block") == 0, F.col("row"))).alias("first"), F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"))
+    heads = lines.join(F.broadcast(per), "file").where((F.col("block") == 0) & (F.col("row") == F.col("first")))      # one row a file
+    per = heads.select("file", "first", "is_utf8", decoded("value", "is_utf8").alias("header"))
     sep = F.lit(None).cast("string")
     for s in reversed(SEPARATORS):
         sep = F.when(F.size(F.split("header", f"\\Q{s}\\E", -1)) >= min_columns, s).otherwise(sep)
@@ -60,10 +62,13 @@ def read_sniffed(spark: SparkSession, path: str, min_columns: int = 2) -> DataFr
 
     Columns are the union of all headers. Whatever the number of layouts, the lines are parsed in one scan: a line is cut into
     an array by its file's separator, and a column is the field at its name's place in the file's header (the first one of a name). Only the
-    names of the columns and the greatest number of fields reach the driver. The header is dropped by its place: data equal to it stays."""
+    names of the columns and the greatest number of fields reach the driver. What was found of the files, one row a file as in the scan's own
+    listing, is written once and sent to the lines, which stay where they are read. The header is dropped by its place: data equal to it stays."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
                                          F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    files = sniff_files(lines, min_columns)
+    found = scratch_path(spark, f"sniffed_{uuid.uuid4().hex}")
+    sniff_files(lines, min_columns).write.parquet(found)
+    files = spark.read.parquet(found)
     cut = F.split("header", F.concat(F.lit("\\Q"), "sep", F.lit("\\E")), -1)
     width = files.agg(F.max(F.size(cut))).first()[0]
     if width is None:
@@ -71,7 +76,7 @@ def read_sniffed(spark: SparkSession, path: str, min_columns: int = 2) -> DataFr
     names = F.transform(_cells("header", "sep", width), lambda n, i: F.when(i < F.size(cut), F.coalesce(F.nullif(F.trim(n), F.lit("")), F.concat(F.lit("_c"), i.cast("string")))))
     files = files.withColumn("names", F.filter(names, lambda n: n.isNotNull()))
     columns = [r["n"] for r in files.select(F.explode("names").alias("n")).distinct().orderBy("n").collect()]
-    rows = lines.join(files, "file").where(F.struct("block", "row") > F.col("first")).withColumn("line", decoded("value", "is_utf8")).where("line <> ''")
+    rows = lines.join(F.broadcast(files), "file").where((F.col("block") > 0) | (F.col("row") > F.col("first"))).withColumn("line", decoded("value", "is_utf8")).where("line <> ''")
     rows = rows.withColumn("cells", _cells("line", "sep", width))
     return rows.select(*[F.get("cells", F.array_position("names", F.lit(c)).cast("int") - 1).alias(c) for c in columns])
 

@@ -126,3 +126,15 @@ def test_files_of_any_layout_in_one_scan(spark, tmp_path):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [value") <= 2                # the lines, and the headers
     assert os.listdir(tmp_path)
+
+
+def test_sniffed_lines_are_neither_sorted_nor_shuffled(spark, tmp_path):
+    """A large file must not come into the memory of one task: lines stay where they are read."""
+    for name, text in (("a.csv", "x;y\n1;2\n3;4\n"), ("b.csv", "y,z\n5,6\n"), ("c.csv", "x,y\n")):
+        (tmp_path / name).write_text(text)
+    df = delimited.read_sniffed(spark, str(tmp_path))
+    assert sorted(map(tuple, df.select("x", "y", "z").collect()), key=str) == [("1", "2", None), ("3", "4", None), (None, "5", "6")]
+    lines = spark.read.text(str(tmp_path)).selectExpr("value", "_metadata.file_path AS file", "_metadata.file_block_start AS block", "monotonically_increasing_id() AS row")
+    for plan in (df._jdf.queryExecution().executedPlan().toString(), delimited.sniff_files(lines)._jdf.queryExecution().executedPlan().toString()):
+        assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
