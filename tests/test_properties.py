@@ -293,3 +293,11 @@ def test_bad_values_become_null(spark):
     assert {(r.a, r.b, r.z) for r in payloads.parse_header_matrix(matrix, "p", {"a": "A", "b": "B", "z": "Z"}).collect()} == {("1", "2", None), ("3", None, None), (None, None, None)}
     page = spark.createDataFrame([('{"results":[{"zpid":"1","price":"1e30"},{"zpid":"2","price":"5"}]}',)], "p string")
     assert {(r.listing_id, r.price_usd) for r in payloads.parse_listing_pages(page, "p").collect()} == {("1", None), ("2", 5)}
+
+
+def test_market_scans_the_orders_once(spark, small):
+    """The median reads written counts of prices: its plan has no scan of the orders."""
+    t = Tables.shared(spark, small)
+    df = bindings.market(t)
+    assert not any("orders.parquet" in f for f in df.inputFiles()) and any("market_counts_" in f for f in df.inputFiles())
+    assert df.agg(F.sum("inventory_count")).first()[0] == t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).count()
