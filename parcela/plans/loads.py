@@ -72,10 +72,7 @@ def load_listings_co(table: BucketTable, pages: DataFrame, html_col: str, source
 def agency_rows(agencies: DataFrame, counts: DataFrame, years: Sequence[int], at: str) -> DataFrame:
     """One row an agency, year and offence with a positive count. ``agencies``: ori, city, state, lat, lon; ``counts``: ori, offense and the
     landed ``payload`` of its counts."""
-    parts = [payloads.sum_year_counts(counts, "payload", str(y), keep=["ori", "offense"]).withColumn("year", F.lit(y)) for y in years]
-    total = parts[0]
-    for p in parts[1:]:
-        total = total.unionByName(p)
+    total = payloads.sum_counts_of_years(counts, "payload", [str(y) for y in years], keep=["ori", "offense"]).withColumn("year", F.col("year").cast("int"))
     found = total.where(F.col("total") > 0).join(agencies.where(F.col("ori").isNotNull()), "ori")
     return found.select(
         F.concat_ws("_", F.lit("fbi"), "ori", F.col("year").cast("string"), "offense").alias("incident_id"), F.lit("fbi_ucr").alias("source"), "city", "state",

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from parcela.plans import loads
-from parcela.sources import payloads
+from parcela.sources import html, payloads
 from parcela.sources.buckets import BUCKET, BucketTable
 
 SCHEMA = "id string, part int, price bigint, note string"
@@ -107,6 +107,40 @@ def test_the_parser_of_pages_can_be_compiled(spark):
     assert sizes and max(sizes) < 8000
 
 
+def test_the_parser_of_cards_can_be_compiled(spark):
+    df = html.extract_cards(spark.range(3).selectExpr("cast(id as string) AS p"), "p", base_url="https://b.co", raw="raw_html")
+    text = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_a_page_with_an_object_under_data_is_parsed_once(spark):
+    """One parse for a list, a page, an array under data and an object there; it had been one for each key of that object."""
+    item = '{"zpid":" 7 ","listPrice":"5","beds":"2","listingDate":"2024-05-06","homeType":"condo"}'
+    pages = [f'{{"data":{{"listings":[{item}]}}}}', f'{{"data":[{{"price":"1"}},{item}]}}', f"[{item}]", '{"data":{"props":null}}', '{"data":[{"id":"1","listingType":"rental"}]}', None]
+    df = payloads.parse_listing_pages(spark.createDataFrame(list(enumerate(pages)), "n int, p string"), "p", keep=["n"], position="place")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") <= 4
+    got = sorted((r.n, r.place, r.listing_id, r.price_usd, r.bedrooms, str(r.listing_date), r.property_type) for r in df.collect())
+    assert got == [(n, p, "7", 5, 2, "2024-05-06", "condo") for n, p in ((0, 0), (1, 1), (2, 0))]
+
+
+def test_counts_of_several_years_are_read_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    data = [("A", "x", '{"offenses":{"actuals":{"all":{"1994":2,"1995":3}}}}'), ("A", "y", '[{"count":"4"},{"value":"z"}]'), ("B", "x", '{"offenses":{}}'), ("B", "y", None), (None, "x", "[]")]
+    counts = spark.createDataFrame(data, "ori string, offense string, payload string").mapInArrow(count, "ori string, offense string, payload string")
+    agencies = spark.createDataFrame([("A", "c", "S", 1.0, 2.0), ("B", "c", "S", 1.0, 2.0)], "ori string, city string, state string, lat double, lon double")
+    got = sorted(r.incident_id for r in loads.agency_rows(agencies, counts, [1994, 1995, 1996], "2024-01-01 00:00:00").collect())
+    assert got == ["fbi_A_1994_x", "fbi_A_1994_y", "fbi_A_1995_x", "fbi_A_1995_y", "fbi_A_1996_y"] and reads.value == len(data)
+    one = payloads.sum_year_counts(counts, "payload", "1995", keep=["ori", "offense"])
+    assert one.columns == ["ori", "offense", "total"] and {(r.ori, r.offense): r.total for r in one.collect()} == {
+        ("A", "x"): 3.0, ("A", "y"): 4.0, ("B", "x"): None, ("B", "y"): None, (None, "x"): 0.0}
+
+
 def test_cards_keep_their_html_until_refreshed(spark, tmp_path):
     table = BucketTable(spark, f"{tmp_path}/c", loads.LISTINGS_CO, ["listing_id", "source"], 4)
     card = '<article data-id="%s"><a href="/inmueble/x-%s">see</a><h2>Casa %s</h2><p>$ %s</p>%s</article>'
